@@ -20,29 +20,32 @@ def latest_per_key(df: DataFrame, keys: list[str], version_col: str | None) -> D
 
 
 def metric_history(samples: DataFrame, key: str = "metric", ts: str = "ts", value: str = "value",
-                   n: int = 100) -> DataFrame:
+                   n: int = 100, tie: str | None = None) -> DataFrame:
     """H3: last n samples per metric, each with its rolling mean over those samples.
 
     A rank window per metric: metrics are few and each partition holds one metric's
     samples; n bounds the output, not the sort.
     """
-    w = Window.partitionBy(key).orderBy(F.desc(ts))
+    order = [F.desc(ts)] + ([F.desc(tie)] if tie else [])
+    w = Window.partitionBy(key).orderBy(*order)
     last = samples.withColumn("recency", F.row_number().over(w)).where(F.col("recency") <= n)
     roll = Window.partitionBy(key).orderBy(F.desc("recency")).rowsBetween(Window.unboundedPreceding, 0)
-    return last.withColumn("rolling_mean", F.avg(value).over(roll))
+    return (last.withColumn("rolling_sum", F.sum(value).over(roll))
+                .withColumn("rolling_mean", F.avg(value).over(roll)))
 
 
 def sessionize(events: DataFrame, user: str = "user_id", ts: str = "timestamp",
-               gap_minutes: int = 30) -> DataFrame:
+               gap_minutes: int = 30, tie: str | None = None) -> DataFrame:
     """H4: sessions with an inactivity gap; one row per (user, session_no).
 
     lag + running sum per user: the shuffle is by user and each task sorts its users'
     events.  Output: user_id, session_no, session_start, session_end, event_count.
     """
-    w = Window.partitionBy(user).orderBy(ts)
+    order = [F.col(ts)] + ([F.col(tie)] if tie else [])
+    w = Window.partitionBy(user).orderBy(*order)
     prev = F.lag(ts).over(w)
     new = F.when(prev.isNull() | (F.col(ts) > prev + F.expr(f"INTERVAL {int(gap_minutes)} MINUTES")), 1).otherwise(0)
-    s = events.select(user, ts).withColumn("_new", new)
+    s = events.select(user, ts, *([tie] if tie else [])).withColumn("_new", new)
     s = s.withColumn("session_no", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return (s.groupBy(user, "session_no")
             .agg(F.min(ts).alias("session_start"), F.max(ts).alias("session_end"),

@@ -10,7 +10,7 @@ from eventmill.sources.tables import events
 
 EV = EVENTS_VIEW
 EV_COLS = ("event_id, user_id, event_type, \"timestamp\", event_date, hour_of_day, day_of_week, "
-           "is_weekend, event_category, value, props")
+           "is_weekend, event_category, session_id, value, props")
 
 # Fixed lookup parameters of the registered point queries.
 LOOKUP_USER = 7

@@ -36,7 +36,7 @@ def register(name: str, oracle: str | None = None):
 
 def _load_all() -> None:
     # Importing the modules fills the registry.
-    from eventmill.plans import analytic_queries, transform_queries  # noqa: F401
+    from eventmill.plans import analytic_queries, rollup_queries, transform_queries  # noqa: F401
 
 
 def queries() -> dict[str, QueryFn]:

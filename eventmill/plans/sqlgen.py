@@ -32,7 +32,9 @@ def priority_rank_case(expr: str) -> str:
 EVENTS_VIEW = f"""(SELECT event_id, user_id, event_type, ts AS "timestamp", CAST(ts AS DATE) AS event_date,
   CAST(hour(ts) AS INTEGER) AS hour_of_day, CAST(isodow(ts) - 1 AS INTEGER) AS day_of_week,
   CAST(CASE WHEN isodow(ts) >= 6 THEN 1 ELSE 0 END AS INTEGER) AS is_weekend,
-  {category_case('event_type')} AS event_category, value, props FROM events)"""
+  {category_case('event_type')} AS event_category,
+  's-' || CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') || '-' || CAST(hour(ts) // 8 AS VARCHAR) AS session_id,
+  value, props FROM events)"""
 
 AS_OF = "(SELECT max(ts) FROM events)"
 TODAY = f"CAST({AS_OF} AS DATE)"

@@ -30,7 +30,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Columns: event_id (bigint), user_id, event_type, timestamp (timestamp_ntz, UTC wall
     clock), event_date, hour_of_day, day_of_week (Mon=0), is_weekend (0/1),
-    event_category, value, props.
+    event_category, session_id, value, props.
     """
     e = read_table(spark, sf_dir, "events")
     ts = F.col("ts")
@@ -42,10 +42,17 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.weekday(ts).alias("day_of_week"),
         (F.weekday(ts) >= 5).cast("int").alias("is_weekend"),
         category_of(F.col("event_type")).alias("event_category"),
+        session_key(F.col("user_id"), ts).alias("session_id"),
         "value", "props",
     )
 
 
+def session_key(user_id: Column, ts: Column) -> Column:
+    """Session id of the driver data: s-<user>-<yyyyMMdd>-<hour div 8>."""
+    return F.concat(F.lit("s-"), user_id.cast("string"), F.lit("-"), F.date_format(ts, "yyyyMMdd"),
+                    F.lit("-"), F.floor(F.hour(ts) / 8).cast("string"))
+
+
 def as_of_column(df: DataFrame, ts: str = "timestamp", as_of=None) -> Column:
     """The 'now' of a query: a literal when given, else the newest event time.
 
