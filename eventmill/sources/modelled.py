@@ -13,7 +13,7 @@ dim_versions: each distinct event type in two versions of its category row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmill.functions.category import category_of
@@ -63,15 +63,14 @@ def op_log_sql() -> str:
 
 
 def offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Message log with source positions.  The offset is a rank within one partition:
-    the window is by partition (6 of them), which is what a topic's offsets are."""
+    """Message log with source positions: the offset is the contiguous position by id
+    within the partition (computed skew-safe, see `contiguous_index`)."""
+    from eventmill.operators.windows import contiguous_index
     e = read_table(spark, sf_dir, "events")
     part = F.pmod(F.col("user_id"), F.lit(N_PARTITIONS)).cast("int")
-    w = Window.partitionBy("partition").orderBy("event_id")
-    return (e.select(F.lit(TOPIC).alias("topic"), part.alias("partition"), "event_id", "ts",
-                     F.length("props").alias("bytes"))
-            .withColumn("offset", (F.row_number().over(w) - 1).cast("long"))
-            .withColumn("processed", F.col("event_id") % 10 != 9))
+    m = e.select(F.lit(TOPIC).alias("topic"), part.alias("partition"), "event_id", "ts",
+                 F.length("props").alias("bytes"))
+    return contiguous_index(m, "partition", "event_id").withColumn("processed", F.col("event_id") % 10 != 9)
 
 
 def offsets_sql() -> str:
