@@ -36,7 +36,8 @@ def register(name: str, oracle: str | None = None):
 
 def _load_all() -> None:
     # Importing the modules fills the registry.
-    from eventmill.plans import analytic_queries, metric_queries, rollup_queries, transform_queries  # noqa: F401
+    from eventmill.plans import (analytic_queries, metric_queries, rollup_queries,  # noqa: F401
+                                 stream_queries, transform_queries)
 
 
 def queries() -> dict[str, QueryFn]:
