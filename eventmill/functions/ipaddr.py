@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmill import dims
@@ -23,7 +23,10 @@ V6_PRIVATE_REGEX = (r"^(::1|::|::ffff:.*|64:ff9b:1:.*|100::.*|100:0:0:0:.*|2001:
 def ipv4_num(ip: Column) -> Column:
     """Dotted quad -> LONG, NULL when not a strict IPv4 address."""
     parts = F.split(ip, r"\.")
-    num = F.aggregate(parts, F.lit(0).cast("long"), lambda acc, x: acc * 256 + x.cast("long"))
+    num = None
+    for i in range(4):   # plain arithmetic (no higher-order function): stays in codegen
+        o = F.get(parts, i).cast("long")
+        num = o if num is None else num * 256 + o
     return F.when(ip.rlike(V4_REGEX), num)
 
 
@@ -52,30 +55,44 @@ def _pick(values: list[str], h: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (F.pmod(h, F.lit(len(values))) + 1).cast("int"))
 
 
-def geo_facts(ip: Column) -> Column:
-    """Stage 1 of E5/E6: struct(valid, private, h) computed once per row."""
-    num = ipv4_num(ip)
-    valid = ip.isNotNull() & (ip != "") & (num.isNotNull() | is_ipv6(ip))
-    private = F.when(num.isNotNull(), private_v4(num)).otherwise(F.lower(ip).rlike(V6_PRIVATE_REGEX))
-    return F.struct(valid.alias("valid"), private.alias("private"), md5_prefix_num(ip).alias("h"))
+GEO_COLUMNS = ["country", "region", "city"]
 
 
-def geo_from_facts(facts: Column) -> Column:
-    """Stage 2 of E5/E6: struct(country, region, city) from `geo_facts`.
+def with_geo(df: DataFrame, ip_col: str = "ip_address") -> DataFrame:
+    """E5 + E6 as three projections: parse once, classify once, then pick.
 
-    empty / NULL / not an address -> NULLs; private -> 'Private' x3; otherwise mock geo
-    picked from the fixed lists by md5 prefix modulo list size.
+    A parsed address referenced by every range test is kept as its own column (Catalyst
+    does not inline an expensive column into many uses), so the parse, the md5 and the
+    range tests each run once per row.  empty / NULL / not an address -> NULLs;
+    private -> 'Private' x3; otherwise mock geo by md5 prefix modulo list size.
     """
-    valid, private, h = facts.getField("valid"), facts.getField("private"), facts.getField("h")
+    ip = F.coalesce(F.col(ip_col), F.lit(""))
+    keep = df.columns
+    d = df.select(*keep, ipv4_num(ip).alias("_ipn"), is_ipv6(ip).alias("_v6"), md5_prefix_num(ip).alias("_h"))
+    ipc = F.coalesce(F.col(ip_col), F.lit(""))
+    d = d.select(*keep, "_h",
+                 ((ipc != "") & (F.col("_ipn").isNotNull() | F.col("_v6"))).alias("_valid"),
+                 F.when(F.col("_ipn").isNotNull(), private_v4(F.col("_ipn")))
+                  .otherwise(F.lower(ipc).rlike(V6_PRIVATE_REGEX)).alias("_private"))
     p = F.lit(dims.PRIVATE_LABEL)
 
     def pick(values):
-        return F.when(~valid, F.lit(None).cast("string")).when(private, p).otherwise(_pick(values, h))
-    return F.struct(pick(dims.GEO_COUNTRIES).alias("country"),
-                    pick(dims.GEO_REGIONS).alias("region"),
+        return F.when(~F.col("_valid"), F.lit(None).cast("string")).when(F.col("_private"), p) \
+                .otherwise(_pick(values, F.col("_h")))
+    return d.select(*keep, pick(dims.GEO_COUNTRIES).alias("country"), pick(dims.GEO_REGIONS).alias("region"),
                     pick(dims.GEO_CITIES).alias("city"))
 
 
 def geo_struct(ip: Column) -> Column:
-    """E5 + E6 in one expression (use the two stages inside big projections)."""
-    return geo_from_facts(geo_facts(ip))
+    """E5 + E6 as one expression, for small projections (lookups of distinct addresses);
+    inside wide row projections use `with_geo`."""
+    num = ipv4_num(ip)
+    valid = ip.isNotNull() & (ip != "") & (num.isNotNull() | is_ipv6(ip))
+    private = F.when(num.isNotNull(), private_v4(num)).otherwise(F.lower(ip).rlike(V6_PRIVATE_REGEX))
+    h = md5_prefix_num(ip)
+    p = F.lit(dims.PRIVATE_LABEL)
+
+    def pick(values):
+        return F.when(~valid, F.lit(None).cast("string")).when(private, p).otherwise(_pick(values, h))
+    return F.struct(pick(dims.GEO_COUNTRIES).alias("country"), pick(dims.GEO_REGIONS).alias("region"),
+                    pick(dims.GEO_CITIES).alias("city"))

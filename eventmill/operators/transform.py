@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from eventmill import dims
 from eventmill.functions.agent import agent_struct
 from eventmill.functions.category import category_of
-from eventmill.functions.ipaddr import geo_facts, geo_from_facts
+from eventmill.functions.ipaddr import GEO_COLUMNS, with_geo
 from eventmill.functions.props import props_flat_text, props_variant
 from eventmill.functions.timefn import iso_z_text, parse_ts
 from eventmill.operators.dedup import dedup
@@ -27,8 +27,24 @@ EVENT_COLUMNS = ["event_id", "user_id", "event_type", "event_date", "timestamp",
                  "user_agent", "referrer", "page_url", "properties_text", "properties"] + ENRICH_COLUMNS
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the input over all cores when it has fewer splits than cores.
+
+    The row transform is CPU-heavy (regex, JSON, md5) and fully parallel; a small input
+    that lands in one or two file splits would otherwise run on one or two cores.  On a
+    cluster reading many files the input already has far more splits than cores and
+    this is a no-op (no extra shuffle).  Streaming inputs are left alone.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def transform(raw: DataFrame, *, validate: bool = True, enrich: bool = True,
-              offset_mode: str = "utc", category_source: str = "code") -> DataFrame:
+              offset_mode: str = "utc", category_source: str = "code", parallel: bool = True) -> DataFrame:
     """C1 (row part): raw text events -> tagged typed events.
 
     Output: `reject_reason` (NULL when accepted) and the event columns; meta columns of the
@@ -40,6 +56,8 @@ def transform(raw: DataFrame, *, validate: bool = True, enrich: bool = True,
     apart rather than inlining an expensive expression twice, which keeps each
     generated method small enough for whole-stage codegen.
     """
+    if parallel:
+        raw = spread(raw)
     meta = [c for c in raw.columns if c not in RAW_FIELDS and not c.startswith("_")]
     hidden = [c for c in raw.columns if c.startswith("_")]
     kind = F.col("_props_kind") if "_props_kind" in raw.columns else None
@@ -50,8 +68,9 @@ def transform(raw: DataFrame, *, validate: bool = True, enrich: bool = True,
         parse_ts(F.col("timestamp"), offset_mode).alias("_ts"),
         user_id_int(F.col("user_id")).alias("_uid"),
         F.try_parse_json(F.col("properties")).alias("_pj"),
-        (geo_facts(F.coalesce(F.col("ip_address"), F.lit(""))) if enrich else F.lit(None)).alias("_gf"),
     )
+    if enrich:
+        s1 = with_geo(s1, "ip_address")
     # Stage 2: rules, typed columns, enrichment.
     rr = reject_reason(s1, offset_mode, F.col("_ts"), F.col("_uid")) if validate else F.lit(None).cast("string")
     opt = {f: F.coalesce(F.col(f), F.lit("")) for f in ["session_id", "ip_address", "user_agent", "page_url"]}
@@ -73,13 +92,13 @@ def transform(raw: DataFrame, *, validate: bool = True, enrich: bool = True,
         props_flat_text(F.col("properties"), kind_for_text, F.col("_pj")).alias("properties_text"),
         props_variant(F.col("properties"), kind_for_text, F.col("_pj")).alias("properties"),
         (agent_struct(F.coalesce(F.col("user_agent"), F.lit(""))) if enrich else F.lit(None)).alias("_ua"),
-        (geo_from_facts(F.col("_gf")) if enrich else F.lit(None)).alias("_geo"),
+        *([F.col(g) for g in GEO_COLUMNS] if enrich else [F.lit(None).cast("string").alias(g) for g in GEO_COLUMNS]),
     )
-    base = [x for x in s2.columns if x not in ("_ua", "_geo")]
+    base = [x for x in s2.columns if x not in ("_ua", *GEO_COLUMNS)]
     if enrich:
-        return s2.select(*base, "_ua.browser", "_ua.os", "_ua.device_type",
-                         "_geo.country", "_geo.region", "_geo.city")
-    return s2.select(*base, *[F.lit(None).cast("string").alias(x) for x in ENRICH_COLUMNS])
+        return s2.select(*base, "_ua.browser", "_ua.os", "_ua.device_type", *GEO_COLUMNS)
+    return s2.select(*base, *[F.lit(None).cast("string").alias(x) for x in ["browser", "os", "device_type"]],
+                     *GEO_COLUMNS)
 
 
 def split(tagged: DataFrame, *, order: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -89,6 +108,23 @@ def split(tagged: DataFrame, *, order: str | None = None) -> tuple[DataFrame, Da
     return dedup(ok, "event_id", order), bad
 
 
+def accepted_dedup(tagged: DataFrame, order: str | None = None, key: str = "event_id") -> DataFrame:
+    """Accepted rows, one per key, in a single aggregate over all tagged rows.
+
+    Rejected rows get a NULL ordering and `min_by` ignores NULL orderings, so no filter
+    on the computed `reject_reason` is needed before the shuffle (such a filter would be
+    pushed below the parse stage and repeat the parsing per row).  Partial aggregation
+    collapses a hot key inside each map task.
+    """
+    ok = F.col("reject_reason").isNull()
+    rank = F.when(ok, F.col(order) if order else F.lit(0))
+    others = [c for c in tagged.columns if c not in (key, "reject_reason")]
+    w = F.min_by(F.struct(*[F.col(c) for c in others]), rank)
+    return (tagged.groupBy(key).agg(w.alias("_w"))
+            .where(F.col("_w").isNotNull())
+            .select(key, *[F.col(f"_w.{c}").alias(c) for c in others]))
+
+
 def transform_events(raw: DataFrame, **kw) -> DataFrame:
     """Accepted, de-duplicated, enriched events (first delivery wins when the input
     carries an arrival order `delivery`)."""
@@ -97,7 +133,7 @@ def transform_events(raw: DataFrame, **kw) -> DataFrame:
     if order is None and "src_id" in tagged.columns and "delivery" in tagged.columns:
         tagged = tagged.withColumn("_seq", F.col("delivery") * F.lit(1 << 40) + F.col("src_id"))
         order = "_seq"
-    accepted, _ = split(tagged, order=order)
+    accepted = accepted_dedup(tagged, order)
     return accepted.drop("_seq") if order == "_seq" else accepted
 
 
