@@ -126,4 +126,24 @@ def q_dual_sink(spark, sf):
     return flat.join(docs, "event_date", "full")
 
 
-_ = to_flat
+
+@register("replay", FLAT_SQL)
+def q_replay(spark, sf):
+    """A3 + B10: run the stream over the same landed input twice with a fresh checkpoint
+    (a replay from the earliest offset) into the same tables: nothing is added."""
+    base = _stream_root(spark, sf)
+    src = StreamSource(kind="files", path=f"{base}/input/c*/part-*", max_files=1)
+    for q in run_stream(spark, src, f"{base}/out", scratch_dir(spark, "replay-ckpt"), watermark=WATERMARK):
+        q.awaitTermination()
+        if q.exception():
+            raise RuntimeError(str(q.exception()))
+    return read_flat(spark, f"{base}/out/flat").select(*FLAT_OUT)
+
+
+@register("snapshot", FLAT_SQL)
+def q_snapshot(spark, sf):
+    """Export the flat rows to a timestamped folder and read the snapshot back."""
+    from eventmill.sinks.files import snapshot
+    flat = to_flat(transform_events(raw_events(spark, sf)))
+    path = snapshot(flat, scratch_dir(spark, "snapshots"), "20240131T000000")
+    return spark.read.parquet(path).select(*FLAT_OUT)
