@@ -27,12 +27,12 @@ def retention_filter(events: DataFrame, as_of_date, days: int = 365) -> DataFram
     return events.where(F.col("event_date") >= F.date_sub(F.lit(as_of_date).cast("date"), days))
 
 
-def cluster_for_write(events: DataFrame, n_files_per_date: int | None = None) -> DataFrame:
-    """M2: one shuffle by date, sorted by the cluster key within files so Parquet min/max
-    statistics skip row groups on type / user / time predicates."""
-    df = events.repartition("event_date") if n_files_per_date is None \
-        else events.repartition(n_files_per_date, "event_date")
-    return df.sortWithinPartitions("event_date", "event_type", "user_id", "timestamp")
+def cluster_for_write(events: DataFrame, n_out: int) -> DataFrame:
+    """M2: range-partition and sort by the cluster key (date, type, user, time), so
+    Parquet min/max statistics skip row groups on those predicates and a hot date is
+    spread over several output tasks."""
+    key = ["event_date", "event_type", "user_id", "timestamp"]
+    return events.repartitionByRange(n_out, *key).sortWithinPartitions(*key)
 
 
 def shard_balance(events: DataFrame, shard: F.Column) -> DataFrame:

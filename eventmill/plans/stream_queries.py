@@ -15,7 +15,7 @@ from eventmill.operators.transform import to_flat, transform_events
 from eventmill.plans.registry import register
 from eventmill.plans.sqlgen import accepted_sql
 from eventmill.session import scratch_dir
-from eventmill.sinks.files import dual_sink, read_flat, write_document, write_flat
+from eventmill.sinks.files import dual_sink, read_documents, read_flat, write_document, write_flat
 from eventmill.sources.raw import raw_events, raw_events_sql
 from eventmill.streaming.ingest import (StreamSource, merge_daily_partials, run_stream, session_stream,
                                         tagged_stream, write_message_files)
@@ -108,7 +108,7 @@ def q_sink_document(spark, sf):
     ev = transform_events(raw_events(spark, sf))
     write_document(spark, ev, path, batch_id=0)
     write_document(spark, ev, path, batch_id=1)     # a second delivery of the same batch adds nothing
-    return spark.read.parquet(path).select(*DOC_OUT)
+    return read_documents(spark, path).select(*DOC_OUT)
 
 
 @register("dual_sink", f"""SELECT event_date, count(*) AS flat_rows, count(*) AS documents FROM {ACC} a GROUP BY 1""")
@@ -121,7 +121,7 @@ def q_dual_sink(spark, sf):
     tagged = tagged.withColumn("_seq", F.col("delivery") * F.lit(1 << 40) + F.col("src_id"))
     write(tagged, 0)
     flat = read_flat(spark, f"{base}/flat").groupBy("event_date").agg(F.count(F.lit(1)).alias("flat_rows"))
-    docs = (spark.read.parquet(f"{base}/documents")
+    docs = (read_documents(spark, f"{base}/documents")
             .groupBy(F.col("event_date").cast("date").alias("event_date")).agg(F.count(F.lit(1)).alias("documents")))
     return flat.join(docs, "event_date", "full")
 

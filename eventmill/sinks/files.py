@@ -26,16 +26,27 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def write_flat(df: DataFrame, path: str, batch_id: int | None = None, wide: bool = False,
-               files_per_date: int | None = None) -> None:
-    """B1 + M1 + M2: append flat rows partitioned by event_date, clustered by
-    (event_type, user_id, timestamp) inside each file for min/max skipping.
+CLUSTER_KEY = ["event_date", "event_type", "user_id", "timestamp"]
+
+
+def _n_out(df: DataFrame, files: int | None) -> int:
+    if files:
+        return files
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    With a batch id the rows go to `<path>/batch_id=<n>/` in overwrite mode (replay-safe).
+
+def write_flat(df: DataFrame, path: str, batch_id: int | None = None, wide: bool = False,
+               files: int | None = None) -> None:
+    """B1 + M1 + M2: flat rows partitioned by event_date and clustered by
+    (event_date, event_type, user_id, timestamp) for min/max skipping.
+
+    Range partitioning on the cluster key (sampled bounds) keeps output tasks even: a
+    date holding a third of all rows is split over many tasks instead of one.  With a
+    batch id the rows go to `<path>/batch_id=<n>/` in overwrite mode (replay-safe); an
+    empty batch writes no data files.
     """
     flat = to_flat(df, wide=wide).withColumn("processed_at", F.current_timestamp().cast("timestamp_ntz"))
-    flat = flat.repartition("event_date") if files_per_date is None else flat.repartition(files_per_date, "event_date")
-    flat = flat.sortWithinPartitions("event_date", "event_type", "user_id", "timestamp")
+    flat = flat.repartitionByRange(_n_out(flat, files), *CLUSTER_KEY).sortWithinPartitions(*CLUSTER_KEY)
     target = path if batch_id is None else f"{path.rstrip('/')}/batch_id={batch_id}"
     mode = "append" if batch_id is None else "overwrite"
     flat.write.mode(mode).partitionBy("event_date").parquet(target)
@@ -46,19 +57,32 @@ def read_flat(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path)
 
 
-def write_document(spark: SparkSession, df: DataFrame, path: str, batch_id: int | None = None) -> None:
+def write_document(spark: SparkSession, df: DataFrame, path: str, batch_id: int | None = None,
+                   max_dates: int = 10_000) -> None:
     """B2: insert documents with a unique `_id`: in-batch repeats are dropped and ids
-    already stored are skipped (left anti join against the stored ids), never failed."""
+    already stored are skipped (anti join), never failed.
+
+    Documents are partitioned by event_date; repeats of an event share its time, so the
+    stored ids are read only for the dates present in the batch (partition pruning), not
+    the whole history.
+    """
     docs = to_document(df).dropDuplicates(["_id"])
     if _path_exists(spark, path):
-        stored = spark.read.parquet(path).select(F.col("_id"))
-        if batch_id is not None:
-            # a replayed batch may overwrite its own folder: compare with the others only
-            stored = (spark.read.parquet(path).where(F.col("batch_id") != batch_id).select("_id")
-                      if "batch_id" in spark.read.parquet(path).columns else stored)
-        docs = new_rows_anti(docs, stored, "_id")
+        dates = [r[0] for r in docs.select("event_date").distinct().limit(max_dates + 1).collect()]
+        stored = spark.read.option("basePath", path).parquet(path)
+        if len(dates) <= max_dates:
+            stored = stored.where(F.col("event_date").cast("string").isin(dates))
+        if batch_id is not None and "batch_id" in stored.columns:
+            stored = stored.where(F.col("batch_id") != batch_id)   # a replay may overwrite its own folder
+        docs = new_rows_anti(docs, stored.select("_id"), "_id")
     target = path if batch_id is None else f"{path.rstrip('/')}/batch_id={batch_id}"
-    docs.write.mode("append" if batch_id is None else "overwrite").parquet(target)
+    docs.write.mode("append" if batch_id is None else "overwrite").partitionBy("event_date").parquet(target)
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Read documents back with `event_date` as text, as written."""
+    d = spark.read.option("basePath", path).parquet(path)
+    return d.withColumn("event_date", F.col("event_date").cast("string"))
 
 
 def dead_letter_rows(raw: DataFrame, offset_mode: str = "utc") -> DataFrame:

@@ -82,7 +82,8 @@ def batch_writer(spark: SparkSession, root: str,
         b = batch.drop("event_time").persist()
         try:
             write_flat(b, f"{root}/flat", batch_id)
-            to_document(b).write.mode("overwrite").parquet(f"{root}/documents/batch_id={batch_id}")
+            to_document(b).write.mode("overwrite").partitionBy("event_date") \
+                .parquet(f"{root}/documents/batch_id={batch_id}")
             R.hourly_partials(b.withColumn("block", F.lit(batch_id))) \
                 .write.mode("overwrite").parquet(f"{root}/hourly_partials/batch_id={batch_id}")
             daily_partials(b).write.mode("overwrite").parquet(f"{root}/daily_partials/batch_id={batch_id}")
