@@ -265,7 +265,8 @@ def q_sample_by_type(spark, sf):
 
 
 @register("topic_rows", f"""SELECT '{TOPIC}' AS topic, event_id AS key, CAST(user_id % {N_PARTITIONS} AS INTEGER) AS partition,
-  CAST(to_json({{'event_id': event_id, 'user_id': user_id, 'event_type': event_type, 'session_id': session_id}}) AS VARCHAR) AS value
+  CAST(to_json({{'event_id': event_id, 'user_id': user_id, 'event_type': event_type, 'session_id': session_id}}) AS VARCHAR) AS value,
+  octet_length(CAST(to_json({{'event_id': event_id, 'user_id': user_id, 'event_type': event_type, 'session_id': session_id}}) AS VARCHAR)::BLOB) AS bytes
   FROM {ACC} a""")
 def q_topic_rows(spark, sf):
     ev = _accepted(spark, sf).select("event_id", "user_id", "event_type", "session_id")

@@ -100,9 +100,11 @@ def write_dead_letter(raw: DataFrame, path: str, batch_id: int | None = None) ->
 
 def dual_sink(spark: SparkSession, flat_path: str, doc_path: str, dead_path: str | None = None,
               *, order: str | None = None, reject_ratio_limit: float | None = None,
-              on_batch: Callable[[DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
+              on_batch: Callable[[DataFrame, int], None] | None = None,
+              on_reject: Callable[[DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
     """B3 (+ B4, B8, N2): a `foreachBatch` function writing each transformed batch to both
-    sinks and the rejects to the dead-letter sink.
+    sinks and the rejects to the dead-letter sink; `on_batch` / `on_reject` are per-batch
+    hooks (the success / error callbacks of the source, per batch instead of per row).
 
     The tagged batch is persisted once and read by every write.  With
     `reject_ratio_limit`, a batch whose reject share exceeds it raises (B4) before any
@@ -124,6 +126,8 @@ def dual_sink(spark: SparkSession, flat_path: str, doc_path: str, dead_path: str
                    .write.mode("overwrite").parquet(f"{dead_path.rstrip('/')}/batch_id={batch_id}")
             if on_batch:
                 on_batch(ok, batch_id)
+            if on_reject:
+                on_reject(bad, batch_id)
         finally:
             tagged.unpersist()
     return run

@@ -22,8 +22,11 @@ def to_topic_rows(df: DataFrame, topic: str, key: str = "event_id",
     files for tests.
     """
     part = (partition or default_partition())(df)
-    return df.select(F.lit(topic).alias("topic"), F.col(key).cast("string").alias("key"),
-                     part.alias("partition"), F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"))
+    value = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
+    out = df.select(F.lit(topic).alias("topic"), F.col(key).cast("string").alias("key"),
+                    part.alias("partition"), value.alias("value"))
+    # Serialised size of each message (feeds bytes/s in the throughput metric)
+    return out.withColumn("bytes", F.octet_length("value"))
 
 
 def partition_batch_counts(rows: DataFrame) -> DataFrame:
@@ -40,9 +43,9 @@ def write_topic(rows: DataFrame, servers: str | None = None, path: str | None =
     image, so only the file path is exercised here.
     """
     if servers:
-        (rows.selectExpr("topic", "key", "value", "partition")
+        (rows.select("topic", "key", "value", "partition")
          .write.format("kafka").option("kafka.bootstrap.servers", servers).save())
     elif path:
-        rows.write.mode("append").partitionBy("partition").json(path)
+        rows.drop("bytes").write.mode("append").partitionBy("partition").json(path)
     else:
         raise ValueError("servers or path required")

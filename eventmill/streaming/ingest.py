@@ -68,6 +68,13 @@ def tagged_stream(spark: SparkSession, source: StreamSource, offset_mode: str =
     return t.withColumn("event_time", F.col("timestamp").cast("timestamp"))
 
 
+def observed(tagged: DataFrame, name: str = "batch_metrics") -> DataFrame:
+    """L9 / G16 per micro-batch: consumed and rejected counts collected with the batch
+    (`observe`, no extra job) and reported in each StreamingQueryProgress."""
+    return tagged.observe(name, F.count(F.lit(1)).alias("consumed"),
+                          F.count_if(F.col("reject_reason").isNotNull()).alias("rejected"))
+
+
 def dedup_stream(tagged: DataFrame, watermark: str = "1 day") -> DataFrame:
     """L4: accepted rows, first delivery per event_id within the watermark."""
     ok = tagged.where(F.col("reject_reason").isNull()).drop("reject_reason")
@@ -122,7 +129,7 @@ def run_stream(spark: SparkSession, source: StreamSource, root: str, checkpoint:
     available_now=True drains what is there and stops (L2); otherwise a processing-time
     trigger (L1, default 5 seconds).  Returns both queries; callers wait on them.
     """
-    tagged = tagged_stream(spark, source, offset_mode)
+    tagged = observed(tagged_stream(spark, source, offset_mode))
     accepted = dedup_stream(tagged, watermark)
     rejected = tagged.where(F.col("reject_reason").isNotNull()).select(
         "reject_reason", "event_id", "user_id", "event_type", F.col("timestamp").alias("event_time_parsed"),
@@ -140,10 +147,11 @@ def run_stream(spark: SparkSession, source: StreamSource, root: str, checkpoint:
 
 
 def session_stream(tagged: DataFrame, gap: str = "30 minutes", watermark: str = "1 day") -> DataFrame:
-    """Session windows per user on the accepted stream (append mode emits a session
-    once the watermark passes its end; sessions still open at the end stay in state)."""
-    ok = tagged.where(F.col("reject_reason").isNull())
-    return (ok.withWatermark("event_time", watermark)
+    """Session windows per user over the de-duplicated accepted stream (two chained
+    stateful operators: watermark dedup, then the session aggregation).  Append mode
+    emits a session once the watermark passes its end; sessions still open when the
+    stream stops stay in state until later data arrives."""
+    return (dedup_stream(tagged, watermark)
             .groupBy("user_id", F.session_window("event_time", gap).alias("s"))
             .agg(F.count(F.lit(1)).alias("event_count"))
             .select("user_id", F.col("s.start").cast("timestamp_ntz").alias("session_start"),
@@ -164,3 +172,29 @@ def write_message_files(raw: DataFrame, path: str, n_files: int = 4) -> str:
         to_json_messages(part).write.mode("errorifexists").text(f"{path}/c{i:04d}")
     to_json_messages(raw.where(F.col("delivery") != 0)).write.mode("errorifexists").text(f"{path}/c{n_files:04d}")
     return f"{path}/c*/part-*"
+
+
+PROGRESS_SCHEMA = ("query string, batch_id long, timestamp string, input_rows long, input_rows_per_second double, "
+                   "processed_rows_per_second double, trigger_ms long, batch_ms long, state_rows long, "
+                   "dropped_by_watermark long, consumed long, rejected long")
+
+
+def progress_log(spark: SparkSession, queries: list[StreamingQuery]) -> DataFrame:
+    """L9 + N3: the recent progress of the queries as a table (one row per micro-batch):
+    input rows and rates, trigger / batch durations (feed `duration_histogram`), state
+    rows, rows dropped as later than the watermark (L8), and the observed counts.
+
+    Progress is kept by Spark for the last `spark.sql.streaming.numRecentProgressUpdates`
+    batches, so this is bounded driver-side data.
+    """
+    rows = []
+    for q in queries:
+        for p in q.recentProgress:
+            ops = p.stateOperators or []
+            obs = (p.observedMetrics or {}).get("batch_metrics")
+            rows.append((q.name or str(q.id), p.batchId, p.timestamp, p.numInputRows,
+                         float(p.inputRowsPerSecond or 0.0), float(p.processedRowsPerSecond or 0.0),
+                         int(p.durationMs.get("triggerExecution", 0)), int(p.durationMs.get("addBatch", 0)),
+                         sum(o.numRowsTotal for o in ops), sum(o.numRowsDroppedByWatermark for o in ops),
+                         obs["consumed"] if obs else None, obs["rejected"] if obs else None))
+    return spark.createDataFrame(rows, PROGRESS_SCHEMA)

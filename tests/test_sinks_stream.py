@@ -65,7 +65,7 @@ def test_reject_ratio_gate_raises(spark):
 
 def test_stream_equals_batch_and_replay_adds_nothing(spark):
     from eventmill.sources.raw import raw_events
-    from eventmill.streaming.ingest import StreamSource, run_stream, write_message_files
+    from eventmill.streaming.ingest import StreamSource, progress_log, run_stream, write_message_files
     base = scratch_dir(spark, "stream")
     raw = raw_events(spark, SF_SMALL)
     glob = write_message_files(raw, f"{base}/in", 3)
