@@ -39,8 +39,10 @@ def sample_by_type(events: DataFrame, rates: DataFrame | None = None) -> DataFra
     unlisted types are kept whole."""
     rate = F.try_element_at(dims.map_literal(dims.SAMPLING_RATES), F.col("event_type"))
     if rates is not None:
-        # a custom rate table replaces the fixed one (broadcast: one row per type)
-        events = events.join(F.broadcast(rates.withColumnRenamed("rate", "_rate")), "event_type", "left")
+        # a custom rate table replaces the fixed one (one row per type; broadcast only
+        # when its size is within the bound)
+        events = events.join(broadcast_if_small(rates.withColumnRenamed("rate", "_rate"), 100_000),
+                             "event_type", "left")
         rate = F.col("_rate")
     h = F.pmod(md5_prefix_num(F.col("event_id").cast("string")), F.lit(10000))
     out = events.where(rate.isNull() | (h < rate * 10000))
