@@ -32,7 +32,8 @@ def _stream_root(spark, sf) -> str:
     if key not in _RUNS:
         base = scratch_dir(spark, "stream")
         glob = write_message_files(raw_events(spark, sf), f"{base}/input", N_FILES)
-        qs = run_stream(spark, StreamSource(kind="files", path=glob, max_files=1), f"{base}/out",
+        qs = run_stream(spark, StreamSource(kind="files", path=glob, max_files=1,
+                                         min_partitions=spark.sparkContext.defaultParallelism), f"{base}/out",
                         f"{base}/checkpoint", watermark=WATERMARK, available_now=True)
         for q in qs:
             q.awaitTermination()
@@ -83,7 +84,8 @@ def q_stream_daily_users(spark, sf):
 def q_stream_sessions(spark, sf):
     base = _stream_root(spark, sf)
     out = scratch_dir(spark, "sessions")
-    src = StreamSource(kind="files", path=f"{base}/input/c*/part-*", max_files=1)
+    src = StreamSource(kind="files", path=f"{base}/input/c*/part-*", max_files=1,
+                       min_partitions=spark.sparkContext.defaultParallelism)
     q = (session_stream(tagged_stream(spark, src)).writeStream.format("parquet").option("path", out)
          .option("checkpointLocation", f"{out}_ckpt").outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
@@ -132,7 +134,8 @@ def q_replay(spark, sf):
     """A3 + B10: run the stream over the same landed input twice with a fresh checkpoint
     (a replay from the earliest offset) into the same tables: nothing is added."""
     base = _stream_root(spark, sf)
-    src = StreamSource(kind="files", path=f"{base}/input/c*/part-*", max_files=1)
+    src = StreamSource(kind="files", path=f"{base}/input/c*/part-*", max_files=1,
+                       min_partitions=spark.sparkContext.defaultParallelism)
     for q in run_stream(spark, src, f"{base}/out", scratch_dir(spark, "replay-ckpt"), watermark=WATERMARK):
         q.awaitTermination()
         if q.exception():

@@ -44,16 +44,23 @@ class StreamSource:
     starting_offsets: str = "latest"     # "earliest" replays the topic (A3)
     max_offsets: int | None = None       # rate limit per micro-batch (L10)
     max_files: int = 1
+    min_partitions: int | None = None    # spread a micro-batch over at least this many tasks
 
     def read(self, spark: SparkSession) -> DataFrame:
         if self.kind == "files":
-            return (spark.readStream.format("text").option("maxFilesPerTrigger", self.max_files)
-                    .load(self.path).select("value"))
+            d = (spark.readStream.format("text").option("maxFilesPerTrigger", self.max_files)
+                 .load(self.path).select("value"))
+            # a batch of few files is few tasks; round-robin it over the cores (stateless)
+            return d.repartition(self.min_partitions) if self.min_partitions else d
         if self.kind == "kafka":
             r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", self.servers)
                  .option("subscribe", self.topic).option("startingOffsets", self.starting_offsets))
             if self.max_offsets:
                 r = r.option("maxOffsetsPerTrigger", self.max_offsets)
+            if self.min_partitions:
+                # split topic partitions into more Spark tasks (6 topic partitions would
+                # otherwise cap a large cluster at 6 concurrent tasks)
+                r = r.option("minPartitions", self.min_partitions)
             return r.load().select(F.col("value").cast("string").alias("value"), "topic", "partition", "offset")
         raise ValueError(f"unknown source kind {self.kind}")
 

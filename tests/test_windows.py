@@ -75,3 +75,16 @@ def test_flat_sink_splits_a_hot_date(spark):
     files = glob.glob(f"{path}/event_date=2024-01-15/*.parquet")
     assert len(files) >= 2 and read_flat(spark, path).count() == 400
     assert F is not None
+
+
+def test_catalog_views_run_source_style_sql(spark):
+    from conftest import SF_SMALL
+    from eventmill.plans.catalog import register_views
+    from eventmill.sources.tables import events
+    ev = events(spark, SF_SMALL)
+    register_views(spark, ev)
+    q = spark.sql("SELECT event_type, count(*) AS total_events FROM events_distributed "
+                  "GROUP BY event_type ORDER BY total_events DESC LIMIT 10").collect()
+    assert sum(r["total_events"] for r in q) == ev.count()
+    assert spark.sql("SELECT count(*) AS n FROM performance_summary").first()["n"] == 4
+    assert spark.sql("SELECT sum(event_count) AS n FROM events_hourly_distributed").first()["n"] == ev.count()
