@@ -110,22 +110,79 @@ def distinct_users(events: DataFrame) -> DataFrame:
     return events.select("user_id").distinct()
 
 
-def latency_percentiles(events: DataFrame, processed_col: str = "processed_at") -> DataFrame:
-    """Mean / p50 / p95 / p99 of (processed - event time) in seconds.
-
-    Exact percentiles (`percentile`) sort within one aggregation buffer per group; for a
-    huge table pass exact=False to use `percentile_approx` (bounded memory).
+def value_at_rank(values: DataFrame, col: str, rank: int, lo: float, hi: float,
+                  buckets: int = 4096, max_collect: int = 100_000) -> float:
+    """Exact k-th smallest value (0-based `rank`) of a numeric column, distributed.
+
+    Each pass histograms only the rows still in play into `buckets` equal-width buckets
+    (a grouped count: bounded output, partial aggregation, no row reaches the driver) and
+    keeps the bucket that holds the rank; once at most `max_collect` rows remain they are
+    fetched and sorted.  Bucket membership is tested with the same expressions in every
+    pass, so float rounding cannot move a row between passes.
+    """
+    v = F.col(col)
+    keep = F.lit(True)
+    below = 0
+    for _ in range(64):
+        inside = values.where(keep)
+        st = inside.agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi")).first()
+        if st["n"] <= max_collect:
+            vals = sorted(r[0] for r in inside.select(v).collect())
+            return float(vals[rank - below])
+        lo, hi = st["lo"], st["hi"]
+        width = (hi - lo) / buckets
+        if width <= 0 or lo + width == lo:        # all rows still in play share one value
+            return float(lo)
+        b = F.least(F.floor((v - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1)).cast("int")
+        hist = sorted((r[0], r[1]) for r in inside.groupBy(b.alias("b")).count().collect())
+        acc = below
+        for idx, cnt in hist:
+            if rank < acc + cnt:
+                keep = keep & (b == F.lit(idx))
+                below = acc
+                break
+            acc += cnt
+    raise RuntimeError("value_at_rank did not converge")
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: list[float], **kw) -> list[float]:
+    """Exact quantiles with linear interpolation (same as `percentile` / quantile_cont),
+    without gathering a group's values in one aggregation buffer."""
+    d = df.select(F.col(col).cast("double").alias("_q")).where(F.col("_q").isNotNull())
+    st = d.agg(F.count(F.lit(1)).alias("n"), F.min("_q").alias("lo"), F.max("_q").alias("hi")).first()
+    n = st["n"]
+    if not n:
+        return [None for _ in probs]
+    cache: dict[int, float] = {}
+
+    def at(r: int) -> float:
+        if r not in cache:
+            cache[r] = value_at_rank(d, "_q", r, st["lo"], st["hi"], **kw)
+        return cache[r]
+    out = []
+    for p in probs:
+        h = p * (n - 1)
+        r0 = int(h)
+        r1 = min(r0 + 1, n - 1)
+        out.append(at(r0) + (h - r0) * (at(r1) - at(r0)))
+    return out
+
+
+def latency_percentiles(events: DataFrame, processed_col: str = "processed_at", **kw) -> DataFrame:
+    """Count, mean, p50 / p95 / p99 of (processed - event time) in seconds, exact.
+
+    Mean and count are one aggregate; the quantiles use the distributed exact selection
+    above (no single-task buffer of all values), so this holds on any table size.
     """
     lat = (F.unix_micros(F.col(processed_col).cast("timestamp"))
            - F.unix_micros(F.col("timestamp").cast("timestamp"))) / F.lit(1e6)
     d = events.select(lat.alias("latency_s"))
-    return d.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.round(F.avg("latency_s"), 6).alias("mean_s"),
-        F.round(F.percentile("latency_s", F.lit(0.5)), 6).alias("p50_s"),
-        F.round(F.percentile("latency_s", F.lit(0.95)), 6).alias("p95_s"),
-        F.round(F.percentile("latency_s", F.lit(0.99)), 6).alias("p99_s"),
-    )
+    head = d.agg(F.count(F.lit(1)).alias("n"), F.avg("latency_s").alias("mean")).first()
+    q = exact_quantiles(d, "latency_s", [0.5, 0.95, 0.99], **kw)
+    spark = events.sparkSession
+    row = [(head["n"], head["mean"], *q)]
+    out = spark.createDataFrame(row, "n long, mean_s double, p50_s double, p95_s double, p99_s double")
+    return out.select("n", *[F.round(c, 6).alias(c) for c in ["mean_s", "p50_s", "p95_s", "p99_s"]])
 
 
 def latency_percentiles_approx(events: DataFrame, processed_col: str = "processed_at",

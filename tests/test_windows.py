@@ -88,3 +88,24 @@ def test_catalog_views_run_source_style_sql(spark):
     assert sum(r["total_events"] for r in q) == ev.count()
     assert spark.sql("SELECT count(*) AS n FROM performance_summary").first()["n"] == 4
     assert spark.sql("SELECT sum(event_count) AS n FROM events_hourly_distributed").first()["n"] == ev.count()
+
+
+def test_exact_quantiles_match_numpy_with_narrowing(spark):
+    import numpy as np
+    from eventmill.operators.analytics import exact_quantiles
+    rnd = np.random.default_rng(5)
+    vals = np.concatenate([rnd.exponential(2.0, 20000), np.full(5000, 1.5), rnd.normal(50, 1, 300)])
+    df = spark.createDataFrame([(float(x),) for x in vals], "x double")
+    probs = [0.0, 0.5, 0.95, 0.99, 1.0]
+    got = exact_quantiles(df, "x", probs, buckets=16, max_collect=500)    # forces several passes
+    want = np.quantile(vals, probs)                                      # linear interpolation
+    assert np.allclose(got, want, rtol=0, atol=1e-12)
+
+
+def test_exact_quantiles_inside_a_large_tie(spark):
+    import numpy as np
+    from eventmill.operators.analytics import exact_quantiles
+    vals = np.concatenate([np.full(3000, 7.25), np.arange(100, dtype=float)])
+    df = spark.createDataFrame([(float(x),) for x in vals], "x double")
+    got = exact_quantiles(df, "x", [0.5, 0.9], buckets=8, max_collect=100)
+    assert np.allclose(got, np.quantile(vals, [0.5, 0.9]))
