@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES - these must equal the source system's configuration for results to
@@ -229,5 +228,3 @@ def map_literal(pairs) -> F.Column:
         flat += [F.lit(k), F.lit(v)]
     return F.create_map(*flat)
 
-
-EMPTY_SCHEMA = T.StructType([])

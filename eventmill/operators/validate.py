@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmill.functions.timefn import parse_ts
-from eventmill.schemas import RAW, RAW_FIELDS, REQUIRED_FIELDS
+from eventmill.schemas import RAW_FIELDS, REQUIRED_FIELDS
 
 # JSON types allowed per required field (VARIANT type names).
 ALLOWED_JSON_TYPES = {
@@ -119,5 +119,3 @@ def reject_reasons(raw: DataFrame, offset_mode: str = "utc") -> DataFrame:
     return (t.where(F.col("reject_reason").isNotNull())
             .groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n")))
 
-
-RAW_SCHEMA = RAW

@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventmill import dims
-from eventmill.functions.category import category_of
 from eventmill.operators import layout as M
 from eventmill.operators import rollups as R
 from eventmill.operators import windows as W
 from eventmill.plans.registry import register
-from eventmill.plans.sqlgen import EVENTS_VIEW, TODAY, category_case, q
+from eventmill.plans.sqlgen import EVENTS_VIEW, TODAY, q
 from eventmill.sources.modelled import dim_versions, dim_versions_sql, op_log, op_log_sql
 from eventmill.sources.tables import events
 
@@ -70,7 +69,7 @@ def q_latest_category(spark, sf):
 def q_metric_history(spark, sf):
     s = op_log(spark, sf).select(F.col("operation").alias("metric"), "ts", "id", F.col("duration").alias("value"))
     out = W.metric_history(s, "metric", "ts", "value", 100, tie="id")
-    # the rolling sum is compared (exact at 4 decimals); the mean is rolling_sum / (101 - recency)
+    # the rolling sum is compared (exact at 4 decimals); the library also returns the mean
     return out.withColumn("rolling_sum", F.round("rolling_sum", 4)).drop("rolling_mean")
 
 
@@ -144,5 +143,3 @@ def q_category_seed(spark, sf):
     j = ev.join(F.broadcast(dim), "event_type", "left")   # fixed literal table: size bound proven
     return j.groupBy("event_type", "category", "source").agg(F.count(F.lit(1)).alias("event_count"))
 
-
-_ = category_of, category_case

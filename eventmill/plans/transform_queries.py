@@ -7,16 +7,16 @@ from pyspark.sql import functions as F
 
 from eventmill import dims
 from eventmill.functions.agent import agent_struct
-from eventmill.functions.ipaddr import geo_struct, ipv4_num
+from eventmill.functions.ipaddr import V4_REGEX, geo_struct, ipv4_num
 from eventmill.functions.props import property_get, props_flat_text, props_variant
 from eventmill.operators import lookups as L
 from eventmill.operators.dedup import duplicate_report, new_rows_anti, stored_rows_semi
 from eventmill.operators.enrich import category_join, ip_private_ranges, sample_by_type
-from eventmill.operators.transform import (fill_nulls, split, to_document, to_flat, transform,
+from eventmill.operators.transform import (fill_nulls, to_document, to_flat, transform,
                                            transform_events, transform_stats)
 from eventmill.operators.validate import decode_json, reject_reasons, user_id_int, validate_events
 from eventmill.plans.registry import register
-from eventmill.plans.sqlgen import accepted_sql, q, transform_sql
+from eventmill.plans.sqlgen import accepted_sql, category_case, q, transform_sql
 from eventmill.sinks.topic import partition_batch_counts, to_topic_rows
 from eventmill.sources.raw import raw_events, raw_events_sql, to_json_messages
 from eventmill.sources.stage import staged
@@ -126,7 +126,7 @@ def q_duplicate_report(spark, sf):
 
 
 @register("category_lookup", f"""SELECT DISTINCT event_type AS event_type_raw, lower(event_type) AS event_type,
-  {__import__('eventmill.plans.sqlgen', fromlist=['category_case']).category_case('event_type')} AS event_category
+  {category_case('event_type')} AS event_category
   FROM {RAW} r""")
 def q_category_lookup(spark, sf):
     from eventmill.functions.category import category_of
@@ -174,7 +174,7 @@ def _private_sql() -> str:
 @register("ip_private_range", f"""WITH ips AS (SELECT DISTINCT ip_address,
   CAST(split_part(ip_address, '.', 1) AS BIGINT) * 16777216 + CAST(split_part(ip_address, '.', 2) AS BIGINT) * 65536
   + CAST(split_part(ip_address, '.', 3) AS BIGINT) * 256 + CAST(split_part(ip_address, '.', 4) AS BIGINT) AS ip_num
-  FROM {RAW} r WHERE regexp_matches(coalesce(ip_address, ''), {q(__import__('eventmill.functions.ipaddr', fromlist=['V4_REGEX']).V4_REGEX)}))
+  FROM {RAW} r WHERE regexp_matches(coalesce(ip_address, ''), {q(V4_REGEX)}))
 SELECT ip_address, ip_num, coalesce(bool_or(p.private), false) AND NOT coalesce(bool_or(NOT p.private), false) AS is_private
 FROM ips LEFT JOIN {_private_sql()} ON ips.ip_num BETWEEN p.lo AND p.hi GROUP BY ip_address, ip_num""")
 def q_ip_private_range(spark, sf):

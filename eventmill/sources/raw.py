@@ -93,17 +93,10 @@ def to_json_messages(raw: DataFrame, keep_meta: bool = False) -> DataFrame:
     stays present, like the source serialiser; `user_id` is written as a JSON number
     when it is all digits, else as text.
     """
-    uid = F.when(F.col("user_id").rlike(r"^-?[0-9]{1,18}$"), F.col("user_id").cast("long"))
-    fields = []
-    for f in RAW_FIELDS:
-        if f == "user_id":
-            # keep the text form when it is not a plain integer, as a JSON string
-            fields.append(F.col(f).alias(f))
-        else:
-            fields.append(F.col(f).alias(f))
-    body = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
-    # Replace the quoted user_id text by a bare number where it is numeric.
-    body = F.when(uid.isNotNull(),
+    body = F.to_json(F.struct(*[F.col(f) for f in RAW_FIELDS]), {"ignoreNullFields": "false"})
+    # A numeric user_id is written as a JSON number (the usual producer form); other
+    # text stays a JSON string.
+    body = F.when(F.col("user_id").rlike(r"^-?[0-9]{1,18}$"),
                   F.regexp_replace(body, r'"user_id":"(-?[0-9]+)"', '"user_id":$1')).otherwise(body)
     out = [body.alias("value")]
     if keep_meta:

@@ -1,7 +1,6 @@
 """Sinks and streaming: empty batch, two-row batch, replay safety, document anti join,
 stream = batch, dead letters (B1-B3, B8, B10, A3, L1-L4)."""
 
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, raw_df, sample
 from eventmill.session import scratch_dir
@@ -69,9 +68,14 @@ def test_stream_equals_batch_and_replay_adds_nothing(spark):
     base = scratch_dir(spark, "stream")
     raw = raw_events(spark, SF_SMALL)
     glob = write_message_files(raw, f"{base}/in", 3)
-    src = StreamSource(kind="files", path=glob, max_files=1)
-    for q in run_stream(spark, src, f"{base}/out", f"{base}/ckpt", watermark="1 day"):
+    src = StreamSource(kind="files", path=glob, max_files=1, min_partitions=4)
+    qs = run_stream(spark, src, f"{base}/out", f"{base}/ckpt", watermark="1 day")
+    for q in qs:
         q.awaitTermination()
+    # every message is counted once per query in the observed per-batch metrics
+    prog = progress_log(spark, qs).where("consumed is not null")
+    totals = [r[1] for r in prog.groupBy("query").sum("consumed").collect()]
+    assert totals and all(t == raw.count() for t in totals)
     batch = transform_events(raw).select("event_id")
     streamed = read_flat(spark, f"{base}/out/flat")
     assert streamed.count() == batch.count()
