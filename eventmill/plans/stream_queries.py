@@ -18,6 +18,7 @@ from eventmill.session import scratch_dir
 from eventmill.sinks.files import dual_sink, read_documents, read_flat, write_document, write_flat
 from eventmill.sources.raw import raw_events, raw_events_sql
 from eventmill.streaming.ingest import (StreamSource, merge_daily_partials, run_stream, session_stream,
+                                        state_partitions_for_start,
                                         tagged_stream, write_message_files)
 
 ACC = accepted_sql(raw_events_sql())
@@ -86,8 +87,9 @@ def q_stream_sessions(spark, sf):
     out = scratch_dir(spark, "sessions")
     src = StreamSource(kind="files", path=f"{base}/input/c*/part-*", max_files=1,
                        min_partitions=spark.sparkContext.defaultParallelism)
-    q = (session_stream(tagged_stream(spark, src)).writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", f"{out}_ckpt").outputMode("append").trigger(availableNow=True).start())
+    with state_partitions_for_start(spark):
+        q = (session_stream(tagged_stream(spark, src)).writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", f"{out}_ckpt").outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(out)
 

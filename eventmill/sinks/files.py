@@ -29,12 +29,6 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
 CLUSTER_KEY = ["event_date", "event_type", "user_id", "timestamp"]
 
 
-def _n_out(df: DataFrame, files: int | None) -> int:
-    if files:
-        return files
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def write_flat(df: DataFrame, path: str, batch_id: int | None = None, wide: bool = False,
                files: int | None = None) -> None:
     """B1 + M1 + M2: flat rows partitioned by event_date and clustered by
@@ -46,7 +40,10 @@ def write_flat(df: DataFrame, path: str, batch_id: int | None = None, wide: bool
     empty batch writes no data files.
     """
     flat = to_flat(df, wide=wide).withColumn("processed_at", F.current_timestamp().cast("timestamp_ntz"))
-    flat = flat.repartitionByRange(_n_out(flat, files), *CLUSTER_KEY).sortWithinPartitions(*CLUSTER_KEY)
+    # without an explicit file count AQE sizes the range partitions (advisory partition
+    # size), so a small micro-batch writes a few files and a big load writes many
+    flat = flat.repartitionByRange(files, *CLUSTER_KEY) if files else flat.repartitionByRange(*CLUSTER_KEY)
+    flat = flat.sortWithinPartitions(*CLUSTER_KEY)
     target = path if batch_id is None else f"{path.rstrip('/')}/batch_id={batch_id}"
     mode = "append" if batch_id is None else "overwrite"
     flat.write.mode(mode).partitionBy("event_date").parquet(target)

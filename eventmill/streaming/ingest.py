@@ -17,6 +17,7 @@ Offsets are committed in the checkpoint only after the batch's writes succeed
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -129,13 +130,37 @@ def merge_daily_partials(partials: DataFrame) -> DataFrame:
 
 def run_stream(spark: SparkSession, source: StreamSource, root: str, checkpoint: str, *,
                watermark: str = "1 day", available_now: bool = True, processing_time: str | None = None,
-               offset_mode: str = "utc",
+               offset_mode: str = "utc", state_partitions: int | None = None,
                on_batch: Callable[[DataFrame, int], None] | None = None) -> list[StreamingQuery]:
     """A1 + L1-L4: start the accepted-rows query and the dead-letter query.
 
     available_now=True drains what is there and stops (L2); otherwise a processing-time
-    trigger (L1, default 5 seconds).  Returns both queries; callers wait on them.
+    trigger (L1, default 5 seconds).  `state_partitions` is the number of dedup state
+    partitions, fixed in the checkpoint at the first start (default: the cluster's
+    cores).  Returns both queries; callers wait on them.
     """
+    with state_partitions_for_start(spark, state_partitions):
+        return _start_stream(spark, source, root, checkpoint, watermark, available_now, processing_time,
+                             offset_mode, on_batch)
+
+
+@contextmanager
+def state_partitions_for_start(spark: SparkSession, n: int | None = None):
+    """Start streaming queries with `n` state partitions (default: the cluster's cores).
+
+    A streaming query clones the session when it starts and keeps the partition count
+    of its state in the checkpoint, so the setting is restored right after the start.
+    """
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n or spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
+
+
+def _start_stream(spark, source, root, checkpoint, watermark, available_now, processing_time,
+                  offset_mode, on_batch) -> list[StreamingQuery]:
     tagged = observed(tagged_stream(spark, source, offset_mode))
     accepted = dedup_stream(tagged, watermark)
     rejected = tagged.where(F.col("reject_reason").isNotNull()).select(
