@@ -19,6 +19,28 @@ from eventmill.operators.validate import with_reject_reason
 from eventmill.schemas import RAW_FIELDS
 
 
+def run_writes(spark: SparkSession, first: Callable[[], None], *rest: Callable[[], None]) -> None:
+    """Run the writes of one persisted batch: `first` alone, then `rest` as concurrent jobs.
+
+    The first write computes the persisted batch (and with it any stateful streaming step
+    upstream) once; the remaining writes read the cached blocks and are independent jobs,
+    so they run side by side and fill the executors instead of queueing one after another
+    (a micro-batch's small jobs would each leave most cores idle).  Any failure is raised,
+    so the caller's batch fails and is retried as a whole.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark.util import inheritable_thread_target
+
+    first()
+    if not rest:
+        return
+    with ThreadPoolExecutor(max_workers=len(rest)) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(w)) for w in rest]
+        for f in futures:
+            f.result()
+
+
 def _path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -64,6 +86,7 @@ def write_document(spark: SparkSession, df: DataFrame, path: str, batch_id: int
     the whole history.
     """
     docs = to_document(df).dropDuplicates(["_id"])
+    target = path if batch_id is None else f"{path.rstrip('/')}/batch_id={batch_id}"
     if _path_exists(spark, path):
         dates = [r[0] for r in docs.select("event_date").distinct().limit(max_dates + 1).collect()]
         stored = spark.read.option("basePath", path).parquet(path)
@@ -72,8 +95,19 @@ def write_document(spark: SparkSession, df: DataFrame, path: str, batch_id: int
         if batch_id is not None and "batch_id" in stored.columns:
             stored = stored.where(F.col("batch_id") != batch_id)   # a replay may overwrite its own folder
         docs = new_rows_anti(docs, stored.select("_id"), "_id")
-    target = path if batch_id is None else f"{path.rstrip('/')}/batch_id={batch_id}"
-    docs.write.mode("append" if batch_id is None else "overwrite").partitionBy("event_date").parquet(target)
+    write_documents_by_date(docs, target, "append" if batch_id is None else "overwrite")
+
+
+def write_documents_by_date(docs: DataFrame, target: str, mode: str = "overwrite") -> None:
+    """Documents partitioned by event_date and sorted by `_id` within files.
+
+    Range partitioning on (event_date, _id) gives each task one or a few dates, so a
+    write makes about one file per task instead of one per task and date, and a date
+    holding a third of all rows is split over many tasks.  Sorted ids give tight
+    min/max statistics for id lookups and for the stored-id check of later inserts.
+    """
+    (docs.repartitionByRange("event_date", "_id").sortWithinPartitions("event_date", "_id")
+     .write.mode(mode).partitionBy("event_date").parquet(target))
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -116,11 +150,12 @@ def dual_sink(spark: SparkSession, flat_path: str, doc_path: str, dead_path: str
                     raise RuntimeError(f"batch {batch_id}: reject ratio {r:.3f} over {reject_ratio_limit}")
             ok, bad = split(tagged, order=order)
             ok = ok.drop("_seq") if "_seq" in ok.columns else ok
-            write_flat(ok, flat_path, batch_id)
-            write_document(spark, ok, doc_path, batch_id)
+            writes = [lambda: write_flat(ok, flat_path, batch_id),
+                      lambda: write_document(spark, ok, doc_path, batch_id)]
             if dead_path:
-                bad.withColumn("ingest_time", F.current_timestamp().cast("timestamp_ntz")) \
-                   .write.mode("overwrite").parquet(f"{dead_path.rstrip('/')}/batch_id={batch_id}")
+                writes.append(lambda: bad.withColumn("ingest_time", F.current_timestamp().cast("timestamp_ntz"))
+                              .write.mode("overwrite").parquet(f"{dead_path.rstrip('/')}/batch_id={batch_id}"))
+            run_writes(spark, *writes)
             if on_batch:
                 on_batch(ok, batch_id)
             if on_reject:

@@ -27,7 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 from eventmill.operators import rollups as R
 from eventmill.operators.transform import to_document, transform
 from eventmill.operators.validate import decode_json
-from eventmill.sinks.files import write_flat
+from eventmill.sinks.files import run_writes, write_documents_by_date, write_flat
 
 
 @dataclass
@@ -92,16 +92,23 @@ def dedup_stream(tagged: DataFrame, watermark: str = "1 day") -> DataFrame:
 def batch_writer(spark: SparkSession, root: str,
                  on_batch: Callable[[DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
     """B3 in `foreachBatch`: persist the batch once, then write flat rows, documents and
-    the two partial rollups; every output is keyed by batch id (replay-safe)."""
+    the two partial rollups; every output is keyed by batch id (replay-safe).
+
+    The flat write runs first and computes the batch (the stateful dedup runs once); the
+    document and rollup writes then run as concurrent jobs over the cached rows.
+    """
     def run(batch: DataFrame, batch_id: int) -> None:
         b = batch.drop("event_time").persist()
         try:
-            write_flat(b, f"{root}/flat", batch_id)
-            to_document(b).write.mode("overwrite").partitionBy("event_date") \
-                .parquet(f"{root}/documents/batch_id={batch_id}")
-            R.hourly_partials(b.withColumn("block", F.lit(batch_id))) \
-                .write.mode("overwrite").parquet(f"{root}/hourly_partials/batch_id={batch_id}")
-            daily_partials(b).write.mode("overwrite").parquet(f"{root}/daily_partials/batch_id={batch_id}")
+            run_writes(
+                spark,
+                lambda: write_flat(b, f"{root}/flat", batch_id),
+                lambda: write_documents_by_date(to_document(b), f"{root}/documents/batch_id={batch_id}"),
+                lambda: R.hourly_partials(b.withColumn("block", F.lit(batch_id)))
+                .write.mode("overwrite").parquet(f"{root}/hourly_partials/batch_id={batch_id}"),
+                lambda: daily_partials(b).write.mode("overwrite")
+                .parquet(f"{root}/daily_partials/batch_id={batch_id}"),
+            )
             if on_batch:
                 on_batch(b, batch_id)
         finally:
@@ -150,13 +157,32 @@ def state_partitions_for_start(spark: SparkSession, n: int | None = None):
 
     A streaming query clones the session when it starts and keeps the partition count
     of its state in the checkpoint, so the setting is restored right after the start.
+
+    State lives in RocksDB unless the launcher chose a provider: a day of event ids
+    (the dedup state under a 1-day watermark) does not fit in executor heaps, which is
+    where the default provider keeps every state row.  Changelog checkpointing uploads
+    only each batch's changes to the checkpoint folder instead of whole snapshots.
     """
     prev = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(n or spark.sparkContext.defaultParallelism))
+    set_here = []
+    for k, v in STATE_CONF.items():
+        if spark.conf.get(k, None) is None:
+            spark.conf.set(k, v)
+            set_here.append(k)
     try:
         yield
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", prev)
+        for k in set_here:
+            spark.conf.unset(k)
+
+
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def _start_stream(spark, source, root, checkpoint, watermark, available_now, processing_time,
