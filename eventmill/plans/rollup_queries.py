@@ -11,7 +11,7 @@ from eventmill.operators import windows as W
 from eventmill.plans.registry import register
 from eventmill.plans.sqlgen import EVENTS_VIEW, TODAY, q
 from eventmill.sources.modelled import dim_versions, dim_versions_sql, op_log, op_log_sql
-from eventmill.sources.tables import events
+from eventmill.sources.tables import as_of_column, events
 
 EV = EVENTS_VIEW
 N_BLOCKS = 10      # insert blocks of the modelled partial rollups (block = id % 10)
@@ -94,7 +94,7 @@ def q_partition_counts_by_month(spark, sf):
   WHERE event_date >= {TODAY} - {RETENTION_DAYS} GROUP BY 1""")
 def q_retention_filter(spark, sf):
     ev = events(spark, sf)
-    today = F.to_date(ev.select(F.max("timestamp")).scalar())
+    today = F.to_date(as_of_column(ev))
     kept = ev.where(F.col("event_date") >= F.date_sub(today, RETENTION_DAYS))
     return kept.groupBy("event_date").agg(F.count(F.lit(1)).alias("event_count"))
 

@@ -54,12 +54,16 @@ def session_key(user_id: Column, ts: Column) -> Column:
 
 
 def as_of_column(df: DataFrame, ts: str = "timestamp", as_of=None) -> Column:
-    """The 'now' of a query: a literal when given, else the newest event time.
-
-    The default is a scalar subquery, planned once per query; a caller that knows the
-    time (the usual case on a live table) passes a literal so the date filter reaches the
-    scan as a pushed / partition filter.
+    """The 'now' of a query as a literal: the given time, else the newest event time.
+
+    The newest time is fetched first (one aggregate over the time column, one value to
+    the driver) and the query is planned with it as a literal.  A date or time bound is
+    then known at planning time: Catalyst turns `to_date(ts) = d` into a range on `ts`
+    that reaches the Parquet scan (row groups of other days are skipped) or prunes
+    `event_date` partitions of the flat sink.  A scalar subquery would keep the bound
+    unknown until run time and read every row group of every day.  The value travels as
+    text, so no driver time zone touches it.
     """
-    if as_of is not None:
-        return F.lit(as_of).cast("timestamp_ntz")
-    return df.select(F.max(ts)).scalar()
+    if as_of is None:
+        as_of = df.select(F.max(ts).cast("string")).first()[0]
+    return F.lit(as_of).cast("timestamp_ntz")

@@ -17,6 +17,15 @@ def test_filter_and_columns_reach_the_scan(spark):
     assert "GreaterThanOrEqual(ts" in p
 
 
+@pytest.mark.parametrize("name", ["daily_total", "hourly_profile", "type_counts_recent", "top_types"])
+def test_as_of_day_bound_reaches_the_scan(spark, name):
+    # the default 'now' (newest event) is planned as a literal, so the day / hour bound is
+    # a pushed range on ts (row groups of other days skipped), not a run-time subquery
+    p = plan(E.queries()[name](spark, SF_SMALL))
+    assert "GreaterThanOrEqual(ts," in p
+    assert "Subquery" not in p
+
+
 def test_two_column_query_reads_two_columns(spark):
     p = plan(E.queries()["doc_type_counts"](spark, SF_SMALL))
     assert "ReadSchema: struct<event_type:string>" in p
