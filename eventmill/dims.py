@@ -221,10 +221,22 @@ def private_ranges(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "block string, lo long, hi long, private boolean")
 
 
+def _sql_literal(v) -> str:
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, int):
+        return repr(v)
+    if isinstance(v, float):
+        return f"{v!r}D"          # a DOUBLE literal, as F.lit(float) gives
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def map_literal(pairs) -> F.Column:
-    """A literal MAP column from (key, value) pairs; for tiny fixed lookups inside codegen."""
-    flat = []
-    for k, v in pairs:
-        flat += [F.lit(k), F.lit(v)]
-    return F.create_map(*flat)
+    """A literal MAP column from (key, value) pairs; for tiny fixed lookups inside codegen.
+
+    Written as one SQL `map(...)` literal, so building it is one call into the JVM rather
+    than one per key and value (hundreds for the category map, on every query built).
+    """
+    body = ", ".join(f"{_sql_literal(k)}, {_sql_literal(v)}" for k, v in pairs)
+    return F.expr(f"map({body})")
 
