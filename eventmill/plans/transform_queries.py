@@ -17,6 +17,7 @@ from eventmill.operators.transform import (fill_nulls, to_document, to_flat, tra
 from eventmill.operators.validate import decode_json, reject_reasons, user_id_int, validate_events
 from eventmill.plans.registry import register
 from eventmill.plans.sqlgen import accepted_sql, category_case, q, transform_sql
+from eventmill.schemas import RAW_FIELDS
 from eventmill.sinks.topic import partition_batch_counts, to_topic_rows
 from eventmill.sources.raw import raw_events, raw_events_sql, to_json_messages
 from eventmill.sources.stage import staged
@@ -249,7 +250,17 @@ def q_decode_json(spark, sf):
                     nulls.alias("null_reason"))
 
 
-@register("encode_json")
+def _encode_json_sql() -> str:
+    # B7 in DuckDB: compact JSON with nulls kept, fields in RAW order; a numeric user_id
+    # unquoted, as the Spark serialiser writes it
+    cols = [f'"{f}"' if f == "timestamp" else f for f in RAW_FIELDS]
+    fields = ", ".join(f"'{f}', {c}" for f, c in zip(RAW_FIELDS, cols))
+    return f"""SELECT CASE WHEN regexp_matches(user_id, '^-?[0-9]{{1,18}}$')
+    THEN regexp_replace(j, '"user_id":"(-?[0-9]+)"', '"user_id":\\1', 'g') ELSE j END AS value
+  FROM (SELECT user_id, CAST(json_object({fields}) AS VARCHAR) AS j FROM {RAW} r)"""
+
+
+@register("encode_json", _encode_json_sql())
 def q_encode_json(spark, sf):
     return to_json_messages(raw_events(spark, sf))
 
