@@ -81,7 +81,21 @@ def q_stream_daily_users(spark, sf):
     return merge_daily_partials(spark.read.parquet(f"{root}/out/daily_partials"))
 
 
-@register("stream_sessions")
+# L7 oracle: append mode emits a session once the watermark (newest event time - 1 day
+# at the end of the drain) passes its end (last event + gap); later ones stay in state.
+STREAM_SESSIONS_SQL = f"""WITH a AS (SELECT user_id, "timestamp", event_id FROM {ACC} a),
+s AS (SELECT user_id, min("timestamp") AS session_start, max("timestamp") + INTERVAL 30 MINUTE AS session_end,
+  count(*) AS event_count FROM (
+  SELECT user_id, "timestamp", sum(new) OVER (PARTITION BY user_id ORDER BY "timestamp", event_id
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS session_no FROM (
+    SELECT user_id, "timestamp", event_id, CASE WHEN lag("timestamp") OVER (PARTITION BY user_id ORDER BY "timestamp", event_id) IS NULL
+      OR "timestamp" >= lag("timestamp") OVER (PARTITION BY user_id ORDER BY "timestamp", event_id) + INTERVAL 30 MINUTE
+      THEN 1 ELSE 0 END AS new FROM a) x) y GROUP BY user_id, session_no)
+SELECT user_id, session_start, session_end, event_count FROM s
+WHERE session_end <= (SELECT max("timestamp") - INTERVAL {WATERMARK} FROM a)"""
+
+
+@register("stream_sessions", STREAM_SESSIONS_SQL)
 def q_stream_sessions(spark, sf):
     base = _stream_root(spark, sf)
     out = scratch_dir(spark, "sessions")
