@@ -1,14 +1,17 @@
 """Structured Streaming ingest.
 
-Source (Kafka topic or a folder of JSON message files) -> decode -> transform ->
-two streaming queries over the same source:
+Source (Kafka topic or a folder of JSON message files) -> decode -> transform -> one
+shuffle by event_id -> one streaming query with two branches over that shuffle:
 
 * accepted rows: event-time watermark + `dropDuplicatesWithinWatermark(event_id)`
-  (stateful dedup, bounded by time), then `foreachBatch` writing the flat table, the
-  document table and per-batch rollup partials (hourly and daily-user, with HLL
-  sketches) - each into a `batch_id=<n>` folder, so a replayed batch overwrites itself;
-* rejected rows: appended to the dead-letter table by the file sink (exactly-once via
-  its own log).
+  (stateful dedup, bounded by time; the shuffle is already the partitioning the state
+  needs, so no second exchange);
+* rejected rows: passed through (no watermark: a bad row is never "late").
+
+Both branches read the same shuffle output (exchange reuse), so each message is decoded
+and validated once.  `foreachBatch` writes the flat table, the document table, per-batch
+rollup partials (hourly and daily-user, with HLL sketches) and the dead letters, each
+into a `batch_id=<n>` folder, so a replayed batch overwrites itself.
 
 Offsets are committed in the checkpoint only after the batch's writes succeed
 (at-least-once input + idempotent output = exactly-once tables).
@@ -91,26 +94,33 @@ def dedup_stream(tagged: DataFrame, watermark: str = "1 day") -> DataFrame:
 
 def batch_writer(spark: SparkSession, root: str,
                  on_batch: Callable[[DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
-    """B3 in `foreachBatch`: persist the batch once, then write flat rows, documents and
-    the two partial rollups; every output is keyed by batch id (replay-safe).
+    """B3 + B8 in `foreachBatch`: persist the tagged batch (accepted rows after the
+    stateful dedup, plus rejected rows) once, then write flat rows, documents, the two
+    partial rollups and the dead letters; every output is keyed by batch id (replay-safe).
 
     The flat write runs first and computes the batch (the stateful dedup runs once); the
-    document and rollup writes then run as concurrent jobs over the cached rows.
+    other writes then run as concurrent jobs over the cached rows.  `on_batch` gets the
+    accepted rows.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         b = batch.drop("event_time").persist()
         try:
+            ok = b.where(F.col("reject_reason").isNull()).drop("reject_reason")
+            bad = b.where(F.col("reject_reason").isNotNull()).select(
+                "reject_reason", "event_id", "user_id", "event_type", F.col("timestamp").alias("event_time_parsed"),
+                F.current_timestamp().cast("timestamp_ntz").alias("ingest_time"))
             run_writes(
                 spark,
-                lambda: write_flat(b, f"{root}/flat", batch_id),
-                lambda: write_documents_by_date(to_document(b), f"{root}/documents/batch_id={batch_id}"),
-                lambda: R.hourly_partials(b.withColumn("block", F.lit(batch_id)))
+                lambda: write_flat(ok, f"{root}/flat", batch_id),
+                lambda: write_documents_by_date(to_document(ok), f"{root}/documents/batch_id={batch_id}"),
+                lambda: R.hourly_partials(ok.withColumn("block", F.lit(batch_id)))
                 .write.mode("overwrite").parquet(f"{root}/hourly_partials/batch_id={batch_id}"),
-                lambda: daily_partials(b).write.mode("overwrite")
+                lambda: daily_partials(ok).write.mode("overwrite")
                 .parquet(f"{root}/daily_partials/batch_id={batch_id}"),
+                lambda: bad.write.mode("overwrite").parquet(f"{root}/dead_letter/batch_id={batch_id}"),
             )
             if on_batch:
-                on_batch(b, batch_id)
+                on_batch(ok, batch_id)
         finally:
             b.unpersist()
     return run
@@ -139,12 +149,12 @@ def run_stream(spark: SparkSession, source: StreamSource, root: str, checkpoint:
                watermark: str = "1 day", available_now: bool = True, processing_time: str | None = None,
                offset_mode: str = "utc", state_partitions: int | None = None,
                on_batch: Callable[[DataFrame, int], None] | None = None) -> list[StreamingQuery]:
-    """A1 + L1-L4: start the accepted-rows query and the dead-letter query.
+    """A1 + L1-L4, B8: start the ingest query (accepted and rejected rows in one query).
 
     available_now=True drains what is there and stops (L2); otherwise a processing-time
     trigger (L1, default 5 seconds).  `state_partitions` is the number of dedup state
     partitions, fixed in the checkpoint at the first start (default: the cluster's
-    cores).  Returns both queries; callers wait on them.
+    cores).  Returns the started queries; callers wait on them.
     """
     with state_partitions_for_start(spark, state_partitions):
         return _start_stream(spark, source, root, checkpoint, watermark, available_now, processing_time,
@@ -187,21 +197,21 @@ STATE_CONF = {
 
 def _start_stream(spark, source, root, checkpoint, watermark, available_now, processing_time,
                   offset_mode, on_batch) -> list[StreamingQuery]:
-    tagged = observed(tagged_stream(spark, source, offset_mode))
-    accepted = dedup_stream(tagged, watermark)
-    rejected = tagged.where(F.col("reject_reason").isNotNull()).select(
-        "reject_reason", "event_id", "user_id", "event_type", F.col("timestamp").alias("event_time_parsed"),
-        F.current_timestamp().cast("timestamp_ntz").alias("ingest_time"))
-
-    def trig(w):
-        if available_now:
-            return w.trigger(availableNow=True)
-        return w.trigger(processingTime=processing_time or "5 seconds")
-    q1 = trig(accepted.writeStream.foreachBatch(batch_writer(spark, root, on_batch))
-              .option("checkpointLocation", f"{checkpoint}/accepted")).start()
-    q2 = trig(rejected.writeStream.format("parquet").option("path", f"{root}/dead_letter")
-              .option("checkpointLocation", f"{checkpoint}/dead_letter")).start()
-    return [q1, q2]
+    # Rejected rows carry no event time: they neither move the watermark nor count as late.
+    # The watermark goes below the shuffle (it does not pass on its input's partitioning),
+    # then one hash shuffle by event_id (state partitions = spark.sql.shuffle.partitions at
+    # start) and `observe`: the reject filters of the branches stop above it instead of
+    # being pushed down into the parse, so both branches share the shuffle output and the
+    # dedup needs no exchange of its own.
+    tagged = tagged_stream(spark, source, offset_mode)
+    tagged = tagged.withColumn("event_time", F.when(F.col("reject_reason").isNull(), F.col("event_time")))
+    shared = observed(tagged.withWatermark("event_time", watermark).repartition("event_id"))
+    accepted = shared.where(F.col("reject_reason").isNull()).dropDuplicatesWithinWatermark(["event_id"])
+    rejected = shared.where(F.col("reject_reason").isNotNull())
+    w = (accepted.unionByName(rejected).writeStream.foreachBatch(batch_writer(spark, root, on_batch))
+         .option("checkpointLocation", f"{checkpoint}/events"))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "5 seconds")
+    return [w.start()]
 
 
 def session_stream(tagged: DataFrame, gap: str = "30 minutes", watermark: str = "1 day") -> DataFrame:
