@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from eventmill.functions.category import category_of
 
@@ -21,8 +22,22 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    """Parquet scan of a driver table.
+
+    The driver tables are fixed, so their schema is inferred once per path (a job that
+    reads Parquet footers) and passed on later reads; building a query then touches no
+    data before it runs.
+    """
+    path = table_path(sf_dir, name)
+    if path not in _SCHEMAS:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
