@@ -97,3 +97,37 @@ def test_snapshot_refuses_overwrite(spark):
     assert spark.read.parquet(p).count() == 3
     with pytest.raises(Exception):
         snapshot(df, root, "20240101T000000")
+
+
+def test_rejected_row_does_not_move_the_watermark(spark):
+    # a rejected message with a far-future time arrives first; if it moved the watermark,
+    # the new row ok-3 of the last batch would be dropped as late (and ok-1's state evicted)
+    import json
+    import os
+
+    from eventmill.session import local_makedirs
+    from eventmill.streaming.ingest import StreamSource, run_stream
+    base = scratch_dir(spark, "wm")
+    rows = [
+        [sample(event_id="bad-1", user_id="not_a_number", timestamp="2099-01-01T00:00:00Z"),
+         sample(event_id="ok-1", timestamp="2024-01-10T08:00:00Z")],
+        [sample(event_id="ok-2", timestamp="2024-01-10T08:30:00Z")],
+        [sample(event_id="ok-3", timestamp="2024-01-10T08:45:00Z"),
+         sample(event_id="ok-1", timestamp="2024-01-10T08:00:00Z")],      # repeat delivery
+    ]
+    for i, batch in enumerate(rows):
+        d = f"{base}/in/c{i}"
+        local_makedirs(d)
+        p = f"{d.replace('file:', '')}/part-0.json"
+        with open(p, "w") as f:
+            f.write("\n".join(json.dumps(r) for r in batch) + "\n")
+        os.utime(p, (1_700_000_000 + i, 1_700_000_000 + i))          # arrival order
+    src = StreamSource(kind="files", path=f"{base}/in/c*/part-*", max_files=1)
+    qs = run_stream(spark, src, f"{base}/out", f"{base}/ckpt", watermark="1 hour")
+    for q in qs:
+        q.awaitTermination()
+    assert len(qs) == 1
+    ids = sorted(r[0] for r in read_flat(spark, f"{base}/out/flat").select("event_id").collect())
+    assert ids == ["ok-1", "ok-2", "ok-3"]
+    dead = spark.read.parquet(f"{base}/out/dead_letter")
+    assert [r[0] for r in dead.select("event_id").collect()] == ["bad-1"]
