@@ -46,3 +46,28 @@ def test_no_python_udf_in_plan(spark, name):
     p = plan(E.queries()[name](spark, SF_SMALL))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
         assert bad not in p, f"{name} runs Python: {bad}"
+
+
+def test_stream_decodes_once_and_shares_one_shuffle(spark):
+    # the accepted (dedup) and rejected branches of the ingest query read one event_id
+    # shuffle: the rejected branch reuses it, and the dedup adds no exchange of its own
+    from eventmill.session import scratch_dir
+    from eventmill.sources.raw import raw_events
+    from eventmill.streaming.ingest import StreamSource, run_stream, write_message_files
+    base = scratch_dir(spark, "plan-stream")
+    glob = write_message_files(raw_events(spark, SF_SMALL), f"{base}/in", 2)
+    prev = spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled")
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")   # last run = a data batch
+    try:
+        qs = run_stream(spark, StreamSource(kind="files", path=glob, max_files=10, min_partitions=4),
+                        f"{base}/out", f"{base}/ckpt")
+        for q in qs:
+            q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", prev)
+    assert len(qs) == 1
+    p = qs[0]._jsq.streamingQuery().lastExecution().executedPlan().toString()
+    assert p.count("ReusedExchange") == 1
+    shuffles = [ln for ln in p.splitlines() if "Exchange hashpartitioning" in ln and "ReusedExchange" not in ln]
+    assert len(shuffles) == 1
+    assert "REQUIRED_BY_STATEFUL_OPERATOR" not in p
