@@ -41,3 +41,11 @@ def n_words(text: Column) -> Column:
 def hex_number(text: Column, start: int, length: int) -> Column:
     """Integer value of some hex digits of a text."""
     return F.conv(F.substring(text, start, length), 16, 10).cast("long")
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like `name` that df does not have, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmill.llm import licenses, mixing, simhash, toxicity, urlfilter
+from eventmill.llm import licenses, mixing, pii, simhash, toxicity, urlfilter
 from eventmill.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities", "kinds")
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -37,7 +41,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op2_toxicity, op5_license_scan, op6_url_filter, op9_simhash_dedup, op10_mix_sources)}
+    return {f.__name__: f for f in (op2_toxicity, op3_pii_surrogates, op5_license_scan, op6_url_filter, op9_simhash_dedup, op10_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:

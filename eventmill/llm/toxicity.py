@@ -281,15 +281,12 @@ def separating(z: np.ndarray, label: np.ndarray) -> float:
     return float((ranked[best] + below) / 2)
 
 
-def score_texts(docs: DataFrame, scorer: Scorer, *, text_col: str = "text", into: str = "score") -> DataFrame:
-    """All rows and columns of docs with the score (0 to 1) of the whole text in `into`, which must be a new name."""
-    schema = docs.drop(into).schema.add(into, "double")
-    keep = [c for c in docs.columns if c != into]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            yield rows.assign(**{into: scorer.score(rows[text_col])})
-    return docs.select(keep).mapInPandas(run, schema)
+def scored(docs: DataFrame, scorer: Scorer, *, text_col: str = "text", into: str = "score") -> DataFrame:
+    """All rows and columns of docs with the score (0 to 1) of the whole text in `into`."""
+    @F.pandas_udf("double")
+    def score(text: pd.Series) -> pd.Series:
+        return pd.Series(scorer.score(text))
+    return docs.withColumn(into, score(text_col))
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id", label_col: str = "toxic") -> DataFrame:
@@ -301,10 +298,5 @@ def classify(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text
     ignored, and of contradicting labels of a document the toxic one holds. Other columns are ignored.
     """
     scorer = train(docs, labels, id_col=id_col, text_col=text_col, label_id_col=label_id_col, label_col=label_col)
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            yield pd.DataFrame({"doc_id": rows["doc_id"], "held_out": rows["held_out"], "score": scorer.score(rows["text"])})
-    scored = texts.withColumn("held_out", held_out(F.col("doc_id"))).mapInPandas(run, "doc_id long, held_out boolean, score double")
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    texts = scored(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), scorer)
+    return texts.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
