@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     spark.sparkContext.setCheckpointDir(shared)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows of df, written as Parquet to a new folder under the shared checkpoint folder and read again."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The same rows read back from the shared checkpoint folder: computed once, lineage cut."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmill.llm import licenses, mixing, pii, simhash, toxicity, urlfilter
+from eventmill.llm import decontamination, licenses, mixing, pii, simhash, toxicity, urlfilter
 from eventmill.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -41,7 +45,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op2_toxicity, op3_pii_surrogates, op5_license_scan, op6_url_filter, op9_simhash_dedup, op10_mix_sources)}
+    return {f.__name__: f for f in (op1_decontamination, op2_toxicity, op3_pii_surrogates, op5_license_scan, op6_url_filter, op9_simhash_dedup, op10_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:

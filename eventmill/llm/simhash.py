@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmill.llm.common import cut
+from eventmill.llm.common import cut, unused
 from eventmill.llm.components import components
 
 BITS = 64
@@ -123,6 +123,18 @@ def fingerprint_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return home.join(every, same & near).select("a", "b")
 
 
+def classes(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(fingerprint, root, component_id) for each distinct fingerprint of (doc_id, fingerprint): the smallest linked
+    fingerprint, and the smallest doc_id among all that links reach (null if none is known)."""
+    distinct = cut(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")))
+    linked = components(fingerprint_links(distinct, max_bits)).withColumnRenamed("node", "fingerprint")
+    rooted = cut(distinct.join(linked, "fingerprint", "left").withColumn("root", F.coalesce("component", "fingerprint")))
+    in_links = rooted.filter("component is not null")
+    smallest = in_links.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return in_links.join(smallest, "root").select("fingerprint", "root", "component_id").unionByName(
+        rooted.filter("component is null").select("fingerprint", "root", F.col("first_id").alias("component_id")))
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """One row per document: doc_id, fingerprint (long), component_id (the smallest doc_id that links reach).
 
@@ -133,13 +145,28 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     Empty tables give no rows; other columns are ignored.
     """
     prints = cut(fingerprints(docs, id_col=id_col, text_col=text_col, width=width))
-    classes = cut(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")))
-    linked = cut(components(fingerprint_links(classes, max_bits)))
-    whole = linked.withColumnRenamed("node", "fingerprint").join(classes, "fingerprint")
-    smallest = whole.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    of_class = whole.join(smallest, "component").select("fingerprint", "component_id")
-    named = classes.join(of_class, "fingerprint", "left").select("fingerprint", F.coalesce("component_id", "first_id").alias("component_id"))
-    return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    return prints.join(classes(prints, max_bits).drop("root"), "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+def deduplicated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of docs, all columns, that stay: of each group of linked documents the one with the smallest id.
+
+    Of rows that repeat that id one stays. Where no id of a group is known, one of its rows stays. Only ids travel to
+    the documents; texts are shuffled for the rows whose id repeats or is null alone.
+    """
+    prints = cut(fingerprints(docs, id_col=id_col, text_col=text_col, width=width))
+    named = cut(classes(prints, max_bits))
+    kept = cut(prints.join(named, "fingerprint").filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("doc_id", id_col))
+    once = docs.join(kept.filter("n = 1"), id_col, "left_semi")
+    repeated = docs.join(kept.filter("n > 1"), id_col, "left_semi").dropDuplicates([id_col])
+    print_col, root = unused(docs, "fingerprint"), unused(docs, "root")
+
+    @F.pandas_udf("long")
+    def printed(text: pd.Series) -> pd.Series:
+        return pd.Series([text_fingerprint(t, width) for t in text], dtype="int64")
+    nameless = named.filter("component_id is null").select(F.col("fingerprint").alias(print_col), F.col("root").alias(root))
+    unnamed = docs.filter(F.col(id_col).isNull()).withColumn(print_col, printed(text_col)).join(nameless, print_col).dropDuplicates([root])
+    return once.unionByName(repeated).unionByName(unnamed.select(*docs.columns))
 
 
 def hex_print(col: str = "fingerprint"):
