@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmill.llm import decontamination, embedding_dedup, licenses, mixing, pii, simhash, toxicity, urlfilter
+from eventmill.llm import decontamination, embedding_dedup, html_extraction, licenses, mixing, pii, simhash, toxicity, urlfilter
 from eventmill.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities", "kinds")
 
 
+def op4_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -49,7 +53,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op1_decontamination, op2_toxicity, op3_pii_surrogates, op5_license_scan, op6_url_filter, op8_embedding_dedup, op9_simhash_dedup, op10_mix_sources)}
+    return {f.__name__: f for f in (op1_decontamination, op2_toxicity, op3_pii_surrogates, op4_html_main_text, op5_license_scan, op6_url_filter, op8_embedding_dedup, op9_simhash_dedup, op10_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:
