@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmill.llm import decontamination, embedding_dedup, html_extraction, licenses, mixing, pii, simhash, toxicity, urlfilter
+from eventmill.llm import bwt_dedup, decontamination, embedding_dedup, html_extraction, licenses, mixing, pii, simhash, toxicity, urlfilter
 from eventmill.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op7_bwt_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwt_dedup.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -53,7 +57,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op1_decontamination, op2_toxicity, op3_pii_surrogates, op4_html_main_text, op5_license_scan, op6_url_filter, op8_embedding_dedup, op9_simhash_dedup, op10_mix_sources)}
+    return {f.__name__: f for f in (op1_decontamination, op2_toxicity, op3_pii_surrogates, op4_html_main_text, op5_license_scan, op6_url_filter, op7_bwt_substring_dedup, op8_embedding_dedup, op9_simhash_dedup, op10_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:
