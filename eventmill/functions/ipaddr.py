@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ipaddress
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,14 +12,10 @@ from eventmill import dims
 _OCTET = r"(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 # Strict dotted quad: four decimal octets 0-255 without leading zeros.
 V4_REGEX = rf"^{_OCTET}(\.{_OCTET}){{3}}$"
-# Colon-hex form (shape check only; '::' compression allowed once).
-V6_REGEX = (r"^(([0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}"
-            r"|(([0-9a-fA-F]{1,4}:){0,6}[0-9a-fA-F]{1,4})?::(([0-9a-fA-F]{1,4}:){0,6}[0-9a-fA-F]{1,4})?)$")
-# IPv6 prefixes counted as private (loopback, unspecified, mapped, NAT64 local, discard,
-# IETF protocol, documentation, 6to4, unique local, link local), as leading-text tests
-# on the lower-cased address.
-V6_PRIVATE_REGEX = (r"^(::1|::|::ffff:.*|64:ff9b:1:.*|100::.*|100:0:0:0:.*|2001:(0?[0-9a-f]?[0-9a-f]|1[0-9a-f]{2})?:.*"
-                    r"|2001:0?db8:.*|2002:.*|f[cd][0-9a-f]{2}:.*|fe[89ab][0-9a-f]:.*)$")
+# IPv6 blocks counted as private, and the ones inside them that are not.
+PRIVATE_V6_BLOCKS = ["::1/128", "::/128", "64:ff9b:1::/48", "100::/64", "2001::/23", "2001:db8::/32",
+                     "2002::/16", "fc00::/7", "fe80::/10"]
+PRIVATE_V6_EXCEPTIONS = ["2001:1::1/128", "2001:1::2/128", "2001:3::/32", "2001:4:112::/48", "2001:20::/28", "2001:30::/28"]
 
 
 def ipv4_num(ip: Column) -> Column:
@@ -30,8 +28,50 @@ def ipv4_num(ip: Column) -> Column:
     return F.when(ip.rlike(V4_REGEX), num)
 
 
-def is_ipv6(ip: Column) -> Column:
-    return ip.rlike(V6_REGEX)
+def with_ipv6_hex(df: DataFrame, ip: Column, into: str = "_v6") -> DataFrame:
+    """Adds the 32 hex digits of an IPv6 address, NULL when it is none.
+
+    A zone (%eth0) is left out, a dotted IPv4 tail counts as two groups, and '::' stands
+    for the one or more zero groups that are missing.  Built in projections, so each part
+    is computed once; addresses without a colon are NULL from the first one on.
+    """
+    keep = df.columns
+    tail = rf"^(.*:)({V4_REGEX[1:-1]})$"
+    d = df.select(*keep, F.when(ip.contains(":"), F.lower(F.regexp_replace(ip, r"%[^%/]+$", ""))).alias("_6"))
+    d = d.select(*keep, "_6", ipv4_num(F.regexp_extract("_6", tail, 2)).alias("_4"))
+    v4 = F.lower(F.lpad(F.hex("_4"), 8, "0"))
+    d = d.select(*keep, F.when(F.col("_4").isNotNull(), F.concat(F.regexp_extract("_6", tail, 1), v4.substr(1, 4), F.lit(":"), v4.substr(5, 4)))
+                 .otherwise(F.col("_6")).alias("_6"))
+    gap = F.instr("_6", "::")
+    d = d.select(*keep, (gap > 0).alias("_gap"), F.when(gap > 0, F.col("_6").substr(F.lit(1), gap - 1)).otherwise(F.col("_6")).alias("_l"),
+                 F.when(gap > 0, F.col("_6").substr(gap + 2, F.length("_6"))).otherwise(F.when(gap == 0, F.lit(""))).alias("_r"))
+    groups = r"^([0-9a-f]{1,4}(:[0-9a-f]{1,4})*)?$"
+
+    def count(part: str) -> Column:
+        return F.when(F.col(part) == "", 0).otherwise(F.size(F.split(part, ":")))
+
+    def padded(part: str) -> Column:  # zeros in front of each group, then the last four digits of each
+        zeros = F.concat(F.lit("000"), F.regexp_replace(part, ":", ":000"))
+        return F.when(F.col(part) == "", F.lit("")).otherwise(F.regexp_replace(F.regexp_replace(zeros, r"0*([0-9a-f]{4})(?=:|$)", "$1"), ":", ""))
+    n = count("_l") + count("_r")
+    d = d.select(*keep, (F.col("_l").rlike(groups) & F.col("_r").rlike(groups) & F.when(F.col("_gap"), n <= 7).otherwise(n == 8)).alias("_ok"),
+                 padded("_l").alias("_l"), padded("_r").alias("_r"))
+    fill = F.repeat(F.lit("0"), F.lit(32) - F.length("_l") - F.length("_r"))
+    return d.select(*keep, F.when(F.col("_ok"), F.concat("_l", fill, "_r")).alias(into))
+
+
+def private_v6(digits: Column) -> Column:
+    """Private-range test on the 32 hex digits; a mapped IPv4 address is as private as that address."""
+    def within(block: str) -> Column:
+        net = ipaddress.ip_network(block)
+        return digits.between(f"{int(net.network_address):032x}", f"{int(net.broadcast_address):032x}")
+    inside = F.lit(False)
+    for b in PRIVATE_V6_BLOCKS:
+        inside = inside | within(b)
+    for b in PRIVATE_V6_EXCEPTIONS:
+        inside = inside & ~within(b)
+    mapped = digits.startswith("0" * 20 + "ffff")
+    return F.when(mapped, private_v4(F.conv(digits.substr(25, 8), 16, 10).cast("long"))).otherwise(inside)
 
 
 def private_v4(num: Column) -> Column:
@@ -68,12 +108,12 @@ def with_geo(df: DataFrame, ip_col: str = "ip_address") -> DataFrame:
     """
     ip = F.coalesce(F.col(ip_col), F.lit(""))
     keep = df.columns
-    d = df.select(*keep, ipv4_num(ip).alias("_ipn"), is_ipv6(ip).alias("_v6"), md5_prefix_num(ip).alias("_h"))
+    d = with_ipv6_hex(df.select(*keep, ipv4_num(ip).alias("_ipn"), md5_prefix_num(ip).alias("_h")), ip)
     ipc = F.coalesce(F.col(ip_col), F.lit(""))
     d = d.select(*keep, "_h",
-                 ((ipc != "") & (F.col("_ipn").isNotNull() | F.col("_v6"))).alias("_valid"),
+                 ((ipc != "") & (F.col("_ipn").isNotNull() | F.col("_v6").isNotNull())).alias("_valid"),
                  F.when(F.col("_ipn").isNotNull(), private_v4(F.col("_ipn")))
-                  .otherwise(F.lower(ipc).rlike(V6_PRIVATE_REGEX)).alias("_private"))
+                  .otherwise(private_v6(F.col("_v6"))).alias("_private"))
     p = F.lit(dims.PRIVATE_LABEL)
 
     def pick(values):
@@ -81,18 +121,3 @@ def with_geo(df: DataFrame, ip_col: str = "ip_address") -> DataFrame:
                 .otherwise(_pick(values, F.col("_h")))
     return d.select(*keep, pick(dims.GEO_COUNTRIES).alias("country"), pick(dims.GEO_REGIONS).alias("region"),
                     pick(dims.GEO_CITIES).alias("city"))
-
-
-def geo_struct(ip: Column) -> Column:
-    """E5 + E6 as one expression, for small projections (lookups of distinct addresses);
-    inside wide row projections use `with_geo`."""
-    num = ipv4_num(ip)
-    valid = ip.isNotNull() & (ip != "") & (num.isNotNull() | is_ipv6(ip))
-    private = F.when(num.isNotNull(), private_v4(num)).otherwise(F.lower(ip).rlike(V6_PRIVATE_REGEX))
-    h = md5_prefix_num(ip)
-    p = F.lit(dims.PRIVATE_LABEL)
-
-    def pick(values):
-        return F.when(~valid, F.lit(None).cast("string")).when(private, p).otherwise(_pick(values, h))
-    return F.struct(pick(dims.GEO_COUNTRIES).alias("country"), pick(dims.GEO_REGIONS).alias("region"),
-                    pick(dims.GEO_CITIES).alias("city"))

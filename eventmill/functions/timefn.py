@@ -46,11 +46,6 @@ def with_time_fields(df, ts: str = "timestamp"):
               .withColumn("is_weekend", F.weekday(c) >= 5))
 
 
-def ms_text(c: Column) -> Column:
-    """K10: 'yyyy-MM-dd HH:mm:ss.SSS' (milliseconds, truncated)."""
-    return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSS")
-
-
 def iso_z_text(c: Column) -> Column:
     """ISO text with a Z suffix, microseconds kept when present."""
     return F.concat(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss"),

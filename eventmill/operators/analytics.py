@@ -8,7 +8,7 @@ Parquet scan (or prune `event_date` partitions of the flat sink).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmill.sources.tables import as_of_column
@@ -30,14 +30,10 @@ def type_counts_recent(events: DataFrame, as_of=None, days: int = 1) -> DataFram
             .groupBy("event_type").agg(F.count(F.lit(1)).alias("event_count")))
 
 
-def approx_users(events: DataFrame, as_of=None, rsd: float = 0.05) -> DataFrame:
-    """Distinct users on the as-of day: exact count plus whether the HLL++ estimate
-    is within 5 % of it (estimators differ between engines; the flag does not)."""
-    day = events.where(F.col("event_date") == _today(events, as_of))
-    exact = F.count_distinct("user_id")
-    approx = F.approx_count_distinct("user_id", rsd)
-    return day.agg(exact.alias("unique_users"),
-                   (F.abs(approx - exact) <= F.lit(0.05) * exact).alias("within_tolerance"))
+def approx_users(events: DataFrame, as_of=None, rsd: float = 0.01) -> DataFrame:
+    """Estimate of the distinct users on the as-of day (HLL++, standard error `rsd`)."""
+    return (events.where(F.col("event_date") == _today(events, as_of))
+            .agg(F.approx_count_distinct("user_id", rsd).alias("approx_users")))
 
 
 def hourly_profile(events: DataFrame, as_of=None) -> DataFrame:
@@ -110,89 +106,39 @@ def distinct_users(events: DataFrame) -> DataFrame:
     return events.select("user_id").distinct()
 
 
-def value_at_rank(values: DataFrame, col: str, rank: int, lo: float, hi: float,
-                  buckets: int = 4096, max_collect: int = 100_000) -> float:
-    """Exact k-th smallest value (0-based `rank`) of a numeric column, distributed.
+def exact_quantiles(df: DataFrame, col: str, probs: list[float], accuracy: int = 100_000) -> DataFrame:
+    """One row: n, mean, and `q`, the exact quantiles of `col` with linear interpolation.
 
-    Each pass histograms only the rows still in play into `buckets` equal-width buckets
-    (a grouped count: bounded output, partial aggregation, no row reaches the driver) and
-    keeps the bucket that holds the rank; once at most `max_collect` rows remain they are
-    fetched and sorted.  Bucket membership is tested with the same expressions in every
-    pass, so float rounding cannot move a row between passes.
-    """
-    v = F.col(col)
-    keep = F.lit(True)
-    below = 0
-    for _ in range(64):
-        inside = values.where(keep)
-        st = inside.agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi")).first()
-        if st["n"] <= max_collect:
-            vals = sorted(r[0] for r in inside.select(v).collect())
-            return float(vals[rank - below])
-        lo, hi = st["lo"], st["hi"]
-        width = (hi - lo) / buckets
-        if width <= 0 or lo + width == lo:        # all rows still in play share one value
-            return float(lo)
-        b = F.least(F.floor((v - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1)).cast("int")
-        hist = sorted((r[0], r[1]) for r in inside.groupBy(b.alias("b")).count().collect())
-        acc = below
-        for idx, cnt in hist:
-            if rank < acc + cnt:
-                keep = keep & (b == F.lit(idx))
-                below = acc
-                break
-            acc += cnt
-    raise RuntimeError("value_at_rank did not converge")
-
-
-def exact_quantiles(df: DataFrame, col: str, probs: list[float], **kw) -> list[float]:
-    """Exact quantiles with linear interpolation (same as `percentile` / quantile_cont),
-    without gathering a group's values in one aggregation buffer."""
-    d = df.select(F.col(col).cast("double").alias("_q")).where(F.col("_q").isNotNull())
-    st = d.agg(F.count(F.lit(1)).alias("n"), F.min("_q").alias("lo"), F.max("_q").alias("hi")).first()
-    n = st["n"]
-    if not n:
-        return [None for _ in probs]
-    cache: dict[int, float] = {}
-
-    def at(r: int) -> float:
-        if r not in cache:
-            cache[r] = value_at_rank(d, "_q", r, st["lo"], st["hi"], **kw)
-        return cache[r]
-    out = []
-    for p in probs:
-        h = p * (n - 1)
-        r0 = int(h)
-        r1 = min(r0 + 1, n - 1)
-        out.append(at(r0) + (h - r0) * (at(r1) - at(r0)))
-    return out
-
-
-def latency_percentiles(events: DataFrame, processed_col: str = "processed_at", **kw) -> DataFrame:
-    """Count, mean, p50 / p95 / p99 of (processed - event time) in seconds, exact.
-
-    Mean and count are one aggregate; the quantiles use the distributed exact selection
-    above (no single-task buffer of all values), so this holds on any table size.
+    Lazy, in two passes and without gathering the values: a sketch brackets each wanted
+    rank (its rank error is at most n / accuracy), then one grouped count keeps, per
+    quantile, the distinct values inside the bracket and how many rows lie below it.  A
+    running sum over that small frame finds the two neighbouring ranks.  NULLs are left out.
     """
+    v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
+    slack = 2.0 / accuracy
+    ends = [min(1.0, max(0.0, p + s * slack)) for p in probs for s in (-1, 1)]
+    heads = v.agg(F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean"),
+                  F.percentile_approx("v", ends, accuracy).alias("ends"))
+    wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(p).alias("p"), F.get("ends", F.lit(2 * i)).alias("lo"),
+                                          F.get("ends", F.lit(2 * i + 1)).alias("hi")) for i, p in enumerate(probs)]))
+    rows = v.withColumn("one", F.lit(1)).join(F.broadcast(heads.withColumn("one", F.lit(1))), "one").select("v", "n", wanted.alias("w"))
+    inside = rows.where(F.col("v") <= F.col("w.hi")).groupBy(
+        F.col("w.i").alias("i"), F.col("w.p").alias("p"), "n", F.when(F.col("v") >= F.col("w.lo"), F.col("v")).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    upto = F.sum("c").over(Window.partitionBy("i").orderBy(F.asc_nulls_first("v")).rowsBetween(Window.unboundedPreceding, 0))
+    at = F.col("p") * (F.col("n") - 1)
+    low = F.floor(at)
+    found = inside.withColumn("upto", upto).groupBy("i", "p", "n").agg(
+        F.min(F.when(F.col("upto") > low, F.col("v"))).alias("a"),
+        F.min(F.when(F.col("upto") > F.least(low + 1, F.col("n") - 1), F.col("v"))).alias("b"))
+    quantile = F.col("a") + (at - low) * (F.col("b") - F.col("a"))
+    q = found.select("i", quantile.alias("x")).agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("q"))
+    return heads.select("n", "mean", F.lit(1).alias("one")).join(q.withColumn("one", F.lit(1)), "one").drop("one")
+
+
+def latency_percentiles(events: DataFrame, processed_col: str = "processed_at") -> DataFrame:
+    """Count, mean, p50 / p95 / p99 of (processed - event time) in seconds, exact."""
     lat = (F.unix_micros(F.col(processed_col).cast("timestamp"))
            - F.unix_micros(F.col("timestamp").cast("timestamp"))) / F.lit(1e6)
-    d = events.select(lat.alias("latency_s"))
-    head = d.agg(F.count(F.lit(1)).alias("n"), F.avg("latency_s").alias("mean")).first()
-    q = exact_quantiles(d, "latency_s", [0.5, 0.95, 0.99], **kw)
-    spark = events.sparkSession
-    row = [(head["n"], head["mean"], *q)]
-    out = spark.createDataFrame(row, "n long, mean_s double, p50_s double, p95_s double, p99_s double")
-    return out.select("n", *[F.round(c, 6).alias(c) for c in ["mean_s", "p50_s", "p95_s", "p99_s"]])
-
-
-def latency_percentiles_approx(events: DataFrame, processed_col: str = "processed_at",
-                               accuracy: int = 10000) -> DataFrame:
-    """G10 at scale: bounded-memory percentile sketch per partition, merged once."""
-    lat = (F.unix_micros(F.col(processed_col).cast("timestamp"))
-           - F.unix_micros(F.col("timestamp").cast("timestamp"))) / F.lit(1e6)
-    d = events.select(lat.alias("latency_s"))
-    return d.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg("latency_s").alias("mean_s"),
-        F.percentile_approx("latency_s", [0.5, 0.95, 0.99], accuracy).alias("p50_p95_p99_s"),
-    )
+    out = exact_quantiles(events.select(lat.alias("latency_s")), "latency_s", [0.5, 0.95, 0.99])
+    return out.select("n", F.round("mean", 6).alias("mean_s"), *[
+        F.round(F.get("q", F.lit(i)), 6).alias(c) for i, c in enumerate(["p50_s", "p95_s", "p99_s"])])

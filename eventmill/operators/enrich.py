@@ -1,5 +1,5 @@
 """Enrichment joins and declared features: category dimension join (E2), private
-address ranges as a range join (E5), per-type sampling (D12), priority (C10)."""
+address ranges as a range join (E5), per-type sampling (D12)."""
 
 from __future__ import annotations
 
@@ -7,28 +7,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventmill import dims
-from eventmill.functions.category import priority_of, priority_rank_of
 from eventmill.functions.ipaddr import md5_prefix_num
-from eventmill.operators.joins import broadcast_if_small, range_join
+from eventmill.operators.joins import range_join
 from eventmill.operators.windows import latest_per_key
 
 
-def category_join(events: DataFrame, dim: DataFrame, version_col: str | None = None,
-                  max_dim_rows: int = 100_000) -> DataFrame:
+def category_join(events: DataFrame, dim: DataFrame, version_col: str | None = None) -> DataFrame:
     """Events LEFT JOIN the category table on event_type (last version per type wins).
 
-    The dimension is de-duplicated to one row per type first (H2), then broadcast if its
-    size is within the bound.
+    The dimension is de-duplicated to one row per type first (H2).
     """
     d = latest_per_key(dim, ["event_type"], version_col) if version_col else dim
-    d = broadcast_if_small(d, max_dim_rows)
     return events.join(d, on="event_type", how="left")
 
 
 def ip_private_ranges(ips: DataFrame, ranges: DataFrame) -> DataFrame:
     """E5: (ip_address, ip_num) -> is_private via a bucketed range join with the block
     table; an address is private when inside a private block and in no exception."""
-    j = range_join(ips, ranges, "ip_num", "lo", "hi", how="left", known_rows=len(dims.PRIVATE_V4_BLOCKS) + 2)
+    j = range_join(ips, ranges, "ip_num", "lo", "hi", how="left")
     return (j.groupBy("ip_address", "ip_num")
             .agg((F.coalesce(F.bool_or("private"), F.lit(False))
                   & ~F.coalesce(F.bool_or(~F.col("private")), F.lit(False))).alias("is_private")))
@@ -39,17 +35,9 @@ def sample_by_type(events: DataFrame, rates: DataFrame | None = None) -> DataFra
     unlisted types are kept whole."""
     rate = F.try_element_at(dims.map_literal(dims.SAMPLING_RATES), F.col("event_type"))
     if rates is not None:
-        # a custom rate table replaces the fixed one (one row per type; broadcast only
-        # when its size is within the bound)
-        events = events.join(broadcast_if_small(rates.withColumnRenamed("rate", "_rate"), 100_000),
-                             "event_type", "left")
+        # a custom rate table (one row per type) replaces the fixed one
+        events = events.join(rates.withColumnRenamed("rate", "_rate"), "event_type", "left")
         rate = F.col("_rate")
     h = F.pmod(md5_prefix_num(F.col("event_id").cast("string")), F.lit(10000))
     out = events.where(rate.isNull() | (h < rate * 10000))
     return out.drop("_rate") if rates is not None else out
-
-
-def with_priority(events: DataFrame) -> DataFrame:
-    """Priority tag and rank per event type (unlisted -> low)."""
-    return (events.withColumn("priority", priority_of(F.col("event_type")))
-                  .withColumn("priority_rank", priority_rank_of(F.col("event_type"))))

@@ -1,29 +1,13 @@
-"""Join helpers: size-checked broadcast and a bucketed range (interval containment) join."""
+"""Bucketed range (interval containment) join; Catalyst and AQE choose broadcast or shuffle by the sides' bytes."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound of rows for a broadcast side (dimension tables only).
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                       known_rows: int | None = None) -> DataFrame:
-    """Broadcast `df` only when its row count is proven to be at most `max_rows`.
-
-    `known_rows` is passed for fixed literal tables (size known without a job); otherwise
-    the side is counted (a dimension, so cheap).  Beyond the bound the join stays a
-    shuffle join planned by Catalyst / AQE.
-    """
-    n = known_rows if known_rows is not None else df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def range_join(points: DataFrame, ranges: DataFrame, point_col: str, lo: str = "lo", hi: str = "hi",
-               bucket_bits: int = 16, how: str = "inner", max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-               known_rows: int | None = None) -> DataFrame:
+               bucket_bits: int = 16, how: str = "inner") -> DataFrame:
     """Rows of `points` joined with every range [lo, hi] containing `point_col`.
 
     Each range is exploded into the buckets (value >> bucket_bits) it covers, so the join
@@ -33,9 +17,6 @@ def range_join(points: DataFrame, ranges: DataFrame, point_col: str, lo: str = "
     """
     rb = ranges.withColumn("_bucket", F.explode(F.sequence(F.shiftright(F.col(lo), bucket_bits),
                                                            F.shiftright(F.col(hi), bucket_bits))))
-    nb = None if known_rows is None else known_rows * 4096
-    rb = broadcast_if_small(rb, max_broadcast_rows, nb) if nb is not None and nb <= max_broadcast_rows \
-        else broadcast_if_small(rb, max_broadcast_rows)
     pb = points.withColumn("_bucket", F.shiftright(F.col(point_col), bucket_bits))
     cond = (pb["_bucket"] == rb["_bucket"]) & pb[point_col].between(rb[lo], rb[hi])
     return pb.join(rb, cond, how).drop(rb["_bucket"]).drop(pb["_bucket"])

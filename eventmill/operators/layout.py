@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmill.functions.timefn import year_month
@@ -15,27 +15,13 @@ def partition_counts_by_month(events: DataFrame) -> DataFrame:
                  F.max("event_date").alias("last_date")))
 
 
-def with_month_predicate(events: DataFrame, start_date) -> DataFrame:
-    """Filter `event_date >= d` plus the implied month predicate, so a table partitioned by
-    month is pruned too (Spark does not derive the month bound by itself)."""
-    d = F.lit(start_date).cast("date")
-    return events.where((F.col("event_date") >= d) & (F.col("event_month") >= year_month(d)))
-
-
 def retention_filter(events: DataFrame, as_of_date, days: int = 365) -> DataFrame:
     """M3: rows inside the retention window (event_date >= as_of - days)."""
-    return events.where(F.col("event_date") >= F.date_sub(F.lit(as_of_date).cast("date"), days))
-
-
-def cluster_for_write(events: DataFrame, n_out: int) -> DataFrame:
-    """M2: range-partition and sort by the cluster key (date, type, user, time), so
-    Parquet min/max statistics skip row groups on those predicates and a hot date is
-    spread over several output tasks."""
-    key = ["event_date", "event_type", "user_id", "timestamp"]
-    return events.repartitionByRange(n_out, *key).sortWithinPartitions(*key)
+    as_of = as_of_date if isinstance(as_of_date, Column) else F.lit(as_of_date)
+    return events.where(F.col("event_date") >= F.date_sub(as_of.cast("date"), days))
 
 
-def shard_balance(events: DataFrame, shard: F.Column) -> DataFrame:
+def shard_balance(events: DataFrame, shard: Column) -> DataFrame:
     """M4: rows and users per shard, and each shard's load relative to the mean."""
     per = events.groupBy(shard.alias("shard")).agg(F.count(F.lit(1)).alias("rows"),
                                                    F.count_distinct("user_id").alias("users"))

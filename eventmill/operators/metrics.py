@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -77,11 +77,11 @@ def partition_counts(messages: DataFrame) -> DataFrame:
 def consumer_lag(messages: DataFrame, group: str = "eventmill") -> DataFrame:
     """End offset, committed offset and lag per (topic, partition, group).
 
-    End = last offset + 1; committed = number of processed messages (a consumer commits
-    a contiguous prefix); lag = end - committed.
+    End = last offset + 1; committed = offset after the last processed message (0 if none
+    is); lag = end - committed.
     """
     end = F.max("offset") + 1
-    committed = F.count_if(F.col("processed"))
+    committed = F.coalesce(F.max(F.when(F.col("processed"), F.col("offset"))) + 1, F.lit(0))
     return (messages.groupBy("topic", "partition").agg(end.alias("end_offset"), committed.alias("committed_offset"))
             .select("topic", "partition", F.lit(group).alias("consumer_group"), "end_offset", "committed_offset",
                     (F.col("end_offset") - F.col("committed_offset")).alias("lag")))
@@ -109,10 +109,11 @@ def errors_by_kind(tagged: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def quality_gate(component_rates: DataFrame, max_error_percent: float = 5.0) -> DataFrame:
-    """Healthy when every component is under the error threshold, unhealthy when
-    none is, degraded otherwise."""
-    healthy = F.col("error_rate_percent") <= F.lit(max_error_percent)
+def quality_gate(component_rates: DataFrame, max_error_percent: float | Column = 5.0) -> DataFrame:
+    """Healthy when every component is under the error threshold (a number or a
+    column), unhealthy when none is, degraded otherwise."""
+    limit = max_error_percent if isinstance(max_error_percent, Column) else F.lit(max_error_percent)
+    healthy = F.col("error_rate_percent") <= limit
     return component_rates.agg(
         F.count(F.lit(1)).alias("components"),
         F.count_if(healthy).alias("healthy_components"),

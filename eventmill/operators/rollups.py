@@ -32,25 +32,26 @@ def hourly_partials(events: DataFrame, block_col: str = "block", lg_k: int = 12)
 
 
 def merge_hourly_partials(partials: DataFrame) -> DataFrame:
-    """Merge partial rollups: sum counts, union sketches, estimate distinct users."""
+    """Merge partial rollups: sum counts, union sketches; `approx_users` is the sketch's estimate."""
     return (partials.groupBy(*HOURLY_KEYS)
             .agg(F.sum("event_count").alias("event_count"),
-                 F.hll_sketch_estimate(F.hll_union_agg("users_sketch")).alias("unique_users")))
+                 F.hll_sketch_estimate(F.hll_union_agg("users_sketch")).alias("approx_users")))
+
+
+def _user_days(events: DataFrame, keys: list[str]) -> DataFrame:
+    """Per keys: first and last time, events, distinct types and sessions.
+
+    Counted per (keys, type, session) first; the distinct counts then run over that far
+    smaller frame in the same aggregate, so no row is multiplied for them.
+    """
+    fine = events.groupBy(*keys, "event_type", "session_id").agg(
+        F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"), F.count(F.lit(1)).alias("n"))
+    return fine.groupBy(*keys).agg(
+        F.min("lo").alias("first_event_time"), F.max("hi").alias("last_event_time"), F.sum("n").alias("event_count"),
+        F.size(F.collect_set("event_type")).cast("long").alias("unique_event_types"),
+        F.size(F.collect_set("session_id")).cast("long").alias("session_count"))
 
 
 def daily_users(events: DataFrame) -> DataFrame:
     """Per (date, user): first/last time, events, distinct types, distinct sessions."""
-    return (events.groupBy(*DAILY_KEYS)
-            .agg(F.min("timestamp").alias("first_event_time"), F.max("timestamp").alias("last_event_time"),
-                 F.count(F.lit(1)).alias("event_count"),
-                 F.count_distinct("event_type").alias("unique_event_types"),
-                 F.count_distinct("session_id").alias("session_count")))
-
-
-def daily_user_partials(events: DataFrame, block_col: str = "block") -> DataFrame:
-    """Per-block partial daily-user rows (what one insert block contributes)."""
-    return (events.groupBy(F.col(block_col).alias("block"), *DAILY_KEYS)
-            .agg(F.min("timestamp").alias("first_event_time"), F.max("timestamp").alias("last_event_time"),
-                 F.count(F.lit(1)).alias("event_count"),
-                 F.count_distinct("event_type").alias("unique_event_types"),
-                 F.count_distinct("session_id").alias("session_count")))
+    return _user_days(events, DAILY_KEYS)

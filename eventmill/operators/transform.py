@@ -27,57 +27,34 @@ EVENT_COLUMNS = ["event_id", "user_id", "event_type", "event_date", "timestamp",
                  "user_agent", "referrer", "page_url", "properties_text", "properties"] + ENRICH_COLUMNS
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the input over all cores when it has fewer splits than cores.
-
-    The row transform is CPU-heavy (regex, JSON, md5) and fully parallel; a small input
-    that lands in one or two file splits would otherwise run on one or two cores.  On a
-    cluster reading many files the input already has far more splits than cores and
-    this is a no-op (no extra shuffle).  Streaming inputs are left alone.
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
+def tag(raw: DataFrame, *, validate: bool = True, offset_mode: str = "utc") -> DataFrame:
+    """Rules only: raw columns, meta columns, `_ts` and `_uid` (parsed once) and `reject_reason`."""
+    meta = [c for c in raw.columns if c not in RAW_FIELDS and not c.startswith("_")]
+    hidden = [c for c in raw.columns if c.startswith("_")]
+    kind = [c for c in hidden if c == "_props_kind"]
+    parsed = raw.select(*meta, *hidden, *RAW_FIELDS, parse_ts(F.col("timestamp"), offset_mode).alias("_ts"),
+                        user_id_int(F.col("user_id")).alias("_uid"))
+    rr = reject_reason(parsed, offset_mode, F.col("_ts"), F.col("_uid")) if validate else F.lit(None).cast("string")
+    return parsed.select(*meta, *kind, *RAW_FIELDS, "_ts", "_uid", rr.alias("reject_reason"))
 
-def transform(raw: DataFrame, *, validate: bool = True, enrich: bool = True,
-              offset_mode: str = "utc", category_source: str = "code", parallel: bool = True) -> DataFrame:
-    """C1 (row part): raw text events -> tagged typed events.
 
-    Output: `reject_reason` (NULL when accepted) and the event columns; meta columns of the
-    input (e.g. arrival order, source offsets) pass through.  Values of rejected rows are
-    best effort.  validate=False / enrich=False switch the rule set or the enrichment off.
+def shape(tagged: DataFrame, *, enrich: bool = True, category_source: str = "code") -> DataFrame:
+    """Tagged raw rows -> typed, enriched event columns (and `reject_reason` if it is there).
 
-    Built in three projections so every costly expression (time parse, integer parse,
-    JSON parse, address facts, md5) is computed once per row; Catalyst keeps the stages
-    apart rather than inlining an expensive expression twice, which keeps each
-    generated method small enough for whole-stage codegen.
+    Built in projections so every costly expression (JSON parse, address facts, md5) is
+    computed once per row; Catalyst keeps the stages apart rather than inlining an
+    expensive expression twice, and drops those that a query does not select.
     """
-    if parallel:
-        raw = spread(raw)
-    meta = [c for c in raw.columns if c not in RAW_FIELDS and not c.startswith("_")]
-    hidden = [c for c in raw.columns if c.startswith("_")]
-    kind = F.col("_props_kind") if "_props_kind" in raw.columns else None
+    meta = [c for c in tagged.columns if c not in RAW_FIELDS and not c.startswith("_")]
+    kind = F.col("_props_kind") if "_props_kind" in tagged.columns else None
     kind_for_text = F.when(kind == "other", F.lit("other")) if kind is not None else None
-    # Stage 1: parse once.
-    s1 = raw.select(
-        *meta, *hidden, *RAW_FIELDS,
-        parse_ts(F.col("timestamp"), offset_mode).alias("_ts"),
-        user_id_int(F.col("user_id")).alias("_uid"),
-        F.try_parse_json(F.col("properties")).alias("_pj"),
-    )
+    s1 = tagged.withColumn("_pj", F.try_parse_json(F.col("properties")))
     if enrich:
         s1 = with_geo(s1, "ip_address")
-    # Stage 2: rules, typed columns, enrichment.
-    rr = reject_reason(s1, offset_mode, F.col("_ts"), F.col("_uid")) if validate else F.lit(None).cast("string")
     opt = {f: F.coalesce(F.col(f), F.lit("")) for f in ["session_id", "ip_address", "user_agent", "page_url"]}
     c = F.col("_ts")
     s2 = s1.select(
         *meta,
-        rr.alias("reject_reason"),
         F.col("event_id"),
         F.col("_uid").alias("user_id"),
         F.lower(F.col("event_type")).alias("event_type"),
@@ -101,6 +78,17 @@ def transform(raw: DataFrame, *, validate: bool = True, enrich: bool = True,
                      *GEO_COLUMNS)
 
 
+def transform(raw: DataFrame, *, validate: bool = True, enrich: bool = True,
+              offset_mode: str = "utc", category_source: str = "code") -> DataFrame:
+    """C1 (row part): raw text events -> tagged typed events.
+
+    Output: `reject_reason` (NULL when accepted) and the event columns; meta columns of the
+    input (e.g. arrival order, source offsets) pass through.  Values of rejected rows are
+    best effort.  validate=False / enrich=False switch the rule set or the enrichment off.
+    """
+    return shape(tag(raw, validate=validate, offset_mode=offset_mode), enrich=enrich, category_source=category_source)
+
+
 def split(tagged: DataFrame, *, order: str | None = None) -> tuple[DataFrame, DataFrame]:
     """C2 + F1: (accepted and de-duplicated, rejected)."""
     ok = tagged.where(F.col("reject_reason").isNull()).drop("reject_reason")
@@ -125,16 +113,19 @@ def accepted_dedup(tagged: DataFrame, order: str | None = None, key: str = "even
             .select(key, *[F.col(f"_w.{c}").alias(c) for c in others]))
 
 
-def transform_events(raw: DataFrame, **kw) -> DataFrame:
+def transform_events(raw: DataFrame, *, order: str | None = None, validate: bool = True, enrich: bool = True,
+                     offset_mode: str = "utc", category_source: str = "code") -> DataFrame:
     """Accepted, de-duplicated, enriched events (first delivery wins when the input
-    carries an arrival order `delivery`)."""
-    order = kw.pop("order", None)
-    tagged = transform(raw, **kw)
+    carries an arrival order `delivery`).
+
+    The rules and the de-duplication see the raw columns; agent rules, address facts and
+    JSON run after the shuffle, once per kept row, and only for the columns a query reads.
+    """
+    tagged = tag(raw, validate=validate, offset_mode=offset_mode)
     if order is None and "src_id" in tagged.columns and "delivery" in tagged.columns:
         tagged = tagged.withColumn("_seq", F.col("delivery") * F.lit(1 << 40) + F.col("src_id"))
         order = "_seq"
-    accepted = accepted_dedup(tagged, order)
-    return accepted.drop("_seq") if order == "_seq" else accepted
+    return shape(accepted_dedup(tagged, order), enrich=enrich, category_source=category_source)
 
 
 def to_flat(events: DataFrame, *, wide: bool = False, text_times: bool = False) -> DataFrame:
@@ -196,15 +187,19 @@ def fill_nulls(df: DataFrame) -> DataFrame:
 def transform_stats(tagged: DataFrame) -> DataFrame:
     """G16 + G27: processed, duplicates, errors, validation_errors, enriched.
 
-    One aggregate over the tagged rows; duplicates = accepted rows - distinct accepted
-    ids, enriched counts distinct accepted ids with a browser or a country.
+    One row of counts per id first (partial aggregation collapses repeats), then a sum;
+    duplicates = accepted rows - distinct accepted ids, enriched counts distinct accepted
+    ids with a browser or a country.
     """
     ok = F.col("reject_reason").isNull()
     enriched = ok & (F.col("browser").isNotNull() | F.col("country").isNotNull())
-    return tagged.agg(
-        F.count(F.lit(1)).alias("processed"),
-        (F.count_if(ok) - F.count_distinct(F.when(ok, F.col("event_id")))).alias("duplicates"),
-        F.count_if(~ok).alias("errors"),
-        F.count_if(~ok).alias("validation_errors"),
-        F.count_distinct(F.when(enriched, F.col("event_id"))).alias("enriched"),
+    per = tagged.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(ok).alias("n_ok"),
+                                         F.count_if(enriched).alias("n_enriched"))
+    errors = F.sum(F.col("n") - F.col("n_ok"))
+    return per.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("processed"),
+        F.coalesce(F.sum("n_ok") - F.count_if(F.col("n_ok") > 0), F.lit(0)).alias("duplicates"),
+        F.coalesce(errors, F.lit(0)).alias("errors"),
+        F.coalesce(errors, F.lit(0)).alias("validation_errors"),
+        F.count_if(F.col("n_enriched") > 0).alias("enriched"),
     )

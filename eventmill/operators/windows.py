@@ -39,37 +39,32 @@ def sessionize(events: DataFrame, user: str = "user_id", ts: str = "timestamp",
     """H4: sessions with an inactivity gap; one row per (user, session_no).
 
     Output: user_id, session_no (1, 2, ... per user), session_start, session_end,
-    event_count.
+    event_count.  A new session starts when at least `gap_minutes` have passed since the
+    user's event before, as in a session window.
 
-    Skew-safe two-level plan: the row-level windows are partitioned by (user, time chunk),
-    so one very active user is spread over many tasks.  Only small per-chunk summaries
-    (last time, number of new sessions) are windowed per user, then joined back:
-      1. per (user, chunk): lag inside the chunk marks gaps; the chunk's first row is a
-         new session when the previous chunk's last event is more than `gap` earlier;
-      2. session numbers = sessions started in earlier chunks + running count in chunk.
+    One shuffle by (user, chunk) reduces each chunk to session fragments, so one very
+    active user is spread over many tasks; a second one by user joins fragments that
+    touch across chunks.  Fragments of a chunk lie a gap apart, so a user has at most
+    (time span / gap) of them however many events there are.
     """
     gap = F.expr(f"INTERVAL {int(gap_minutes)} MINUTES")
     order = [F.col(ts)] + ([F.col(tie)] if tie else [])
-    cols = [user, ts] + ([tie] if tie else [])
-    d = events.select(*cols).withColumn("_chunk", F.window(F.col(ts).cast("timestamp"), chunk).start)
-    w_in = Window.partitionBy(user, "_chunk").orderBy(*order)
-    d = d.withColumn("_prev", F.lag(ts).over(w_in))
-    # per-chunk summary: first and last time (small: one row per active user-chunk)
-    summ = d.groupBy(user, "_chunk").agg(F.max(ts).alias("_last"))
-    w_u = Window.partitionBy(user).orderBy("_chunk")
-    summ = summ.withColumn("_prev_last", F.lag("_last").over(w_u)).drop("_last")
-    d = d.join(summ, [user, "_chunk"])
-    prev = F.coalesce(F.col("_prev"), F.col("_prev_last"))
-    d = d.withColumn("_new", F.when(prev.isNull() | (F.col(ts) > prev + gap), 1).otherwise(0))
-    d = d.withColumn("_run", F.sum("_new").over(w_in.rowsBetween(Window.unboundedPreceding, 0)))
-    starts = d.groupBy(user, "_chunk").agg(F.sum("_new").alias("_n"))
-    starts = starts.withColumn(
-        "_base", F.coalesce(F.sum("_n").over(w_u.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    d = d.join(starts.select(user, "_chunk", "_base"), [user, "_chunk"])
-    d = d.withColumn("session_no", (F.col("_base") + F.col("_run")).cast("long"))
-    return (d.groupBy(user, "session_no")
-            .agg(F.min(ts).alias("session_start"), F.max(ts).alias("session_end"),
-                 F.count(F.lit(1)).alias("event_count")))
+    in_chunk = Window.partitionBy(user, "_chunk").orderBy(*order)
+    d = events.select(user, ts, *([tie] if tie else [])).withColumn(
+        "_chunk", F.window(F.col(ts).cast("timestamp"), chunk).start)
+    prev = F.lag(ts).over(in_chunk)
+    d = d.withColumn("_new", F.when(prev.isNull() | (F.col(ts) >= prev + gap), 1).otherwise(0))
+    d = d.withColumn("_run", F.sum("_new").over(in_chunk.rowsBetween(Window.unboundedPreceding, 0)))
+    fragments = d.groupBy(user, "_chunk", "_run").agg(
+        F.min(ts).alias("_start"), F.max(ts).alias("_end"), F.count(F.lit(1)).alias("_n"))
+    of_user = Window.partitionBy(user).orderBy("_start")
+    before = F.lag("_end").over(of_user)
+    joined = fragments.withColumn("_new", F.when(before.isNull() | (F.col("_start") >= before + gap), 1).otherwise(0))
+    joined = joined.withColumn(
+        "session_no", F.sum("_new").over(of_user.rowsBetween(Window.unboundedPreceding, 0)).cast("long"))
+    return (joined.groupBy(user, "session_no")
+            .agg(F.min("_start").alias("session_start"), F.max("_end").alias("session_end"),
+                 F.sum("_n").alias("event_count")))
 
 
 def contiguous_index(df: DataFrame, part: str, order: str, bucket_width: int = 100_000,
@@ -77,12 +72,11 @@ def contiguous_index(df: DataFrame, part: str, order: str, bucket_width: int = 1
     """0-based position of each row by `order` within `part` (e.g. topic offsets), without
     a window over a whole partition: rows are ranked inside (part, order-bucket) groups
     and shifted by the row counts of the earlier buckets (a small prefix-sum table)."""
-    from eventmill.operators.joins import broadcast_if_small
     b = F.floor(F.col(order) / bucket_width).alias("_ob")
     d = df.withColumn("_ob", b)
     counts = d.groupBy(part, "_ob").agg(F.count(F.lit(1)).alias("_c"))
     wb = Window.partitionBy(part).orderBy("_ob").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.withColumn("_start", F.coalesce(F.sum("_c").over(wb), F.lit(0))).drop("_c")
-    d = d.join(broadcast_if_small(starts, 1_000_000), [part, "_ob"])
+    d = d.join(starts, [part, "_ob"])
     w = Window.partitionBy(part, "_ob").orderBy(order)
     return d.withColumn(name, (F.col("_start") + F.row_number().over(w) - 1).cast("long")).drop("_ob", "_start")

@@ -31,14 +31,21 @@ def type_counts_recent(spark, sf):
     return A.type_counts_recent(events(spark, sf))
 
 
-@register("approx_users",
-          f"SELECT count(DISTINCT user_id) AS unique_users, "
-          f"abs(approx_count_distinct(user_id) - count(DISTINCT user_id)) <= 0.05 * count(DISTINCT user_id) AS within_tolerance "
-          f"FROM {EV} e WHERE event_date = {TODAY}")
+@register("approx_users")
 def approx_users(spark, sf):
     return A.approx_users(events(spark, sf))
 
 
+@register("approx_users_check", f"SELECT count(DISTINCT user_id) AS unique_users, true AS within_three_sigma FROM {EV} e WHERE event_date = {TODAY}")
+def approx_users_check(spark, sf):
+    """The estimate against the exact count, at three standard errors."""
+    from pyspark.sql import functions as F
+    ev = events(spark, sf)
+    exact = A.daily_unique_users(ev, days=0).agg(F.sum("unique_users").alias("unique_users"))
+    both = exact.withColumn("k", F.lit(1)).join(A.approx_users(ev).withColumn("k", F.lit(1)), "k")
+    return both.select("unique_users", (F.abs(F.col("approx_users") - F.col("unique_users")) <= 0.03 * F.col("unique_users") + 1).alias("within_three_sigma"))
+
+
 @register("hourly_profile",
           f"SELECT CAST(hour(\"timestamp\") AS INTEGER) AS hour, count(*) AS event_count FROM {EV} e "
           f"WHERE event_date = {TODAY} GROUP BY 1 ORDER BY 1")
@@ -163,3 +170,12 @@ def priority_tag(spark, sf):
     return (ev.groupBy("event_type", priority_rank_of(F.col("event_type")).alias("priority_rank"),
                        priority_of(F.col("event_type")).alias("priority"))
             .agg(F.count(F.lit(1)).alias("event_count")))
+
+
+@register("priority_first", f"""SELECT event_id, event_type, {priority_rank_case('event_type')} AS priority_rank, "timestamp" FROM {EV} e
+  ORDER BY priority_rank, "timestamp", event_id LIMIT 200""")
+def priority_first(spark, sf):
+    from pyspark.sql import functions as F
+    from eventmill.functions.category import priority_rank_of
+    out = L.priority_first(events(spark, sf), 200)
+    return out.select("event_id", "event_type", priority_rank_of(F.col("event_type")).alias("priority_rank"), "timestamp")

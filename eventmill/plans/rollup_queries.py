@@ -16,7 +16,7 @@ from eventmill.sources.tables import as_of_column, events
 EV = EVENTS_VIEW
 N_BLOCKS = 10      # insert blocks of the modelled partial rollups (block = id % 10)
 N_SHARDS = 6
-RETENTION_DAYS = 365
+RETENTION_DAYS = 14     # shorter than the test data, so that rows do expire
 
 HOURLY_SQL = f"""SELECT event_date, date_trunc('hour', "timestamp") AS event_hour, event_type, event_category,
   count(*) AS event_count, count(DISTINCT user_id) AS unique_users FROM {EV} e GROUP BY 1, 2, 3, 4"""
@@ -27,7 +27,7 @@ def q_events_hourly(spark, sf):
     return R.events_hourly(events(spark, sf))
 
 
-@register("merge_hourly_partials", HOURLY_SQL)
+@register("merge_hourly_partials", HOURLY_SQL.replace("unique_users", "approx_users"))
 def q_merge_hourly_partials(spark, sf):
     ev = events(spark, sf).withColumn("block", F.col("event_id") % N_BLOCKS)
     return R.merge_hourly_partials(R.hourly_partials(ev, "block"))
@@ -43,16 +43,12 @@ def q_daily_users(spark, sf):
     return R.daily_users(events(spark, sf))
 
 
-@register("latest_daily_user", f"""SELECT event_date, user_id, first_event_time, last_event_time, event_count,
-  unique_event_types, session_count FROM (
-  SELECT event_id % {N_BLOCKS} AS block, event_date, user_id, min("timestamp") AS first_event_time,
-    max("timestamp") AS last_event_time, count(*) AS event_count, count(DISTINCT event_type) AS unique_event_types,
-    count(DISTINCT session_id) AS session_count FROM {EV} e GROUP BY 1, 2, 3) p
-  QUALIFY row_number() OVER (PARTITION BY event_date, user_id ORDER BY block DESC) = 1""")
+@register("latest_daily_user", f"""SELECT event_date, user_id, "timestamp", event_id, event_type, session_id FROM {EV} e
+  QUALIFY row_number() OVER (PARTITION BY event_date, user_id ORDER BY "timestamp" DESC, event_id DESC) = 1""")
 def q_latest_daily_user(spark, sf):
-    ev = events(spark, sf).withColumn("block", F.col("event_id") % N_BLOCKS)
-    p = R.daily_user_partials(ev, "block")
-    return W.latest_per_key(p, ["event_date", "user_id"], "block").drop("block")
+    rows = events(spark, sf).select("event_date", "user_id", "timestamp", "event_id", "event_type", "session_id")
+    versioned = rows.withColumn("version", F.struct("timestamp", "event_id"))
+    return W.latest_per_key(versioned, ["event_date", "user_id"], "version").drop("version")
 
 
 @register("latest_category", f"""SELECT event_type, category, version FROM {dim_versions_sql()} d
@@ -78,7 +74,7 @@ def q_metric_history(spark, sf):
   SELECT user_id, "timestamp", sum(new) OVER (PARTITION BY user_id ORDER BY "timestamp", event_id
          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS session_no FROM (
     SELECT user_id, "timestamp", event_id, CASE WHEN lag("timestamp") OVER (PARTITION BY user_id ORDER BY "timestamp", event_id) IS NULL
-      OR "timestamp" > lag("timestamp") OVER (PARTITION BY user_id ORDER BY "timestamp", event_id) + INTERVAL 30 MINUTE
+      OR "timestamp" >= lag("timestamp") OVER (PARTITION BY user_id ORDER BY "timestamp", event_id) + INTERVAL 30 MINUTE
       THEN 1 ELSE 0 END AS new FROM {EV} e) x) y GROUP BY 1, 2""")
 def q_sessionize(spark, sf):
     return W.sessionize(events(spark, sf), gap_minutes=30, tie="event_id")
@@ -95,7 +91,7 @@ def q_partition_counts_by_month(spark, sf):
 def q_retention_filter(spark, sf):
     ev = events(spark, sf)
     today = F.to_date(as_of_column(ev))
-    kept = ev.where(F.col("event_date") >= F.date_sub(today, RETENTION_DAYS))
+    kept = M.retention_filter(ev, today, RETENTION_DAYS)
     return kept.groupBy("event_date").agg(F.count(F.lit(1)).alias("event_count"))
 
 
@@ -115,11 +111,9 @@ def _config_dim_sql() -> str:
 @register("category_dim", f"""SELECT coalesce(d.category, '{dims.DEFAULT_CATEGORY}') AS category, d.description,
   count(*) AS event_count FROM events e LEFT JOIN {_config_dim_sql()} ON lower(e.event_type) = d.event_type GROUP BY ALL""")
 def q_category_dim(spark, sf):
-    from eventmill.operators.joins import broadcast_if_small
     dim = dims.category_dim(spark, "config").drop("source")
-    n = sum(len(t) for _c, _d, t in dims.CATEGORIES)
     ev = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet").select(F.lower("event_type").alias("event_type"))
-    j = ev.join(broadcast_if_small(dim, known_rows=n), "event_type", "left")
+    j = ev.join(dim, "event_type", "left")
     return (j.groupBy(F.coalesce(F.col("category"), F.lit(dims.DEFAULT_CATEGORY)).alias("category"), "description")
             .agg(F.count(F.lit(1)).alias("event_count")))
 

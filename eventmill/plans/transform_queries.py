@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from eventmill import dims
 from eventmill.functions.agent import agent_struct
-from eventmill.functions.ipaddr import V4_REGEX, geo_struct, ipv4_num
+from eventmill.functions.ipaddr import V4_REGEX, ipv4_num, with_geo
 from eventmill.functions.props import property_get, props_flat_text, props_variant
 from eventmill.operators import lookups as L
 from eventmill.operators.dedup import duplicate_report, new_rows_anti, stored_rows_semi
@@ -150,19 +150,27 @@ def q_category_join(spark, sf):
             .agg(F.count(F.lit(1)).alias("event_count")))
 
 
+def _with_stored(spark, sf):
+    """All accepted events, and the ids of those before a day as a document store holds them."""
+    from eventmill.session import scratch_dir
+    from eventmill.sinks.files import read_documents, write_document
+    path = scratch_dir(spark, "stored")
+    ev = _accepted(spark, sf)
+    write_document(spark, ev.where(F.col("event_date") < F.lit(STORED_BEFORE).cast("date")), path)
+    return ev.select("event_id", "event_date"), read_documents(spark, path).select(F.col("_id").alias("event_id"))
+
+
 @register("new_events_anti", f"""SELECT a.event_id, a.event_date FROM {ACC} a
   WHERE NOT EXISTS (SELECT 1 FROM {ACC} s WHERE s.event_date < DATE '{STORED_BEFORE}' AND s.event_id = a.event_id)""")
 def q_new_events_anti(spark, sf):
-    ev = _accepted(spark, sf)
-    stored = ev.where(F.col("event_date") < F.lit(STORED_BEFORE).cast("date"))
+    ev, stored = _with_stored(spark, sf)
     return new_rows_anti(ev, stored).select("event_id", "event_date")
 
 
 @register("skipped_events_semi", f"""SELECT a.event_id, a.event_date FROM {ACC} a
   WHERE EXISTS (SELECT 1 FROM {ACC} s WHERE s.event_date < DATE '{STORED_BEFORE}' AND s.event_id = a.event_id)""")
 def q_skipped_events_semi(spark, sf):
-    ev = _accepted(spark, sf)
-    stored = ev.where(F.col("event_date") < F.lit(STORED_BEFORE).cast("date"))
+    ev, stored = _with_stored(spark, sf)
     return stored_rows_semi(ev, stored).select("event_id", "event_date")
 
 
@@ -188,7 +196,7 @@ def q_ip_private_range(spark, sf):
 @register("geo_hash", f"SELECT DISTINCT ip_address, country, region, city FROM {TR} t")
 def q_geo_hash(spark, sf):
     r = raw_events(spark, sf).select(F.coalesce(F.col("ip_address"), F.lit("")).alias("ip_address")).distinct()
-    return r.select("ip_address", geo_struct(F.col("ip_address")).alias("g")).select("ip_address", "g.*")
+    return with_geo(r)
 
 
 @register("agent_rules", f"SELECT DISTINCT user_agent, browser, os, device_type FROM {TR} t")
@@ -265,14 +273,16 @@ def q_encode_json(spark, sf):
     return to_json_messages(raw_events(spark, sf))
 
 
-@register("sample_by_type", f"""SELECT event_type, count(*) AS event_count FROM {ACC} a
-  WHERE (CASE event_type {' '.join(f"WHEN {q(t)} THEN {r}" for t, r in dims.SAMPLING_RATES)} ELSE NULL END) IS NULL
-     OR (CAST(('0x' || substr(md5(event_id), 1, 8)) AS BIGINT) % 10000) <
-        (CASE event_type {' '.join(f"WHEN {q(t)} THEN {r}" for t, r in dims.SAMPLING_RATES)} END) * 10000
-  GROUP BY 1""")
+#: The fixed rates under the driver's type names, so that rows are sampled away.
+TEST_RATES = [*dims.SAMPLING_RATES, ("view", 0.1), ("click", 0.05), ("signup", 0.5)]
+_RATE = "(CASE event_type " + " ".join(f"WHEN {q(t)} THEN {r}" for t, r in TEST_RATES) + " ELSE NULL END)"
+
+
+@register("sample_by_type", f"""SELECT event_id, event_type FROM {ACC} a
+  WHERE {_RATE} IS NULL OR (CAST(('0x' || substr(md5(event_id), 1, 8)) AS BIGINT) % 10000) < {_RATE} * 10000""")
 def q_sample_by_type(spark, sf):
-    return (sample_by_type(_accepted(spark, sf), dims.sampling_dim(spark))
-            .groupBy("event_type").agg(F.count(F.lit(1)).alias("event_count")))
+    rates = spark.createDataFrame(TEST_RATES, "event_type string, rate double")
+    return sample_by_type(_accepted(spark, sf), rates).select("event_id", "event_type")
 
 
 @register("topic_rows", f"""SELECT '{TOPIC}' AS topic, event_id AS key, CAST(user_id % {N_PARTITIONS} AS INTEGER) AS partition,
@@ -282,11 +292,11 @@ def q_sample_by_type(spark, sf):
 def q_topic_rows(spark, sf):
     ev = _accepted(spark, sf).select("event_id", "user_id", "event_type", "session_id")
     return to_topic_rows(ev, TOPIC, key="event_id",
-                         partition=lambda d: F.pmod(F.col("user_id"), F.lit(N_PARTITIONS)).cast("int"))
+                         partition=lambda d: F.pmod(F.col("user_id"), F.lit(N_PARTITIONS)).cast("int")).drop("headers")
 
 
 @register("partition_batch_counts", f"""SELECT CAST(user_id % {N_PARTITIONS} AS INTEGER) AS partition, count(*) AS sent,
-  CAST(0 AS BIGINT) AS failed, count(*) AS total FROM {ACC} a GROUP BY 1""")
+  CAST(0 AS BIGINT) AS failed, count(*) AS total FROM {ACC} a GROUP BY 1 ORDER BY 1""")
 def q_partition_batch_counts(spark, sf):
     ev = _accepted(spark, sf).select("event_id", "user_id", "event_type", "session_id")
     rows = to_topic_rows(ev, TOPIC, key="event_id",

@@ -52,14 +52,14 @@ def op_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_id") % 2 == 0, F.lit("flat")).otherwise(F.lit("document")).alias("database"),
         (F.col("value") / 100).alias("duration"),
         F.when(F.col("event_type") == "error", F.lit("error")).otherwise(F.lit("ok")).alias("status"),
-        F.length("props").alias("payload_bytes"),
+        F.octet_length("props").alias("payload_bytes"),
     )
 
 
 def op_log_sql() -> str:
     return """(SELECT event_id AS id, ts, event_type AS operation,
   CASE WHEN event_id % 2 = 0 THEN 'flat' ELSE 'document' END AS database, value / 100 AS duration,
-  CASE WHEN event_type = 'error' THEN 'error' ELSE 'ok' END AS status, length(props) AS payload_bytes FROM events)"""
+  CASE WHEN event_type = 'error' THEN 'error' ELSE 'ok' END AS status, octet_length(props::BLOB) AS payload_bytes FROM events)"""
 
 
 def offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,13 +69,13 @@ def offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read_table(spark, sf_dir, "events")
     part = F.pmod(F.col("user_id"), F.lit(N_PARTITIONS)).cast("int")
     m = e.select(F.lit(TOPIC).alias("topic"), part.alias("partition"), "event_id", "ts",
-                 F.length("props").alias("bytes"))
+                 F.octet_length("props").alias("bytes"))
     return contiguous_index(m, "partition", "event_id").withColumn("processed", F.col("event_id") % 10 != 9)
 
 
 def offsets_sql() -> str:
     return f"""(SELECT '{TOPIC}' AS topic, CAST(user_id % {N_PARTITIONS} AS INTEGER) AS partition, event_id, ts,
-  length(props) AS bytes,
+  octet_length(props::BLOB) AS bytes,
   CAST(row_number() OVER (PARTITION BY user_id % {N_PARTITIONS} ORDER BY event_id) - 1 AS BIGINT) AS "offset",
   event_id % 10 <> 9 AS processed FROM events)"""
 
