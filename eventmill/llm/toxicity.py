@@ -1,6 +1,7 @@
 """Toxicity by weak supervision: voters, a generative label model, a linear classifier on its posterior labels.
 
-1. Features (words, word beginnings, writing patterns) are counted by label over every labelled training text.
+1. Features (words, word beginnings, writing patterns) are counted by label over labelled training texts, FIT_ROWS of
+   them at most.
 2. The features that speak most for toxic texts become voters, beside a small fixed lexicon and pattern voters. A voter
    fires on a text or abstains.
 3. A generative model of the voters - how often each fires in either class, and how strongly two of them fire together
@@ -24,8 +25,8 @@ from eventmill.llm.common import cut
 
 #: One training fold in so many is held out.
 FOLDS = 5
-#: Bound on the labelled rows that the label model and the classifier are fitted on (features are counted over all).
-FIT_ROWS = 20_000
+#: Bound on the labelled rows that the voters, the label model and the classifier are fitted on.
+FIT_ROWS = 30_000
 #: Features of the classifier for each class, and voters mined from them.
 FEATURES, VOTERS = 1024, 128
 #: A mined voter must be right in so many of its training texts.
@@ -225,13 +226,14 @@ class Scorer:
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id", label_col: str = "toxic", fit_rows: int = FIT_ROWS) -> Scorer:
     """Fit voters, label model and classifier on the labelled documents outside the held-out fold.
 
-    Feature counts cover all of them. Label model and classifier see at most `fit_rows` rows, those with the smallest
-    hash of their id. Without labels, or with one class only, the voters are the fixed lexicon and patterns alone.
+    At most `fit_rows` of them are used, those with the smallest hash of their id, so what is sent to every task (ids and
+    labels of these rows) is bounded and no text is shuffled. Without labels, or with one class only, the voters are the fixed lexicon and patterns alone.
     """
     marks = labels.filter(F.col(label_col).isin(0, 1)).groupBy(F.col(label_id_col).alias("doc_id")).agg(F.max(label_col).alias("label"))
     marks = marks.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    training = texts.join(marks, "doc_id").select("doc_id", "text", F.col("label").cast("int").alias("label"))
+    sample = cut(marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows))
+    training = texts.join(F.broadcast(sample), "doc_id").select("text", F.col("label").cast("int").alias("label"))
     chosen = choose_features(cut(feature_counts(training)), FEATURES)
     fixed = [w + "$" for w in LEXICON] + list(PATTERNS)
     names = list(dict.fromkeys([*chosen["feature"], *fixed]))
@@ -242,8 +244,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
             found = [sorted((place[f], value) for f, value in text_features(t).items() if f in place) for t in rows["text"]]
             yield pd.DataFrame({"label": rows["label"], "hits": [np.array([i for i, _ in x], dtype=np.int32) for x in found], "values": [np.array([v for _, v in x], dtype=np.float64) for x in found]})
 
-    sample = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows).select("doc_id")
-    fitted = training.join(sample, "doc_id").select("text", "label").mapInPandas(hits, "label int, hits array<int>, values array<double>").toPandas()
+    fitted = training.mapInPandas(hits, "label int, hits array<int>, values array<double>").toPandas()
     rows = [np.asarray(h, dtype=np.int64) for h in fitted["hits"]]
     values = [np.asarray(v, dtype=np.float64) for v in fitted["values"]]
     label = fitted["label"].to_numpy(dtype=np.float64)
