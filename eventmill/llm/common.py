@@ -22,7 +22,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="llm-checkpoint-")
     spark.sparkContext.setCheckpointDir(shared)
