@@ -28,50 +28,65 @@ def ipv4_num(ip: Column) -> Column:
     return F.when(ip.rlike(V4_REGEX), num)
 
 
-def with_ipv6_hex(df: DataFrame, ip: Column, into: str = "_v6") -> DataFrame:
-    """Adds the 32 hex digits of an IPv6 address, NULL when it is none.
+def _let(value: Column, body) -> Column:
+    """body(value) with the value computed once, however often the body names it (also in a filter that is
+    pushed down, where a column's expression would be repeated)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def ipv6_hex(ip: Column) -> Column:
+    """IPv6 address -> its 32 hex digits, NULL when it is none.
 
     A zone (%eth0) is left out, a dotted IPv4 tail counts as two groups, and '::' stands
-    for the one or more zero groups that are missing.  Built in projections, so each part
-    is computed once; addresses without a colon are NULL from the first one on.
+    for the one or more zero groups that are missing.  Text without a colon is not looked at.
     """
-    keep = df.columns
     tail = rf"^(.*:)({V4_REGEX[1:-1]})$"
-    d = df.select(*keep, F.when(ip.contains(":"), F.lower(F.regexp_replace(ip, r"%[^%/]+$", ""))).alias("_6"))
-    d = d.select(*keep, "_6", ipv4_num(F.regexp_extract("_6", tail, 2)).alias("_4"))
-    v4 = F.lower(F.lpad(F.hex("_4"), 8, "0"))
-    d = d.select(*keep, F.when(F.col("_4").isNotNull(), F.concat(F.regexp_extract("_6", tail, 1), v4.substr(1, 4), F.lit(":"), v4.substr(5, 4)))
-                 .otherwise(F.col("_6")).alias("_6"))
-    gap = F.instr("_6", "::")
-    d = d.select(*keep, (gap > 0).alias("_gap"), F.when(gap > 0, F.col("_6").substr(F.lit(1), gap - 1)).otherwise(F.col("_6")).alias("_l"),
-                 F.when(gap > 0, F.col("_6").substr(gap + 2, F.length("_6"))).otherwise(F.when(gap == 0, F.lit(""))).alias("_r"))
     groups = r"^([0-9a-f]{1,4}(:[0-9a-f]{1,4})*)?$"
 
-    def count(part: str) -> Column:
-        return F.when(F.col(part) == "", 0).otherwise(F.size(F.split(part, ":")))
+    def spelt(bare: Column) -> Column:
+        def with_tail(n: Column) -> Column:
+            v4 = F.lower(F.lpad(F.hex(n), 8, "0"))
+            return F.when(n.isNotNull(), F.concat(F.regexp_extract(bare, tail, 1), v4.substr(1, 4), F.lit(":"), v4.substr(5, 4))).otherwise(bare)
+        return _let(ipv4_num(F.regexp_extract(bare, tail, 2)), with_tail)
+
+    def count(part: Column) -> Column:
+        return F.when(part == "", 0).otherwise(F.size(F.split(part, ":")))
 
-    def padded(part: str) -> Column:  # zeros in front of each group, then the last four digits of each
+    def padded(part: Column) -> Column:  # zeros in front of each group, then the last four digits of each
         zeros = F.concat(F.lit("000"), F.regexp_replace(part, ":", ":000"))
-        return F.when(F.col(part) == "", F.lit("")).otherwise(F.regexp_replace(F.regexp_replace(zeros, r"0*([0-9a-f]{4})(?=:|$)", "$1"), ":", ""))
-    n = count("_l") + count("_r")
-    d = d.select(*keep, (F.col("_l").rlike(groups) & F.col("_r").rlike(groups) & F.when(F.col("_gap"), n <= 7).otherwise(n == 8)).alias("_ok"),
-                 padded("_l").alias("_l"), padded("_r").alias("_r"))
-    fill = F.repeat(F.lit("0"), F.lit(32) - F.length("_l") - F.length("_r"))
-    return d.select(*keep, F.when(F.col("_ok"), F.concat("_l", fill, "_r")).alias(into))
+        return F.when(part == "", F.lit("")).otherwise(F.regexp_replace(F.regexp_replace(zeros, r"0*([0-9a-f]{4})(?=:|$)", "$1"), ":", ""))
+
+    def joined(p: Column) -> Column:
+        a, b = p["a"], p["b"]
+        return F.concat(a, F.repeat(F.lit("0"), F.lit(32) - F.length(a) - F.length(b)), b)
+
+    def digits(s: Column) -> Column:
+        gap = F.instr(s, "::")
+        sides = F.struct((gap > 0).alias("gap"), F.when(gap > 0, s.substr(F.lit(1), gap - 1)).otherwise(s).alias("l"),
+                         F.when(gap > 0, s.substr(gap + 2, F.length(s))).otherwise(F.lit("")).alias("r"))
+
+        def checked(p: Column) -> Column:
+            n = count(p["l"]) + count(p["r"])
+            ok = p["l"].rlike(groups) & p["r"].rlike(groups) & F.when(p["gap"], n <= 7).otherwise(n == 8)
+            return F.when(ok, _let(F.struct(padded(p["l"]).alias("a"), padded(p["r"]).alias("b")), joined))
+        return _let(sides, checked)
+    return F.when(ip.contains(":"), _let(_let(F.lower(F.regexp_replace(ip, r"%[^%/]+$", "")), spelt), digits))
 
 
 def private_v6(digits: Column) -> Column:
     """Private-range test on the 32 hex digits; a mapped IPv4 address is as private as that address."""
-    def within(block: str) -> Column:
-        net = ipaddress.ip_network(block)
-        return digits.between(f"{int(net.network_address):032x}", f"{int(net.broadcast_address):032x}")
-    inside = F.lit(False)
-    for b in PRIVATE_V6_BLOCKS:
-        inside = inside | within(b)
-    for b in PRIVATE_V6_EXCEPTIONS:
-        inside = inside & ~within(b)
-    mapped = digits.startswith("0" * 20 + "ffff")
-    return F.when(mapped, private_v4(F.conv(digits.substr(25, 8), 16, 10).cast("long"))).otherwise(inside)
+    def test(d: Column) -> Column:
+        def within(block: str) -> Column:
+            net = ipaddress.ip_network(block)
+            return d.between(f"{int(net.network_address):032x}", f"{int(net.broadcast_address):032x}")
+        inside = F.lit(False)
+        for b in PRIVATE_V6_BLOCKS:
+            inside = inside | within(b)
+        for b in PRIVATE_V6_EXCEPTIONS:
+            inside = inside & ~within(b)
+        mapped = d.startswith("0" * 20 + "ffff")
+        return F.when(mapped, private_v4(F.conv(d.substr(25, 8), 16, 10).cast("long"))).otherwise(inside)
+    return F.when(digits.isNotNull(), _let(digits, test))
 
 
 def private_v4(num: Column) -> Column:
@@ -108,7 +123,7 @@ def with_geo(df: DataFrame, ip_col: str = "ip_address") -> DataFrame:
     """
     ip = F.coalesce(F.col(ip_col), F.lit(""))
     keep = df.columns
-    d = with_ipv6_hex(df.select(*keep, ipv4_num(ip).alias("_ipn"), md5_prefix_num(ip).alias("_h")), ip)
+    d = df.select(*keep, ipv4_num(ip).alias("_ipn"), ipv6_hex(ip).alias("_v6"), md5_prefix_num(ip).alias("_h"))
     ipc = F.coalesce(F.col(ip_col), F.lit(""))
     d = d.select(*keep, "_h",
                  ((ipc != "") & (F.col("_ipn").isNotNull() | F.col("_v6").isNotNull())).alias("_valid"),

@@ -11,19 +11,23 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventmill.operators import rollups as R
-from eventmill.operators.transform import to_flat, transform_events
+from eventmill.operators.transform import tag, to_flat, transform_events
+from eventmill.operators.validate import decode_json
 from eventmill.plans.registry import register
-from eventmill.plans.sqlgen import accepted_sql
+from eventmill.plans.sqlgen import accepted_sql, transform_sql
 from eventmill.session import scratch_dir
 from eventmill.sinks.files import dual_sink, read_documents, read_flat, write_document, write_flat
 from eventmill.sources.raw import raw_events, raw_events_sql
-from eventmill.streaming.ingest import (StreamSource, merge_daily_partials, run_stream, session_stream,
-                                        state_partitions_for_start,
+from eventmill.streaming.ingest import (StreamSource, live_root, merge_daily_partials, run_name, run_stream,
+                                        session_stream, set_live, state_partitions_for_start,
                                         tagged_stream, write_message_files)
 
-ACC = accepted_sql(raw_events_sql())
+RAW = raw_events_sql()
+TR = transform_sql(RAW)
+ACC = accepted_sql(RAW)
 WATERMARK = "1 day"
 N_FILES = 4
+STATE_PARTITIONS = 8
 
 _RUNS: dict[tuple[int, str], str] = {}
 
@@ -33,17 +37,23 @@ def _stream_root(spark, sf) -> str:
     if key not in _RUNS:
         base = scratch_dir(spark, "stream")
         glob = write_message_files(raw_events(spark, sf), f"{base}/input", N_FILES)
-        qs = run_stream(spark, StreamSource(kind="files", path=glob, max_files=1,
-                                         min_partitions=spark.sparkContext.defaultParallelism), f"{base}/out",
-                        f"{base}/checkpoint", watermark=WATERMARK, available_now=True)
-        for q in qs:
-            q.awaitTermination()
-            if q.exception():
-                raise RuntimeError(str(q.exception()))
+        _drain(spark, glob, f"{base}/out", f"{base}/checkpoint", 1)
         _RUNS[key] = base
     return _RUNS[key]
 
 
+def _drain(spark, glob, root, checkpoint, max_files) -> None:
+    src = StreamSource(kind="files", path=glob, max_files=max_files, min_partitions=STATE_PARTITIONS)
+    for q in run_stream(spark, src, root, checkpoint, state_partitions=STATE_PARTITIONS, window=WATERMARK):
+        q.awaitTermination()
+        if q.exception():
+            raise RuntimeError(str(q.exception()))
+
+
+def _live(spark, sf) -> str:
+    return live_root(spark, f"{_stream_root(spark, sf)}/out")
+
+
 FLAT_SQL = f"""SELECT event_id, user_id, event_type, event_date,
   date_trunc('millisecond', "timestamp") AS "timestamp", hour_of_day, day_of_week, CAST(is_weekend AS INTEGER) AS is_weekend,
   event_category, session_id, ip_address, user_agent, coalesce(referrer, '') AS referrer, page_url,
@@ -56,56 +66,86 @@ FLAT_OUT = ["event_id", "user_id", "event_type", "event_date", "timestamp", "hou
 
 @register("stream_ingest", FLAT_SQL)
 def q_stream_ingest(spark, sf):
-    root = _stream_root(spark, sf)
-    return read_flat(spark, f"{root}/out/flat").select(*FLAT_OUT)
+    return read_flat(spark, f"{_live(spark, sf)}/flat").select(*FLAT_OUT)
 
 
-@register("stream_dedup", f'SELECT event_id, user_id, event_type, "timestamp" FROM {ACC} a')
+@register("stream_dedup", f'SELECT event_id, count(*) AS stored, sum(copies) AS delivered FROM (SELECT event_id, (SELECT count(*) FROM {TR} t WHERE t.reject_reason IS NULL AND t.event_id = a.event_id) AS copies FROM {ACC} a) x GROUP BY 1')
 def q_stream_dedup(spark, sf):
-    root = _stream_root(spark, sf)
-    return read_flat(spark, f"{root}/out/flat").select("event_id", "user_id", "event_type", "timestamp")
+    """L4: each accepted id is stored once, however often it was delivered (repeats within and across batches)."""
+    base = _stream_root(spark, sf)
+    delivered = tag(decode_json(spark.read.text(f"{base}/input/c*/part-*"))).where("reject_reason is null")
+    flat = read_flat(spark, f"{_live(spark, sf)}/flat")
+    return flat.groupBy("event_id").agg(F.count(F.lit(1)).alias("stored")).join(
+        delivered.groupBy("event_id").agg(F.count(F.lit(1)).alias("delivered")), "event_id")
+
+
+@register("stream_dead_letter", f"""SELECT r.event_id, r.user_id, r.event_type, r."timestamp", 
+  -- a JSON null is there but of the wrong type
+  CASE WHEN r.event_type IS NULL AND t.reject_reason = 'missing:event_type' THEN 'type:event_type' ELSE t.reject_reason END AS reject_reason
+  FROM {TR} t JOIN {RAW} r ON r.src_id = t.src_id AND r.delivery = t.delivery WHERE t.reject_reason IS NOT NULL""")
+def q_stream_dead_letter(spark, sf):
+    """Every rejected message, told again from its stored raw text."""
+    dead = spark.read.parquet(f"{_live(spark, sf)}/dead_letter")
+    again = tag(decode_json(dead.select(F.col("raw_message").alias("value"), F.col("reject_reason").alias("stored_reason"))))
+    return again.select("event_id", "user_id", "event_type", "timestamp", F.col("stored_reason").alias("reject_reason"))
+
+
+@register("stream_late", f"""SELECT event_date, count(*) AS event_count FROM {ACC} a GROUP BY 1""")
+def q_stream_late(spark, sf):
+    """Newest events first, so that nearly all rows arrive days late; every one is stored under its date."""
+    base = scratch_dir(spark, "late")
+    raw = raw_events(spark, sf)
+    backwards = raw.withColumn("src_id", -F.col("src_id"))
+    glob = write_message_files(backwards, f"{base}/input", N_FILES)
+    _drain(spark, glob, f"{base}/out", f"{base}/checkpoint", 1)
+    flat = read_flat(spark, f"{live_root(spark, f'{base}/out')}/flat")
+    return flat.groupBy("event_date").agg(F.count(F.lit(1)).alias("event_count"))
+
+
+@register("stream_batch_log", f"""WITH n AS (SELECT count(*) AS kept FROM {ACC} a), d AS (SELECT count(*) AS dead FROM {TR} t WHERE reject_reason IS NOT NULL)
+SELECT sink, CAST(0 AS BIGINT) AS failed, CASE WHEN sink = 'dead_letter' THEN dead ELSE kept END AS rows FROM n, d,
+  (VALUES ('flat'), ('documents'), ('hourly_partials'), ('daily_partials'), ('dead_letter')) s(sink)""")
+def q_stream_batch_log(spark, sf):
+    """G17 + B3: totals per sink of the real stream's batch log."""
+    log = spark.read.parquet(f"{_live(spark, sf)}/batch_log")
+    return log.groupBy("sink").agg(F.count_if(~F.col("ok")).alias("failed"), F.sum("rows").alias("rows"))
 
 
 @register("stream_hourly", f"""SELECT event_date, date_trunc('hour', "timestamp") AS event_hour, event_type, event_category,
-  count(*) AS event_count, count(DISTINCT user_id) AS unique_users FROM {ACC} a GROUP BY 1, 2, 3, 4""")
+  count(*) AS event_count, count(DISTINCT user_id) AS approx_users FROM {ACC} a GROUP BY 1, 2, 3, 4""")
 def q_stream_hourly(spark, sf):
-    root = _stream_root(spark, sf)
-    return R.merge_hourly_partials(spark.read.parquet(f"{root}/out/hourly_partials"))
+    return R.merge_hourly_partials(spark.read.parquet(f"{_live(spark, sf)}/hourly_partials"))
 
 
 @register("stream_daily_users", f"""SELECT event_date, user_id, min("timestamp") AS first_event_time,
-  max("timestamp") AS last_event_time, count(*) AS event_count, count(DISTINCT event_type) AS unique_event_types,
-  count(DISTINCT session_id) AS session_count FROM {ACC} a GROUP BY 1, 2""")
+  max("timestamp") AS last_event_time, count(*) AS event_count, count(DISTINCT event_type) AS approx_event_types,
+  count(DISTINCT session_id) AS approx_sessions FROM {ACC} a GROUP BY 1, 2""")
 def q_stream_daily_users(spark, sf):
-    root = _stream_root(spark, sf)
-    return merge_daily_partials(spark.read.parquet(f"{root}/out/daily_partials"))
+    return merge_daily_partials(spark.read.parquet(f"{_live(spark, sf)}/daily_partials"))
 
 
-# L7 oracle: append mode emits a session once the watermark (newest event time - 1 day
-# at the end of the drain) passes its end (last event + gap); later ones stay in state.
-STREAM_SESSIONS_SQL = f"""WITH a AS (SELECT user_id, "timestamp", event_id FROM {ACC} a),
-s AS (SELECT user_id, min("timestamp") AS session_start, max("timestamp") + INTERVAL 30 MINUTE AS session_end,
+STREAM_SESSIONS_SQL = f"""WITH a AS (SELECT user_id, "timestamp", event_id FROM {ACC} a)
+SELECT user_id, min("timestamp") AS session_start, max("timestamp") + INTERVAL 30 MINUTE AS session_end,
   count(*) AS event_count FROM (
   SELECT user_id, "timestamp", sum(new) OVER (PARTITION BY user_id ORDER BY "timestamp", event_id
          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS session_no FROM (
     SELECT user_id, "timestamp", event_id, CASE WHEN lag("timestamp") OVER (PARTITION BY user_id ORDER BY "timestamp", event_id) IS NULL
       OR "timestamp" >= lag("timestamp") OVER (PARTITION BY user_id ORDER BY "timestamp", event_id) + INTERVAL 30 MINUTE
-      THEN 1 ELSE 0 END AS new FROM a) x) y GROUP BY user_id, session_no)
-SELECT user_id, session_start, session_end, event_count FROM s
-WHERE session_end <= (SELECT max("timestamp") - INTERVAL {WATERMARK} FROM a)"""
+      THEN 1 ELSE 0 END AS new FROM a) x) y GROUP BY user_id, session_no"""
 
 
 @register("stream_sessions", STREAM_SESSIONS_SQL)
 def q_stream_sessions(spark, sf):
-    base = _stream_root(spark, sf)
+    """Every session; a heartbeat after the last event closes the open ones."""
     out = scratch_dir(spark, "sessions")
-    src = StreamSource(kind="files", path=f"{base}/input/c*/part-*", max_files=1,
-                       min_partitions=spark.sparkContext.defaultParallelism)
-    with state_partitions_for_start(spark):
+    first = raw_events(spark, sf).where("delivery = 0")
+    glob = write_message_files(first, f"{out}_in", N_FILES, heartbeat=True)
+    src = StreamSource(kind="files", path=glob, max_files=1, min_partitions=STATE_PARTITIONS)
+    with state_partitions_for_start(spark, STATE_PARTITIONS):
         q = (session_stream(tagged_stream(spark, src)).writeStream.format("parquet").option("path", out)
              .option("checkpointLocation", f"{out}_ckpt").outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).where("user_id >= 0")
 
 
 @register("sink_flat", FLAT_SQL)
@@ -147,16 +187,14 @@ def q_dual_sink(spark, sf):
 
 @register("replay", FLAT_SQL)
 def q_replay(spark, sf):
-    """A3 + B10: run the stream over the same landed input twice with a fresh checkpoint
-    (a replay from the earliest offset) into the same tables: nothing is added."""
-    base = _stream_root(spark, sf)
-    src = StreamSource(kind="files", path=f"{base}/input/c*/part-*", max_files=1,
-                       min_partitions=spark.sparkContext.defaultParallelism)
-    for q in run_stream(spark, src, f"{base}/out", scratch_dir(spark, "replay-ckpt"), watermark=WATERMARK):
-        q.awaitTermination()
-        if q.exception():
-            raise RuntimeError(str(q.exception()))
-    return read_flat(spark, f"{base}/out/flat").select(*FLAT_OUT)
+    """A3 + B10: the landed input once in one-file batches, then again from the start with a fresh checkpoint and
+    other batch cuts into the same root: the replay fills a run of its own, and readers then see that one."""
+    glob = f"{_stream_root(spark, sf)}/input/c*/part-*"
+    root = scratch_dir(spark, "replay")
+    _drain(spark, glob, f"{root}/out", f"{root}/first", 1)
+    _drain(spark, glob, f"{root}/out", f"{root}/second", 3)
+    set_live(spark, f"{root}/out", run_name(f"{root}/second"))
+    return read_flat(spark, f"{live_root(spark, f'{root}/out')}/flat").select(*FLAT_OUT)
 
 
 @register("snapshot", FLAT_SQL)

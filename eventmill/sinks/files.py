@@ -1,44 +1,74 @@
 """Table sinks (B1-B4, B8-B10) on Parquet folders.
 
-Idempotence: every micro-batch writes into its own `batch_id=<n>` folder with
-overwrite, so a replayed batch replaces its earlier output instead of adding to it
-(B10); documents additionally skip ids already stored (B2, left anti join).  A batch
-is persisted once and written to both sinks (B3).
+Idempotence: rows carry the batch id as the inner partition and a batch overwrites its
+own partitions, so a replayed batch replaces its earlier output instead of adding to it
+(B10).  `event_date` is the outer partition of the flat table, so a date filter lists one
+folder.  Documents are laid out by a hash of their id and skip ids already stored (B2,
+left anti join), whatever their date.  A batch is persisted once and written to all
+sinks, and every sink's outcome is recorded (B3).
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmill.operators.dedup import new_rows_anti
 from eventmill.operators.transform import split, to_document, to_flat
 from eventmill.operators.validate import with_reject_reason
 from eventmill.schemas import RAW_FIELDS
 
 
-def run_writes(spark: SparkSession, first: Callable[[], None], *rest: Callable[[], None]) -> None:
-    """Run the writes of one persisted batch: `first` alone, then `rest` as concurrent jobs.
+@dataclass
+class Outcome:
+    """What became of one sink's write: rows asked for, seconds, and the error text if it failed."""
+    sink: str
+    ok: bool
+    seconds: float
+    error: str | None = None
+
+
+def run_writes(spark: SparkSession, writes: dict[str, Callable[[], None]], require: str = "all") -> list[Outcome]:
+    """Run the writes of one persisted batch; the first alone, then the rest as concurrent jobs.
 
     The first write computes the persisted batch (and with it any stateful streaming step
     upstream) once; the remaining writes read the cached blocks and are independent jobs,
-    so they run side by side and fill the executors instead of queueing one after another
-    (a micro-batch's small jobs would each leave most cores idle).  Any failure is raised,
-    so the caller's batch fails and is retried as a whole.
+    so they run side by side and fill the executors instead of queueing one after another.
+    Every outcome is returned.  require="all": any failure raises, so the batch is retried
+    as a whole; "any": it raises only if no sink took the batch.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     from pyspark.util import inheritable_thread_target
 
-    first()
-    if not rest:
-        return
-    with ThreadPoolExecutor(max_workers=len(rest)) as pool:
-        futures = [pool.submit(inheritable_thread_target(spark)(w)) for w in rest]
-        for f in futures:
-            f.result()
+    def run(name: str) -> Outcome:
+        began = time.time()
+        try:
+            writes[name]()
+        except Exception as e:  # noqa: BLE001 - recorded, and raised below
+            return Outcome(name, False, time.time() - began, f"{type(e).__name__}: {e}"[:2000])
+        return Outcome(name, True, time.time() - began)
+
+    names = list(writes)
+    done = [run(n) for n in names[:1]]
+    if len(names) > 1:
+        with ThreadPoolExecutor(max_workers=len(names) - 1) as pool:
+            done += [f.result() for f in [pool.submit(inheritable_thread_target(spark)(run), n) for n in names[1:]]]
+    failed = [o for o in done if not o.ok]
+    if failed and (require == "all" or len(failed) == len(done)):
+        raise WriteError(done)
+    return done
+
+
+class WriteError(RuntimeError):
+    """A batch that its sinks did not take; `outcomes` has each sink's."""
+
+    def __init__(self, outcomes: list[Outcome]) -> None:
+        super().__init__("; ".join(f"{o.sink}: {o.error}" for o in outcomes if not o.ok))
+        self.outcomes = outcomes
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
@@ -51,6 +81,15 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
 CLUSTER_KEY = ["event_date", "event_type", "user_id", "timestamp"]
 
 
+def overwrite_batch(df: DataFrame, path: str, batch_id: int | None, *outer: str) -> None:
+    """Write rows partitioned by `outer` and then the batch id; a batch replaces its own partitions only."""
+    if batch_id is None:
+        df.write.mode("append").partitionBy(*outer).parquet(path)
+    else:
+        (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*outer, "batch_id").parquet(path))
+
+
 def write_flat(df: DataFrame, path: str, batch_id: int | None = None, wide: bool = False,
                files: int | None = None) -> None:
     """B1 + M1 + M2: flat rows partitioned by event_date and clustered by
@@ -58,62 +97,62 @@ def write_flat(df: DataFrame, path: str, batch_id: int | None = None, wide: bool
 
     Range partitioning on the cluster key (sampled bounds) keeps output tasks even: a
     date holding a third of all rows is split over many tasks instead of one.  With a
-    batch id the rows go to `<path>/batch_id=<n>/` in overwrite mode (replay-safe); an
-    empty batch writes no data files.
+    batch id the rows of a date go to `event_date=<d>/batch_id=<n>/`, replaced when the
+    batch is written again; an empty batch writes no data files.
     """
     flat = to_flat(df, wide=wide).withColumn("processed_at", F.current_timestamp().cast("timestamp_ntz"))
     # without an explicit file count AQE sizes the range partitions (advisory partition
     # size), so a small micro-batch writes a few files and a big load writes many
     flat = flat.repartitionByRange(files, *CLUSTER_KEY) if files else flat.repartitionByRange(*CLUSTER_KEY)
-    flat = flat.sortWithinPartitions(*CLUSTER_KEY)
-    target = path if batch_id is None else f"{path.rstrip('/')}/batch_id={batch_id}"
-    mode = "append" if batch_id is None else "overwrite"
-    flat.write.mode(mode).partitionBy("event_date").parquet(target)
+    overwrite_batch(flat.sortWithinPartitions(*CLUSTER_KEY), path, batch_id, "event_date")
 
 
 def read_flat(spark: SparkSession, path: str) -> DataFrame:
-    """Read the flat table back (batch folders and date partitions are discovered)."""
+    """Read the flat table back (date partitions and batch folders are discovered)."""
     return spark.read.option("basePath", path).parquet(path)
 
 
-def write_document(spark: SparkSession, df: DataFrame, path: str, batch_id: int | None = None,
-                   max_dates: int = 10_000) -> None:
+def compact_flat(spark: SparkSession, path: str, out: str, start_date: str | None = None, end_date: str | None = None) -> None:
+    """Rewrite the dates from start to before end into a new table: clustered files of even size instead of one
+    set per micro-batch.  Readers switch to `out` when it is complete; the old table is not touched."""
+    rows = read_flat(spark, path)
+    if start_date is not None:
+        rows = rows.where(F.col("event_date") >= F.lit(start_date).cast("date"))
+    if end_date is not None:
+        rows = rows.where(F.col("event_date") < F.lit(end_date).cast("date"))
+    rows = rows.drop("batch_id").repartitionByRange(*CLUSTER_KEY).sortWithinPartitions(*CLUSTER_KEY)
+    rows.write.mode("errorifexists").partitionBy("event_date").parquet(out)
+
+
+#: Folders that documents are dealt to by a hash of their id; fixed for the life of a table.
+ID_BUCKETS = 16
+
+
+def with_id_bucket(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("id_bucket", F.pmod(F.xxhash64("_id"), F.lit(ID_BUCKETS)).cast("int"))
+
+
+def write_document(spark: SparkSession, df: DataFrame, path: str, batch_id: int | None = None) -> None:
     """B2: insert documents with a unique `_id`: in-batch repeats are dropped and ids
-    already stored are skipped (anti join), never failed.
+    already stored, under whatever date, are skipped (anti join), never failed.
 
-    Documents are partitioned by event_date; repeats of an event share its time, so the
-    stored ids are read only for the dates present in the batch (partition pruning), not
-    the whole history.
+    The table is laid out by a hash of the id, and only the `_id` column of what is stored
+    is read.  A batch that is written again does not meet its own earlier rows.
     """
-    docs = to_document(df).dropDuplicates(["_id"])
-    target = path if batch_id is None else f"{path.rstrip('/')}/batch_id={batch_id}"
+    docs = with_id_bucket(to_document(df).dropDuplicates(["_id"]))
     if _path_exists(spark, path):
-        dates = [r[0] for r in docs.select("event_date").distinct().limit(max_dates + 1).collect()]
         stored = spark.read.option("basePath", path).parquet(path)
-        if len(dates) <= max_dates:
-            stored = stored.where(F.col("event_date").cast("string").isin(dates))
         if batch_id is not None and "batch_id" in stored.columns:
-            stored = stored.where(F.col("batch_id") != batch_id)   # a replay may overwrite its own folder
-        docs = new_rows_anti(docs, stored.select("_id"), "_id")
-    write_documents_by_date(docs, target, "append" if batch_id is None else "overwrite")
-
-
-def write_documents_by_date(docs: DataFrame, target: str, mode: str = "overwrite") -> None:
-    """Documents partitioned by event_date and sorted by `_id` within files.
-
-    Range partitioning on (event_date, _id) gives each task one or a few dates, so a
-    write makes about one file per task instead of one per task and date, and a date
-    holding a third of all rows is split over many tasks.  Sorted ids give tight
-    min/max statistics for id lookups and for the stored-id check of later inserts.
-    """
-    (docs.repartitionByRange("event_date", "_id").sortWithinPartitions("event_date", "_id")
-     .write.mode(mode).partitionBy("event_date").parquet(target))
+            stored = stored.where(F.col("batch_id") != batch_id)
+        docs = docs.join(stored.select("id_bucket", "_id"), ["id_bucket", "_id"], "left_anti")
+    docs = docs.repartition("id_bucket").sortWithinPartitions("id_bucket", "_id")
+    overwrite_batch(docs, path, batch_id, "id_bucket")
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Read documents back with `event_date` as text, as written."""
+    """Read documents back as written, without the layout columns."""
     d = spark.read.option("basePath", path).parquet(path)
-    return d.withColumn("event_date", F.col("event_date").cast("string"))
+    return d.drop("id_bucket", "batch_id")
 
 
 def dead_letter_rows(raw: DataFrame, offset_mode: str = "utc") -> DataFrame:
@@ -123,48 +162,49 @@ def dead_letter_rows(raw: DataFrame, offset_mode: str = "utc") -> DataFrame:
         *RAW_FIELDS, "reject_reason", *[c for c in raw.columns if c not in RAW_FIELDS and not c.startswith("_")])
 
 
-def write_dead_letter(raw: DataFrame, path: str, batch_id: int | None = None) -> None:
-    rows = dead_letter_rows(raw).withColumn("ingest_time", F.current_timestamp().cast("timestamp_ntz"))
-    target = path if batch_id is None else f"{path.rstrip('/')}/batch_id={batch_id}"
-    rows.write.mode("append" if batch_id is None else "overwrite").parquet(target)
-
-
 def dual_sink(spark: SparkSession, flat_path: str, doc_path: str, dead_path: str | None = None,
-              *, order: str | None = None, reject_ratio_limit: float | None = None,
+              *, order: str | None = None, reject_ratio_limit: float | None = None, require: str = "all",
               on_batch: Callable[[DataFrame, int], None] | None = None,
-              on_reject: Callable[[DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
+              on_reject: Callable[[DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], list[Outcome]]:
     """B3 (+ B4, B8, N2): a `foreachBatch` function writing each transformed batch to both
     sinks and the rejects to the dead-letter sink; `on_batch` / `on_reject` are per-batch
     hooks (the success / error callbacks of the source, per batch instead of per row).
 
     The tagged batch is persisted once and read by every write.  With
     `reject_ratio_limit`, a batch whose reject share exceeds it raises (B4) before any
-    write, so the checkpoint does not advance and the batch is retried.
+    write, so the checkpoint does not advance and the batch is retried.  The function
+    returns the sinks' outcomes; require="any" lets a batch pass that either one took.
     """
-    def run(batch: DataFrame, batch_id: int) -> None:
+    def run(batch: DataFrame, batch_id: int) -> list[Outcome]:
         tagged = batch.persist()
         try:
-            if reject_ratio_limit is not None:
-                r = tagged.agg(F.avg(F.col("reject_reason").isNotNull().cast("double")).alias("r")).first()["r"]
-                if r is not None and r > reject_ratio_limit:
-                    raise RuntimeError(f"batch {batch_id}: reject ratio {r:.3f} over {reject_ratio_limit}")
+            check_reject_ratio(tagged, batch_id, reject_ratio_limit)
             ok, bad = split(tagged, order=order)
             ok = ok.drop("_seq") if "_seq" in ok.columns else ok
-            writes = [lambda: write_flat(ok, flat_path, batch_id),
-                      lambda: write_document(spark, ok, doc_path, batch_id)]
+            writes = {"flat": lambda: write_flat(ok, flat_path, batch_id),
+                      "documents": lambda: write_document(spark, ok, doc_path, batch_id)}
             if dead_path:
-                writes.append(lambda: bad.withColumn("ingest_time", F.current_timestamp().cast("timestamp_ntz"))
-                              .write.mode("overwrite").parquet(f"{dead_path.rstrip('/')}/batch_id={batch_id}"))
-            run_writes(spark, *writes)
+                writes["dead_letter"] = lambda: overwrite_batch(
+                    bad.drop("properties").withColumn("ingest_time", F.current_timestamp().cast("timestamp_ntz")), dead_path, batch_id)
+            outcomes = run_writes(spark, writes, require)
             if on_batch:
                 on_batch(ok, batch_id)
             if on_reject:
                 on_reject(bad, batch_id)
+            return outcomes
         finally:
             tagged.unpersist()
     return run
 
 
+def check_reject_ratio(tagged: DataFrame, batch_id: int, limit: float | None) -> None:
+    """Raise if the share of rejected rows is over the limit."""
+    if limit is not None:
+        r = tagged.agg(F.avg(F.col("reject_reason").isNotNull().cast("double")).alias("r")).first()["r"]
+        if r is not None and r > limit:
+            raise RuntimeError(f"batch {batch_id}: reject ratio {r:.3f} over {limit}")
+
+
 def snapshot(df: DataFrame, root: str, stamp: str) -> str:
     """Export to `<root>/<stamp>`; refuses to overwrite an existing snapshot."""
     path = f"{root.rstrip('/')}/{stamp}"

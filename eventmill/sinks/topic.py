@@ -37,7 +37,8 @@ def wrapped(value: Column) -> Column:
     """A record's JSON text as an object: one that is no JSON object goes under "data"."""
     parsed = F.try_parse_json(value)
     is_object = F.coalesce(F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(False))
-    inner = F.when(parsed.isNotNull(), value).otherwise(F.to_json(F.struct(value.alias("v"))).substr(F.lit(6), F.length(F.to_json(F.struct(value.alias("v")))) - 6))
+    quoted = F.to_json(F.struct(value.alias("v")))
+    inner = F.when(value.isNotNull(), F.when(parsed.isNotNull(), value).otherwise(quoted.substr(F.lit(6), F.length(quoted) - 6)))
     return F.when(is_object, value).otherwise(F.concat(F.lit('{"data":'), F.coalesce(inner, F.lit("null")), F.lit("}")))
 
 

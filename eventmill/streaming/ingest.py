@@ -1,24 +1,31 @@
 """Structured Streaming ingest.
 
-Source (Kafka topic or a folder of JSON message files) -> decode -> transform -> one
-shuffle by event_id -> one streaming query with two branches over that shuffle:
-
-* accepted rows: event-time watermark + `dropDuplicatesWithinWatermark(event_id)`
-  (stateful dedup, bounded by time; the shuffle is already the partitioning the state
-  needs, so no second exchange);
-* rejected rows: passed through (no watermark: a bad row is never "late").
-
-Both branches read the same shuffle output (exchange reuse), so each message is decoded
-and validated once.  `foreachBatch` writes the flat table, the document table, per-batch
-rollup partials (hourly and daily-user, with HLL sketches) and the dead letters, each
-into a `batch_id=<n>` folder, so a replayed batch overwrites itself.
-
-Offsets are committed in the checkpoint only after the batch's writes succeed
-(at-least-once input + idempotent output = exactly-once tables).
+Source (Kafka topic or a folder of JSON message files) -> decode -> rules -> one shuffle
+by event id -> one streaming query with two branches over that shuffle:
+
+* accepted rows: `dropDuplicatesWithinWatermark` by id, with the ARRIVAL time as the
+  watermark column.  Arrival times only grow, so no accepted row is ever late: an event
+  days old is written to its date like any other, and its bucket is merged, not closed.
+  The state holds the ids that arrived within the window;
+* rejected rows: passed through, keyed by a hash of the message, so that the many without
+  an id do not meet in one task.
+
+`foreachBatch` shapes and enriches the kept rows and writes the flat table, the document
+table (unique ids across all time), per-batch rollup partials and the dead letters with
+the raw message and its source columns; one row per batch and sink goes to `batch_log`.
+For any input: consumed = flat rows + repeats + dead letters.
+
+Offsets are committed in the checkpoint only after the batch's writes succeed, and a
+batch overwrites its own partitions (at-least-once input + idempotent output =
+exactly-once tables).  Each checkpoint writes under a run folder of its own; a replay
+with a fresh checkpoint, whatever its batch cuts, fills a new run, and readers move to
+it when the replay has drained (`set_live`).
 """
 
 from __future__ import annotations
 
+import hashlib
+import time
 from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -28,9 +35,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventmill.operators import rollups as R
-from eventmill.operators.transform import to_document, transform
+from eventmill.operators.transform import shape, tag
 from eventmill.operators.validate import decode_json
-from eventmill.sinks.files import run_writes, write_documents_by_date, write_flat
+from eventmill.sinks.files import (Outcome, WriteError, _path_exists, check_reject_ratio, overwrite_batch, run_writes,
+                                   write_document, write_flat)
 
 
 @dataclass
@@ -65,18 +73,22 @@ class StreamSource:
                 # split topic partitions into more Spark tasks (6 topic partitions would
                 # otherwise cap a large cluster at 6 concurrent tasks)
                 r = r.option("minPartitions", self.min_partitions)
-            return r.load().select(F.col("value").cast("string").alias("value"), "topic", "partition", "offset")
+            return r.load().select(F.col("value").cast("string").alias("value"), "topic", "partition", "offset", "headers")
         raise ValueError(f"unknown source kind {self.kind}")
 
 
 def tagged_stream(spark: SparkSession, source: StreamSource, offset_mode: str = "utc") -> DataFrame:
-    """Decoded and tagged events with an event-time column for watermarks.
+    """Decoded messages with their raw text, source columns, reject reason and two times.
 
-    Event times are UTC wall clock (timestamp_ntz); watermarks need `timestamp`, so
-    `event_time` is the same instant as a session-zone (UTC) timestamp.
+    `arrival` is the time of the micro-batch (the same when a batch is retried);
+    `event_time` is the event's own UTC time as a `timestamp`, NULL for rejected rows.
     """
-    t = transform(decode_json(source.read(spark)), offset_mode=offset_mode)
-    return t.withColumn("event_time", F.col("timestamp").cast("timestamp"))
+    messages = source.read(spark).withColumn("raw_message", F.col("value"))
+    tagged = tag(decode_json(messages), offset_mode=offset_mode)
+    ok = F.col("reject_reason").isNull()
+    return tagged.select("*", F.current_timestamp().alias("arrival"),
+                         F.when(ok, F.col("_ts").cast("timestamp")).alias("event_time"),
+                         F.when(ok, F.col("event_id")).otherwise(F.md5(F.coalesce("raw_message", F.lit("")))).alias("_key"))
 
 
 def observed(tagged: DataFrame, name: str = "batch_metrics") -> DataFrame:
@@ -86,44 +98,83 @@ def observed(tagged: DataFrame, name: str = "batch_metrics") -> DataFrame:
                           F.count_if(F.col("reject_reason").isNotNull()).alias("rejected"))
 
 
-def dedup_stream(tagged: DataFrame, watermark: str = "1 day") -> DataFrame:
-    """L4: accepted rows, first delivery per event_id within the watermark."""
+def dedup_stream(tagged: DataFrame, watermark: str = "1 day", time_col: str = "event_time") -> DataFrame:
+    """L4: accepted rows, first delivery per event_id within the watermark on `time_col`."""
     ok = tagged.where(F.col("reject_reason").isNull()).drop("reject_reason")
-    return ok.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(["event_id"])
+    return ok.withWatermark(time_col, watermark).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def batch_writer(spark: SparkSession, root: str,
-                 on_batch: Callable[[DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
-    """B3 + B8 in `foreachBatch`: persist the tagged batch (accepted rows after the
-    stateful dedup, plus rejected rows) once, then write flat rows, documents, the two
-    partial rollups and the dead letters; every output is keyed by batch id (replay-safe).
+BATCH_LOG = "run string, batch_id long, sink string, ok boolean, rows long, seconds double, error string"
+
+
+def batch_writer(spark: SparkSession, root: str, run: str, *, reject_ratio_limit: float | None = None, require: str = "all",
+                 on_batch: Callable[[DataFrame, int], None] | None = None,
+                 on_reject: Callable[[DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
+    """B3 + B4 + B8 + N2 in `foreachBatch`: persist the kept rows (accepted after the stateful
+    dedup, plus rejected) once, then write flat rows, documents, the two partial rollups
+    and the dead letters; every output is keyed by batch id (replay-safe).
 
     The flat write runs first and computes the batch (the stateful dedup runs once); the
-    other writes then run as concurrent jobs over the cached rows.  `on_batch` gets the
-    accepted rows.
+    other writes then run as concurrent jobs over the cached rows.  Each sink's outcome,
+    rows and seconds go to `batch_log` (G17, N3), also when the batch fails.  `on_batch`
+    gets the accepted rows, `on_reject` the rejected ones.
     """
-    def run(batch: DataFrame, batch_id: int) -> None:
-        b = batch.drop("event_time").persist()
+    def write(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.drop("arrival", "event_time", "_key").persist()
+        began = time.time()
+        counts, outcomes = None, []
         try:
-            ok = b.where(F.col("reject_reason").isNull()).drop("reject_reason")
-            bad = b.where(F.col("reject_reason").isNotNull()).select(
-                "reject_reason", "event_id", "user_id", "event_type", F.col("timestamp").alias("event_time_parsed"),
-                F.current_timestamp().cast("timestamp_ntz").alias("ingest_time"))
-            run_writes(
-                spark,
-                lambda: write_flat(ok, f"{root}/flat", batch_id),
-                lambda: write_documents_by_date(to_document(ok), f"{root}/documents/batch_id={batch_id}"),
-                lambda: R.hourly_partials(ok.withColumn("block", F.lit(batch_id)))
-                .write.mode("overwrite").parquet(f"{root}/hourly_partials/batch_id={batch_id}"),
-                lambda: daily_partials(ok).write.mode("overwrite")
-                .parquet(f"{root}/daily_partials/batch_id={batch_id}"),
-                lambda: bad.write.mode("overwrite").parquet(f"{root}/dead_letter/batch_id={batch_id}"),
-            )
+            check_reject_ratio(kept, batch_id, reject_ratio_limit)
+            ok = shape(kept.where(F.col("reject_reason").isNull()).drop("reject_reason", "raw_message"))
+            bad = kept.where(F.col("reject_reason").isNotNull()).drop("_ts", "_uid", "_props_kind").withColumn(
+                "ingest_time", F.current_timestamp().cast("timestamp_ntz"))
+            outcomes = run_writes(spark, {
+                "flat": lambda: write_flat(ok, f"{root}/flat", batch_id),
+                "documents": lambda: write_document(spark, ok, f"{root}/documents", batch_id),
+                "hourly_partials": lambda: overwrite_batch(R.hourly_partials(ok.withColumn("block", F.lit(batch_id))), f"{root}/hourly_partials", batch_id),
+                "daily_partials": lambda: overwrite_batch(daily_partials(ok), f"{root}/daily_partials", batch_id),
+                "dead_letter": lambda: overwrite_batch(bad, f"{root}/dead_letter", batch_id),
+            }, require)
+            counts = kept.agg(F.count_if(F.col("reject_reason").isNull()).alias("ok"), F.count_if(F.col("reject_reason").isNotNull()).alias("bad")).first()
             if on_batch:
                 on_batch(ok, batch_id)
+            if on_reject:
+                on_reject(bad, batch_id)
+        except WriteError as e:
+            outcomes = e.outcomes
+            raise
+        except Exception as e:
+            outcomes = outcomes or [Outcome("batch", False, time.time() - began, f"{type(e).__name__}: {e}"[:2000])]
+            raise
         finally:
-            b.unpersist()
-    return run
+            rows = [(run, batch_id, o.sink, o.ok, None if counts is None else counts["bad"] if o.sink == "dead_letter" else counts["ok"], o.seconds, o.error) for o in outcomes]
+            overwrite_batch(spark.createDataFrame(rows, BATCH_LOG).drop("batch_id").coalesce(1), f"{root}/batch_log", batch_id)
+            kept.unpersist()
+    return write
+
+
+def run_name(checkpoint: str) -> str:
+    """The run that a checkpoint belongs to."""
+    return hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
+
+def set_live(spark: SparkSession, root: str, run: str) -> None:
+    """Readers of `root` see this run from now on: a marker folder with the next number is made, in one step."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{root}/live")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    known = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+    last = max((int(n.split("-")[0]) for n in known), default=-1)
+    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(folder, f"{last + 1:08d}-{run}"))
+
+
+def live_root(spark: SparkSession, root: str) -> str:
+    """Folder of the run that readers of `root` see."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{root}/live")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    newest = max(f.getPath().getName() for f in fs.listStatus(folder))
+    return f"{root}/run={newest.split('-', 1)[1]}"
 
 
 def daily_partials(events: DataFrame, lg_k: int = 12) -> DataFrame:
@@ -141,29 +192,44 @@ def merge_daily_partials(partials: DataFrame) -> DataFrame:
             .agg(F.min("first_event_time").alias("first_event_time"),
                  F.max("last_event_time").alias("last_event_time"),
                  F.sum("event_count").alias("event_count"),
-                 F.hll_sketch_estimate(F.hll_union_agg("types_sketch")).alias("unique_event_types"),
-                 F.hll_sketch_estimate(F.hll_union_agg("sessions_sketch")).alias("session_count")))
+                 F.hll_sketch_estimate(F.hll_union_agg("types_sketch")).alias("approx_event_types"),
+                 F.hll_sketch_estimate(F.hll_union_agg("sessions_sketch")).alias("approx_sessions")))
 
 
-def run_stream(spark: SparkSession, source: StreamSource, root: str, checkpoint: str, *,
-               watermark: str = "1 day", available_now: bool = True, processing_time: str | None = None,
-               offset_mode: str = "utc", state_partitions: int | None = None,
-               on_batch: Callable[[DataFrame, int], None] | None = None) -> list[StreamingQuery]:
+def run_stream(spark: SparkSession, source: StreamSource, root: str, checkpoint: str, *, state_partitions: int,
+               window: str = "1 day", available_now: bool = True, processing_time: str | None = None,
+               offset_mode: str = "utc", reject_ratio_limit: float | None = None, require: str = "all",
+               on_batch: Callable[[DataFrame, int], None] | None = None,
+               on_reject: Callable[[DataFrame, int], None] | None = None) -> list[StreamingQuery]:
     """A1 + L1-L4, B8: start the ingest query (accepted and rejected rows in one query).
 
     available_now=True drains what is there and stops (L2); otherwise a processing-time
     trigger (L1, default 5 seconds).  `state_partitions` is the number of dedup state
-    partitions, fixed in the checkpoint at the first start (default: the cluster's
-    cores).  Returns the started queries; callers wait on them.
+    partitions, fixed in the checkpoint at the first start.  Repeats are found among the
+    ids that arrived within `window`.  The first run of a root is live from the start;
+    after a replay has drained, call `set_live(spark, root, run_name(checkpoint))`.
+    Returns the started queries; callers wait on them.
     """
+    run = run_name(checkpoint)
+    if not _path_exists(spark, f"{root}/live"):
+        set_live(spark, root, run)
+    tagged = tagged_stream(spark, source, offset_mode)
+    # the watermark goes below the shuffle (it does not pass on its input's partitioning), then one
+    # hash shuffle by key: both branches read it, and the dedup needs no exchange of its own
+    shared = observed(tagged.withWatermark("arrival", window).repartition("_key"))
+    accepted = shared.where(F.col("reject_reason").isNull()).dropDuplicatesWithinWatermark(["_key"])
+    rejected = shared.where(F.col("reject_reason").isNotNull())
+    write = batch_writer(spark, f"{root}/run={run}", run, reject_ratio_limit=reject_ratio_limit, require=require, on_batch=on_batch, on_reject=on_reject)
+    w = (accepted.unionByName(rejected).writeStream.foreachBatch(write)
+         .option("checkpointLocation", f"{checkpoint}/events"))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "5 seconds")
     with state_partitions_for_start(spark, state_partitions):
-        return _start_stream(spark, source, root, checkpoint, watermark, available_now, processing_time,
-                             offset_mode, on_batch)
+        return [w.start()]
 
 
 @contextmanager
-def state_partitions_for_start(spark: SparkSession, n: int | None = None):
-    """Start streaming queries with `n` state partitions (default: the cluster's cores).
+def state_partitions_for_start(spark: SparkSession, n: int):
+    """Start streaming queries with `n` state partitions.
 
     A streaming query clones the session when it starts and keeps the partition count
     of its state in the checkpoint, so the setting is restored right after the start.
@@ -174,7 +240,7 @@ def state_partitions_for_start(spark: SparkSession, n: int | None = None):
     only each batch's changes to the checkpoint folder instead of whole snapshots.
     """
     prev = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(n or spark.sparkContext.defaultParallelism))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
     set_here = []
     for k, v in STATE_CONF.items():
         if spark.conf.get(k, None) is None:
@@ -195,50 +261,36 @@ STATE_CONF = {
 }
 
 
-def _start_stream(spark, source, root, checkpoint, watermark, available_now, processing_time,
-                  offset_mode, on_batch) -> list[StreamingQuery]:
-    # Rejected rows carry no event time: they neither move the watermark nor count as late.
-    # The watermark goes below the shuffle (it does not pass on its input's partitioning),
-    # then one hash shuffle by event_id (state partitions = spark.sql.shuffle.partitions at
-    # start) and `observe`: the reject filters of the branches stop above it instead of
-    # being pushed down into the parse, so both branches share the shuffle output and the
-    # dedup needs no exchange of its own.
-    tagged = tagged_stream(spark, source, offset_mode)
-    tagged = tagged.withColumn("event_time", F.when(F.col("reject_reason").isNull(), F.col("event_time")))
-    shared = observed(tagged.withWatermark("event_time", watermark).repartition("event_id"))
-    accepted = shared.where(F.col("reject_reason").isNull()).dropDuplicatesWithinWatermark(["event_id"])
-    rejected = shared.where(F.col("reject_reason").isNotNull())
-    w = (accepted.unionByName(rejected).writeStream.foreachBatch(batch_writer(spark, root, on_batch))
-         .option("checkpointLocation", f"{checkpoint}/events"))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "5 seconds")
-    return [w.start()]
-
-
 def session_stream(tagged: DataFrame, gap: str = "30 minutes", watermark: str = "1 day") -> DataFrame:
     """Session windows per user over the de-duplicated accepted stream (two chained
     stateful operators: watermark dedup, then the session aggregation).  Append mode
-    emits a session once the watermark passes its end; sessions still open when the
-    stream stops stay in state until later data arrives."""
-    return (dedup_stream(tagged, watermark)
+    emits a session once the watermark passes its end.  Sessions still open when the
+    input ends come out as soon as any later event (a heartbeat) moves the watermark."""
+    return (dedup_stream(tagged, watermark).withColumnRenamed("_uid", "uid").drop("user_id").withColumnRenamed("uid", "user_id")
             .groupBy("user_id", F.session_window("event_time", gap).alias("s"))
             .agg(F.count(F.lit(1)).alias("event_count"))
             .select("user_id", F.col("s.start").cast("timestamp_ntz").alias("session_start"),
                     F.col("s.end").cast("timestamp_ntz").alias("session_end"), "event_count"))
 
 
-def write_message_files(raw: DataFrame, path: str, n_files: int = 4) -> str:
-    """Land raw events as JSON message files in arrival order: first deliveries in
-    `n_files` id ranges, then the repeat deliveries; one folder per chunk, written one
-    after another so file times follow arrival order.  Returns the glob to read."""
+def write_message_files(raw: DataFrame, path: str, n_files: int = 4, heartbeat: bool = False) -> str:
+    """Land raw events as JSON message files in arrival order: `n_files` id ranges, each with its first
+    deliveries and repeats: of every other id the repeat comes with the first delivery, of the others one file
+    later; one folder per chunk, written one after another so file times follow arrival order.  heartbeat=True adds a
+    last message three days after the newest event.  Returns the glob to read."""
     from eventmill.sources.raw import to_json_messages
     bounds = raw.agg(F.min("src_id").alias("lo"), F.max("src_id").alias("hi")).first()
     lo, hi = int(bounds["lo"]), int(bounds["hi"])
     step = max(1, (hi - lo + n_files) // n_files)
-    for i in range(n_files):
-        part = raw.where((F.col("delivery") == 0) & (F.col("src_id") >= lo + i * step)
-                         & (F.col("src_id") < lo + (i + 1) * step))
-        to_json_messages(part).write.mode("errorifexists").text(f"{path}/c{i:04d}")
-    to_json_messages(raw.where(F.col("delivery") != 0)).write.mode("errorifexists").text(f"{path}/c{n_files:04d}")
+    chunk = F.floor((F.col("src_id") - lo) / step) + F.when((F.col("delivery") != 0) & (F.floor(F.col("src_id") / 50) % 2 == 1), 1).otherwise(0)
+    placed = raw.withColumn("_chunk", chunk)
+    for i in range(n_files + 1):
+        to_json_messages(placed.where(F.col("_chunk") == i).drop("_chunk")).write.mode("errorifexists").text(f"{path}/c{i:04d}")
+    if heartbeat:
+        newest = raw.where(F.col("timestamp").rlike("^[0-9]{4}-")).agg(F.max("timestamp").alias("t")).first()["t"]
+        later = F.concat(F.date_format(F.lit(newest[:19]).cast("timestamp_ntz") + F.expr("INTERVAL 3 DAYS"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
+        beat = raw.sparkSession.range(1).select(F.to_json(F.struct(F.lit("heartbeat").alias("event_id"), F.lit("-1").alias("user_id"), F.lit("heartbeat").alias("event_type"), later.alias("timestamp"))).alias("value"))
+        beat.write.mode("errorifexists").text(f"{path}/c{n_files + 1:04d}")
     return f"{path}/c*/part-*"
 
 
@@ -252,8 +304,8 @@ def progress_log(spark: SparkSession, queries: list[StreamingQuery]) -> DataFram
     input rows and rates, trigger / batch durations (feed `duration_histogram`), state
     rows, rows dropped as later than the watermark (L8), and the observed counts.
 
-    Progress is kept by Spark for the last `spark.sql.streaming.numRecentProgressUpdates`
-    batches, so this is bounded driver-side data.
+    Spark keeps the progress of the last `spark.sql.streaming.numRecentProgressUpdates`
+    batches; the whole history is in the `batch_log` table.
     """
     rows = []
     for q in queries:

@@ -39,5 +39,5 @@ def test_duplicate_report(spark):
     rows = [sample(), sample(), sample(event_id="x-2")]
     ok, _ = split(transform(raw_df(spark, rows)))
     rep = duplicate_report(transform(raw_df(spark, rows)).where("reject_reason is null")).collect()
-    assert [(r["event_id"], r["count"]) for r in rep] == [("test-event-123", 2)]
+    assert [(r["event_id"], r["count"]) for r in rep] == [("ev-7f", 2)]
     assert ok.count() == 2

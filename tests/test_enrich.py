@@ -39,7 +39,7 @@ def test_category(spark, etype, cat):
 
 
 @pytest.mark.parametrize("ip,geo", [
-    ("192.168.1.100", ("Private", "Private", "Private")),
+    ("10.20.30.40", ("Private", "Private", "Private")),
     ("203.0.113.9", ("Private", "Private", "Private")),
     # md5 prefix value 1090471129 -> country 9, region 1, city 4
     ("8.8.8.8", ("CN", "NY", "Seattle")),
@@ -109,4 +109,36 @@ def test_document_enrichment_struct(spark):
     d = to_document(transform(raw_df(spark, [sample(ip_address="8.8.8.8")]))).first()
     assert d["timestamp"] == "2024-01-15T10:30:00Z"
     assert d["enrichment"]["geo_enriched"] and d["enrichment"]["user_agent_parsed"]
-    assert d["enrichment"]["processed_version"] == "1.0" and d["_id"] == "test-event-123"
+    assert d["enrichment"]["processed_version"] == "1.0" and d["_id"] == "ev-7f"
+
+
+def test_ipv6_matches_stdlib(spark):
+    import ipaddress
+    import random
+
+    from pyspark.sql import functions as F
+
+    from eventmill.functions.ipaddr import ipv6_hex, private_v6
+    rnd = random.Random(4)
+    texts = ["0:0:0:0:0:0:0:1", "::1", "::", "2001:3::1", "2001:20::1", "2001:4:112::1", "100::1:0:0:0:0", "100::1", "::ffff:1.2.3.4",
+             "::ffff:10.0.0.1", "fe80::1%eth0", "1:2:3:4:5:6:7::8", "1:2:3:4:5:6:7::", "::2:3:4:5:6:7:8", "1::8::9", ":1:2:3:4:5:6:7:8",
+             "12345::", "g::1", "fc00::", "febf::1", "fec0::1", "2001:db8::5", "2002::1", "64:ff9b:1::1", "1:2:3:4:5:6:1.2.3.4",
+             "::1.2.3.256", "1:2", "", ":::", "::00001", "1.2.3.4", "2001:1::1", "2001:1::3"]
+    for _ in range(100):
+        a = ipaddress.IPv6Address(rnd.getrandbits(128) >> rnd.choice([0, 64, 100, 120]))
+        texts += [str(a), a.exploded]
+    df = spark.createDataFrame([(t,) for t in texts], "ip string").withColumn("h", ipv6_hex(F.col("ip"))).withColumn("p", private_v6(F.col("h")))
+    for r in df.collect():
+        try:
+            a = ipaddress.IPv6Address(r["ip"])
+            want = (f"{int(a) & (2**128 - 1):032x}", a.is_private)
+        except ValueError:
+            want = (None, None)
+        assert (r["h"], r["p"]) == want, r["ip"]
+
+
+def test_switches_leave_rules_or_enrichment_out(spark):
+    rows = raw_df(spark, [sample(), sample(event_id="bad", timestamp="garbage")])
+    assert transform(rows, validate=False).where("reject_reason is not null").count() == 0
+    bare = transform(rows, enrich=False).where("event_id = 'ev-7f'").first()
+    assert bare["browser"] is None and bare["country"] is None and bare["event_category"] == "engagement"

@@ -10,6 +10,7 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as E
+from eventmill.plans import registry
 from eventmill.sources.tables import TABLES, table_path
 
 
@@ -38,12 +39,12 @@ def con():
     return c
 
 
-ORACLE = E.oracle_sql()
+ORACLE = registry.oracle_sql()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_key_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = registry.queries()[name](spark, SF_SMALL)
     s_rows = [tuple(r) for r in df.collect()]
     r = con.execute(ORACLE[name])
     d_cols = [x[0] for x in r.description]
@@ -53,6 +54,7 @@ def test_key_matches_oracle(spark, con, name):
 
 def test_every_key_has_a_query_and_entry_runs(spark):
     q = E.queries()
+    assert set(registry.queries()) <= set(q)
     assert len(q) >= 80
     assert set(ORACLE) <= set(q)
     out = E.entry(spark)

@@ -62,30 +62,102 @@ def test_reject_ratio_gate_raises(spark):
         write(transform(raw_df(spark, rows)), 0)
 
 
+def drain(spark, glob, root, ckpt, max_files=1, **kw):
+    from eventmill.streaming.ingest import StreamSource, run_stream
+    src = StreamSource(kind="files", path=glob, max_files=max_files, min_partitions=4)
+    qs = run_stream(spark, src, root, ckpt, state_partitions=4, **kw)
+    for q in qs:
+        q.awaitTermination()
+    return qs
+
+
 def test_stream_equals_batch_and_replay_adds_nothing(spark):
     from eventmill.sources.raw import raw_events
-    from eventmill.streaming.ingest import StreamSource, progress_log, run_stream, write_message_files
+    from eventmill.streaming.ingest import live_root, progress_log, run_name, set_live, write_message_files
     base = scratch_dir(spark, "stream")
     raw = raw_events(spark, SF_SMALL)
     glob = write_message_files(raw, f"{base}/in", 3)
-    src = StreamSource(kind="files", path=glob, max_files=1, min_partitions=4)
-    qs = run_stream(spark, src, f"{base}/out", f"{base}/ckpt", watermark="1 day")
-    for q in qs:
-        q.awaitTermination()
+    taken, refused = [], []
+    qs = drain(spark, glob, f"{base}/out", f"{base}/ckpt", on_batch=lambda d, i: taken.append(d.count()), on_reject=lambda d, i: refused.append(d.count()))
     # every message is counted once per query in the observed per-batch metrics
     prog = progress_log(spark, qs).where("consumed is not null")
     totals = [r[1] for r in prog.groupBy("query").sum("consumed").collect()]
     assert totals and all(t == raw.count() for t in totals)
+    assert prog.agg({"dropped_by_watermark": "sum"}).first()[0] == 0
     batch = transform_events(raw).select("event_id")
-    streamed = read_flat(spark, f"{base}/out/flat")
-    assert streamed.count() == batch.count()
+    live = live_root(spark, f"{base}/out")
+    streamed = read_flat(spark, f"{live}/flat")
+    assert streamed.count() == batch.count() == sum(taken)
     assert streamed.select("event_id").exceptAll(batch).count() == 0
-    dead = spark.read.parquet(f"{base}/out/dead_letter").count()
-    assert dead == transform(raw).where("reject_reason is not null").count()
-    # replay: the same checkpoint finds nothing new, tables unchanged
-    for q in run_stream(spark, src, f"{base}/out", f"{base}/ckpt", watermark="1 day"):
-        q.awaitTermination()
-    assert read_flat(spark, f"{base}/out/flat").count() == batch.count()
+    dead = spark.read.parquet(f"{live}/dead_letter")
+    tagged = transform(raw)
+    assert dead.count() == tagged.where("reject_reason is not null").count() == sum(refused)
+    # nothing is lost: consumed = flat + repeats + dead letters
+    accepted = tagged.where("reject_reason is null")
+    repeats = accepted.count() - accepted.select("event_id").distinct().count()
+    assert raw.count() == streamed.count() + repeats + dead.count()
+    log = spark.read.parquet(f"{live}/batch_log")
+    assert {r["sink"]: r["n"] for r in log.groupBy("sink").sum("rows").withColumnRenamed("sum(rows)", "n").collect()}["flat"] == batch.count()
+    # the same checkpoint finds nothing new, tables unchanged
+    drain(spark, glob, f"{base}/out", f"{base}/ckpt")
+    assert read_flat(spark, f"{live}/flat").count() == batch.count()
+    # a replay from the start with other batch cuts fills a run of its own; readers then see that one
+    drain(spark, glob, f"{base}/out", f"{base}/ckpt2", max_files=2)
+    assert live_root(spark, f"{base}/out") == live
+    set_live(spark, f"{base}/out", run_name(f"{base}/ckpt2"))
+    again = live_root(spark, f"{base}/out")
+    assert again != live and read_flat(spark, f"{again}/flat").count() == batch.count()
+    assert spark.read.parquet(f"{again}/documents").select("_id").distinct().count() == batch.count()
+
+
+def test_compaction_keeps_rows_in_fewer_files(spark):
+    import glob
+
+    from eventmill.sinks.files import compact_flat
+    path, out = scratch_dir(spark, "many"), scratch_dir(spark, "few")
+    for b in range(4):
+        write_flat(transform_events(raw_df(spark, [sample(event_id=f"c-{b}-{i}") for i in range(3)])), path, batch_id=b)
+    compact_flat(spark, path, out)
+    assert sorted(r[0] for r in read_flat(spark, out).select("event_id").collect()) == sorted(r[0] for r in read_flat(spark, path).select("event_id").collect())
+    assert len(glob.glob(f"{out}/event_date=*/*.parquet")) < len(glob.glob(f"{path}/event_date=*/batch_id=*/*.parquet"))
+    plan = read_flat(spark, path).where("event_date = date'2024-01-15'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+
+
+def test_one_id_on_two_dates_is_stored_once(spark):
+    path = scratch_dir(spark, "docdates")
+    for b, day in enumerate(("2024-01-15", "2024-01-16")):
+        write_document(spark, transform_events(raw_df(spark, [sample(timestamp=f"{day}T10:00:00Z"), sample(event_id=f"only-{b}", timestamp=f"{day}T11:00:00Z")])), path, batch_id=b)
+    assert sorted(r[0] for r in spark.read.parquet(path).select("_id").collect()) == ["ev-7f", "only-0", "only-1"]
+
+
+def test_sink_outcomes_are_recorded(spark):
+    import pytest
+
+    from eventmill.sinks.files import WriteError, run_writes
+
+    def fails():
+        raise ValueError("no space")
+    got = run_writes(spark, {"flat": lambda: None, "documents": fails}, require="any")
+    assert [(o.sink, o.ok) for o in got] == [("flat", True), ("documents", False)] and "no space" in got[1].error
+    with pytest.raises(WriteError):
+        run_writes(spark, {"flat": lambda: None, "documents": fails})
+    with pytest.raises(WriteError):
+        run_writes(spark, {"flat": fails, "documents": fails}, require="any")
+
+
+def test_topic_headers_wrapping_and_failures(spark):
+    from pyspark.sql import functions as F
+
+    from eventmill.sinks.topic import partition_batch_counts, to_topic_rows, wrapped
+    df = spark.createDataFrame([("a", 1), ("b", None)], "event_id string, user_id long")
+    rows = to_topic_rows(df, "t", partition=lambda d: F.pmod(F.col("user_id"), F.lit(2)).cast("int"), headers={"source": F.lit("x")})
+    assert bytes(rows.first()["headers"][0]["value"]) == b"x"
+    assert {r["partition"]: (r["sent"], r["failed"]) for r in partition_batch_counts(rows).collect()} == {1: (1, 0), None: (0, 1)}
+    default = to_topic_rows(df, "t").orderBy("key").collect()
+    assert [r["partition"] for r in default] == [r["partition"] for r in to_topic_rows(df, "t").orderBy("key").collect()]
+    texts = spark.createDataFrame([('{"a":1}',), ("[1,2]",), ("plain \"q\"",), (None,)], "v string").select(wrapped(F.col("v")).alias("w")).collect()
+    assert [r["w"] for r in texts] == ['{"a":1}', '{"data":[1,2]}', '{"data":"plain \\"q\\""}', '{"data":null}']
 
 
 def test_snapshot_refuses_overwrite(spark):
@@ -99,35 +171,46 @@ def test_snapshot_refuses_overwrite(spark):
         snapshot(df, root, "20240101T000000")
 
 
-def test_rejected_row_does_not_move_the_watermark(spark):
-    # a rejected message with a far-future time arrives first; if it moved the watermark,
-    # the new row ok-3 of the last batch would be dropped as late (and ok-1's state evicted)
+def land(base, batches):
+    """Message files in arrival order, one per batch."""
     import json
     import os
 
     from eventmill.session import local_makedirs
-    from eventmill.streaming.ingest import StreamSource, run_stream
-    base = scratch_dir(spark, "wm")
-    rows = [
-        [sample(event_id="bad-1", user_id="not_a_number", timestamp="2099-01-01T00:00:00Z"),
-         sample(event_id="ok-1", timestamp="2024-01-10T08:00:00Z")],
-        [sample(event_id="ok-2", timestamp="2024-01-10T08:30:00Z")],
-        [sample(event_id="ok-3", timestamp="2024-01-10T08:45:00Z"),
-         sample(event_id="ok-1", timestamp="2024-01-10T08:00:00Z")],      # repeat delivery
-    ]
-    for i, batch in enumerate(rows):
+    for i, batch in enumerate(batches):
         d = f"{base}/in/c{i}"
         local_makedirs(d)
         p = f"{d.replace('file:', '')}/part-0.json"
         with open(p, "w") as f:
-            f.write("\n".join(json.dumps(r) for r in batch) + "\n")
-        os.utime(p, (1_700_000_000 + i, 1_700_000_000 + i))          # arrival order
-    src = StreamSource(kind="files", path=f"{base}/in/c*/part-*", max_files=1)
-    qs = run_stream(spark, src, f"{base}/out", f"{base}/ckpt", watermark="1 hour")
-    for q in qs:
-        q.awaitTermination()
-    assert len(qs) == 1
-    ids = sorted(r[0] for r in read_flat(spark, f"{base}/out/flat").select("event_id").collect())
-    assert ids == ["ok-1", "ok-2", "ok-3"]
-    dead = spark.read.parquet(f"{base}/out/dead_letter")
-    assert [r[0] for r in dead.select("event_id").collect()] == ["bad-1"]
+            f.write("\n".join(b if isinstance(b, str) else json.dumps(b) for b in batch) + "\n")
+        os.utime(p, (1_700_000_000 + i, 1_700_000_000 + i))
+    return f"{base}/in/c*/part-*"
+
+
+def test_late_rows_are_kept_and_rejects_can_be_read_again(spark):
+    from eventmill.streaming.ingest import live_root
+    base = scratch_dir(spark, "late")
+    glob = land(base, [
+        [sample(event_id="bad-1", user_id="not_a_number", timestamp="2099-01-01T00:00:00Z"), sample(event_id="ok-1", timestamp="2024-01-10T08:00:00Z")],
+        ["{broken json text 42", sample(event_id="ok-2", timestamp="2024-01-10T08:30:00Z")],
+        [sample(event_id="ok-3", timestamp="2024-01-05T08:45:00Z"), sample(event_id="ok-1", timestamp="2024-01-10T08:00:00Z")],  # five days late; a repeat
+    ])
+    drain(spark, glob, f"{base}/out", f"{base}/ckpt", window="1 hour")
+    live = live_root(spark, f"{base}/out")
+    assert sorted(r[0] for r in read_flat(spark, f"{live}/flat").select("event_id").collect()) == ["ok-1", "ok-2", "ok-3"]
+    dead = {r["reject_reason"]: r for r in spark.read.parquet(f"{live}/dead_letter").collect()}
+    assert set(dead) == {"decode:json", "type:user_id"}
+    assert dead["decode:json"]["raw_message"] == "{broken json text 42"
+    assert dead["type:user_id"]["user_id"] == "not_a_number" and "not_a_number" in dead["type:user_id"]["raw_message"]
+    assert spark.read.parquet(f"{live}/dead_letter").columns.count("batch_id") == 1
+
+
+def test_stream_gate_fails_the_batch_and_logs_it(spark):
+    from eventmill.streaming.ingest import run_name
+    base = scratch_dir(spark, "streamgate")
+    glob = land(base, [[sample(event_id="x", timestamp="garbage"), sample(event_id="y", timestamp="garbage"), sample(event_id="z")]])
+    import pytest
+    with pytest.raises(Exception):
+        drain(spark, glob, f"{base}/out", f"{base}/ckpt", reject_ratio_limit=0.5)
+    log = spark.read.parquet(f"{base}/out/run={run_name(f'{base}/ckpt')}/batch_log").collect()
+    assert [(r["sink"], r["ok"]) for r in log] == [("batch", False)] and "reject ratio" in log[0]["error"]

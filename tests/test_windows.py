@@ -17,7 +17,7 @@ def brute_sessions(rows, gap_s=1800):
         ts.sort()
         n, prev = 0, None
         for t in ts:
-            if prev is None or (t - prev).total_seconds() > gap_s:
+            if prev is None or (t - prev).total_seconds() >= gap_s:
                 n += 1
                 out[(u, n)] = [t, t, 0]
             s = out[(u, n)]
@@ -97,8 +97,9 @@ def test_exact_quantiles_match_numpy_with_narrowing(spark):
     vals = np.concatenate([rnd.exponential(2.0, 20000), np.full(5000, 1.5), rnd.normal(50, 1, 300)])
     df = spark.createDataFrame([(float(x),) for x in vals], "x double")
     probs = [0.0, 0.5, 0.95, 0.99, 1.0]
-    got = exact_quantiles(df, "x", probs, buckets=16, max_collect=500)    # forces several passes
-    want = np.quantile(vals, probs)                                      # linear interpolation
+    row = exact_quantiles(df, "x", probs, accuracy=200).first()          # wide brackets, none of them all values
+    got, want = row["q"], np.quantile(vals, probs)                       # linear interpolation
+    assert row["n"] == len(vals)
     assert np.allclose(got, want, rtol=0, atol=1e-12)
 
 
@@ -107,5 +108,27 @@ def test_exact_quantiles_inside_a_large_tie(spark):
     from eventmill.operators.analytics import exact_quantiles
     vals = np.concatenate([np.full(3000, 7.25), np.arange(100, dtype=float)])
     df = spark.createDataFrame([(float(x),) for x in vals], "x double")
-    got = exact_quantiles(df, "x", [0.5, 0.9], buckets=8, max_collect=100)
+    got = exact_quantiles(df, "x", [0.5, 0.9], accuracy=100).first()["q"]
     assert np.allclose(got, np.quantile(vals, [0.5, 0.9]))
+
+
+def test_approx_users_within_three_sigma(spark):
+    from eventmill.operators.analytics import approx_users
+    rsd, misses = 0.01, 0
+    for seed in range(5):
+        df = spark.range(40_000).select(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(3000)).alias("user_id"),
+                                        F.lit(dt.datetime(2024, 1, 2, 3)).cast("timestamp_ntz").alias("timestamp"))
+        df = df.withColumn("event_date", F.to_date("timestamp"))
+        exact = df.select("user_id").distinct().count()
+        misses += abs(approx_users(df, as_of="2024-01-02 10:00:00", rsd=rsd).first()[0] - exact) > 3 * rsd * exact
+    assert misses == 0
+
+
+def test_plans_without_expand_and_enrichment_after_the_shuffle(spark):
+    from conftest import SF_SMALL
+    from eventmill.plans.registry import queries
+    for name in ("daily_users", "transform_stats", "latest_daily_user", "latency_percentiles"):
+        assert "Expand" not in queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString(), name
+    plan = queries()["transform_events"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "md5" in plan and "md5" not in plan[plan.index("Exchange"):]
+    assert "md5" not in queries()["dedup_events"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
