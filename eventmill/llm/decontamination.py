@@ -146,10 +146,10 @@ def found_whole(passage: np.ndarray, text: np.ndarray) -> int | None:
             return at // 4
 
 
-def banded_distance(passage: np.ndarray, text: np.ndarray, low: int, high: int, most: int) -> tuple[int, int] | None:
+def banded_distance(passage: np.ndarray, text: np.ndarray, low: int, high: int, most: int, from_start: bool = False) -> tuple[int, int] | None:
     """(edits, end in the text) of the best alignment of the whole passage within diagonals low to high; None above most.
 
-    The alignment may begin and end anywhere in the text. Row i of the table holds the cells of passage place i on
+    The alignment may begin anywhere in the text, or only at its start, and end anywhere. Row i of the table holds the cells of passage place i on
     diagonals low - most to high + most; a step along a row is a minimum over the cells to its left.
     """
     first, last = low - most, high + most
@@ -157,7 +157,7 @@ def banded_distance(passage: np.ndarray, text: np.ndarray, low: int, high: int,
     far = most + 1
     slope = np.arange(width)
     ends = slope + first  # text characters used at row 0
-    row = np.where((ends >= 0) & (ends <= len(text)), 0, far)
+    row = np.where((ends >= 0) & (ends <= len(text)), np.minimum(ends, far) if from_start else 0, far)
     padded = np.concatenate([text.astype(np.int64), [-1]])
     for i in range(1, len(passage) + 1):
         ends = slope + first + i
@@ -193,7 +193,7 @@ def text_matches(text: str | None, index: Index) -> list[tuple[int, int, int, in
             continue
         got = banded_distance(passage, window, low - begin, high - begin, most)
         if got and (i not in best or got[0] < best[i][0]):
-            back = banded_distance(passage[::-1], window[:got[1]][::-1], 0, 0, got[0])  # the same stretch from its end
+            back = banded_distance(passage[::-1], window[:got[1]][::-1], 0, 0, got[0], from_start=True)  # the same stretch from its end
             length = back[1] if back else len(passage)
             end = begin + got[1]
             best[i] = (got[0], int(where[max(0, end - length)]), int(where[end - 1]) + 1)

@@ -120,7 +120,8 @@ def parse(source: str | None, memo: dict | None = None) -> Page:
                 memo[name, raw] = known
         page.parent.append(stack[-1] if stack else -1)
         page.name.append(name)
-        page.features.append(list(known[0]))
+        kind, holder = KINDS.get(name, "inline"), KINDS.get(page.name[stack[-1]], "inline") if stack else "none"
+        page.features.append([*known[0], f"{kind} in {holder}"])
         page.edge.append(known[1])
         page.marks.append(known[2])
         stack.append(len(page.name) - 1)
@@ -297,7 +298,7 @@ def marginals(forest: Forest, model: Model) -> tuple[np.ndarray, np.ndarray, flo
     return content, joint, float(_log_sum(up[root]).sum()) if len(root) else 0.0
 
 
-def fit(pages: list[Page], rounds: int = 200, penalty: float = 0.005) -> Model:
+def fit(pages: list[Page], rounds: int = 300, penalty: float = 0.005) -> Model:
     """Maximum likelihood with a quadratic penalty: the gradient is what the labels show less what the model expects."""
     feature = {f: i for i, f in enumerate(sorted({f for p in pages for fs in p.features for f in fs}))}
     edge = {e: i + 1 for i, e in enumerate(sorted({e for p in pages for e in p.edge}))}
@@ -437,7 +438,7 @@ def training_source(r: random.Random) -> str:
         return box(["div.share", "ul.social", "div.tags", "p.follow", "div.author-box"], r.choice([link_list(), link(), words(3, 20)]))
 
     def masthead() -> str:
-        return box(["header", "header.site-header", "div.header", "div.masthead", "div.topbar"], r.choice([words(1, 6, False), f"<h1>{words(1, 3, False)}</h1>", f"<p>{words(3, 9)}</p>", link()]) + r.choice(["", menu()]))
+        return box(["header", "header.site-header", "div.header", "div.masthead", "div.topbar"], r.choice([words(1, 6, False), f"<h1>{words(1, 4, False)}</h1>", f"<h1>{words(1, 2, False)}</h1>", f"<p>{words(3, 9)}</p>", link()]) + r.choice(["", menu()]))
 
     def footing() -> str:
         return box(["footer", "footer.site-footer", "div.footer", "div.copyright", "div.legal"], r.choice([f"&copy; {words(3, 20)}", f"<p>{words(3, 30)}</p>", link_list(), f"&copy; x.example &middot; {words(5, 25)}"]))
@@ -488,7 +489,7 @@ def training_source(r: random.Random) -> str:
         out = f'<{tag}{attr} data-mark="c">{inner}</{tag}>'
         return f'<table data-mark="c"><tr data-mark="c">{out}</tr></table>' if tag == "td" else out
 
-    before = [f() for f in (masthead, menu, advert, notice, form, side) if r.random() < 0.4]
+    before = [f() for f in (masthead, menu, advert, notice, form, side, masthead) if r.random() < 0.4]
     after = [f() for f in (comments, side, share, advert, form, menu, notice) if r.random() < 0.35] + [footing() for _ in range(r.random() < 0.7)]
     r.shuffle(before)
     middle = article()
