@@ -86,9 +86,12 @@ def scan(docs: DataFrame, templates: Iterable[tuple[str, str]] = TEMPLATES, *, i
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
     text = F.col(text_col)
     pieces = F.array_distinct(F.concat(F.split(text, r"\n"), F.split(text, PARAGRAPH), F.array(text)))
+    # split stops one piece beyond what the largest template allows, so long units are told apart without being spelt out
+    longest = int(high * most) + 2
+    pieces_seen = F.size(F.split(F.col("unit"), SEPARATORS, longest + 3))
     units = (docs.filter(text.isNotNull()).select(F.col(id_col).alias("doc_id"), F.explode(pieces).alias("unit"))
-             .filter(F.length("unit") >= 3).withColumn("words", normalised_words(F.col("unit")))
-             .filter(F.size("words").between(max(2, int(low * least)), int(high * most) + 2)))
+             .filter((F.length("unit") >= 3) & pieces_seen.between(2, longest + 2)).withColumn("words", normalised_words(F.col("unit")))
+             .filter(F.size("words").between(max(2, int(low * least)), longest)))
     units = units.withColumn("at", F.monotonically_increasing_id()).select("doc_id", "at", F.xxhash64("unit").alias("unit"), F.size("words").alias("n"), F.explode(bigrams(F.col("words"))).alias("bigram"))
     counted = units.withColumn("unit_size", F.col("n") - 1)
     hits = (counted.join(F.broadcast(per_bigram), "bigram")
