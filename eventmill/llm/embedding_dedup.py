@@ -17,12 +17,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from eventmill.llm.common import cut
+from eventmill.llm.common import cut, written
 from eventmill.llm.components import components
 
 THRESHOLD = 0.93
-TREES = 10
+TREES = 8
 #: Vectors that a leaf may hold, and the share of a node's vectors beyond its cut that go to both sides.
 LEAF = 1024
 SPILL = 0.05
@@ -33,13 +34,17 @@ SEED = 11
 PIECE = 2048
 
 
-def unit_vector(vector) -> np.ndarray | None:
-    """The vector scaled to length 1 in double precision; None if null, empty, zero or not finite throughout."""
-    v = np.zeros(0) if vector is None else np.asarray(vector, dtype=np.float64)
-    if not len(v) or not np.isfinite(v).all() or not v.any():
-        return None
-    scaled = v / np.abs(v).max()
-    return scaled / np.sqrt(scaled @ scaled)
+def packed(vector, kind: str) -> bytes | None:
+    """The vector's numbers as bytes; None if null, empty, zero or not finite throughout."""
+    v = np.zeros(0) if vector is None else np.asarray(vector, dtype=kind)
+    return v.tobytes() if len(v) and np.isfinite(v).all() and v.any() else None
+
+
+def unit_rows(vectors: pd.Series, kind: str) -> np.ndarray:
+    """Packed vectors as rows of length 1, in double precision."""
+    rows = np.frombuffer(b"".join(vectors), dtype=kind).reshape(len(vectors), -1).astype(np.float64)
+    rows /= np.abs(rows).max(axis=1, keepdims=True)
+    return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
 @dataclass
@@ -95,14 +100,14 @@ def _pairs(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[np.ndarray,
     return i[exact], j[exact]
 
 
-def leaves(vectors: DataFrame, *, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL, sample: int = SAMPLE, seed: int = SEED) -> DataFrame:
-    """(tree, node, key, unit) with every vector in the leaves it falls into; vectors: key, label, unit.
+def leaves(vectors: DataFrame, kind: str, *, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL, sample: int = SAMPLE, seed: int = SEED) -> DataFrame:
+    """(tree, node, key, vec) with every vector in the leaves it falls into; vectors: key, label, vec (packed).
 
     Equal labels alone meet: the label is the root of each tree. node names the path from there.
     """
-    width_of = "tree int, node string, key long, unit array<double>"
+    placed = "tree int, node string, key long, vec binary"
     at = vectors.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).select(
-        F.col("tree").cast("int"), F.col("label").cast("string").alias("node"), "key", "unit")
+        F.col("tree").cast("int"), F.col("label").cast("string").alias("node"), "key", "vec")
     done = None
     while True:
         sizes = cut(at.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("size")))
@@ -119,7 +124,7 @@ def leaves(vectors: DataFrame, *, trees: int = TREES, leaf: int = LEAF, spill: f
             rows = rows.sort_values("key")
             tree, node, size = int(rows["tree"].iloc[0]), rows["node"].iloc[0], int(rows["size"].iloc[0])
             number = seed + 7919 * tree + sum((i + 1) * ord(c) for i, c in enumerate(node)) * 104729
-            splits = fit_splits(np.stack(rows["unit"].to_list()), size, number, leaf, spill)
+            splits = fit_splits(unit_rows(rows["vec"], kind), size, number, leaf, spill)
             low, high = (splits.low, splits.high) if splits else (np.zeros(0), np.zeros(0))
             return pd.DataFrame({"tree": [np.int32(tree)], "node": [node], "seed": [number], "low": [low.tolist()], "high": [high.tolist()]})
         fitted = cut(drawn.groupBy("tree", "node").applyInPandas(fit, "tree int, node string, seed long, low array<double>, high array<double>"))
@@ -130,27 +135,27 @@ def leaves(vectors: DataFrame, *, trees: int = TREES, leaf: int = LEAF, spill: f
             for rows in batches:
                 for (tree, node, number), part in rows.groupby(["tree", "node", "seed"], sort=False):
                     splits = Splits(int(number), np.asarray(part["low"].iloc[0]), np.asarray(part["high"].iloc[0]))
-                    row, child = splits.route(np.stack(part["unit"].to_list()))
+                    row, child = splits.route(unit_rows(part["vec"], kind))
                     yield pd.DataFrame({"tree": np.int32(tree), "node": [f"{node}/{number % 1000}.{c}" for c in child],
-                                        "key": part["key"].to_numpy()[row], "unit": part["unit"].to_numpy()[row]})
-        at = cut(at.join(fitted.filter(F.size("low") > 0), ["tree", "node"]).mapInPandas(route, width_of))
+                                        "key": part["key"].to_numpy()[row], "vec": part["vec"].to_numpy()[row]})
+        at = cut(at.join(fitted.filter(F.size("low") > 0), ["tree", "node"]).mapInPandas(route, placed))
 
 
-def links(vectors: DataFrame, *, threshold: float = THRESHOLD, **options) -> DataFrame:
+def links(vectors: DataFrame, kind: str, *, threshold: float = THRESHOLD, **options) -> DataFrame:
     """(a, b), a < b: pairs of keys that meet in a leaf of some tree and reach the threshold.
 
     A leaf of many vectors that no projection tells apart is compared piece against piece, each pair of pieces a group
     of its own, so no group holds more than two pieces.
     """
-    placed = cut(leaves(vectors, **options))
+    placed = written(leaves(vectors, kind, **options), "leaves")
     sizes = placed.groupBy("tree", "node").agg(F.ceil(F.count(F.lit(1)) / PIECE).cast("int").alias("pieces"))
     spread = placed.join(sizes, ["tree", "node"]).withColumn("piece", F.pmod(F.xxhash64("key"), F.col("pieces")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
     grouped = spread.withColumn("other", other).select(
-        "tree", "node", F.least("piece", "other").alias("p"), F.greatest("piece", "other").alias("q"), "piece", "key", "unit")
+        "tree", "node", F.least("piece", "other").alias("p"), F.greatest("piece", "other").alias("q"), "piece", "key", "vec")
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        units, keys, piece = np.stack(rows["unit"].to_list()), rows["key"].to_numpy(), rows["piece"].to_numpy()
+        units, keys, piece = unit_rows(rows["vec"], kind), rows["key"].to_numpy(), rows["piece"].to_numpy()
         p, q = rows["p"].iloc[0], rows["q"].iloc[0]
         first, second = (np.flatnonzero(piece == p), np.flatnonzero(piece == q))
         i, j = _pairs(units[first], units[second], threshold)
@@ -172,25 +177,29 @@ def near_duplicates(embeddings: DataFrame, *, id_col: str = "vec_id", vector_col
     with nothing (component_id is their own id); a null id is kept with its row, counts as a linked vector and names no
     component. Repeated rows are vectors of their own. Empty tables give no rows. Other columns are ignored.
     """
-    def scale(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    element = embeddings.schema[vector_col].dataType.elementType
+    kind = "<f4" if isinstance(element, T.FloatType) else "<f8"
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            yield pd.DataFrame({"vec_id": rows["vec_id"], "label": rows["label"], "unit": [unit_vector(v) for v in rows["v"]]})
+            yield pd.DataFrame({"vec_id": rows["vec_id"], "label": rows["label"], "vec": [packed(v, kind) for v in rows["v"]]})
     usable = F.col("label").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", lambda x: x.isNull())
-    source = embeddings.select(F.col(id_col).alias("vec_id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).cast("array<double>").alias("v"))
+    numbers = F.col(vector_col).cast("array<float>" if kind == "<f4" else "array<double>")
+    source = embeddings.select(F.col(id_col).alias("vec_id"), F.col(label_col).cast("string").alias("label"), numbers.alias("v"))
     source = source.withColumn("v", F.when(usable, F.col("v"))).withColumn("label", F.concat_ws("/", F.size("v"), F.col("label")))  # lengths that differ never meet
-    rows = cut(source.mapInPandas(scale, "vec_id long, label string, unit array<double>"))
-    alone, linked = rows.filter("unit is null"), rows.filter("unit is not null")
-    copies = cut(linked.groupBy("label", "unit").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("first_id")).withColumn(
-        "key", F.xxhash64("label", "unit")))
-    near = cut(links(copies.select("key", "label", "unit"), threshold=threshold, **options))
+    rows = written(source.mapInPandas(pack, "vec_id long, label string, vec binary"), "vectors")
+    alone, linked = rows.filter("vec is null"), rows.filter("vec is not null")
+    copies = written(linked.groupBy("label", "vec").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("first_id")).withColumn(
+        "key", F.xxhash64("label", "vec")), "vector-classes")
+    near = cut(links(copies.select("key", "label", "vec"), kind, threshold=threshold, **options))
     both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
     size = copies.select(F.col("key").alias("b"), "n")
     degree = both.join(size, "b").groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("others"))
     roots = components(near).withColumnRenamed("node", "key")
-    named = copies.drop("unit", "label").join(roots, "key", "left").withColumn("root", F.coalesce("component", "key"))
+    named = copies.drop("vec", "label").join(roots, "key", "left").withColumn("root", F.coalesce("component", "key"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     facts = cut(named.join(smallest, "root").join(degree, "key", "left").select(
         "key", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id"))
-    found = linked.select("vec_id", F.xxhash64("label", "unit").alias("key")).join(facts, "key").select("vec_id", "n_links", "component_id")
+    found = linked.select("vec_id", F.xxhash64("label", "vec").alias("key")).join(facts, "key").select("vec_id", "n_links", "component_id")
     out = found.unionByName(alone.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")))
     return out.select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
