@@ -34,6 +34,8 @@ K = 40
 PIECE = 1 << 22
 #: Stretches of one shard; stretches that one task merges; stretches from which an anchor is taken window by window.
 SHARD, BUCKET, HOT = 4096, 16_384, 16_384
+#: Rows of the frames that tasks hand back.
+FRAME = 32_768
 _PLACE_BITS = 24
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 #: No byte of UTF-8: stands for what lies beyond the ends of a text.
@@ -64,12 +66,15 @@ def piece_anchors(raw: bytes, k: int, length: int) -> tuple[np.ndarray, np.ndarr
     return (least[first] >> np.uint64(_PLACE_BITS)).astype(np.int64), first, last, (least[first] & place).astype(np.int64)
 
 
-def text_anchors(raw: bytes, k: int = K, length: int = LENGTH) -> Iterator[tuple[int, int, int, int, int]]:
-    """(anchor, signature of the stretch, first window, last window, anchor place) of a whole text."""
+def text_anchors(raw: bytes, k: int = K, length: int = LENGTH) -> list[np.ndarray]:
+    """Of a whole text: anchor, signature of the stretch, first window, last window, anchor place; one row each."""
+    parts = []
     for start in range(0, max(0, len(raw) - length + 1), PIECE):
-        piece = raw[start:start + PIECE + length - 1]
-        for h, a, b, p in zip(*(x.tolist() for x in piece_anchors(piece, k, length))):
-            yield h, xxhash.xxh3_64_intdigest(piece[a:b + length], p - a) - (1 << 63), start + a, start + b, start + p
+        piece = raw if start == 0 and len(raw) <= PIECE else raw[start:start + PIECE + length - 1]
+        h, first, last, place = piece_anchors(piece, k, length)
+        sig = [xxhash.xxh3_64_intdigest(piece[a:b], d) for a, b, d in zip(first.tolist(), (last + length).tolist(), (place - first).tolist())]
+        parts.append((h, np.array(sig, dtype=np.uint64).view(np.int64), first + start, last + start, place + start))
+    return [np.concatenate(x) for x in zip(*parts)] if parts else []
 
 
 def shard_order(keys: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -169,14 +174,29 @@ def spans_of(first: np.ndarray, last: np.ndarray, length: int, n: int) -> np.nda
 
 
 def anchor_rows(docs: DataFrame, k: int, length: int) -> DataFrame:
+    columns = ["h", "sig", "first", "last", "place"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: list[list[np.ndarray]] = []
+        owners: list[tuple[int, int, int]] = []
+        size = 0
+
+        def frame() -> pd.DataFrame:
+            k1, did, n = (np.array(x, dtype=np.int64) for x in zip(*owners))
+            return pd.DataFrame({c: np.concatenate(x) for c, x in zip(columns, zip(*found))} | {"k1": np.repeat(k1, n), "did": np.repeat(did, n)})[["h", "sig", "k1", "did", "first", "last", "place"]]
         for rows in batches:
             for did, text in zip(rows["did"], rows["text"]):
                 raw = text.encode("utf-8", "surrogatepass") if text else b""
-                found = list(text_anchors(raw, k, length))
-                if found:
-                    h, sig, first, last, place = (np.array(x, dtype=np.int64) for x in zip(*found))
-                    yield pd.DataFrame({"h": h, "sig": sig, "k1": text_key(raw), "did": did, "first": first, "last": last, "place": place})
+                anchors = text_anchors(raw, k, length)
+                if anchors:
+                    found.append(anchors)
+                    owners.append((text_key(raw), did, len(anchors[0])))
+                    size += len(anchors[0])
+                    if size >= FRAME:
+                        yield frame()
+                        found, owners, size = [], [], 0
+        if owners:
+            yield frame()
     return docs.select(F.coalesce("doc_id", F.lit(-1)).alias("did"), "text").mapInPandas(run, "h long, sig long, k1 long, did long, first long, last long, place long")
 
 
@@ -209,17 +229,22 @@ def repeated_intervals(docs: DataFrame, *, length: int = LENGTH, k: int = K, hot
     reach = length - k
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        unpack = zstandard.ZstdDecompressor()
+        unpack, columns = zstandard.ZstdDecompressor(), ["h", "n", "k1", "did", "first", "last", "place", "before", "after", "digest"]
+        out: list[tuple] = []
         for rows in batches:
             for k1, did, packed, asked in zip(rows["k1"], rows["did"], rows["packed"], rows["wanted"]):
-                raw, out = unpack.decompress(packed), []
+                raw = unpack.decompress(packed)
                 for a in asked:
                     first, last, place = a["first"], a["last"], a["place"]
                     if a["kinds"] <= hot:
                         out.append((a["h"], a["n"], k1, did, first, last, place, raw[max(0, place - reach):place][::-1], raw[place:place + length], None))
                     else:
                         out += [(a["h"], a["n"], k1, did, s, s, place, None, None, hashlib.blake2b(b"%d|" % (place - s) + raw[s:s + length], digest_size=16).digest()) for s in range(first, last + 1)]
-                yield pd.DataFrame(out, columns=["h", "n", "k1", "did", "first", "last", "place", "before", "after", "digest"])
+                if len(out) >= FRAME // 8:
+                    yield pd.DataFrame(out, columns=columns)
+                    out = []
+        if out:
+            yield pd.DataFrame(out, columns=columns)
     row = "h long, n long, k1 long, did long, first long, last long, place long, before binary, after binary, digest binary"
     # a text that has copies under one id is fetched once a copy; such rows only repeat each other
     fetched = written(wanted.join(packed_texts(docs).drop("doc_id"), ["k1", "did"]).mapInPandas(fetch, row), "stretch-texts")
