@@ -82,6 +82,12 @@ def shard_order(keys: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.lexsort((*words.T[::-1], keys))
 
 
+def _bits(values: np.ndarray) -> np.ndarray:
+    """Bit length of 64-bit numbers; each half is exact as a float."""
+    high = np.frexp((values >> np.uint64(32)).astype(np.float64))[1]
+    return np.where(high > 0, 32 + high, np.frexp((values & np.uint64(0xFFFFFFFF)).astype(np.float64))[1])
+
+
 def merged_order(keys: np.ndarray, words: np.ndarray, shard: int = SHARD) -> tuple[np.ndarray, np.ndarray]:
     """Order of all rows by key and following bytes, and the common bytes of each row with the one before (-1: other key).
 
@@ -105,7 +111,7 @@ def merged_order(keys: np.ndarray, words: np.ndarray, shard: int = SHARD) -> tup
         symbol = words[rows, depth]
         changes = 1 + np.flatnonzero((symbol[1:] != symbol[:-1]) & (block[open_][1:] == block[open_][:-1]))
         apart = symbol[changes] ^ symbol[changes - 1]
-        common[open_[changes]] = depth * 8 + 8 - (np.frexp((apart >> np.uint64(32)).astype(np.float64) * 4294967296.0 + (apart & np.uint64(0xFFFFFFFF)).astype(np.float64))[1] + 7) // 8
+        common[open_[changes]] = depth * 8 + 8 - (_bits(apart) + 7) // 8
         breaks = np.zeros(len(block), dtype=np.int64)
         breaks[open_[changes]] = 1
         block = block + np.cumsum(breaks)

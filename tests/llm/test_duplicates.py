@@ -126,7 +126,7 @@ def test_pieces_of_long_texts_and_shards_agree(monkeypatch):
     monkeypatch.setattr(bwt_dedup, "PIECE", 700)
     assert windows(rows()) == windows(whole)
     keys = np.array([r.randint(0, 3) for _ in range(300)])
-    words = np.array([[r.randint(0, 1) for _ in range(25)] for _ in range(300)], dtype=np.uint64)
+    words = np.array([[r.choice([0, 1, 2**56 - 1, 2**56, 2**63, 2**64 - 1]) if r.random() < 0.2 else 7 for _ in range(25)] for _ in range(300)], dtype=np.uint64)
     order, common = bwt_dedup.merged_order(keys, words, shard=37)
     rows = [(keys[i], *words[i]) for i in order]
     assert rows == sorted(rows)
