@@ -1,8 +1,10 @@
 """Embedding near-duplicates through a forest of random-projection trees with spill.
 
 Each tree splits its nodes, again and again, at the median of a projection drawn for the node; vectors near the cut go to
-both sides, so that close vectors stay together. Splitting goes on until a leaf is small enough. Within a leaf vectors
-are compared as they are, in double precision, and the links of all trees are united.
+both sides, so that close vectors stay together. How near follows from the threshold. Splitting goes on until a leaf is
+small enough, or until splits leave as many pairs to compare as before: a dense group is compared whole, in pieces.
+Vectors are compared as they are, in double precision. A pair is counted in one cell only, the first of those it meets
+in, and cells hand back counts and a spanning forest, so that no row is made per pair.
 
 Splits are fitted per node on a bounded sample, a few levels at a time; a round of the loop sends every vector of the
 nodes that are still too large through its node's splits, and nodes never meet in one task before they are small.
@@ -24,14 +26,19 @@ from eventmill.llm.components import components
 
 THRESHOLD = 0.93
 TREES = 8
-#: Vectors that a leaf may hold, and the share of a node's vectors beyond its cut that go to both sides.
+#: Vectors that a leaf may hold, and the least share of a node's vectors beyond its cut that go to both sides.
 LEAF = 1024
 SPILL = 0.05
+#: Directions a split chooses from, and the share of a node's pairs that its children may be left with together.
+TURNS = 4
+WORTH = 0.9
 #: Vectors of a node that its splits are fitted on.
 SAMPLE = 2048
 SEED = 11
-#: Vectors of one leaf compared in one piece; larger leaves (all vectors alike) are compared piece against piece.
-PIECE = 2048
+#: Vectors of one cell compared in one task; larger cells (dense groups) are compared piece against piece.
+PIECE = 8192
+#: Vectors of a piece compared in one matrix product.
+BLOCK = 2048
 
 
 def packed(vector, kind: str) -> bytes | None:
@@ -47,6 +54,15 @@ def unit_rows(vectors: pd.Series, kind: str) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
+def margin_of(threshold: float) -> float:
+    """Projection units on either side of a cut that go to both sides.
+
+    On a direction of standard normal numbers the ends of a link at the threshold differ by sqrt(2 - 2 * threshold) in
+    standard deviation; half of it on either side parts only those that differ by more.
+    """
+    return float(np.sqrt(max(0.0, 2 - 2 * threshold)) / 2)
+
+
 @dataclass
 class Splits:
     """A few levels of splits below a node: the cuts of the inner nodes in heap order, directions drawn from the seed."""
@@ -54,18 +70,22 @@ class Splits:
     seed: int
     low: np.ndarray
     high: np.ndarray
+    turn: np.ndarray
 
-    def direction(self, inner: int, width: int) -> np.ndarray:
-        return np.random.default_rng([self.seed, inner]).standard_normal(width)
+    def direction(self, inner: int, width: int, turn: int) -> np.ndarray:
+        return np.random.default_rng([self.seed, inner, turn]).standard_normal(width)
 
     def route(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, child) pairs: the children, 0 to 2^levels - 1, that each vector goes to. Cuts of NaN end a branch."""
+        """(row, child) pairs: the children, 0 to 2^levels - 1, that each vector goes to. Infinite cuts send all left."""
         row, node = np.arange(len(vectors)), np.zeros(len(vectors), dtype=np.int64)
         for inner in range(len(self.low)):
             here = np.flatnonzero(node == inner)
             if not len(here):
                 continue
-            value = vectors[row[here]] @ self.direction(inner, vectors.shape[1])
+            if np.isposinf(self.low[inner]):
+                node[here] = 2 * inner + 1
+                continue
+            value = vectors[row[here]] @ self.direction(inner, vectors.shape[1], int(self.turn[inner]))
             left, right = value <= self.high[inner], value > self.low[inner]
             node[here] = np.where(left, 2 * inner + 1, 2 * inner + 2)
             both = here[left & right]
@@ -73,35 +93,90 @@ class Splits:
         return row, node - len(self.low)
 
 
-def fit_splits(sample: np.ndarray, size: int, seed: int, leaf: int = LEAF, spill: float = SPILL) -> Splits | None:
-    """Splits for a node of `size` vectors from a sample of them; None if no projection tells its vectors apart."""
-    levels = max(1, min(int(np.ceil(np.log2(max(2.0, size / leaf)))), int(np.log2(max(2, len(sample) / 16)))))
+def fit_splits(sample: np.ndarray, size: int, seed: int, leaf: int = LEAF, spill: float = SPILL, margin: float = 0.0) -> Splits | None:
+    """Splits for a node of `size` vectors from a sample of them; None if no split of the node saves comparisons.
+
+    Of a few directions each split takes the one that leaves the fewest pairs.
+    """
+    levels = max(1, min(int(np.ceil(np.log2(max(2.0, size / leaf)))), int(np.log2(max(2, len(sample) / 32)))))
     inner = 2**levels - 1
-    splits = Splits(seed, np.full(inner, np.inf), np.full(inner, -np.inf))
+    splits = Splits(seed, np.full(inner, np.inf), np.full(inner, np.inf), np.zeros(inner, dtype=np.int64))
     parts = {0: np.arange(len(sample))}
-    apart = False
     for i in range(inner):
         rows = parts.pop(i, np.zeros(0, dtype=np.int64))
-        value = sample[rows] @ splits.direction(i, sample.shape[1])
-        if len(rows) < 2 or value.max() - value.min() < 1e-9:
-            splits.low[i], splits.high[i] = np.inf, np.inf  # all go left
-            parts[2 * i + 1] = rows
+        best = None
+        for turn in range(TURNS if len(rows) > 1 else 0):
+            value = sample[rows] @ splits.direction(i, sample.shape[1], turn)
+            middle = np.median(value)
+            low, high = np.quantile(value, [0.5 - spill, 0.5 + spill])
+            low, high = min(low, middle - margin), max(high, middle + margin)
+            left, right = value <= high, value > low
+            pairs = (left.sum() ** 2 + right.sum() ** 2) / len(rows) ** 2
+            if best is None or pairs < best[0]:
+                best = pairs, low, high, turn, left, right
+        if best is None or best[0] > WORTH:
+            if i == 0:
+                return None
+            parts[2 * i + 1] = rows  # all go left; the next round tells with a sample of their own
             continue
-        apart = True
-        splits.low[i], splits.high[i] = np.quantile(value, [0.5 - spill, 0.5 + spill])
-        parts[2 * i + 1], parts[2 * i + 2] = rows[value <= splits.high[i]], rows[value > splits.low[i]]
-    return splits if apart else None
-
-
-def _pairs(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of a and b whose cosine reaches the threshold, by the same sum of products wherever a pair is met."""
-    i, j = np.nonzero(a @ b.T >= threshold - 1e-9)
-    exact = np.einsum("ij,ij->i", a[i], b[j]) >= threshold
-    return i[exact], j[exact]
-
-
-def leaves(vectors: DataFrame, kind: str, *, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL, sample: int = SAMPLE, seed: int = SEED) -> DataFrame:
-    """(tree, node, key, vec) with every vector in the leaves it falls into; vectors: key, label, vec (packed).
+        _, splits.low[i], splits.high[i], splits.turn[i], left, right = best
+        parts[2 * i + 1], parts[2 * i + 2] = rows[left], rows[right]
+    return splits
+
+
+def linked(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
+    """Which rows of a and b have a cosine that reaches the threshold, by the same sum of products wherever a pair is met."""
+    product = a @ b.T
+    hit = product >= threshold + 1e-9
+    i, j = np.nonzero((product >= threshold - 1e-9) & ~hit)
+    hit[i, j] = np.einsum("ij,ij->i", a[i], b[j]) >= threshold
+    return hit
+
+
+def disown(hit: np.ndarray, first: list[np.ndarray], second: list[np.ndarray]) -> None:
+    """Drops the hits whose ends share one of the cells given for each row of either side."""
+    rows, columns = np.flatnonzero(hit.any(axis=1)), np.flatnonzero(hit.any(axis=0))
+    if not len(rows):
+        return
+
+    def by_cell(lists: list[np.ndarray], at: np.ndarray) -> dict[int, np.ndarray]:
+        cells, row = np.concatenate([lists[r] for r in at]), np.repeat(at, [len(lists[r]) for r in at])
+        order = np.argsort(cells, kind="stable")
+        found, start = np.unique(cells[order], return_index=True)
+        return dict(zip(found.tolist(), np.split(row[order], start[1:])))
+    here, there = by_cell(first, rows), by_cell(second, columns)
+    for cell in here.keys() & there.keys():
+        hit[np.ix_(here[cell], there[cell])] = False
+
+
+def forest(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) pairs that connect what the hits connect: the hits themselves, or a tree per group if those are fewer."""
+    rows, columns = np.flatnonzero(hit.any(axis=1)), np.flatnonzero(hit.any(axis=0))
+    if np.count_nonzero(hit) <= len(rows) + len(columns):
+        return np.nonzero(hit)
+    a, b, open_rows = [], [], hit.any(axis=1)
+    fresh = hit.any(axis=0)
+    for root in rows:
+        if not open_rows[root]:
+            continue
+        open_rows[root] = False
+        edge = np.array([root])
+        while len(edge):
+            reached = hit[edge][:, fresh]
+            new = np.flatnonzero(fresh)[reached.any(axis=0)]
+            a.append(edge[reached.argmax(axis=0)[reached.any(axis=0)]])
+            b.append(new)
+            fresh[new] = False
+            back = hit[:, new][open_rows]
+            edge = np.flatnonzero(open_rows)[back.any(axis=1)]
+            a.append(edge)
+            b.append(new[back.argmax(axis=1)[back.any(axis=1)]] if len(new) else edge)
+            open_rows[edge] = False
+    return np.concatenate(a), np.concatenate(b)
+
+
+def leaves(vectors: DataFrame, kind: str, *, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL, margin: float = 0.0, sample: int = SAMPLE, seed: int = SEED) -> DataFrame:
+    """(tree, node, key) with every vector in the leaves it falls into; vectors: key, label, vec (packed).
 
     Equal labels alone meet: the label is the root of each tree. node names the path from there.
     """
@@ -111,7 +186,7 @@ def leaves(vectors: DataFrame, kind: str, *, trees: int = TREES, leaf: int = LEA
     done = None
     while True:
         sizes = cut(at.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("size")))
-        small = at.join(sizes.filter(F.col("size") <= leaf).select("tree", "node"), ["tree", "node"])
+        small = at.join(sizes.filter(F.col("size") <= leaf).select("tree", "node"), ["tree", "node"]).select("tree", "node", "key")
         done = small if done is None else done.unionByName(small)
         large = sizes.filter(F.col("size") > leaf)
         if large.isEmpty():
@@ -124,17 +199,17 @@ def leaves(vectors: DataFrame, kind: str, *, trees: int = TREES, leaf: int = LEA
             rows = rows.sort_values("key")
             tree, node, size = int(rows["tree"].iloc[0]), rows["node"].iloc[0], int(rows["size"].iloc[0])
             number = seed + 7919 * tree + sum((i + 1) * ord(c) for i, c in enumerate(node)) * 104729
-            splits = fit_splits(unit_rows(rows["vec"], kind), size, number, leaf, spill)
-            low, high = (splits.low, splits.high) if splits else (np.zeros(0), np.zeros(0))
-            return pd.DataFrame({"tree": [np.int32(tree)], "node": [node], "seed": [number], "low": [low.tolist()], "high": [high.tolist()]})
-        fitted = cut(drawn.groupBy("tree", "node").applyInPandas(fit, "tree int, node string, seed long, low array<double>, high array<double>"))
-        alike = fitted.filter(F.size("low") == 0).select("tree", "node")
-        done = done.unionByName(at.join(alike, ["tree", "node"]))
+            splits = fit_splits(unit_rows(rows["vec"], kind), size, number, leaf, spill, margin)
+            low, high, turn = (splits.low, splits.high, splits.turn) if splits else [np.zeros(0)] * 3
+            return pd.DataFrame({"tree": [np.int32(tree)], "node": [node], "seed": [number], "low": [low.tolist()], "high": [high.tolist()], "turn": [turn.astype(np.int64).tolist()]})
+        fitted = cut(drawn.groupBy("tree", "node").applyInPandas(fit, "tree int, node string, seed long, low array<double>, high array<double>, turn array<long>"))
+        dense = fitted.filter(F.size("low") == 0).select("tree", "node")
+        done = done.unionByName(at.join(dense, ["tree", "node"]).select("tree", "node", "key"))
 
         def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for rows in batches:
                 for (tree, node, number), part in rows.groupby(["tree", "node", "seed"], sort=False):
-                    splits = Splits(int(number), np.asarray(part["low"].iloc[0]), np.asarray(part["high"].iloc[0]))
+                    splits = Splits(int(number), np.asarray(part["low"].iloc[0]), np.asarray(part["high"].iloc[0]), np.asarray(part["turn"].iloc[0]))
                     row, child = splits.route(unit_rows(part["vec"], kind))
                     yield pd.DataFrame({"tree": np.int32(tree), "node": [f"{node}/{number % 1000}.{c}" for c in child],
                                         "key": part["key"].to_numpy()[row], "vec": part["vec"].to_numpy()[row]})
@@ -142,27 +217,47 @@ def leaves(vectors: DataFrame, kind: str, *, trees: int = TREES, leaf: int = LEA
 
 
 def links(vectors: DataFrame, kind: str, *, threshold: float = THRESHOLD, **options) -> DataFrame:
-    """(a, b), a < b: pairs of keys that meet in a leaf of some tree and reach the threshold.
+    """(a, b, others): what is found of the links; vectors: key, label, n, vec.
 
-    A leaf of many vectors that no projection tells apart is compared piece against piece, each pair of pieces a group
-    of its own, so no group holds more than two pieces.
+    Rows with a null b add the n of linked vectors to a; over all rows each link of the forest counts once. Rows with a
+    b connect all that links connect. Links are found where two vectors share a cell (a leaf, or a dense node) and
+    counted in the least such cell. A large cell is compared piece against piece, each pair of pieces a group of its
+    own, so no group holds more than two pieces.
     """
-    placed = written(leaves(vectors, kind, **options), "leaves")
-    sizes = placed.groupBy("tree", "node").agg(F.ceil(F.count(F.lit(1)) / PIECE).cast("int").alias("pieces"))
-    spread = placed.join(sizes, ["tree", "node"]).withColumn("piece", F.pmod(F.xxhash64("key"), F.col("pieces")).cast("int"))
+    placed = written(leaves(vectors.drop("n"), kind, margin=margin_of(threshold), **options).select(F.xxhash64("tree", "node").alias("cell"), "key"), "leaves")
+    pieces = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / PIECE).cast("int").alias("pieces"))
+    cells = placed.join(pieces, "cell").groupBy("key").agg(F.sort_array(F.collect_set(F.struct("cell", "pieces"))).alias("cells"))
+    spread = cells.join(vectors.drop("label"), "key").select("key", "n", "vec", F.col("cells.cell").alias("all"), F.explode("cells").alias("c")).select(
+        "key", "n", "vec", "c.cell", "c.pieces", F.filter("all", lambda x: x < F.col("c.cell")).alias("before"))
+    spread = spread.withColumn("piece", F.pmod(F.xxhash64("key"), F.col("pieces")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
     grouped = spread.withColumn("other", other).select(
-        "tree", "node", F.least("piece", "other").alias("p"), F.greatest("piece", "other").alias("q"), "piece", "key", "vec")
+        "cell", F.least("piece", "other").alias("p"), F.greatest("piece", "other").alias("q"), "piece", "key", "n", "vec", "before")
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        units, keys, piece = unit_rows(rows["vec"], kind), rows["key"].to_numpy(), rows["piece"].to_numpy()
+        units, keys, n, piece = unit_rows(rows["vec"], kind), rows["key"].to_numpy(), rows["n"].to_numpy(), rows["piece"].to_numpy()
+        before = [np.asarray(x, dtype=np.int64) for x in rows["before"]]
         p, q = rows["p"].iloc[0], rows["q"].iloc[0]
         first, second = (np.flatnonzero(piece == p), np.flatnonzero(piece == q))
-        i, j = _pairs(units[first], units[second], threshold)
-        a, b = keys[first][i], keys[second][j]
-        low, high = np.minimum(a, b), np.maximum(a, b)
-        return pd.DataFrame({"a": low, "b": high})[low < high].drop_duplicates()
-    return grouped.groupBy("tree", "node", "p", "q").applyInPandas(compare, "a long, b long").distinct()
+        others, a, b = np.zeros(len(keys), dtype=np.int64), [], []
+        for i in range(0, len(first), BLOCK):
+            for j in range(i if p == q else 0, len(second), BLOCK):
+                x, y = first[i:i + BLOCK], second[j:j + BLOCK]
+                hit = linked(units[x], units[y], threshold)
+                if p == q and i == j:
+                    hit = np.triu(hit, 1)
+                disown(hit, [before[r] for r in x], [before[r] for r in y])
+                others[x] += hit @ n[y]
+                others[y] += n[x] @ hit
+                u, v = forest(hit)
+                a.append(keys[x][u])
+                b.append(keys[y][v])
+        counted = np.flatnonzero(others)
+        edges = pd.DataFrame({"a": np.concatenate([*a, keys[:0]]), "b": np.concatenate([*b, keys[:0]])}).drop_duplicates()
+        return pd.concat([
+            pd.DataFrame({"a": keys[counted], "b": pd.array([None] * len(counted), dtype="Int64"), "others": others[counted]}),
+            pd.DataFrame({"a": edges["a"], "b": edges["b"].astype("Int64"), "others": np.zeros(len(edges), dtype=np.int64)})])
+    return grouped.groupBy("cell", "p", "q").applyInPandas(compare, "a long, b long, others long")
 
 
 def near_duplicates(embeddings: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = THRESHOLD, **options) -> DataFrame:
@@ -191,11 +286,9 @@ def near_duplicates(embeddings: DataFrame, *, id_col: str = "vec_id", vector_col
     alone, linked = rows.filter("vec is null"), rows.filter("vec is not null")
     copies = written(linked.groupBy("label", "vec").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("first_id")).withColumn(
         "key", F.xxhash64("label", "vec")), "vector-classes")
-    near = cut(links(copies.select("key", "label", "vec"), kind, threshold=threshold, **options))
-    both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    size = copies.select(F.col("key").alias("b"), "n")
-    degree = both.join(size, "b").groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("others"))
-    roots = components(near).withColumnRenamed("node", "key")
+    near = cut(links(copies.select("key", "label", "n", "vec"), kind, threshold=threshold, **options))
+    degree = near.filter("b is null").groupBy(F.col("a").alias("key")).agg(F.sum("others").alias("others"))
+    roots = components(near.filter("b is not null")).withColumnRenamed("node", "key")
     named = copies.drop("vec", "label").join(roots, "key", "left").withColumn("root", F.coalesce("component", "key"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     facts = cut(named.join(smallest, "root").join(degree, "key", "left").select(

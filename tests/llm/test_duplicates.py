@@ -173,3 +173,30 @@ def test_embedding_recall_on_the_given_vectors(spark):
     true = near.sum() - len(rows)
     found = embedding_dedup.near_duplicates(some).agg({"n_links": "sum"}).first()[0]
     assert found <= true and (true == 0 or found / true >= 0.97)
+
+
+def test_embedding_links_of_a_dense_group_larger_than_a_leaf(spark):
+    r = np.random.default_rng(8)
+    dense = r.standard_normal(64) + 0.17 * r.standard_normal((5000, 64))  # pairwise cosine about 0.97
+    vectors = np.vstack([dense, r.standard_normal((3000, 64))]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>, label int")
+    units = vectors.astype(np.float64)
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    want = (units @ units.T >= 0.93).sum(axis=1) - 1
+    got = {x["vec_id"]: x for x in embedding_dedup.near_duplicates(df).collect()}
+    found = np.array([got[i]["n_links"] for i in range(len(vectors))])
+    assert (found <= want).all() and found.sum() >= 0.999 * want.sum()
+    assert {got[i]["component_id"] for i in range(5000) if want[i]} == {0}
+
+
+def test_embedding_links_are_counted_once_and_connected():
+    r = np.random.default_rng(2)
+    hit = r.random((60, 80)) < 0.02
+    hit[:10, :30] = True
+    a, b = embedding_dedup.forest(hit)
+    assert hit[a, b].all() and len(a) < hit.sum()
+    assert roots(((i, 100 + j) for i, j in zip(a, b)), range(200)) == roots(((i, 100 + j) for i, j in zip(*np.nonzero(hit))), range(200))
+    first, second = [r.integers(0, 9, 2) for _ in range(60)], [r.integers(0, 9, 2) for _ in range(80)]
+    want = hit & ~np.array([[bool(set(x) & set(y)) for y in second] for x in first])
+    embedding_dedup.disown(hit, first, second)
+    assert (hit == want).all()
