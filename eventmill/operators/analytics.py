@@ -111,8 +111,9 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], accuracy: int =
 
     Lazy, in two passes and without gathering the values: a sketch brackets each wanted
     rank (its rank error is at most n / accuracy), then one grouped count keeps, per
-    quantile, the distinct values inside the bracket and how many rows lie below it.  A
-    running sum over that small frame finds the two neighbouring ranks.  NULLs are left out.
+    quantile, the distinct values inside the bracket, how many rows lie below and above it, and
+    the nearest value on either side, which is a wanted rank when a bracket is a rank or two
+    wide.  A running sum over that small frame finds the two neighbouring ranks.  NULLs are left out.
     """
     v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
     slack = 2.0 / accuracy
@@ -122,9 +123,11 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], accuracy: int =
     wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(p).alias("p"), F.get("ends", F.lit(2 * i)).alias("lo"),
                                           F.get("ends", F.lit(2 * i + 1)).alias("hi")) for i, p in enumerate(probs)]))
     rows = v.withColumn("one", F.lit(1)).join(F.broadcast(heads.withColumn("one", F.lit(1))), "one").select("v", "n", wanted.alias("w"))
-    inside = rows.where(F.col("v") <= F.col("w.hi")).groupBy(
-        F.col("w.i").alias("i"), F.col("w.p").alias("p"), "n", F.when(F.col("v") >= F.col("w.lo"), F.col("v")).alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    upto = F.sum("c").over(Window.partitionBy("i").orderBy(F.asc_nulls_first("v")).rowsBetween(Window.unboundedPreceding, 0))
+    side = F.when(F.col("v") < F.col("w.lo"), -1).when(F.col("v") > F.col("w.hi"), 1).otherwise(0)
+    inside = rows.withColumn("side", side).groupBy(
+        F.col("w.i").alias("i"), F.col("w.p").alias("p"), "n", "side", F.when(F.col("side") == 0, F.col("v")).alias("value")).agg(
+        F.count(F.lit(1)).alias("c"), F.when(F.col("side") < 0, F.max("v")).otherwise(F.min("v")).alias("v"))
+    upto = F.sum("c").over(Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
     at = F.col("p") * (F.col("n") - 1)
     low = F.floor(at)
     found = inside.withColumn("upto", upto).groupBy("i", "p", "n").agg(

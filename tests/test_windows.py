@@ -132,3 +132,13 @@ def test_plans_without_expand_and_enrichment_after_the_shuffle(spark):
     plan = queries()["transform_events"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "md5" in plan and "md5" not in plan[plan.index("Exchange"):]
     assert "md5" not in queries()["dedup_events"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_exact_quantiles_of_few_rows_with_the_default_accuracy(spark):
+    import numpy as np
+    from eventmill.operators.analytics import exact_quantiles
+    probs = [0.0, 0.5, 0.95, 0.99, 1.0]
+    for n in (1, 2, 3, 10, 21, 101, 1001):
+        vals = np.random.default_rng(n).exponential(2.0, n)
+        got = exact_quantiles(spark.createDataFrame([(float(x),) for x in vals], "x double"), "x", probs).first()["q"]
+        assert None not in got and np.allclose(got, np.quantile(vals, probs), rtol=0, atol=1e-12), (n, got)
