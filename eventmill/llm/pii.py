@@ -49,15 +49,18 @@ MENTION = re.compile(r"""
     (?P<secret>\b(?i:password|passwd|pwd|secret|api[_-]?key|access[_-]?key|auth[_-]?token|token)\b["']?\s{0,3}[=:]\s{0,3}["']?(?P<value>(?=[^\s"']*\d)[A-Za-z0-9+/_\-.~!@$%^&*]{6,}=*))
   | (?P<email>(?<![\w.+-])[\w.+-]+@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,}(?![\w]))
   | (?P<iban>(?<!\w)[A-Z]{2}\d{2}(?:\ ?[A-Z0-9]{4}){2,7}(?:\ ?[A-Z0-9]{1,3})?(?!\w))
-  | (?P<card>(?<![\w.+-])[3-6]\d{3}(?:(?P<cs>[ -]?)\d{4})(?:(?P=cs)\d{4})(?:(?P=cs)\d{1,7})(?![\w]))
+  | (?P<card>(?<![\w.+-])[3-6]\d{3}(?:(?P<cs>[ -]?)\d{4})(?:(?P=cs)\d{4})(?:(?P=cs)\d{1,7})(?![\w])
+      |(?<![\w.+-])3[47]\d{2}(?P<amex>[ -])\d{6}(?P=amex)\d{5}(?![\w])
+      |(?<![\w.+-])2[2-7]\d{2}(?P<two>[ -]?)\d{4}(?P=two)\d{4}(?P=two)\d{4}(?![\w]))
   | (?P<ipv4>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d))
-  | (?P<ipv6>(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){3,7}(?::?[0-9A-Fa-f]{1,4}){1,4}(?![\w:]))
+  | (?P<ipv6>(?<![\w:])(?=:*[0-9A-Fa-f])(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?(?![\w:]|\.\d)
+      |(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){3,7}(?::?[0-9A-Fa-f]{1,4}){1,4}(?![\w:]))
   | (?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
   | (?P<phone>(?<![\w.+(-])(?:\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{1,4}){2,5}|\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w-]))
   | (?P<person>\b(?P<title>""" + "|".join(sorted(TITLES, key=len, reverse=True)) + r""")\.?[ ](?P<name>""" + _NAME + r"(?:[ ]" + _NAME + r""")?))
 """, re.VERBOSE)
 #: What a text must hold to have any mention; run as a filter before the search proper.
-MAY_HAVE = r"@|[0-9]{3}|\+[0-9]|[0-9]\.[0-9]|[0-9A-Fa-f]:[0-9A-Fa-f:]|(?i:password|passwd|pwd|secret|api[_-]?key|access[_-]?key|token)|\b(?:" + "|".join(TITLES) + r")\.? "
+MAY_HAVE = r"@|[0-9]{3}|\+[0-9]|[0-9]\.[0-9]|[0-9A-Fa-f]:[0-9A-Fa-f:]|::[0-9A-Fa-f]|(?i:password|passwd|pwd|secret|api[_-]?key|access[_-]?key|token)|\b(?:" + "|".join(TITLES) + r")\.? "
 
 
 @dataclass(frozen=True)
@@ -91,6 +94,8 @@ def mentions(text: str | None) -> list[Mention]:
             canonical = re.sub(r"\D", "", raw)
             if kind == "card" and not 13 <= len(canonical) <= 19 or kind == "phone" and not 7 <= len(canonical) <= 15:
                 continue
+            if kind == "card" and (m["amex"] or canonical[0] == "2") and not (luhn_ok(canonical) and ("2221" <= canonical[:4] <= "2720" or m["amex"])):
+                continue
             if kind == "phone" and len(canonical) == 11 and raw.startswith("+1"):
                 canonical = canonical[1:]
         elif kind == "iban":
@@ -146,7 +151,8 @@ def surrogate(kind: str, canonical: str, key: str, attempt: int) -> str:
         named = [_same_shape(label, _draw(key, "domain", ".".join(labels[i:]), 0)) for i, label in enumerate(labels[:-1])]
         return _same_shape(local + "a" * longer, draw) + "@" + ".".join([*named, labels[-1]])
     if kind in ("card", "ssn", "phone"):
-        fixed = {"card": 1, "ssn": 0, "phone": max(0, len(canonical) - 10)}[kind]
+        brand = 4 if canonical[0] == "2" else 2 if len(canonical) == 15 and canonical[:2] in ("34", "37") else 1
+        fixed = {"card": brand, "ssn": 0, "phone": max(0, len(canonical) - 10)}[kind]
         digits = [int(c) if i < fixed else next(draw) % 10 for i, c in enumerate(canonical)]
         if kind != "card" and digits[fixed] == 0 and canonical[fixed] != "0":
             digits[fixed] = 1 + next(draw) % 9
@@ -165,7 +171,13 @@ def surrogate(kind: str, canonical: str, key: str, attempt: int) -> str:
             new[0] = 1 + next(draw) % 222
         return ".".join(map(str, new))
     if kind == "ipv6":
-        return re.sub(r"[0-9a-f]+", lambda m: "".join("123456789abcdef"[next(draw) % 15] for _ in m[0]), canonical)
+        # short compressed forms: groups grow to four digits, then groups are added in place of zeros
+        more = max(0, min(longer - 3, 6 - len(re.findall(r"[0-9a-f]+", canonical)))) if "::" in canonical else 0
+        wide = lambda text: min(4, len(text) + longer) if "::" in canonical else len(text)
+        new = re.sub(r"[0-9a-f]+", lambda m: "".join("123456789abcdef"[next(draw) % 15] for _ in range(wide(m[0]))), canonical)
+        for _ in range(more):
+            new += ("" if new.endswith("::") else ":") + "".join("123456789abcdef"[next(draw) % 15] for _ in range(4))
+        return new
     if kind == "person":
         gender, name = canonical[:1], canonical[2:]
         script, words = script_of(name), name.split(" ")
@@ -228,8 +240,8 @@ def pseudonymise(docs: DataFrame, *, text_col: str = "text", key: str = KEY) ->
     """All rows and columns of docs with personal data in the text replaced, and two more: n_entities, kinds.
 
     n_entities counts the mentions replaced, kinds lists their types, sorted and joined by commas. Types: email, phone,
-    card, iban, ipv4, ipv6, ssn, secret (the value after password, token and the like) and person (a name after a form
-    of address). Equal entities get equal surrogates in all documents, different ones different.
+    card, iban, ipv4, ipv6, ssn, secret (the value after password, token and the like) and person (a name after one of
+    the forms of address in TITLES; other names stay). Equal entities get equal surrogates in all documents, different ones different.
 
     Nulls: a null text stays null with no mentions; other columns are passed through whatever they hold (columns of the
     input called n_entities or kinds are replaced). Empty and very long texts are treated whole. Repeated rows are

@@ -156,3 +156,18 @@ def test_pipeline_stages_follow_each_other(spark):
         docs = after
     assert sizes == sorted(sizes, reverse=True) and sizes[3] == sizes[4]
     assert stage is corpus_pipeline.personal_data and corpus_pipeline.mix_sources(spark, docs, SMALL).count() == sizes[-1]
+
+
+def test_compressed_addresses_and_all_card_ranges_are_found():
+    found = {"ipv6": ["2001:db8::1", "2001:db8::8a2e:370:7334", "fe80::1ff:fe23:4567:890a", "::1", "fe80::", "1:2:3:4:5:6:7:8", "2001:db8:85a3::8a2e:370:7334"],
+             "card": ["3782 822463 10005", "3782-822463-10005", "2223003122003222", "2223 0031 2200 3222", "4111 1111 1111 1111"]}
+    for kind, values in found.items():
+        for value in values:
+            text = f"see {value}, now"
+            got = pii.mentions(text)
+            assert [(m.kind, text[m.start:m.end]) for m in got] == [(kind, value)] and re.search(pii.MAY_HAVE, text), value
+            new = [pii.rendered(kind, value, pii.surrogate(kind, got[0].canonical, "k", attempt)) for attempt in (0, 60)]
+            assert all([m.kind for m in pii.mentions(f"see {x}, now")] == [kind] and x != value for x in new), (value, new)
+    for decoy in ("3782 822463 10006", "2223003122003223", "2100 0000 0000 0005", "at 12:30:45", "std::vector", "a :: b"):
+        assert not pii.mentions(decoy), decoy
+    assert [m.kind for m in pii.mentions("::ffff:192.168.1.7")] == ["ipv4"]
