@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from eventmill.llm.common import cut, unused
 
 KEY = "surrogates-1"
+#: Draws an entity may need; reached only if a format has no free value left.
+ROUNDS = 240
 
 #: Given names by script and gender; surrogates come from the list that the original fits.
 GIVEN = {
@@ -141,7 +143,8 @@ def _same_shape(text: str, draw, keep: str = "") -> str:
 def surrogate(kind: str, canonical: str, key: str, attempt: int) -> str:
     """The entity's stand-in, in canonical form: its type, length, script, gender and check digits are kept.
 
-    From the twelfth attempt on, a format too narrow for all its entities gets one more character per twelve attempts.
+    From the twelfth attempt on, a format too narrow for all its entities gets one more character per twelve attempts,
+    and a private IPv4 address moves to 10.0.0.0/8.
     """
     draw = _draw(key, kind, canonical, attempt)
     longer = attempt // 12
@@ -166,6 +169,8 @@ def surrogate(kind: str, canonical: str, key: str, attempt: int) -> str:
     if kind == "ipv4":
         parts = [int(p) for p in canonical.split(".")]
         private = 1 if parts[0] in (10, 127) else 2 if parts[:2] == [192, 168] or parts[0] == 172 and 16 <= parts[1] < 32 else 0
+        if private == 2 and longer:
+            parts, private = [10, *parts[1:]], 1
         new = [p if i < private else 1 + (next(draw) * 256 + next(draw)) % (222 if i == 0 else 254) for i, p in enumerate(parts)]
         while not private and new[0] in (10, 127, 172, 192):
             new[0] = 1 + next(draw) % 222
@@ -206,12 +211,12 @@ def rendered(kind: str, raw: str, stand_in: str) -> str:
     return stand_in
 
 
-def resolve(entities: DataFrame, key: str) -> DataFrame:
+def resolve(entities: DataFrame, key: str, rounds: int = ROUNDS) -> DataFrame:
     """(kind, canonical, surrogate): distinct entities with distinct surrogates, none of them a value that occurs.
 
     Every round draws for the entities still open and joins the draws with the values that occur and the surrogates
-    already given; of those that drew the same value the smallest keeps it. Rounds go on until none is open. Each draw
-    is a function of key, entity and attempt; rounds only compare equal values of one kind.
+    already given; of those that drew the same value the smallest keeps it. Rounds go on until none is open; after `rounds` of
+    them an error names the types that have no value left. Each draw is a function of key, entity and attempt; rounds only compare equal values of one kind.
     """
     def drawn(attempt: int):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -234,6 +239,10 @@ def resolve(entities: DataFrame, key: str) -> DataFrame:
         attempt += 1
         if left.isEmpty():
             return given
+        if attempt >= rounds:
+            still = ", ".join(f"{r['kind']} ({r['count']}, as {r['canonical_length']} characters)" for r in left.groupBy("kind").agg(
+                F.count(F.lit(1)).alias("count"), F.min(F.length("canonical")).alias("canonical_length")).orderBy("kind").collect())
+            raise ValueError(f"no free surrogate after {rounds} draws for {still}")
 
 
 def pseudonymise(docs: DataFrame, *, text_col: str = "text", key: str = KEY) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 from conftest import SMALL
 
 from eventmill.llm import decontamination, html_extraction, pii, toxicity
@@ -171,3 +172,13 @@ def test_compressed_addresses_and_all_card_ranges_are_found():
     for decoy in ("3782 822463 10006", "2223003122003223", "2100 0000 0000 0005", "at 12:30:45", "std::vector", "a :: b"):
         assert not pii.mentions(decoy), decoy
     assert [m.kind for m in pii.mentions("::ffff:192.168.1.7")] == ["ipv4"]
+
+
+def test_private_addresses_move_to_a_wider_range_and_rounds_are_bounded(spark):
+    for value in ("192.168.3.4", "172.20.3.4"):
+        assert pii.surrogate("ipv4", value, "k", 11).split(".")[:2] == value.split(".")[:2]
+        assert len({pii.surrogate("ipv4", value, "k", attempt) for attempt in range(12, 60)}) == 48
+        assert all(pii.surrogate("ipv4", value, "k", attempt).startswith("10.") for attempt in range(12, 60))
+    crowded = spark.createDataFrame([("email", f"{c}@a.example") for c in "abcdefghijklmnopqrstuvwxyz"], "kind string, canonical string")
+    with pytest.raises(ValueError, match="email"):
+        pii.resolve(crowded, "k", rounds=2)
