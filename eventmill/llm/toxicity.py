@@ -223,17 +223,34 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(np.array(out, dtype=np.float64), -40, 40)))
 
 
+def one_text_each(texts: DataFrame, sample: DataFrame) -> DataFrame:
+    """(doc_id, label, text): for each id of the sample, the text with the least hash among its rows.
+
+    Hashes alone are grouped over all rows; of equal texts each task hands on one per id, so a repeated id shuffles little.
+    """
+    least = cut(texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(F.min(F.xxhash64("text")).alias("h")))
+
+    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set = set()
+        for rows in batches:
+            rows = rows[~rows["doc_id"].isin(seen)].drop_duplicates("doc_id")
+            seen.update(rows["doc_id"])
+            yield rows
+    chosen = texts.withColumn("h", F.xxhash64("text")).join(F.broadcast(least), ["doc_id", "h"]).select("doc_id", "label", "text")
+    return chosen.mapInPandas(first, chosen.schema).groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+
+
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id", label_col: str = "toxic", fit_rows: int = FIT_ROWS) -> Scorer:
     """Fit voters, label model and classifier on the labelled documents outside the held-out fold.
 
     At most `fit_rows` of them are used, those with the smallest hash of their id, so what is sent to every task (ids and
-    labels of these rows) is bounded and no text is shuffled. Without labels, or with one class only, the voters are the fixed lexicon and patterns alone.
+    labels of these rows) is bounded. Of rows that share an id one text is used. Without labels, or with one class only, the voters are the fixed lexicon and patterns alone.
     """
     marks = labels.filter(F.col(label_col).isin(0, 1)).groupBy(F.col(label_id_col).alias("doc_id")).agg(F.max(label_col).alias("label"))
     marks = marks.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     sample = cut(marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows))
-    training = texts.join(F.broadcast(sample), "doc_id").select("text", F.col("label").cast("int").alias("label"))
+    training = cut(one_text_each(texts, sample).select("text", F.col("label").cast("int").alias("label")))
     chosen = choose_features(cut(feature_counts(training)), FEATURES)
     fixed = [w + "$" for w in LEXICON] + list(PATTERNS)
     names = list(dict.fromkeys([*chosen["feature"], *fixed]))

@@ -182,3 +182,11 @@ def test_private_addresses_move_to_a_wider_range_and_rounds_are_bounded(spark):
     crowded = spark.createDataFrame([("email", f"{c}@a.example") for c in "abcdefghijklmnopqrstuvwxyz"], "kind string, canonical string")
     with pytest.raises(ValueError, match="email"):
         pii.resolve(crowded, "k", rounds=2)
+
+
+def test_training_takes_one_text_per_id(spark):
+    rows = [(1, "a hot text")] * 40 + [(1, "another"), (2, "x"), (2, "x"), (3, None), (None, "y"), (4, "no label")]
+    texts = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = toxicity.one_text_each(texts, spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, label int")).collect()
+    assert sorted(r["doc_id"] for r in got) == [1, 2, 3] and {r["doc_id"]: r["label"] for r in got} == {1: 1, 2: 0, 3: 0}
+    assert {r["text"] for r in got if r["doc_id"] != 1} == {"x", None}
