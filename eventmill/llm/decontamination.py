@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -204,7 +205,7 @@ def passage_blocks(benchmark: DataFrame, id_col: str, text_col: str, q: int, rat
     """Indexes of the distinct passages, a block at a time. Passages with too few characters for the lemma
     (none of their q-grams need survive the edits) get as many edits as leave one q-gram."""
     items, passages, size = [], [], 0
-    rows = benchmark.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).filter("i is not null and t is not null").distinct()
+    rows = benchmark.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).filter("t is not null").distinct()
     for row in rows.orderBy("i", "t").toLocalIterator():
         code = folded(row["t"].strip())[0]
         if len(code) < q:
@@ -227,8 +228,8 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_
     within floor(rate * length) edits of the whole item. edits is the least such number; start and end (code points of
     the text as given) bound one stretch with it.
 
-    Nulls: documents with a null text match nothing, a null id is kept; items with a null id or text, or with fewer
-    than q characters, are left out. Empty texts match nothing; very long texts are read whole, in pieces that overlap
+    Nulls: documents with a null text match nothing, a null id is kept, that of an item too; items with a null text, or with
+    fewer than q characters, are left out. Empty texts match nothing; very long texts are read whole, in pieces that overlap
     by q - 1. Repeated documents and items give their rows each (equal (item, text) rows once). Empty tables on either
     side give no rows. Other columns are ignored. The passages are the stated query set: they are read a block at a
     time, each block's index (about 40 bytes a character) goes to every task, and all texts pass by it.
@@ -244,12 +245,22 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_
             block = shared.value
             for rows in batches:
                 found = [(d, block.items[i], e, s, t) for d, text in zip(rows["doc_id"], rows["text"]) for i, e, s, t in text_matches(text, block)]
-                yield pd.DataFrame(found, columns=["doc_id", "item_id", "edits", "start", "end"]).astype({"item_id": "int64", "edits": "int32", "start": "int32", "end": "int32"})
+                yield pd.DataFrame(found, columns=["doc_id", "item_id", "edits", "start", "end"]).astype({"item_id": "Int64", "edits": "int32", "start": "int32", "end": "int32"})
         out = out.unionByName(texts.mapInPandas(run, schema))
     return out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """docs without the documents that hold a benchmark item; rows with a null id are kept."""
-    held = contaminations(docs, benchmark, id_col=id_col, **options).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(held, id_col, "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
+          q: int = Q, rate: float = EDIT_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """docs without the rows whose text holds a benchmark item, decided row by row: ids may repeat or be null."""
+    spark: SparkSession = docs.sparkSession
+    out = docs
+    for index in passage_blocks(benchmark, item_id_col, item_text_col, q, rate, block_chars):
+        shared = spark.sparkContext.broadcast(index)
+
+        def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            block = shared.value
+            for rows in batches:
+                yield rows.filter(pa.array([not text_matches(t, block) for t in rows.column(text_col).to_pylist()], pa.bool_()))
+        out = out.mapInArrow(keep, docs.schema)
+    return out

@@ -190,3 +190,13 @@ def test_training_takes_one_text_per_id(spark):
     got = toxicity.one_text_each(texts, spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, label int")).collect()
     assert sorted(r["doc_id"] for r in got) == [1, 2, 3] and {r["doc_id"]: r["label"] for r in got} == {1: 1, 2: 0, 3: 0}
     assert {r["text"] for r in got if r["doc_id"] != 1} == {"x", None}
+
+
+def test_decontamination_decides_row_by_row_and_searches_items_without_an_id(spark):
+    item, other = "the quick brown fox jumps over the lazy dog near the river bank", "seven wise owls sat on a crooked branch and sang until the dawn came"
+    rows = [(None, f"x {item} y"), (None, "clean"), (1, f"x {item} y"), (1, "clean too"), (2, f"so {other} it"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item), (None, other)], "item_id long, text string")
+    assert sorted(map(str, decontamination.clean(docs, bench, block_chars=10).collect())) == sorted(map(str, docs.filter("text is null or text like 'clean%'").collect()))
+    found = decontamination.contaminations(docs, bench).collect()
+    assert sorted((r["doc_id"] or 0, r["item_id"] or 0) for r in found) == [(0, 7), (1, 7), (2, 0)]
