@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import raw_df, sample
+from core_helpers import raw_df, sample
 from eventmill.operators.dedup import dedup, duplicate_report
 from eventmill.operators.transform import split, transform, transform_events, transform_stats
 

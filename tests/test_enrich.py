@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import raw_df, sample
+from core_helpers import raw_df, sample
 from eventmill.operators.transform import to_document, to_flat, transform
 
 

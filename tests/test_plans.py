@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from core_helpers import SF_SMALL
 
 import __spark_entry__ as E
 from eventmill.plans.registry import queries

@@ -7,7 +7,7 @@ import math
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from core_helpers import SF_SMALL
 
 import __spark_entry__ as E
 from eventmill.plans import registry

@@ -2,7 +2,7 @@
 stream = batch, dead letters (B1-B3, B8, B10, A3, L1-L4)."""
 
 
-from conftest import SF_SMALL, raw_df, sample
+from core_helpers import SF_SMALL, raw_df, sample
 from eventmill.session import scratch_dir
 from eventmill.sinks.files import dual_sink, read_flat, write_document, write_flat
 from eventmill.operators.transform import transform, transform_events

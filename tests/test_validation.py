@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import raw_df, sample
+from core_helpers import raw_df, sample
 from eventmill.operators.transform import transform
 from eventmill.operators.validate import decode_json
 

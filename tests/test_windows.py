@@ -63,7 +63,7 @@ def test_latest_per_key_picks_greatest_version(spark):
 
 
 def test_flat_sink_splits_a_hot_date(spark):
-    from conftest import raw_df, sample
+    from core_helpers import raw_df, sample
     from eventmill.operators.transform import transform_events
     from eventmill.session import scratch_dir
     from eventmill.sinks.files import read_flat, write_flat
@@ -78,7 +78,7 @@ def test_flat_sink_splits_a_hot_date(spark):
 
 
 def test_catalog_views_run_source_style_sql(spark):
-    from conftest import SF_SMALL
+    from core_helpers import SF_SMALL
     from eventmill.plans.catalog import register_views
     from eventmill.sources.tables import events
     ev = events(spark, SF_SMALL)
@@ -125,7 +125,7 @@ def test_approx_users_within_three_sigma(spark):
 
 
 def test_plans_without_expand_and_enrichment_after_the_shuffle(spark):
-    from conftest import SF_SMALL
+    from core_helpers import SF_SMALL
     from eventmill.plans.registry import queries
     for name in ("daily_users", "transform_stats", "latest_daily_user", "latency_percentiles"):
         assert "Expand" not in queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString(), name
