@@ -5,8 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
-SMALL = "/root/testdata/sf0.001"
-DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+from llm_helpers import DOCS  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -4,7 +4,7 @@ import math
 
 import duckdb
 import pandas as pd
-from conftest import SMALL
+from llm_helpers import SMALL
 
 from eventmill.llm import licenses, mixing, queries, urlfilter
 

@@ -5,7 +5,7 @@ import re
 
 import numpy as np
 import pytest
-from conftest import SMALL
+from llm_helpers import SMALL
 
 from eventmill.llm import decontamination, html_extraction, pii, toxicity
 
