@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmill.llm import bwt_dedup, decontamination, embedding_dedup, html_extraction, licenses, mixing, pii, simhash, toxicity, urlfilter
+from eventmill.llm import (bwt_dedup, decontamination, divergence, embedding_dedup, html_extraction, licenses, mixing, pii, simhash, tokencount,
+                           toxicity, urlfilter, whitening)
 from eventmill.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -56,12 +57,26 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).drop("residual")
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op1_decontamination, op2_toxicity, op3_pii_surrogates, op4_html_main_text, op5_license_scan, op6_url_filter, op7_bwt_substring_dedup, op8_embedding_dedup, op9_simhash_dedup, op10_mix_sources)}
+    return {f.__name__: f for f in (op1_decontamination, op2_toxicity, op3_pii_surrogates, op4_html_main_text, op5_license_scan, op6_url_filter, op7_bwt_substring_dedup, op8_embedding_dedup, op9_simhash_dedup, op10_mix_sources,
+                                   op11_embedding_whitening, op12_token_counts, op13_source_divergence)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_license_scan": licenses.scan_sql(),
         "op10_mix_sources": f"SELECT doc_id, size, source_size, target, taken FROM ({mixing.mix_sql()})",
+        "op13_source_divergence": divergence.audit_sql(),
     }
