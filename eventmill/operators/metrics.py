@@ -69,24 +69,6 @@ def duration_histogram(op_log: DataFrame, buckets: list[float], value: str = "du
             .select(*keys, "_p.le", "_p.cumulative_count", "sum", "count"))
 
 
-def partition_counts(messages: DataFrame) -> DataFrame:
-    """Messages consumed by (topic, partition)."""
-    return messages.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("messages"))
-
-
-def consumer_lag(messages: DataFrame, group: str = "eventmill") -> DataFrame:
-    """End offset, committed offset and lag per (topic, partition, group).
-
-    End = last offset + 1; committed = offset after the last processed message (0 if none
-    is); lag = end - committed.
-    """
-    end = F.max("offset") + 1
-    committed = F.coalesce(F.max(F.when(F.col("processed"), F.col("offset"))) + 1, F.lit(0))
-    return (messages.groupBy("topic", "partition").agg(end.alias("end_offset"), committed.alias("committed_offset"))
-            .select("topic", "partition", F.lit(group).alias("consumer_group"), "end_offset", "committed_offset",
-                    (F.col("end_offset") - F.col("committed_offset")).alias("lag")))
-
-
 def throughput(op_log: DataFrame, batch_size: int = 1000) -> DataFrame:
     """messages/s and bytes/s over the time span of the log, failure percent and
     mean batch size (batches of `batch_size` consecutive ids)."""

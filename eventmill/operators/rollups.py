@@ -31,25 +31,32 @@ def hourly_partials(events: DataFrame, block_col: str = "block", lg_k: int = 12)
                  F.hll_sketch_agg(F.col("user_id"), lg_k).alias("users_sketch")))
 
 
+def combine_hourly_partials(partials: DataFrame) -> DataFrame:
+    """Several blocks' partial rollups as one: counts added, sketches united and kept as sketches."""
+    return (partials.groupBy(*HOURLY_KEYS)
+            .agg(F.sum("event_count").alias("event_count"), F.hll_union_agg("users_sketch").alias("users_sketch")))
+
+
 def merge_hourly_partials(partials: DataFrame) -> DataFrame:
     """Merge partial rollups: sum counts, union sketches; `approx_users` is the sketch's estimate."""
-    return (partials.groupBy(*HOURLY_KEYS)
-            .agg(F.sum("event_count").alias("event_count"),
-                 F.hll_sketch_estimate(F.hll_union_agg("users_sketch")).alias("approx_users")))
+    return combine_hourly_partials(partials).select(*HOURLY_KEYS, "event_count", F.hll_sketch_estimate("users_sketch").alias("approx_users"))
 
 
 def _user_days(events: DataFrame, keys: list[str]) -> DataFrame:
     """Per keys: first and last time, events, distinct types and sessions.
 
-    Counted per (keys, type, session) first; the distinct counts then run over that far
-    smaller frame in the same aggregate, so no row is multiplied for them.
+    One row per (keys, session, type) first, then one per (keys, session) with its types, of which there are few.  No
+    row ever holds a set of sessions, so a user with millions of them is counted like any other, and no row is
+    multiplied for a second distinct count.
     """
-    fine = events.groupBy(*keys, "event_type", "session_id").agg(
+    fine = events.groupBy(*keys, "session_id", "event_type").agg(
         F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"), F.count(F.lit(1)).alias("n"))
-    return fine.groupBy(*keys).agg(
+    sessions = fine.groupBy(*keys, "session_id").agg(
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n"), F.collect_set("event_type").alias("types"))
+    types = F.size(F.array_distinct(F.flatten(F.collect_set("types"))))
+    return sessions.groupBy(*keys).agg(
         F.min("lo").alias("first_event_time"), F.max("hi").alias("last_event_time"), F.sum("n").alias("event_count"),
-        F.size(F.collect_set("event_type")).cast("long").alias("unique_event_types"),
-        F.size(F.collect_set("session_id")).cast("long").alias("session_count"))
+        types.cast("long").alias("unique_event_types"), F.count("session_id").alias("session_count"))
 
 
 def daily_users(events: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Registered pipeline-quality metrics over modelled logs."""
+"""Registered pipeline-quality metrics over modelled logs."""
 
 from __future__ import annotations
 
@@ -10,8 +10,7 @@ from eventmill.operators import metrics as Mx
 from eventmill.operators.transform import transform
 from eventmill.plans.registry import register
 from eventmill.plans.sqlgen import transform_sql
-from eventmill.sources.modelled import (batch_log, batch_log_sql, offsets, offsets_sql, op_log,
-                                        op_log_sql)
+from eventmill.sources.modelled import batch_log, batch_log_sql, op_log, op_log_sql
 from eventmill.sources.raw import raw_events, raw_events_sql
 
 OPS = op_log_sql()
@@ -66,18 +65,6 @@ def q_duration_histogram(spark, sf):
     return Mx.duration_histogram(op_log(spark, sf), dims.DURATION_BUCKETS)
 
 
-@register("partition_counts", f"SELECT topic, partition, count(*) AS messages FROM {offsets_sql()} m GROUP BY 1, 2")
-def q_partition_counts(spark, sf):
-    return Mx.partition_counts(offsets(spark, sf))
-
-
-@register("consumer_lag", f"""SELECT topic, partition, 'eventmill' AS consumer_group, max("offset") + 1 AS end_offset,
-  coalesce(max("offset") FILTER (WHERE processed) + 1, 0) AS committed_offset,
-  max("offset") + 1 - coalesce(max("offset") FILTER (WHERE processed) + 1, 0) AS lag FROM {offsets_sql()} m GROUP BY 1, 2""")
-def q_consumer_lag(spark, sf):
-    return Mx.consumer_lag(offsets(spark, sf))
-
-
 @register("throughput", f"""WITH s AS (SELECT count(*) AS n, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS elapsed,
   sum(payload_bytes) AS bytes, count(*) FILTER (WHERE status = 'error') AS errs,
   count(DISTINCT floor(id / 1000)) AS batches FROM {OPS} o)

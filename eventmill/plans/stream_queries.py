@@ -18,9 +18,11 @@ from eventmill.plans.sqlgen import accepted_sql, transform_sql
 from eventmill.session import scratch_dir
 from eventmill.sinks.files import dual_sink, read_documents, read_flat, write_document, write_flat
 from eventmill.sources.raw import raw_events, raw_events_sql
-from eventmill.streaming.ingest import (StreamSource, live_root, merge_daily_partials, run_name, run_stream,
+from eventmill.streaming.ingest import (StreamSource, daily_runs, hourly_runs, live_root, merge_daily_partials, read_batch_log, run_name,
+                                        run_stream,
                                         session_stream, set_live, state_partitions_for_start,
                                         tagged_stream, write_message_files)
+from eventmill.streaming.progress import consumer_lag, partition_counts, source_offsets, with_messages
 
 RAW = raw_events_sql()
 TR = transform_sql(RAW)
@@ -29,11 +31,11 @@ WATERMARK = "1 day"
 N_FILES = 4
 STATE_PARTITIONS = 8
 
-_RUNS: dict[tuple[int, str], str] = {}
+_RUNS: dict[tuple[str, str], str] = {}
 
 
 def _stream_root(spark, sf) -> str:
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _RUNS:
         base = scratch_dir(spark, "stream")
         glob = write_message_files(raw_events(spark, sf), f"{base}/input", N_FILES)
@@ -107,21 +109,47 @@ SELECT sink, CAST(0 AS BIGINT) AS failed, CASE WHEN sink = 'dead_letter' THEN de
   (VALUES ('flat'), ('documents'), ('hourly_partials'), ('daily_partials'), ('dead_letter')) s(sink)""")
 def q_stream_batch_log(spark, sf):
     """G17 + B3: totals per sink of the real stream's batch log."""
-    log = spark.read.parquet(f"{_live(spark, sf)}/batch_log")
+    log = read_batch_log(spark, _live(spark, sf))
     return log.groupBy("sink").agg(F.count_if(~F.col("ok")).alias("failed"), F.sum("rows").alias("rows"))
 
 
+#: Message files in arrival order: the chunk of a row by `write_message_files`.
+CHUNK_SQL = f"""(SELECT 'c' || lpad(CAST(CAST(floor((src_id - lo) / greatest(1, (hi - lo + {N_FILES}) // {N_FILES})) AS BIGINT)
+  + CASE WHEN delivery <> 0 AND (src_id // 50) % 2 = 1 THEN 1 ELSE 0 END AS VARCHAR), 4, '0') AS chunk
+  FROM {RAW} r, (SELECT min(src_id) AS lo, max(src_id) AS hi FROM {RAW} b) x)"""
+
+
+def _offsets(spark, glob, checkpoint):
+    return with_messages(spark, source_offsets(spark, glob, checkpoint), glob)
+
+
+@register("partition_counts", f"SELECT 'input' AS topic, chunk AS partition, count(*) AS messages FROM {CHUNK_SQL} c GROUP BY 2")
+def q_partition_counts(spark, sf):
+    """Messages that the drained stream consumed, by source folder, from its own log of files."""
+    base = _stream_root(spark, sf)
+    return partition_counts(_offsets(spark, f"{base}/input/c*/part-*", f"{base}/checkpoint/events"))
+
+
+@register("consumer_lag", f"""SELECT 'input' AS topic, chunk AS partition, 'eventmill' AS consumer_group, count(*) AS end_offset,
+  count(*) FILTER (WHERE chunk < 'c0002') AS committed_offset, count(*) FILTER (WHERE chunk >= 'c0002') AS lag FROM {CHUNK_SQL} c GROUP BY 2""")
+def q_consumer_lag(spark, sf):
+    """Lag of a stream that has drained the first two folders of its source when the others are there."""
+    inputs, base = f"{_stream_root(spark, sf)}/input", scratch_dir(spark, "lag")
+    _drain(spark, f"{inputs}/c000[01]/part-*", f"{base}/out", f"{base}/checkpoint", 100)
+    return consumer_lag(_offsets(spark, f"{inputs}/c*/part-*", f"{base}/checkpoint/events"))
+
+
 @register("stream_hourly", f"""SELECT event_date, date_trunc('hour', "timestamp") AS event_hour, event_type, event_category,
   count(*) AS event_count, count(DISTINCT user_id) AS approx_users FROM {ACC} a GROUP BY 1, 2, 3, 4""")
 def q_stream_hourly(spark, sf):
-    return R.merge_hourly_partials(spark.read.parquet(f"{_live(spark, sf)}/hourly_partials"))
+    return R.merge_hourly_partials(hourly_runs(spark, _live(spark, sf)).read())
 
 
 @register("stream_daily_users", f"""SELECT event_date, user_id, min("timestamp") AS first_event_time,
   max("timestamp") AS last_event_time, count(*) AS event_count, count(DISTINCT event_type) AS approx_event_types,
   count(DISTINCT session_id) AS approx_sessions FROM {ACC} a GROUP BY 1, 2""")
 def q_stream_daily_users(spark, sf):
-    return merge_daily_partials(spark.read.parquet(f"{_live(spark, sf)}/daily_partials"))
+    return merge_daily_partials(daily_runs(spark, _live(spark, sf)).read())
 
 
 STREAM_SESSIONS_SQL = f"""WITH a AS (SELECT user_id, "timestamp", event_id FROM {ACC} a)

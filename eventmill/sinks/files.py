@@ -3,9 +3,9 @@
 Idempotence: rows carry the batch id as the inner partition and a batch overwrites its
 own partitions, so a replayed batch replaces its earlier output instead of adding to it
 (B10).  `event_date` is the outer partition of the flat table, so a date filter lists one
-folder.  Documents are laid out by a hash of their id and skip ids already stored (B2,
-left anti join), whatever their date.  A batch is persisted once and written to all
-sinks, and every sink's outcome is recorded (B3).
+folder.  Documents skip ids already stored, whatever their date (B2): an index of ids
+beside the table decides, see `sinks.idindex`.  A batch is persisted once and written to
+all sinks, and every sink's outcome is recorded (B3).
 """
 
 from __future__ import annotations
@@ -14,31 +14,41 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eventmill.operators.transform import split, to_document, to_flat
 from eventmill.operators.validate import with_reject_reason
 from eventmill.schemas import RAW_FIELDS
+from eventmill.sinks import store
+from eventmill.sinks.idindex import IdIndex
 
 
 @dataclass
 class Outcome:
-    """What became of one sink's write: rows asked for, seconds, and the error text if it failed."""
+    """What became of one sink's write: seconds, the error text if it failed, and the rows it took (if it told)."""
     sink: str
     ok: bool
     seconds: float
     error: str | None = None
+    rows: int | None = None
 
 
-def run_writes(spark: SparkSession, writes: dict[str, Callable[[], None]], require: str = "all") -> list[Outcome]:
-    """Run the writes of one persisted batch; the first alone, then the rest as concurrent jobs.
+def counted(df: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
+    """df and a function that tells, once a job has read it, how many rows went through."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), lambda: seen.get["rows"]
 
-    The first write computes the persisted batch (and with it any stateful streaming step
-    upstream) once; the remaining writes read the cached blocks and are independent jobs,
-    so they run side by side and fill the executors instead of queueing one after another.
-    Every outcome is returned.  require="all": any failure raises, so the batch is retried
-    as a whole; "any": it raises only if no sink took the batch.
+
+def run_writes(spark: SparkSession, writes: dict[str, Callable[[], int | None]], require: str = "all", computed: bool = False) -> list[Outcome]:
+    """Run the writes of one persisted batch as concurrent jobs; a write may return the rows it took.
+
+    Unless the batch is computed already, the first write runs alone: it computes the
+    persisted batch (and with it any stateful streaming step upstream) once.  The others
+    read the cached blocks and are independent jobs, so they run side by side and fill the
+    executors instead of queueing one after another.  Every outcome is returned.
+    require="all": any failure raises, so the batch is retried as a whole; "any": it raises
+    only if no sink took the batch.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -47,16 +57,17 @@ def run_writes(spark: SparkSession, writes: dict[str, Callable[[], None]], requi
     def run(name: str) -> Outcome:
         began = time.time()
         try:
-            writes[name]()
+            rows = writes[name]()
         except Exception as e:  # noqa: BLE001 - recorded, and raised below
             return Outcome(name, False, time.time() - began, f"{type(e).__name__}: {e}"[:2000])
-        return Outcome(name, True, time.time() - began)
+        return Outcome(name, True, time.time() - began, rows=rows)
 
     names = list(writes)
-    done = [run(n) for n in names[:1]]
-    if len(names) > 1:
-        with ThreadPoolExecutor(max_workers=len(names) - 1) as pool:
-            done += [f.result() for f in [pool.submit(inheritable_thread_target(spark)(run), n) for n in names[1:]]]
+    done = [] if computed else [run(n) for n in names[:1]]
+    rest = names[len(done):]
+    if rest:
+        with ThreadPoolExecutor(max_workers=len(rest)) as pool:
+            done += [f.result() for f in [pool.submit(inheritable_thread_target(spark)(run), n) for n in rest]]
     failed = [o for o in done if not o.ok]
     if failed and (require == "all" or len(failed) == len(done)):
         raise WriteError(done)
@@ -71,13 +82,6 @@ class WriteError(RuntimeError):
         self.outcomes = outcomes
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
 CLUSTER_KEY = ["event_date", "event_type", "user_id", "timestamp"]
 
 
@@ -91,25 +95,58 @@ def overwrite_batch(df: DataFrame, path: str, batch_id: int | None, *outer: str)
 
 
 def write_flat(df: DataFrame, path: str, batch_id: int | None = None, wide: bool = False,
-               files: int | None = None) -> None:
+               files: int | None = None, small: bool = False) -> None:
     """B1 + M1 + M2: flat rows partitioned by event_date and clustered by
     (event_date, event_type, user_id, timestamp) for min/max skipping.
 
     Range partitioning on the cluster key (sampled bounds) keeps output tasks even: a
     date holding a third of all rows is split over many tasks instead of one.  With a
     batch id the rows of a date go to `event_date=<d>/batch_id=<n>/`, replaced when the
-    batch is written again; an empty batch writes no data files.
+    batch is written again; an empty batch writes no data files.  small=True, for
+    micro-batches that a compaction rewrites later: rows are rebalanced by date (AQE joins
+    small dates and splits a hot one), which saves the job that samples the bounds.
     """
     flat = to_flat(df, wide=wide).withColumn("processed_at", F.current_timestamp().cast("timestamp_ntz"))
     # without an explicit file count AQE sizes the range partitions (advisory partition
-    # size), so a small micro-batch writes a few files and a big load writes many
-    flat = flat.repartitionByRange(files, *CLUSTER_KEY) if files else flat.repartitionByRange(*CLUSTER_KEY)
+    # size), so a small load writes a few files and a big one writes many
+    if small:
+        flat = flat.hint("rebalance", "event_date")
+    else:
+        flat = flat.repartitionByRange(files, *CLUSTER_KEY) if files else flat.repartitionByRange(*CLUSTER_KEY)
     overwrite_batch(flat.sortWithinPartitions(*CLUSTER_KEY), path, batch_id, "event_date")
 
 
 def read_flat(spark: SparkSession, path: str) -> DataFrame:
-    """Read the flat table back (date partitions and batch folders are discovered)."""
-    return spark.read.option("basePath", path).parquet(path)
+    """Read the flat table back (date partitions and batch folders are discovered), from its retention bound on."""
+    flat = spark.read.option("basePath", path).parquet(path)
+    bound = retention_bound(spark, path)
+    return flat if bound is None else flat.where(F.col("event_date") >= F.lit(bound).cast("date"))
+
+
+def retention_bound(spark: SparkSession, path: str) -> str | None:
+    """The first date that readers of a flat table see; None if all."""
+    return max((n[len("from-"):] for n in store.names(spark, f"{path}/_retention") if n.startswith("from-")), default=None)
+
+
+def drop_dates(spark: SparkSession, path: str, first: str, grace_seconds: float = 3600.0) -> list[str]:
+    """M3: retention by dropping whole date folders; no data file is read or rewritten.
+
+    The bound moves first, so that readers from now on plan without the older dates.  A folder goes once the bound above
+    it has stood for `grace_seconds`, for readers that planned before: call again later (each run of a daily job does).
+    A bound never moves back.  Returns the dates whose folders were deleted.
+    """
+    bound = retention_bound(spark, path)
+    if bound is None or first > bound:
+        store.write_text(spark, f"{path}/_retention/from-{first}", "")
+    marks = {n[len("from-"):]: t for n, t in store.names(spark, f"{path}/_retention").items() if n.startswith("from-")}
+    settled = max((d for d, t in marks.items() if t <= (time.time() - grace_seconds) * 1000), default=None)
+    gone = []
+    for name in store.names(spark, path):
+        day = name[len("event_date="):] if name.startswith("event_date=") else None
+        if settled is not None and day is not None and day < settled:
+            store.delete(spark, f"{path}/{name}")
+            gone.append(day)
+    return sorted(gone)
 
 
 def compact_flat(spark: SparkSession, path: str, out: str, start_date: str | None = None, end_date: str | None = None) -> None:
@@ -124,35 +161,38 @@ def compact_flat(spark: SparkSession, path: str, out: str, start_date: str | Non
     rows.write.mode("errorifexists").partitionBy("event_date").parquet(out)
 
 
-#: Folders that documents are dealt to by a hash of their id; fixed for the life of a table.
-ID_BUCKETS = 16
-
-
-def with_id_bucket(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("id_bucket", F.pmod(F.xxhash64("_id"), F.lit(ID_BUCKETS)).cast("int"))
+def id_index(spark: SparkSession, path: str, **sizes) -> IdIndex:
+    """The index of the ids that a document table holds, in a hidden folder of it."""
+    return IdIndex(spark, f"{path}/_ids", **sizes)
 
 
 def write_document(spark: SparkSession, df: DataFrame, path: str, batch_id: int | None = None) -> None:
     """B2: insert documents with a unique `_id`: in-batch repeats are dropped and ids
-    already stored, under whatever date, are skipped (anti join), never failed.
+    already stored, under whatever date, are skipped, never failed.
 
-    The table is laid out by a hash of the id, and only the `_id` column of what is stored
-    is read.  A batch that is written again does not meet its own earlier rows.
+    The id index beside the table decides: a batch opens only the index files that may hold
+    one of its ids, and the index's buckets grow with the table.  A batch that is written
+    again does not meet its own earlier rows; without a batch id the next number is taken.
+    The index is written last, so a batch cut short is written again as a whole.
     """
-    docs = with_id_bucket(to_document(df).dropDuplicates(["_id"]))
-    if _path_exists(spark, path):
-        stored = spark.read.option("basePath", path).parquet(path)
-        if batch_id is not None and "batch_id" in stored.columns:
-            stored = stored.where(F.col("batch_id") != batch_id)
-        docs = docs.join(stored.select("id_bucket", "_id"), ["id_bucket", "_id"], "left_anti")
-    docs = docs.repartition("id_bucket").sortWithinPartitions("id_bucket", "_id")
-    overwrite_batch(docs, path, batch_id, "id_bucket")
+    index = id_index(spark, path)
+    batch_id = index.last_batch() + 1 if batch_id is None else batch_id
+    docs = index.fresh(to_document(df).dropDuplicates(["_id"]), "_id", batch_id).persist()
+    try:
+        put_documents(docs, path, batch_id)
+        index.add(docs.select("_id"), batch_id, unique=True)
+    finally:
+        docs.unpersist()
+
+
+def put_documents(docs: DataFrame, path: str, batch_id: int) -> None:
+    """Write documents whose ids are known to be new."""
+    overwrite_batch(docs.sortWithinPartitions("_id"), path, batch_id)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Read documents back as written, without the layout columns."""
-    d = spark.read.option("basePath", path).parquet(path)
-    return d.drop("id_bucket", "batch_id")
+    """Read documents back as written, without the layout column."""
+    return spark.read.option("basePath", path).parquet(path).drop("batch_id")
 
 
 def dead_letter_rows(raw: DataFrame, offset_mode: str = "utc") -> DataFrame:
@@ -200,9 +240,13 @@ def dual_sink(spark: SparkSession, flat_path: str, doc_path: str, dead_path: str
 def check_reject_ratio(tagged: DataFrame, batch_id: int, limit: float | None) -> None:
     """Raise if the share of rejected rows is over the limit."""
     if limit is not None:
-        r = tagged.agg(F.avg(F.col("reject_reason").isNotNull().cast("double")).alias("r")).first()["r"]
-        if r is not None and r > limit:
-            raise RuntimeError(f"batch {batch_id}: reject ratio {r:.3f} over {limit}")
+        n = tagged.agg(F.count_if(F.col("reject_reason").isNotNull()).alias("bad"), F.count(F.lit(1)).alias("n")).first()
+        reject_ratio_error(n["bad"], n["n"], batch_id, limit)
+
+
+def reject_ratio_error(bad: int, n: int, batch_id: int, limit: float | None) -> None:
+    if limit is not None and n and bad / n > limit:
+        raise RuntimeError(f"batch {batch_id}: reject ratio {bad / n:.3f} over {limit}")
 
 
 def snapshot(df: DataFrame, root: str, stamp: str) -> str:

@@ -6,8 +6,6 @@ whose size grows with the events, each with the same formula in DuckDB SQL.
 batch_log:   one row per consumer batch (batch_id = id div 1000).
 op_log:      one store operation per event: operation = type, database by id parity,
              duration = value / 100 s, status error for type `error`.
-offsets:     one message per event in topic `events_raw`, partition = user_id % 6,
-             offset = position by id within the partition, processed unless id % 10 = 9.
 dim_versions: each distinct event type in two versions of its category row.
 """
 
@@ -21,8 +19,6 @@ from eventmill.plans.sqlgen import category_case
 from eventmill.sources.tables import read_table
 
 BATCH_SIZE = 1000
-TOPIC = "events_raw"
-N_PARTITIONS = 6
 
 
 def batch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,24 +58,6 @@ def op_log_sql() -> str:
   CASE WHEN event_type = 'error' THEN 'error' ELSE 'ok' END AS status, octet_length(props::BLOB) AS payload_bytes FROM events)"""
 
 
-def offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Message log with source positions: the offset is the contiguous position by id
-    within the partition (computed skew-safe, see `contiguous_index`)."""
-    from eventmill.operators.windows import contiguous_index
-    e = read_table(spark, sf_dir, "events")
-    part = F.pmod(F.col("user_id"), F.lit(N_PARTITIONS)).cast("int")
-    m = e.select(F.lit(TOPIC).alias("topic"), part.alias("partition"), "event_id", "ts",
-                 F.octet_length("props").alias("bytes"))
-    return contiguous_index(m, "partition", "event_id").withColumn("processed", F.col("event_id") % 10 != 9)
-
-
-def offsets_sql() -> str:
-    return f"""(SELECT '{TOPIC}' AS topic, CAST(user_id % {N_PARTITIONS} AS INTEGER) AS partition, event_id, ts,
-  octet_length(props::BLOB) AS bytes,
-  CAST(row_number() OVER (PARTITION BY user_id % {N_PARTITIONS} ORDER BY event_id) - 1 AS BIGINT) AS "offset",
-  event_id % 10 <> 9 AS processed FROM events)"""
-
-
 def dim_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     types = read_table(spark, sf_dir, "events").select(F.lower("event_type").alias("event_type")).distinct()
     v1 = types.select("event_type", F.lit("other").alias("category"), F.lit(1).alias("version"))

@@ -6,13 +6,16 @@ by event id -> one streaming query with two branches over that shuffle:
 * accepted rows: `dropDuplicatesWithinWatermark` by id, with the ARRIVAL time as the
   watermark column.  Arrival times only grow, so no accepted row is ever late: an event
   days old is written to its date like any other, and its bucket is merged, not closed.
-  The state holds the ids that arrived within the window;
+  The state holds the ids that arrived within the window; a repeat that comes later is
+  found in the index of all stored ids (`sinks.idindex`), before any sink sees it;
 * rejected rows: passed through, keyed by a hash of the message, so that the many without
   an id do not meet in one task.
 
 `foreachBatch` shapes and enriches the kept rows and writes the flat table, the document
-table (unique ids across all time), per-batch rollup partials and the dead letters with
-the raw message and its source columns; one row per batch and sink goes to `batch_log`.
+table, rollup partials (levelled tables, `sinks.levels`: a bounded number of runs however
+many batches there were) and the dead letters with the raw message and its source columns;
+one row per batch and sink goes to `batch_log`, with the rows that sink took.  A batch
+without rows writes nothing.
 For any input: consumed = flat rows + repeats + dead letters.
 
 Offsets are committed in the checkpoint only after the batch's writes succeed, and a
@@ -25,6 +28,7 @@ it when the replay has drained (`set_live`).
 from __future__ import annotations
 
 import hashlib
+import json
 import time
 from collections.abc import Callable
 from contextlib import contextmanager
@@ -35,10 +39,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventmill.operators import rollups as R
-from eventmill.operators.transform import shape, tag
+from eventmill.operators.transform import shape, tag, to_document
 from eventmill.operators.validate import decode_json
-from eventmill.sinks.files import (Outcome, WriteError, _path_exists, check_reject_ratio, overwrite_batch, run_writes,
-                                   write_document, write_flat)
+from eventmill.sinks import store
+from eventmill.sinks.files import (Outcome, WriteError, counted, id_index, overwrite_batch, put_documents, reject_ratio_error,
+                                   run_writes, write_flat)
+from eventmill.sinks.levels import Levels
+from eventmill.streaming.progress import ProgressLog, progress_row
 
 
 @dataclass
@@ -111,31 +118,54 @@ def batch_writer(spark: SparkSession, root: str, run: str, *, reject_ratio_limit
                  on_batch: Callable[[DataFrame, int], None] | None = None,
                  on_reject: Callable[[DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
     """B3 + B4 + B8 + N2 in `foreachBatch`: persist the kept rows (accepted after the stateful
-    dedup, plus rejected) once, then write flat rows, documents, the two partial rollups
-    and the dead letters; every output is keyed by batch id (replay-safe).
-
-    The flat write runs first and computes the batch (the stateful dedup runs once); the
-    other writes then run as concurrent jobs over the cached rows.  Each sink's outcome,
-    rows and seconds go to `batch_log` (G17, N3), also when the batch fails.  `on_batch`
-    gets the accepted rows, `on_reject` the rejected ones.
+    dedup, plus rejected) once, leave out ids that an earlier batch stored, then write flat
+    rows, documents, the two partial rollups and the dead letters; every output is keyed by
+    batch id (replay-safe).
+
+    One count computes the batch (the stateful dedup runs once); the writes then run as
+    concurrent jobs over the cached rows, the id index among them: it must succeed whatever
+    `require` says.  Each sink's outcome, rows taken and seconds go to `batch_log` (G17, N3),
+    also when the batch fails.  `on_batch` gets the accepted
+    rows, `on_reject` the rejected ones.
     """
+    index = id_index(spark, f"{root}/documents")
+    hourly, daily = hourly_runs(spark, root), daily_runs(spark, root)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = batch.drop("arrival", "event_time", "_key").persist()
-        began = time.time()
-        counts, outcomes = None, []
+        began, outcomes, fresh = time.time(), [], None
         try:
-            check_reject_ratio(kept, batch_id, reject_ratio_limit)
-            ok = shape(kept.where(F.col("reject_reason").isNull()).drop("reject_reason", "raw_message"))
-            bad = kept.where(F.col("reject_reason").isNotNull()).drop("_ts", "_uid", "_props_kind").withColumn(
-                "ingest_time", F.current_timestamp().cast("timestamp_ntz"))
-            outcomes = run_writes(spark, {
-                "flat": lambda: write_flat(ok, f"{root}/flat", batch_id),
-                "documents": lambda: write_document(spark, ok, f"{root}/documents", batch_id),
-                "hourly_partials": lambda: overwrite_batch(R.hourly_partials(ok.withColumn("block", F.lit(batch_id))), f"{root}/hourly_partials", batch_id),
-                "daily_partials": lambda: overwrite_batch(daily_partials(ok), f"{root}/daily_partials", batch_id),
-                "dead_letter": lambda: overwrite_batch(bad, f"{root}/dead_letter", batch_id),
-            }, require)
-            counts = kept.agg(F.count_if(F.col("reject_reason").isNull()).alias("ok"), F.count_if(F.col("reject_reason").isNotNull()).alias("bad")).first()
+            good = F.col("reject_reason").isNull()
+            n = kept.agg(F.count_if(good).alias("ok"), F.count_if(~good).alias("bad")).first()
+            if not n["ok"] and not n["bad"]:
+                return
+            reject_ratio_error(n["bad"], n["ok"] + n["bad"], batch_id, reject_ratio_limit)
+            accepted = kept.where(good).drop("reject_reason", "raw_message")
+            # shaped and enriched once for all sinks
+            fresh = ok = shape(index.fresh(accepted, "event_id", batch_id)).persist()
+            bad = kept.where(~good).drop("_ts", "_uid", "_props_kind").withColumn("ingest_time", F.current_timestamp().cast("timestamp_ntz"))
+
+            def taken(rows: DataFrame, put: Callable[[DataFrame], None]) -> Callable[[], int]:
+                def one() -> int:
+                    seen, count = counted(rows)
+                    put(seen)
+                    return count()
+                return one
+            writes = {}
+            if n["ok"]:
+                writes = {
+                    "flat": taken(ok, lambda d: write_flat(d, f"{root}/flat", batch_id, small=True)),
+                    "documents": taken(ok, lambda d: put_documents(to_document(d), f"{root}/documents", batch_id)),
+                    "hourly_partials": taken(ok, lambda d: hourly.append(R.hourly_partials(d.withColumn("block", F.lit(batch_id))).drop("block"), batch_id)),
+                    "daily_partials": taken(ok, lambda d: daily.append(daily_partials(d), batch_id)),
+                }
+                # the index never shows a batch its own ids, so it can be written beside the sinks
+                writes["ids"] = lambda: index.add(fresh.select("event_id"), batch_id, unique=True, at_most=n["ok"])
+            if n["bad"]:
+                writes["dead_letter"] = taken(bad, lambda d: overwrite_batch(d, f"{root}/dead_letter", batch_id))
+            outcomes = run_writes(spark, writes, require, computed=True)
+            if any(o.sink == "ids" and not o.ok for o in outcomes):
+                raise WriteError(outcomes)
             if on_batch:
                 on_batch(ok, batch_id)
             if on_reject:
@@ -147,33 +177,45 @@ def batch_writer(spark: SparkSession, root: str, run: str, *, reject_ratio_limit
             outcomes = outcomes or [Outcome("batch", False, time.time() - began, f"{type(e).__name__}: {e}"[:2000])]
             raise
         finally:
-            rows = [(run, batch_id, o.sink, o.ok, None if counts is None else counts["bad"] if o.sink == "dead_letter" else counts["ok"], o.seconds, o.error) for o in outcomes]
-            overwrite_batch(spark.createDataFrame(rows, BATCH_LOG).drop("batch_id").coalesce(1), f"{root}/batch_log", batch_id)
+            rows = [{"run": run, "sink": o.sink, "ok": o.ok, "rows": o.rows, "seconds": o.seconds, "error": o.error} for o in outcomes if o.sink != "ids" or not o.ok]
+            if rows:
+                # a few lines: written by the driver itself, without a job
+                store.write_text(spark, f"{root}/batch_log/batch_id={batch_id}/log.json", "".join(json.dumps(r) + "\n" for r in rows))
+            if fresh is not None:
+                fresh.unpersist()
             kept.unpersist()
     return write
 
 
+def read_batch_log(spark: SparkSession, root: str) -> DataFrame:
+    """One row per batch and sink of a run's root."""
+    return spark.read.schema(BATCH_LOG).option("basePath", f"{root}/batch_log").json(f"{root}/batch_log")
+
+
+def hourly_runs(spark: SparkSession, root: str, **sizes) -> Levels:
+    """The hourly partials of a run's root as a levelled table."""
+    return Levels(spark, f"{root}/hourly_partials", R.combine_hourly_partials, **sizes)
+
+
+def daily_runs(spark: SparkSession, root: str, **sizes) -> Levels:
+    """The daily-user partials of a run's root as a levelled table."""
+    return Levels(spark, f"{root}/daily_partials", combine_daily_partials, **sizes)
+
+
 def run_name(checkpoint: str) -> str:
     """The run that a checkpoint belongs to."""
     return hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
 
 def set_live(spark: SparkSession, root: str, run: str) -> None:
-    """Readers of `root` see this run from now on: a marker folder with the next number is made, in one step."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(f"{root}/live")
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    known = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
-    last = max((int(n.split("-")[0]) for n in known), default=-1)
-    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(folder, f"{last + 1:08d}-{run}"))
+    """Readers of `root` see this run from now on: a marker with the next number is made, in one step."""
+    last = max((int(n.split("-")[0]) for n in store.names(spark, f"{root}/live") if not n.startswith(".")), default=-1)
+    store.write_text(spark, f"{root}/live/{last + 1:08d}-{run}", "")
 
 
 def live_root(spark: SparkSession, root: str) -> str:
     """Folder of the run that readers of `root` see."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(f"{root}/live")
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    newest = max(f.getPath().getName() for f in fs.listStatus(folder))
+    newest = max(n for n in store.names(spark, f"{root}/live") if not n.startswith("."))
     return f"{root}/run={newest.split('-', 1)[1]}"
 
 
@@ -186,19 +228,27 @@ def daily_partials(events: DataFrame, lg_k: int = 12) -> DataFrame:
                  F.hll_sketch_agg(F.col("session_id"), lg_k).alias("sessions_sketch")))
 
 
-def merge_daily_partials(partials: DataFrame) -> DataFrame:
-    """L6 read side: merge partials with min / max / sum / sketch union (never replace)."""
+def combine_daily_partials(partials: DataFrame) -> DataFrame:
+    """Several batches' daily-user partials as one: min / max / sum, sketches united and kept as sketches."""
     return (partials.groupBy(*R.DAILY_KEYS)
             .agg(F.min("first_event_time").alias("first_event_time"),
                  F.max("last_event_time").alias("last_event_time"),
                  F.sum("event_count").alias("event_count"),
-                 F.hll_sketch_estimate(F.hll_union_agg("types_sketch")).alias("approx_event_types"),
-                 F.hll_sketch_estimate(F.hll_union_agg("sessions_sketch")).alias("approx_sessions")))
+                 F.hll_union_agg("types_sketch").alias("types_sketch"),
+                 F.hll_union_agg("sessions_sketch").alias("sessions_sketch")))
+
+
+def merge_daily_partials(partials: DataFrame) -> DataFrame:
+    """L6 read side: merge partials with min / max / sum / sketch union (never replace)."""
+    return combine_daily_partials(partials).select(
+        *R.DAILY_KEYS, "first_event_time", "last_event_time", "event_count",
+        F.hll_sketch_estimate("types_sketch").alias("approx_event_types"), F.hll_sketch_estimate("sessions_sketch").alias("approx_sessions"))
 
 
 def run_stream(spark: SparkSession, source: StreamSource, root: str, checkpoint: str, *, state_partitions: int,
                window: str = "1 day", available_now: bool = True, processing_time: str | None = None,
                offset_mode: str = "utc", reject_ratio_limit: float | None = None, require: str = "all",
+               progress: str | None = None,
                on_batch: Callable[[DataFrame, int], None] | None = None,
                on_reject: Callable[[DataFrame, int], None] | None = None) -> list[StreamingQuery]:
     """A1 + L1-L4, B8: start the ingest query (accepted and rejected rows in one query).
@@ -206,13 +256,17 @@ def run_stream(spark: SparkSession, source: StreamSource, root: str, checkpoint:
     available_now=True drains what is there and stops (L2); otherwise a processing-time
     trigger (L1, default 5 seconds).  `state_partitions` is the number of dedup state
     partitions, fixed in the checkpoint at the first start.  Repeats are found among the
-    ids that arrived within `window`.  The first run of a root is live from the start;
+    ids that arrived within `window` by the state, among all earlier ones by the id index.
+    `progress`: folder where a listener keeps every progress report (L9; remove it with
+    `spark.streams.removeListener`).  The first run of a root is live from the start;
     after a replay has drained, call `set_live(spark, root, run_name(checkpoint))`.
     Returns the started queries; callers wait on them.
     """
     run = run_name(checkpoint)
-    if not _path_exists(spark, f"{root}/live"):
+    if not store.names(spark, f"{root}/live"):
         set_live(spark, root, run)
+    if progress is not None:
+        spark.streams.addListener(ProgressLog(spark, progress))
     tagged = tagged_stream(spark, source, offset_mode)
     # the watermark goes below the shuffle (it does not pass on its input's partitioning), then one
     # hash shuffle by key: both branches read it, and the dedup needs no exchange of its own
@@ -305,16 +359,8 @@ def progress_log(spark: SparkSession, queries: list[StreamingQuery]) -> DataFram
     rows, rows dropped as later than the watermark (L8), and the observed counts.
 
     Spark keeps the progress of the last `spark.sql.streaming.numRecentProgressUpdates`
-    batches; the whole history is in the `batch_log` table.
+    batches; `ProgressLog` keeps all of them.
     """
-    rows = []
-    for q in queries:
-        for p in q.recentProgress:
-            ops = p.stateOperators or []
-            obs = (p.observedMetrics or {}).get("batch_metrics")
-            rows.append((q.name or str(q.id), p.batchId, p.timestamp, p.numInputRows,
-                         float(p.inputRowsPerSecond or 0.0), float(p.processedRowsPerSecond or 0.0),
-                         int(p.durationMs.get("triggerExecution", 0)), int(p.durationMs.get("addBatch", 0)),
-                         sum(o.numRowsTotal for o in ops), sum(o.numRowsDroppedByWatermark for o in ops),
-                         obs["consumed"] if obs else None, obs["rejected"] if obs else None))
+    names = [c.split()[0] for c in PROGRESS_SCHEMA.split(", ")]
+    rows = [tuple(progress_row(p)[c] for c in names) for q in queries for p in q.recentProgress]
     return spark.createDataFrame(rows, PROGRESS_SCHEMA)

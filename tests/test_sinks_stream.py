@@ -73,7 +73,7 @@ def drain(spark, glob, root, ckpt, max_files=1, **kw):
 
 def test_stream_equals_batch_and_replay_adds_nothing(spark):
     from eventmill.sources.raw import raw_events
-    from eventmill.streaming.ingest import live_root, progress_log, run_name, set_live, write_message_files
+    from eventmill.streaming.ingest import live_root, progress_log, read_batch_log, run_name, set_live, write_message_files
     base = scratch_dir(spark, "stream")
     raw = raw_events(spark, SF_SMALL)
     glob = write_message_files(raw, f"{base}/in", 3)
@@ -96,7 +96,7 @@ def test_stream_equals_batch_and_replay_adds_nothing(spark):
     accepted = tagged.where("reject_reason is null")
     repeats = accepted.count() - accepted.select("event_id").distinct().count()
     assert raw.count() == streamed.count() + repeats + dead.count()
-    log = spark.read.parquet(f"{live}/batch_log")
+    log = read_batch_log(spark, live)
     assert {r["sink"]: r["n"] for r in log.groupBy("sink").sum("rows").withColumnRenamed("sum(rows)", "n").collect()}["flat"] == batch.count()
     # the same checkpoint finds nothing new, tables unchanged
     drain(spark, glob, f"{base}/out", f"{base}/ckpt")
@@ -206,11 +206,11 @@ def test_late_rows_are_kept_and_rejects_can_be_read_again(spark):
 
 
 def test_stream_gate_fails_the_batch_and_logs_it(spark):
-    from eventmill.streaming.ingest import run_name
+    from eventmill.streaming.ingest import read_batch_log, run_name
     base = scratch_dir(spark, "streamgate")
     glob = land(base, [[sample(event_id="x", timestamp="garbage"), sample(event_id="y", timestamp="garbage"), sample(event_id="z")]])
     import pytest
     with pytest.raises(Exception):
         drain(spark, glob, f"{base}/out", f"{base}/ckpt", reject_ratio_limit=0.5)
-    log = spark.read.parquet(f"{base}/out/run={run_name(f'{base}/ckpt')}/batch_log").collect()
+    log = read_batch_log(spark, f"{base}/out/run={run_name(f'{base}/ckpt')}").collect()
     assert [(r["sink"], r["ok"]) for r in log] == [("batch", False)] and "reject ratio" in log[0]["error"]
