@@ -304,12 +304,12 @@ def q_partition_batch_counts(spark, sf):
     return partition_batch_counts(rows)
 
 
-_STORED: dict[tuple[int, str], str] = {}
+_STORED: dict[tuple[str, str], str] = {}
 
 
 def _stored_events(spark, sf):
     """The accepted events as a table sorted by session, written once per session and input."""
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _STORED:
         from eventmill.session import scratch_dir
         path = scratch_dir(spark, "events-by-session")
