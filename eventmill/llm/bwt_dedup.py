@@ -295,7 +295,8 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     long enough. Empty tables give no rows. Other columns are ignored.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    found = repeated_intervals(texts, length=length, **options)
+    # rows that repeat a text under one id bring the same intervals each
+    found = repeated_intervals(texts, length=length, **options).distinct()
     gathered = found.groupBy("k1", "did").agg(F.collect_list("first").alias("first"), F.collect_list("last").alias("last"))
     kept = ", kept binary" if with_text else ""
 

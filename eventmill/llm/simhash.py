@@ -149,24 +149,29 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 
 def deduplicated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of docs, all columns, that stay: of each group of linked documents the one with the smallest id.
+    """The rows of docs, all columns, that stay: one row of each group of linked documents, decided row by row.
 
-    Of rows that repeat that id one stays. Where no id of a group is known, one of its rows stays. Only ids travel to
-    the documents; texts are shuffled for the rows whose id repeats or is null alone.
+    The row that stays has the group's smallest id and, where rows of unlike texts bear it, the smallest fingerprint among
+    those of this group; where no id of a group is known, its smallest fingerprint. Rows that repeat that id and fingerprint
+    leave one. Rows that share an id but no group do not touch each other. A row joins its decision by id and fingerprint
+    computed anew; texts are shuffled for the rows alone whose id and fingerprint repeat.
     """
-    prints = cut(fingerprints(docs, id_col=id_col, text_col=text_col, width=width))
+    prints = cut(fingerprints(docs, id_col=id_col, text_col=text_col, width=width).groupBy("doc_id", "fingerprint").agg(F.count(F.lit(1)).alias("n")))
     named = cut(classes(prints, max_bits))
-    kept = cut(prints.join(named, "fingerprint").filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("doc_id", id_col))
-    once = docs.join(kept.filter("n = 1"), id_col, "left_semi")
-    repeated = docs.join(kept.filter("n > 1"), id_col, "left_semi").dropDuplicates([id_col])
-    print_col, root = unused(docs, "fingerprint"), unused(docs, "root")
+    own = prints.join(named, "fingerprint").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = own.groupBy("root").agg(F.min_by(F.struct("doc_id", "fingerprint", "n"), "fingerprint").alias("c")).select("c.*")
+    key, print_col, times = unused(docs, "chosen_id"), unused(docs, "fingerprint"), unused(docs, "times")
 
     @F.pandas_udf("long")
     def printed(text: pd.Series) -> pd.Series:
         return pd.Series([text_fingerprint(t, width) for t in text], dtype="int64")
-    nameless = named.filter("component_id is null").select(F.col("fingerprint").alias(print_col), F.col("root").alias(root))
-    unnamed = docs.filter(F.col(id_col).isNull()).withColumn(print_col, printed(text_col)).join(nameless, print_col).dropDuplicates([root])
-    return once.unionByName(repeated).unionByName(unnamed.select(*docs.columns))
+    chosen = cut(chosen.select(F.col("doc_id").cast(docs.schema[id_col].dataType).alias(key), F.col("fingerprint").alias(print_col), F.col("n").alias(times)))
+    rows = docs.withColumn(print_col, printed(text_col))
+    met = rows.join(chosen, F.col(id_col).eqNullSafe(F.col(key)) & (rows[print_col] == chosen[print_col])).drop(chosen[print_col])
+    met = met.select(*[F.col(f"`{c}`") for c in docs.columns], print_col, times)
+    once = met.filter(F.col(times) == 1)
+    repeated = met.filter(F.col(times) > 1).dropDuplicates([id_col, print_col])
+    return once.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def hex_print(col: str = "fingerprint"):

@@ -81,6 +81,23 @@ def test_near_duplicates_and_deduplicated_on_odd_rows(spark, docs, empty):
     assert simhash.near_duplicates(empty).count() == 0 and simhash.deduplicated(empty).count() == 0
 
 
+def test_deduplicated_decides_row_by_row(spark):
+    a, b, c = "one two three four five six seven eight", "nothing like the other text at all here", "third text of its own kind entirely new"
+    schema = "doc_id long, text string, times int, fingerprint string, chosen_id long"
+    kept = lambda rows: sorted(((r["doc_id"], r["text"]) for r in simhash.deduplicated(spark.createDataFrame([(*r, 1, "f", 2) for r in rows], schema)).collect()), key=str)
+    assert kept([(1, a), (1, b)]) == sorted([(1, b), (1, a)], key=str)                     # one id, two unlike texts
+    assert kept([(1, a), (2, a), (2, b)]) == [(1, a), (2, b)]                # a copy goes though its id keeps another row
+    assert kept([(2, b), (2, b), (None, c), (None, c), (None, b)]) == sorted([(2, b), (None, c)], key=str)
+    assert kept([(1, a)] * 400 + [(2, a.upper())] * 3) == [(1, a)]
+
+
+def test_many_repeated_rows_and_null_ids_do_not_square(spark):
+    text = "".join(random.Random(1).choice("abcdefgh ") for _ in range(900))
+    rows = [(None, text, 1)] * 600 + [(7, text, 1)] * 600 + [(8, "x" + text[:400], 1)]
+    got = bwt_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string, first int")).groupBy("doc_id", "n_removed", "n_spans").count().collect()
+    assert {(r["doc_id"], r["n_removed"], r["n_spans"], r["count"]) for r in got} == {(None, 900, 1, 600), (7, 900, 1, 600), (8, 400, 1, 1)}
+
+
 def brute_removed(texts, length):
     seen = {}
     for i, t in enumerate(texts):
