@@ -12,6 +12,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -57,7 +58,8 @@ HINTS = {
 }
 _HINT = {word: kind for kind, words in HINTS.items() for word in words.split()}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.DOTALL)
+#: A comment, declaration or tag. Quotes belong to a tag only right after an equals sign; a stray one is a character.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*')|=)*)(?:>|\Z)", re.DOTALL)
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][\w:.-]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _PART = re.compile(r"[a-z]+")
 _WORDS = re.compile(r"\S+")
@@ -111,6 +113,7 @@ def parse(source: str | None, memo: dict | None = None) -> Page:
     """Elements and texts of a page, read forgivingly: missing end tags are implied, stray ones ignored."""
     page, stack, memo = Page(), [], {} if memo is None else memo
     text = source or ""
+    opened: Counter[str] = Counter()  # open elements by name, so that no tag looks through the stack in vain
 
     def push(name: str, raw: str) -> None:
         known = memo.get((name, raw))
@@ -125,21 +128,26 @@ def parse(source: str | None, memo: dict | None = None) -> Page:
         page.edge.append(known[1])
         page.marks.append(known[2])
         stack.append(len(page.name) - 1)
+        opened[name] += 1
+
+    def drop() -> None:
+        opened[page.name[stack.pop()]] -= 1
 
     def pop(name: str) -> None:
         while stack and page.name[stack[-1]] != name:
-            stack.pop()
+            drop()
         if stack:
-            stack.pop()
+            drop()
 
     def say(piece: str) -> None:
         if stack:
             page.texts.append((stack[-1], piece))
         elif piece.strip():
             push("body", "")
+            seen.add("body")
             page.texts.append((stack[-1], piece))
 
-    at, end = 0, len(text)
+    at, end, seen = 0, len(text), set()
     while at < end:
         m = _TOKEN.search(text, at)
         if m is None:
@@ -154,10 +162,10 @@ def parse(source: str | None, memo: dict | None = None) -> Page:
         if name in BLOCK or name == "br":
             page.texts.append((-1, "") if name != "br" else (stack[-1] if stack else -1, " "))
         if m[1]:
-            if any(page.name[i] == name for i in stack):
+            if opened[name]:
                 pop(name)
             continue
-        if name in ENDS_P and any(page.name[i] == "p" for i in stack):
+        if name in ENDS_P and opened["p"]:
             # a paragraph ends here unless it lies outside a cell, list item or box opened since
             for i in reversed(stack):
                 if page.name[i] == "p":
@@ -167,25 +175,27 @@ def parse(source: str | None, memo: dict | None = None) -> Page:
                     break
         if name in IMPLIED:
             closing, limit = IMPLIED[name]
-            while True:
+            while any(opened[c] for c in closing):
                 inner = next((i for i in reversed(stack) if page.name[i] in closing or page.name[i] in limit), None)
                 if inner is None or page.name[inner] in limit:
                     break
                 pop(page.name[inner])
-        if name in ("html", "body") and name in page.name:
-            continue
+        if name in ("html", "body"):
+            if name in seen:
+                continue
+            seen.add(name)
         if name == "body":
             while stack and page.name[stack[-1]] != "html":
-                stack.pop()
+                drop()
         if name in VOID:
             continue
         push(name, m[3])
         if m[3].endswith("/") and name not in BLOCK:
-            stack.pop()
+            drop()
         elif name in RAW:
             close = re.compile(rf"</{name}\s*[^>]*>", re.IGNORECASE).search(text, at)
             page.texts.append((stack[-1], ""))
-            stack.pop()
+            drop()
             at = close.end() if close else end
     return page
 
