@@ -84,8 +84,11 @@ class Index:
         self.edits = np.array([budget(int(m), self.rate, self.q) for m in length], dtype=np.int64)
         self.needed = np.maximum(1, length + 1 - self.q - self.edits * self.q)
         self.span = int((length + self.edits).max()) if len(length) else 1
+        # passages with fewer characters than a q-gram have no edits and are looked for as they stand
+        self.short = np.flatnonzero(length < self.q).tolist()
+        self.edits[self.short] = 0
         windows = -(-(length + self.edits) // WINDOW)
-        self.dense = int((-(-self.needed // windows)).min()) if len(length) else 1
+        self.dense = int((-(-self.needed // np.maximum(1, windows))).min()) if len(length) else 1
 
     def near(self, known: np.ndarray) -> np.ndarray:
         """Of the places with a known q-gram, those that may belong to a match.
@@ -181,6 +184,10 @@ def text_matches(text: str | None, index: Index) -> list[tuple[int, int, int, in
         return []
     code, where = folded(text)
     best: dict[int, tuple[int, int, int]] = {}
+    for i in index.short:
+        at = found_whole(index.passages[i], code)
+        if at is not None:
+            best[i] = (0, int(where[at]), int(where[at + len(index.passages[i]) - 1]) + 1)
     for i, low, high in index.regions(code):
         passage, most = index.passages[i], int(index.edits[i])
         if i in best and best[i][0] == 0:
@@ -203,12 +210,13 @@ def text_matches(text: str | None, index: Index) -> list[tuple[int, int, int, in
 
 def passage_blocks(benchmark: DataFrame, id_col: str, text_col: str, q: int, rate: float, block_chars: int) -> Iterator[Index]:
     """Indexes of the distinct passages, a block at a time. Passages with too few characters for the lemma
-    (none of their q-grams need survive the edits) get as many edits as leave one q-gram."""
+    (none of their q-grams need survive the edits) get as many edits as leave one q-gram, those shorter than q none; empty
+    ones are left out, as every text would hold them."""
     items, passages, size = [], [], 0
     rows = benchmark.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).filter("t is not null").distinct()
     for row in rows.orderBy("i", "t").toLocalIterator():
         code = folded(row["t"].strip())[0]
-        if len(code) < q:
+        if not len(code):
             continue
         items.append(row["i"])
         passages.append(code)
@@ -228,8 +236,8 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_
     within floor(rate * length) edits of the whole item. edits is the least such number; start and end (code points of
     the text as given) bound one stretch with it.
 
-    Nulls: documents with a null text match nothing, a null id is kept, that of an item too; items with a null text, or with
-    fewer than q characters, are left out. Empty texts match nothing; very long texts are read whole, in pieces that overlap
+    Nulls: documents with a null text match nothing, a null id is kept, that of an item too; items with a null or blank text
+    are left out. An item with fewer than q characters is found as it stands, without edits. Empty texts match nothing; very long texts are read whole, in pieces that overlap
     by q - 1. Repeated documents and items give their rows each (equal (item, text) rows once). Empty tables on either
     side give no rows. Other columns are ignored. The passages are the stated query set: they are read a block at a
     time, each block's index (about 40 bytes a character) goes to every task, and all texts pass by it.

@@ -141,6 +141,33 @@ def test_html_model_on_held_out_templates_and_odd_pages(spark):
     assert html_extraction.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_pages_with_stray_quotes_and_deep_nesting_keep_their_text(spark):
+    import time
+    body = "<p>Hello there, this is a full sentence. It goes on, and on.</p>"
+    pages = [f"<div data-a=it's>{body}", f"<div title=\"a > b\" x='c>d'>{body}", f'<div class="x"">{body}', f"<div '>{body}", f"<div a = 'q'>{body}<p class=\"open>", f"<a href=x?a=b\"c></a>{body}"]
+    said = "Hello there, this is a full sentence. It goes on, and on."
+    assert all("".join(piece for _, piece in html_extraction.parse(p).texts).strip() == said for p in pages)
+    got = html_extraction.extract(spark.createDataFrame([(i, "u", p) for i, p in enumerate(pages[:4])], "page_id long, url string, html string")).collect()
+    assert {r["text"] for r in got} == {said}
+
+    def seconds(depth):
+        began = time.perf_counter()
+        for unit in ("<div>", "<span>", "<li><b>", "<body><p>"):
+            html_extraction.parse(unit * depth + "x" + "</div></i>" * depth)
+        return time.perf_counter() - began
+    seconds(500)
+    assert seconds(16000) < 16 * max(0.02, seconds(2000))      # 8 times the depth; the square would be 64 times
+
+
+def test_benchmark_items_shorter_than_a_gram_are_found_without_edits(spark):
+    bench = spark.createDataFrame([(1, "Zyx 9"), (2, "  "), (3, None), (4, "kumquat jelly pots")], "item_id long, text string")
+    rows = [(1, "the zyx  9 answer"), (2, "zyx 8"), (3, ""), (4, None), (5, "Zyx"), (6, "some KUMQUAT jelly pots, zyx 9")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"], r["edits"], r["start"], r["end"]) for r in decontamination.contaminations(df, bench).collect()}
+    assert got == {(1, 1, 0, 4, 10), (6, 4, 0, 5, 23), (6, 1, 0, 25, 30)}
+    assert sorted(r["doc_id"] for r in decontamination.clean(df, bench).collect()) == [2, 3, 4, 5]
+
+
 def test_pipeline_stages_follow_each_other(spark):
     import corpus_pipeline
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "decontamination", "personal_data", "mixing"]
