@@ -112,36 +112,56 @@ def distinct_users(events: DataFrame) -> DataFrame:
     return events.select("user_id").distinct()
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float], accuracy: int = 100_000) -> DataFrame:
+def exact_quantiles(df: DataFrame, col: str, probs: list[float], accuracy: int = 100_000, cells: int = 1024) -> DataFrame:
     """One row: n, mean, and `q`, the exact quantiles of `col` with linear interpolation.
 
-    Lazy, in two passes and without gathering the values: a sketch brackets each wanted
-    rank (its rank error is at most n / accuracy), then one grouped count keeps, per
-    quantile, the distinct values inside the bracket, how many rows lie below and above it, and
-    the nearest value on either side, which is a wanted rank when a bracket is a rank or two
-    wide.  A running sum over that small frame finds the two neighbouring ranks.  NULLs are left out.
+    Lazy, without gathering the values or multiplying the rows.  A sketch brackets each wanted rank (its rank error is at
+    most n / accuracy).  The brackets' ends cut the values into bins; one grouped count keeps the distinct values of the
+    bins inside a bracket, dealt to `cells` equal cells per bin, and only count, least and greatest of each other bin,
+    which can be a wanted rank where a bracket is a rank or two wide.  The counts of the cells (a few thousand rows,
+    whatever the size) say which cells hold the wanted ranks; only the values of those, two a quantile, are ranked.
+    NULLs are left out.
     """
     v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
     slack = 2.0 / accuracy
-    ends = [min(1.0, max(0.0, p + s * slack)) for p in probs for s in (-1, 1)]
-    heads = v.agg(F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean"),
-                  F.percentile_approx("v", ends, accuracy).alias("ends"))
-    wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(p).alias("p"), F.get("ends", F.lit(2 * i)).alias("lo"),
-                                          F.get("ends", F.lit(2 * i + 1)).alias("hi")) for i, p in enumerate(probs)]))
-    rows = v.withColumn("one", F.lit(1)).join(F.broadcast(heads.withColumn("one", F.lit(1))), "one").select("v", "n", wanted.alias("w"))
-    side = F.when(F.col("v") < F.col("w.lo"), -1).when(F.col("v") > F.col("w.hi"), 1).otherwise(0)
-    inside = rows.withColumn("side", side).groupBy(
-        F.col("w.i").alias("i"), F.col("w.p").alias("p"), "n", "side", F.when(F.col("side") == 0, F.col("v")).alias("value")).agg(
-        F.count(F.lit(1)).alias("c"), F.when(F.col("side") < 0, F.max("v")).otherwise(F.min("v")).alias("v"))
-    upto = F.sum("c").over(Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    at = F.col("p") * (F.col("n") - 1)
-    low = F.floor(at)
-    found = inside.withColumn("upto", upto).groupBy("i", "p", "n").agg(
-        F.min(F.when(F.col("upto") > low, F.col("v"))).alias("a"),
-        F.min(F.when(F.col("upto") > F.least(low + 1, F.col("n") - 1), F.col("v"))).alias("b"))
-    quantile = F.col("a") + (at - low) * (F.col("b") - F.col("a"))
-    q = found.select("i", quantile.alias("x")).agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("q"))
-    return heads.select("n", "mean", F.lit(1).alias("one")).join(q.withColumn("one", F.lit(1)), "one").drop("one")
+    at = [min(1.0, max(0.0, p + s * slack)) for p in probs for s in (-1, 1)]
+    heads = v.agg(F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean"), F.percentile_approx("v", at, accuracy).alias("ends"))
+    ends = [f"e{i}" for i in range(len(at))]
+    bounds = heads.select(F.lit(1).alias("one"), "n", *[F.get("ends", F.lit(i)).alias(e) for i, e in enumerate(ends)])
+    x = F.col("v")
+    is_end, inside = F.lit(False), F.lit(False)
+    below = F.lit(0)
+    for i, e in enumerate(ends):
+        below = below + (F.col(e) < x).cast("int")
+        is_end = is_end | (F.col(e) == x)
+        if i % 2:
+            inside = inside | x.between(F.col(ends[i - 1]), F.col(e))
+    left = F.greatest(*[F.when(F.col(e) < x, F.col(e)) for e in ends])
+    right = F.least(*[F.when(F.col(e) > x, F.col(e)) for e in ends])
+    place = F.nanvl(F.coalesce(F.try_divide(x - left, right - left), F.lit(0.0)), F.lit(0.0)) * cells
+    cell = F.when(inside & ~is_end, F.floor(F.greatest(F.lit(0.0), F.least(F.lit(cells - 1.0), place)))).otherwise(0)
+    grouped = (v.withColumn("one", F.lit(1)).join(F.broadcast(bounds), "one")
+               .groupBy("n", (below * 2 + is_end.cast("int")).alias("bin"), cell.alias("cell"), F.when(inside, x).alias("value"))
+               .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("least"), F.max("v").alias("most")))
+    counts = grouped.groupBy("n", "bin", "cell").agg(F.sum("c").alias("c"))
+    upto = F.sum("c").over(Window.partitionBy("n").orderBy("bin", "cell").rowsBetween(Window.unboundedPreceding, 0))
+    lows = [F.floor(F.lit(p) * (F.col("n") - 1)) for p in probs]
+    ranks = [r for low in lows for r in (low, F.least(low + 1, F.col("n") - 1))]
+    holds = F.lit(False)
+    for r in ranks:
+        holds = holds | ((F.col("upto") > r) & (F.col("upto") - F.col("c") <= r))
+    hits = counts.withColumn("upto", upto).where(holds).select("bin", "cell", (F.col("upto") - F.col("c")).alias("before"))
+    pair = lambda value, count: F.struct(F.col(value).alias("v"), count.cast("long").alias("c"))
+    values = F.when(F.col("least") == F.col("most"), F.array(pair("least", F.col("c")))).otherwise(
+        F.array(pair("least", F.lit(1)), pair("most", F.col("c") - 1)))
+    entries = (grouped.join(F.broadcast(hits), ["bin", "cell"]).select("n", "bin", "cell", "before", F.inline(values)))
+    ranked = entries.withColumn("upto", F.col("before") + F.sum("c").over(
+        Window.partitionBy("bin", "cell").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
+    found = ranked.agg(F.max("n").alias("n"), *[F.min(F.when(F.col("upto") > r, F.col("v"))).alias(f"r{i}") for i, r in enumerate(ranks)])
+    quantile = [F.col(f"r{2 * i}") + (F.lit(p) * (F.col("n") - 1) - lows[i]) * (F.col(f"r{2 * i + 1}") - F.col(f"r{2 * i}"))
+                for i, p in enumerate(probs)]
+    q = found.select(F.array(*quantile).alias("q"), F.lit(1).alias("one"))
+    return heads.select("n", "mean", F.lit(1).alias("one")).join(q, "one").drop("one")
 
 
 def latency_percentiles(events: DataFrame, processed_col: str = "processed_at") -> DataFrame:

@@ -12,6 +12,7 @@ from eventmill.functions.props import property_get, props_flat_text, props_varia
 from eventmill.operators import lookups as L
 from eventmill.operators.dedup import duplicate_report, new_rows_anti, stored_rows_semi
 from eventmill.operators.enrich import category_join, ip_private_ranges, sample_by_type
+from eventmill.operators.netmatch import longest_prefix
 from eventmill.operators.transform import (fill_nulls, to_document, to_flat, transform,
                                            transform_events, transform_stats)
 from eventmill.operators.validate import decode_json, reject_reasons, user_id_int, validate_events
@@ -193,6 +194,32 @@ def q_ip_private_range(spark, sf):
     return ip_private_ranges(ips, dims.private_ranges(spark))
 
 
+_V4_PART = "split_part(ip_address, '.', {})"
+_FIXED_NETS = [*dims.PRIVATE_V4_BLOCKS, *dims.PRIVATE_V4_EXCEPTIONS]
+_NUM_SQL = " + ".join(f"CAST(split_part({{0}}, '.', {i}) AS BIGINT) * {256 ** (4 - i)}" for i in range(1, 5))
+
+
+@register("ip_longest_prefix", f"""WITH ips AS (SELECT DISTINCT ip_address FROM {RAW} r WHERE regexp_matches(coalesce(ip_address, ''), {q(V4_REGEX)})),
+nets AS (SELECT DISTINCT {_V4_PART.format(1)} || '.0.0.0/8' AS network FROM ips
+  UNION SELECT {_V4_PART.format(1)} || '.' || {_V4_PART.format(2)} || '.0.0/16' FROM ips WHERE CAST({_V4_PART.format(2)} AS INT) % 2 = 0
+  UNION SELECT {_V4_PART.format(1)} || '.' || {_V4_PART.format(2)} || '.' || {_V4_PART.format(3)} || '.0/24' FROM ips WHERE CAST({_V4_PART.format(3)} AS INT) % 3 = 0
+  UNION SELECT unnest([{', '.join(q(b) for b in _FIXED_NETS)}])),
+sized AS (SELECT network, CAST(split_part(network, '/', 2) AS INT) AS bits, {_NUM_SQL.format("split_part(network, '/', 1)")} AS lo FROM nets)
+SELECT ip_address, arg_max(network, bits) AS network FROM (SELECT ip_address, {_NUM_SQL.format("ip_address")} AS num FROM ips) i
+LEFT JOIN sized ON num >= lo AND num < lo + (1::BIGINT << (32 - bits)) GROUP BY ip_address""")
+def q_ip_longest_prefix(spark, sf):
+    """Every distinct IPv4 address with the longest of the networks seen (nested /8, /16, /24) and the fixed blocks."""
+    ips = raw_events(spark, sf).select("ip_address").where(F.col("ip_address").rlike(V4_REGEX)).distinct()
+    octet = [F.split("ip_address", r"\.")[i] for i in range(3)]
+    zero = F.lit("0")
+    seen = ips.select(F.explode(F.array(
+        F.concat(F.concat_ws(".", octet[0], zero, zero, zero), F.lit("/8")),
+        F.when(octet[1].cast("int") % 2 == 0, F.concat(F.concat_ws(".", octet[0], octet[1], zero, zero), F.lit("/16"))),
+        F.when(octet[2].cast("int") % 3 == 0, F.concat(F.concat_ws(".", *octet, zero), F.lit("/24"))))).alias("network"))
+    fixed = spark.createDataFrame([(b,) for b in _FIXED_NETS], "network string")
+    return longest_prefix(ips, seen.where(F.col("network").isNotNull()).union(fixed))
+
+
 @register("geo_hash", f"SELECT DISTINCT ip_address, country, region, city FROM {TR} t")
 def q_geo_hash(spark, sf):
     r = raw_events(spark, sf).select(F.coalesce(F.col("ip_address"), F.lit("")).alias("ip_address")).distinct()

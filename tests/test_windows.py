@@ -142,3 +142,18 @@ def test_exact_quantiles_of_few_rows_with_the_default_accuracy(spark):
         vals = np.random.default_rng(n).exponential(2.0, n)
         got = exact_quantiles(spark.createDataFrame([(float(x),) for x in vals], "x double"), "x", probs).first()["q"]
         assert None not in got and np.allclose(got, np.quantile(vals, probs), rtol=0, atol=1e-12), (n, got)
+
+
+def test_exact_quantiles_rank_only_the_cells_they_need(spark):
+    import numpy as np
+    from eventmill.operators.analytics import exact_quantiles
+    rnd = np.random.default_rng(11)
+    vals = np.concatenate([rnd.lognormal(0, 4, 30000), np.full(9000, 2.5), -rnd.exponential(1e6, 500), [np.inf, -np.inf, 0.0, -0.0]])
+    probs = [0.0, 0.25, 0.2501, 0.5, 0.95, 1.0]                              # two brackets overlap
+    df = spark.createDataFrame([(float(x),) for x in vals], "x double")
+    row = exact_quantiles(df, "x", probs, accuracy=100, cells=8)
+    got = row.first()["q"]
+    assert np.allclose(got[1:-1], np.quantile(vals, probs[1:-1]), rtol=0, atol=1e-12)
+    assert got[0] != got[0] or got[0] == -np.inf
+    empty = exact_quantiles(df.limit(0), "x", probs).first()
+    assert empty["n"] == 0 and all(x is None for x in empty["q"])
