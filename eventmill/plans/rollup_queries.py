@@ -10,6 +10,8 @@ from eventmill.operators import rollups as R
 from eventmill.operators import windows as W
 from eventmill.plans.registry import register
 from eventmill.plans.sqlgen import EVENTS_VIEW, TODAY, q
+from eventmill.session import scratch_dir
+from eventmill.sinks.clustered import buckets_for, write_bucketed
 from eventmill.sources.modelled import dim_versions, dim_versions_sql, op_log, op_log_sql
 from eventmill.sources.tables import as_of_column, events
 
@@ -43,6 +45,38 @@ def q_daily_users(spark, sf):
     return R.daily_users(events(spark, sf))
 
 
+_BUCKETED: dict[tuple[str, str], str] = {}
+
+
+def bucketed_events(spark, sf):
+    """The events as a table bucketed by user, written once per session and input."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _BUCKETED:
+        ev = events(spark, sf)
+        path = scratch_dir(spark, "events-by-user")
+        name = path.rsplit("/", 1)[1].replace("-", "_")
+        write_bucketed(ev, name, path, "user_id", buckets_for(ev.count()), sort=("timestamp",))
+        _BUCKETED[key] = name
+    return spark.table(_BUCKETED[key])
+
+
+@register("daily_users_bucketed", DAILY_SQL)
+def q_daily_users_bucketed(spark, sf):
+    """G9 over the bucketed table: no exchange (M4)."""
+    return R.daily_users(bucketed_events(spark, sf))
+
+
+@register("user_first_purchase", f"""SELECT p.user_id, p.first_purchase, count(*) AS events_before
+  FROM (SELECT user_id, min("timestamp") AS first_purchase FROM {EV} e WHERE event_type = 'purchase' GROUP BY user_id) p
+  JOIN {EV} e ON e.user_id = p.user_id AND e."timestamp" < p.first_purchase GROUP BY 1, 2""")
+def q_user_first_purchase(spark, sf):
+    """Per user the first purchase and the events before it: a self-join on the bucket key, no exchange (M4)."""
+    ev = bucketed_events(spark, sf)
+    first = ev.where(F.col("event_type") == "purchase").groupBy("user_id").agg(F.min("timestamp").alias("first_purchase"))
+    return (ev.select("user_id", "timestamp").join(first, "user_id").where(F.col("timestamp") < F.col("first_purchase"))
+            .groupBy("user_id", "first_purchase").agg(F.count(F.lit(1)).alias("events_before")))
+
+
 @register("latest_daily_user", f"""SELECT event_date, user_id, "timestamp", event_id, event_type, session_id FROM {EV} e
   QUALIFY row_number() OVER (PARTITION BY event_date, user_id ORDER BY "timestamp" DESC, event_id DESC) = 1""")
 def q_latest_daily_user(spark, sf):

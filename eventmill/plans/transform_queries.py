@@ -19,6 +19,8 @@ from eventmill.operators.validate import decode_json, reject_reasons, user_id_in
 from eventmill.plans.registry import register
 from eventmill.plans.sqlgen import accepted_sql, category_case, q, transform_sql
 from eventmill.schemas import RAW_FIELDS
+from eventmill.session import scratch_dir
+from eventmill.sinks.clustered import write_clustered
 from eventmill.sinks.topic import partition_batch_counts, to_topic_rows
 from eventmill.sources.raw import raw_events, raw_events_sql, to_json_messages
 from eventmill.sources.stage import staged
@@ -335,13 +337,12 @@ _STORED: dict[tuple[str, str], str] = {}
 
 
 def _stored_events(spark, sf):
-    """The accepted events as a table sorted by session, written once per session and input."""
+    """The accepted events as one clustered table for all lookups, written once per session and input."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _STORED:
-        from eventmill.session import scratch_dir
-        path = scratch_dir(spark, "events-by-session")
-        rows = _accepted(spark, sf).select(*EVENT_OUT).repartitionByRange("session_id").sortWithinPartitions("session_id")
-        rows.write.parquet(path)
+        path = scratch_dir(spark, "events-clustered")
+        write_clustered(_accepted(spark, sf).select(*EVENT_OUT), path, ["user_id", "country", "event_date", "event_type"],
+                        bloom=("user_id", "session_id"))
         _STORED[key] = path
     return spark.read.parquet(_STORED[key])
 
