@@ -12,6 +12,7 @@ import hmac
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -44,10 +45,24 @@ SYLLABLES = {
     "greek": "βα δελ κορ μα νεσ τι ρο λιν γαρ μο σεν τα χαλ βε νορ βι δου ραν κε λο".split(),
 }
 _GENDER = {name: g for (_, g), names in GIVEN.items() for name in names}
-
-_NAME = r"[^\W\d_a-zа-яα-ω][^\W\d_A-ZА-ЯΑ-Ω]+"
-#: One alternative per type, tried from left to right at each place of a text.
-MENTION = re.compile(r"""
+#: Given names that tell no gender, for persons whose gender neither the title nor a given name tells.
+NEUTRAL = {
+    "latin": "Alex Robin Kim Sam Chris Noel Sascha Jordan Taylor Morgan Casey Jamie".split(),
+    "cyrillic": "Саша Женя Валя Слава Шура Паша".split(),
+    "greek": "Άλεξ Σαμ Κρις Τζο Ρόμπιν Νοέλ".split(),
+}
+#: Words in lower case that may stand between the parts of a name.
+PARTICLES = "van von der den de del della dela di da do dos das du des la le el al bin ibn ben ter ten zu zur y".split()
+
+# A part of a name starts with a capital and runs over hyphens and apostrophes (not a genitive's); an initial has a dot.
+_FIRST = r"[^\W\d_a-zß-öø-ÿа-яёα-ωά-ώ]"
+_MORE = r"(?:['’](?!s\b)[^\W\d_]+|-[^\W\d_]+)*"
+_WORD = _FIRST + r"(?:[^\W\d_]+" + _MORE + r"|['’](?!s\b)[^\W\d_]+" + _MORE + ")"
+_BETWEEN = r"[ ](?:(?:" + "|".join(PARTICLES) + r")[ ]){0,3}"
+_NAME = (r"(?:(?:" + "|".join(PARTICLES) + r")[ ]){0,3}(?:" + _WORD + "|" + _FIRST + r"\.?(?=[ ](?:" + _FIRST + r"\.[ ])*" + _WORD + "))"
+         r"(?:" + _BETWEEN + "(?:" + _WORD + "|" + _FIRST + r"\.(?=[ ](?:" + _FIRST + r"\.[ ])*" + _WORD + "))){0,5}")
+#: One alternative per type, tried from left to right at each place of a text that no letter or digit precedes.
+MENTION = re.compile(r"""(?<!\w)(?=[\w+(:.-])(?:
     (?P<secret>\b(?i:password|passwd|pwd|secret|api[_-]?key|access[_-]?key|auth[_-]?token|token)\b["']?\s{0,3}[=:]\s{0,3}["']?(?P<value>(?=[^\s"']*\d)[A-Za-z0-9+/_\-.~!@$%^&*]{6,}=*))
   | (?P<email>(?<![\w.+-])[\w.+-]+@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,}(?![\w]))
   | (?P<iban>(?<!\w)[A-Z]{2}\d{2}(?:\ ?[A-Z0-9]{4}){2,7}(?:\ ?[A-Z0-9]{1,3})?(?!\w))
@@ -57,10 +72,11 @@ MENTION = re.compile(r"""
   | (?P<ipv4>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d))
   | (?P<ipv6>(?<![\w:])(?=:*[0-9A-Fa-f])(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?(?![\w:]|\.\d)
       |(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){3,7}(?::?[0-9A-Fa-f]{1,4}){1,4}(?![\w:]))
-  | (?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
-  | (?P<phone>(?<![\w.+(-])(?:\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{1,4}){2,5}|\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w-]))
-  | (?P<person>\b(?P<title>""" + "|".join(sorted(TITLES, key=len, reverse=True)) + r""")\.?[ ](?P<name>""" + _NAME + r"(?:[ ]" + _NAME + r""")?))
-""", re.VERBOSE)
+  | (?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])|(?<![\w-])(?<!\d[ ])(?!000|666|9)\d{3}[ ](?!00)\d{2}[ ](?!0000)\d{4}(?![\w-]|[ ]\d))
+  | (?P<phone>(?<![\w.+(-])(?:\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{1,4}){2,5}|\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\d{3}[.-]\d{3}[.-]\d{4}
+      |(?<!\d[ ])0[1-9]\d{1,3}(?:[ /-]\d{5,8}|[ -]\d{3,4}[ -]\d{4})(?![ ]\d))(?![\w-]))
+  | (?P<person>\b(?P<title>""" + "|".join(sorted(TITLES, key=len, reverse=True)) + r""")\.?[ ](?P<name>""" + _NAME + r"""))
+)""", re.VERBOSE)
 #: What a text must hold to have any mention; run as a filter before the search proper.
 MAY_HAVE = r"@|[0-9]{3}|\+[0-9]|[0-9]\.[0-9]|[0-9A-Fa-f]:[0-9A-Fa-f:]|::[0-9A-Fa-f]|(?i:password|passwd|pwd|secret|api[_-]?key|access[_-]?key|token)|\b(?:" + "|".join(TITLES) + r")\.? "
 
@@ -105,8 +121,9 @@ def mentions(text: str | None) -> list[Mention]:
             if not 15 <= len(canonical) <= 34:
                 continue
         elif kind == "person":
-            gender = TITLES[m["title"]] or _GENDER.get(raw.split(" ")[0], "m")
-            canonical = f"{gender} {raw}"
+            name = raw.title() if raw.isupper() else raw
+            known = [_GENDER[part] for word in name.split(" ") for part in re.split(r"['’-]", word) if part in _GENDER]
+            canonical = f"{TITLES[m['title']] or (known[0] if known else 'n')} {name}"
         else:
             canonical = raw
         out.append(Mention(start, end, kind, canonical))
@@ -155,7 +172,7 @@ def surrogate(kind: str, canonical: str, key: str, attempt: int) -> str:
         return _same_shape(local + "a" * longer, draw) + "@" + ".".join([*named, labels[-1]])
     if kind in ("card", "ssn", "phone"):
         brand = 4 if canonical[0] == "2" else 2 if len(canonical) == 15 and canonical[:2] in ("34", "37") else 1
-        fixed = {"card": brand, "ssn": 0, "phone": max(0, len(canonical) - 10)}[kind]
+        fixed = {"card": brand, "ssn": 0, "phone": max(canonical[0] == "0", len(canonical) - 10)}[kind]
         digits = [int(c) if i < fixed else next(draw) % 10 for i, c in enumerate(canonical)]
         if kind != "card" and digits[fixed] == 0 and canonical[fixed] != "0":
             digits[fixed] = 1 + next(draw) % 9
@@ -186,13 +203,29 @@ def surrogate(kind: str, canonical: str, key: str, attempt: int) -> str:
     if kind == "person":
         gender, name = canonical[:1], canonical[2:]
         script, words = script_of(name), name.split(" ")
-        given = GIVEN[(script, gender)]
-        first = given[next(draw) % len(given)]
-        by_family = _draw(key, "family", words[-1], attempt)
-        family = "".join(SYLLABLES[script][next(by_family) % 20] for _ in range(3 + attempt // 2)).capitalize()
-        if len(words) > 1:
-            return f"{first} {family}"
-        return (first if attempt == 0 else first + family.lower()) if words[0] in _GENDER else family
+        given = NEUTRAL[script] if gender == "n" else GIVEN[(script, gender)]
+
+        def family(part: str) -> str:
+            by_family = _draw(key, "family", part, attempt)
+            return "".join(SYLLABLES[script][next(by_family) % 20] for _ in range(3 + attempt // 2)).capitalize()
+
+        def stand_in(word: str, first: bool) -> str:
+            if word in PARTICLES:
+                return word
+            if len(word.rstrip(".")) == 1:
+                return SYLLABLES[script][next(draw) % 20][0].upper() + word[1:]
+            if first or word in _GENDER:
+                at = next(draw) % len(given)
+                return given[at] if given[at] != word else given[at - 1]
+            # a short part before an apostrophe (O', D') stays, every other part is a family name of its own
+            return "".join(part if i % 2 or not part or len(part) == 1 and i + 1 < len(parts) else family(part)
+                           for parts in [re.split(r"(['’-])", word)] for i, part in enumerate(parts))
+        if len(words) == 1 and name in _GENDER:
+            first = stand_in(name, True)
+            return first if attempt == 0 else first + family(name).lower()
+        whole = [i for i, w in enumerate(words) if w not in PARTICLES]
+        return " ".join(stand_in(w, i == whole[0] == 0 and len(whole) > 1) if i != whole[-1] else
+                        (family(w) if w in _GENDER else stand_in(w, False)) for i, w in enumerate(words))
     return _same_shape(canonical + "a" * longer, draw)
 
 
@@ -206,7 +239,7 @@ def rendered(kind: str, raw: str, stand_in: str) -> str:
     if kind == "iban":
         letters = iter(stand_in)
         return "".join(c if c == " " else next(letters) for c in raw)
-    if kind in ("email", "ipv6") and raw.isupper():
+    if kind in ("email", "ipv6", "person") and raw.isupper():
         return stand_in.upper()
     return stand_in
 
@@ -228,14 +261,17 @@ def resolve(entities: DataFrame, key: str, rounds: int = ROUNDS) -> DataFrame:
         return F.when(F.col("kind") == "person", F.expr("substring(canonical, 3)")).otherwise(value)
 
     real = entities.select("kind", bare(F.col("canonical")).alias("surrogate")).distinct()
-    left, given, attempt = entities, None, 0
+    left, given, rounds_given, attempt = entities, None, [], 0
     while True:
         draws = left.mapInPandas(drawn(attempt), "kind string, canonical string, surrogate string")
         taken = real if given is None else real.unionByName(given.select("kind", "surrogate"))
         free = draws.join(taken.distinct(), ["kind", "surrogate"], "left_anti")
         first = free.groupBy("kind", "surrogate").agg(F.min("canonical").alias("canonical")).select("kind", "canonical", "surrogate")
-        given = cut(first if given is None else given.unionByName(first))
-        left = cut(left.join(given, ["kind", "canonical"], "left_anti"))
+        rounds_given.append(cut(first))         # a round writes its own rows only
+        if len(rounds_given) > 16:
+            rounds_given = [cut(reduce(DataFrame.unionByName, rounds_given))]
+        given = reduce(DataFrame.unionByName, rounds_given)
+        left = cut(left.join(rounds_given[-1], ["kind", "canonical"], "left_anti"))
         attempt += 1
         if left.isEmpty():
             return given
@@ -249,8 +285,8 @@ def pseudonymise(docs: DataFrame, *, text_col: str = "text", key: str = KEY) ->
     """All rows and columns of docs with personal data in the text replaced, and two more: n_entities, kinds.
 
     n_entities counts the mentions replaced, kinds lists their types, sorted and joined by commas. Types: email, phone,
-    card, iban, ipv4, ipv6, ssn, secret (the value after password, token and the like) and person (a name after one of
-    the forms of address in TITLES; other names stay). Equal entities get equal surrogates in all documents, different ones different.
+    card, iban, ipv4, ipv6, ssn, secret (the value after password, token and the like) and person (the whole name after one
+    of the forms of address in TITLES: capitalised parts, initials, particles, hyphens and apostrophes; other names stay). Equal entities get equal surrogates in all documents, different ones different.
 
     Nulls: a null text stays null with no mentions; other columns are passed through whatever they hold (columns of the
     input called n_entities or kinds are replaced). Empty and very long texts are treated whole. Repeated rows are

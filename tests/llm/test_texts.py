@@ -227,3 +227,41 @@ def test_decontamination_decides_row_by_row_and_searches_items_without_an_id(spa
     assert sorted(map(str, decontamination.clean(docs, bench, block_chars=10).collect())) == sorted(map(str, docs.filter("text is null or text like 'clean%'").collect()))
     found = decontamination.contaminations(docs, bench).collect()
     assert sorted((r["doc_id"] or 0, r["item_id"] or 0) for r in found) == [(0, 7), (1, 7), (2, 0)]
+
+
+NAMES = {
+    "Mr McDonald": "McDonald", "Mr John Q. Smith": "John Q. Smith", "Frau Schmidt-Meyer": "Schmidt-Meyer", "Mr SMITH": "SMITH", "Mr O'Brien": "O'Brien",
+    "Señora María José García López": "María José García López", "Dr Petra Novak": "Petra Novak", "Herr Ludwig van der Berg": "Ludwig van der Berg",
+    "Mr J. R. Miller": "J. R. Miller", "Mr J Smith": "J Smith", "Prof. Anna-Lena Weiss": "Anna-Lena Weiss", "Mrs Smith's": "Smith",
+    "Господин Иван Петров": "Иван Петров", "Κυρία Μαρία Παπαδοπούλου": "Μαρία Παπαδοπούλου", "Mrs de la Cruz": "de la Cruz",
+    "Monsieur Étienne d'Arc": "Étienne", "Mr John Smith": "John Smith",
+}
+
+
+def test_names_are_found_whole_and_replaced_whole():
+    for text, name in NAMES.items():
+        text = f"so {text}, as said"
+        got = pii.mentions(text)
+        assert [(m.kind, text[m.start:m.end]) for m in got] == [("person", name)] and re.search(pii.MAY_HAVE, text), text
+        for attempt in (0, 5):
+            new = pii.rendered("person", name, pii.surrogate("person", got[0].canonical, "k", attempt))
+            again = pii.mentions(text.replace(name, new))
+            assert [m.kind for m in again] == ["person"] and again[0].canonical[2:] != got[0].canonical[2:] and len(new.split()) == len(name.split()), (name, new)
+            old_words = {w for w in re.split(r"[ '-]", name) if len(w) > 2 and w not in pii.PARTICLES}
+            assert not old_words & set(re.split(r"[ '-]", new)), (name, new)
+            assert (name.isupper(), "-" in name and "Anna" not in name) == (new.isupper(), "-" in new), (name, new)
+    gender = lambda text: pii.mentions(text)[0].canonical[0]
+    assert [gender(t) for t in ("Dr Petra Novak", "Dr Anna Novak", "Dr Novak", "Prof Victor Hugo Braun", "Mrs Victor")] == ["n", "f", "n", "m", "f"]
+    assert pii.surrogate("person", "n Petra Novak", "k", 0).split()[0] in pii.NEUTRAL["latin"]
+    for clean in ("Dr. says", "Miss the bus", "Mr 5", "the Mr"):
+        assert not pii.mentions(clean), clean
+
+
+def test_national_phones_and_spaced_numbers():
+    for text, kind in {"0171-1234567": "phone", "030 12345678": "phone", "020 7946 0958": "phone", "078 05 1120": "ssn"}.items():
+        got = pii.mentions(f"call {text} now")
+        assert [(m.kind, m.canonical) for m in got] == [(kind, re.sub(r"\D", "", text))], text
+        new = pii.rendered(kind, text, pii.surrogate(kind, got[0].canonical, "k", 0))
+        assert re.sub(r"\d", "9", new) == re.sub(r"\d", "9", text) and new != text
+    for decoy in ("000 12 3456", "1 078 05 1120", "078 05 1120 3", "10 2000 3000"):
+        assert not pii.mentions(decoy), decoy
