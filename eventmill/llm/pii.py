@@ -77,8 +77,10 @@ MENTION = re.compile(r"""(?<!\w)(?=[\w+(:.-])(?:
       |(?<!\d[ ])0[1-9]\d{1,3}(?:[ /-]\d{5,8}|[ -]\d{3,4}[ -]\d{4})(?![ ]\d))(?![\w-]))
   | (?P<person>\b(?P<title>""" + "|".join(sorted(TITLES, key=len, reverse=True)) + r""")\.?[ ](?P<name>""" + _NAME + r"""))
 )""", re.VERBOSE)
-#: What a text must hold to have any mention; run as a filter before the search proper.
-MAY_HAVE = r"@|[0-9]{3}|\+[0-9]|[0-9]\.[0-9]|[0-9A-Fa-f]:[0-9A-Fa-f:]|::[0-9A-Fa-f]|(?i:password|passwd|pwd|secret|api[_-]?key|access[_-]?key|token)|\b(?:" + "|".join(TITLES) + r")\.? "
+#: What a text must hold to have any mention; run as a filter before the search proper, by Spark's own expressions. Words are
+#: looked for only where no ASCII letter or digit precedes, which any engine's idea of a word's beginning allows.
+MAY_HAVE = (r"@|[0-9](?:[0-9]{2}|\.[0-9])|\+[0-9]|[0-9A-Fa-f]:[0-9A-Fa-f:]|::[0-9A-Fa-f]|(?<![0-9A-Za-z_])(?:"
+            r"(?i:password|passwd|pwd|secret|api[_-]?key|access[_-]?key|auth[_-]?token|token)|(?:" + "|".join(TITLES) + r")\.? )")
 
 
 @dataclass(frozen=True)
