@@ -1,7 +1,8 @@
 """Licence scan: units of text compared with licence templates by the Dice coefficient over word bigrams.
 
-DataFrame functions only. A document is read as its lines, its paragraphs and as a whole; each template is a licence
-notice or a paragraph of a licence text. A unit whose bigram count cannot reach the wanted coefficient with any
+DataFrame functions only. A document is read as its lines, its sentences, its paragraphs and as a whole; each template is
+a licence notice or a paragraph of a licence text. Lines without a letter or digit part paragraphs as empty ones do, so
+the paragraphs of a comment block are told apart. A unit whose bigram count cannot reach the wanted coefficient with any
 template is dropped before its bigrams are spelt out, and a unit meets only the templates within its own bounds.
 """
 
@@ -39,11 +40,23 @@ TEMPLATES = (
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("CDDL-1.0", 'The contents of this file are subject to the terms of the Common Development and Distribution License (the "License"). You may not use this file except in compliance with the License.'),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
 )
 
 #: What separates words: every ASCII character that is neither letter nor digit.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-PARAGRAPH = r"\n[\x20\x09\x0D]*\n"
+#: Between paragraphs: line ends with nothing but separators between them.
+PARAGRAPH = r"\n[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*\n"
+#: Between sentences: an end mark before white space, or the end of a paragraph.
+SENTENCE = r"[.!?:;][\x20\x09-\x0D]+|" + PARAGRAPH
 
 
 def normalised_words(text: Column) -> Column:
@@ -69,9 +82,11 @@ def template_bigrams(spark: SparkSession, templates: Iterable[tuple[str, str]])
 def scan(docs: DataFrame, templates: Iterable[tuple[str, str]] = TEMPLATES, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row per document and licence found: doc_id, license, template, dice, n_units.
 
-    dice is the best coefficient (2 * shared bigrams, counted with repeats / bigrams of both), template the lowest
-    number among the best, n_units how many units reach the threshold. Units are the distinct lines, paragraphs and
-    whole text of a document, so one-line texts count once.
+    A unit that reaches the threshold counts for its best template (the lowest number among equals), so that notices
+    that differ in a word or two are told apart. dice is the best coefficient (2 * shared bigrams, counted with repeats /
+    bigrams of both), template the lowest number among the best, n_units how many units count for the licence. Units are
+    the distinct word sequences of a document's lines, sentences, paragraphs and whole text, so one-line texts count
+    once. A notice is not found within a longer sentence that adds more words than the threshold allows.
 
     Nulls: a null text has no units; rows with a null id are kept under null. Texts with fewer than two words match
     nothing. Very long texts are read whole; their whole-text unit simply exceeds the size bounds. Repeated rows count
@@ -85,21 +100,22 @@ def scan(docs: DataFrame, templates: Iterable[tuple[str, str]] = TEMPLATES, *, i
     least, most = (sizes[0] or 0, sizes[1] or 0)
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
     text = F.col(text_col)
-    pieces = F.array_distinct(F.concat(F.split(text, r"\n"), F.split(text, PARAGRAPH), F.array(text)))
+    pieces = F.array_distinct(F.concat(F.split(text, r"\n"), F.split(text, PARAGRAPH), F.split(text, SENTENCE), F.array(text)))
     # split stops one piece beyond what the largest template allows, so long units are told apart without being spelt out
     longest = int(high * most) + 2
     pieces_seen = F.size(F.split(F.col("unit"), SEPARATORS, longest + 3))
     units = (docs.filter(text.isNotNull()).select(F.col(id_col).alias("doc_id"), F.explode(pieces).alias("unit"))
              .filter((F.length("unit") >= 3) & pieces_seen.between(2, longest + 2)).withColumn("words", normalised_words(F.col("unit")))
              .filter(F.size("words").between(max(2, int(low * least)), longest)))
-    units = units.withColumn("at", F.monotonically_increasing_id()).select("doc_id", "at", F.xxhash64("unit").alias("unit"), F.size("words").alias("n"), F.explode(bigrams(F.col("words"))).alias("bigram"))
+    units = units.withColumn("at", F.monotonically_increasing_id()).select("doc_id", "at", F.xxhash64("words").alias("unit"), F.size("words").alias("n"), F.explode(bigrams(F.col("words"))).alias("bigram"))
     counted = units.withColumn("unit_size", F.col("n") - 1)
     hits = (counted.join(F.broadcast(per_bigram), "bigram")
             .filter((F.col("unit_size") >= low * F.col("template_size") - 1e-9) & (F.col("unit_size") <= high * F.col("template_size") + 1e-9)))
     shared = (hits.groupBy("at", "doc_id", "unit", "unit_size", "template", "license", "template_size", "bigram", "in_template").agg(F.count(F.lit(1)).alias("in_unit"))
               .groupBy("at", "doc_id", "unit", "unit_size", "template", "license", "template_size").agg(F.sum(F.least("in_unit", "in_template")).alias("shared")))
     dice = shared.withColumn("dice", 2.0 * F.col("shared") / (F.col("unit_size") + F.col("template_size"))).filter(F.col("dice") >= threshold)
-    return dice.groupBy("doc_id", "license").agg(
+    best = dice.groupBy("at", "doc_id", "unit").agg(F.max_by(F.struct("template", "license", "dice"), F.struct("dice", -F.col("template"))).alias("best"))
+    return best.select("doc_id", "unit", "best.*").groupBy("doc_id", "license").agg(
         F.max("dice").alias("dice"), F.max_by("template", F.struct("dice", -F.col("template"))).alias("template"),
         F.countDistinct("unit").alias("n_units")).select("doc_id", "license", "template", "dice", "n_units")
 
@@ -113,10 +129,10 @@ def scan_sql(docs: str = "documents", templates: Iterable[tuple[str, str]] = TEM
 WITH t0 AS (SELECT template, license, {words.format("wording")} AS w FROM (VALUES {quoted}) v(template, license, wording)),
 t1 AS (SELECT template, license, {pairs} AS g FROM t0),
 t AS (SELECT template, license, tn, b, count(*) AS tc FROM (SELECT template, license, len(g) AS tn, unnest(g) AS b FROM t1) GROUP BY ALL),
-p AS (SELECT DISTINCT doc_id, unnest(list_concat(list_concat(string_split(text, chr(10)), regexp_split_to_array(text, '{PARAGRAPH}')), [text])) AS unit FROM {docs} WHERE text IS NOT NULL),
-u0 AS (SELECT doc_id, unit, {words.format("unit")} AS w FROM p),
-u1 AS (SELECT doc_id, unit, {pairs} AS g FROM u0),
+p AS (SELECT DISTINCT doc_id, unnest(list_concat(list_concat(string_split(text, chr(10)), regexp_split_to_array(text, '{PARAGRAPH}')), list_concat(regexp_split_to_array(text, '{SENTENCE}'), [text]))) AS unit FROM {docs} WHERE text IS NOT NULL),
+u0 AS (SELECT DISTINCT doc_id, {words.format("unit")} AS w FROM p),
+u1 AS (SELECT doc_id, array_to_string(w, ' ') AS unit, {pairs} AS g FROM u0),
 u AS (SELECT doc_id, unit, un, b, count(*) AS uc FROM (SELECT doc_id, unit, len(g) AS un, unnest(g) AS b FROM u1) WHERE b IN (SELECT b FROM t) GROUP BY ALL),
 s AS (SELECT doc_id, unit, template, license, 2.0::DOUBLE * sum(least(uc, tc)) / (un + tn) AS dice FROM u JOIN t USING (b) GROUP BY doc_id, unit, un, template, license, tn),
-k AS (SELECT * FROM s WHERE dice >= {threshold!r}::DOUBLE)
+k AS (SELECT * FROM s WHERE dice >= {threshold!r}::DOUBLE QUALIFY row_number() OVER (PARTITION BY doc_id, unit ORDER BY dice DESC, template) = 1)
 SELECT doc_id, license, CAST(arg_max(template, dice - template * 1e-9) AS INTEGER) AS template, max(dice) AS dice, count(DISTINCT unit) AS n_units FROM k GROUP BY doc_id, license"""
