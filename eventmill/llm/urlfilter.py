@@ -15,6 +15,8 @@ ORDER = 5
 FOLDS = 5
 #: Score bins of the calibration, in nats per character.
 BIN = 0.01
+#: A gram borne by more than one of so many characters is common; there can be no more common grams than this.
+COMMON = 1000
 START, END = "\x02", "\x03"
 
 
@@ -83,6 +85,18 @@ def log_ratios(counted: DataFrame, order: int) -> DataFrame:
     return chains.join(F.broadcast(kinds)).select("gram", (F.log(mixed("accepted")) - F.log(mixed("rejected"))).alias("ratio"))
 
 
+def with_ratios(spelled: DataFrame, ratios: DataFrame, counted: DataFrame) -> DataFrame:
+    """Each character with its gram's ratio.
+
+    The grams that more than a thousandth of all characters bear are at most COMMON by count: they are sent to every
+    task. The other grams are joined by a shuffle in which none is hot.
+    """
+    total = counted.agg(F.sum("uses")).first()[0] or 0
+    common = counted.filter(F.col("uses") * COMMON > total).select("gram")
+    rare = spelled.join(F.broadcast(common), "gram", "left_anti").join(ratios, "gram")
+    return spelled.join(F.broadcast(ratios.join(F.broadcast(common), "gram", "left_semi")), "gram").unionByName(rare)
+
+
 def best_threshold(scores: DataFrame) -> DataFrame:
     """One row, threshold: the score bin edge with the least sum of false-accept and false-reject rates on held-out labels.
 
@@ -123,10 +137,11 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], *, id_col: str = "
     spelled = grams(shapes, order)
     learnt = ~F.col("held_out")
     counted = cut(spelled.groupBy("gram").agg(
+        F.count(F.lit(1)).alias("uses"),
         F.sum(F.when(learnt, F.col("accepted")).otherwise(0)).alias("accepted"),
         F.sum(F.when(learnt, F.col("rejected")).otherwise(0)).alias("rejected")))
-    ratios = log_ratios(counted, order)
-    scored = cut(spelled.join(ratios, "gram").groupBy("shape").agg(
+    ratios = cut(log_ratios(counted, order))
+    scored = cut(with_ratios(spelled, ratios, counted).groupBy("shape").agg(
         F.avg("ratio").alias("score"), F.first("accepted").alias("accepted"), F.first("rejected").alias("rejected"), F.first("held_out").alias("held_out")))
     threshold = best_threshold(scored.filter("held_out"))
     judged = ruled.join(scored.select("shape", "score"), "shape").join(F.broadcast(threshold))
