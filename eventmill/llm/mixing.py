@@ -21,6 +21,8 @@ MOST_COPIES = 2
 SEED = "mix-1"
 #: Hex digits of the document hash that split a run of equally long documents into blocks to be ranked apart.
 BLOCK_DIGITS = 3
+#: Rows of one run of equal rows that are spelt out at once.
+PIECE = 65_536
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
@@ -50,23 +52,38 @@ def offset(has_source: Column, source: Column, seed: str) -> Column:
     return hex_number(key, 1, 8).cast("double") / F.lit(float(16**8))
 
 
+def spelt_out(runs: DataFrame) -> DataFrame:
+    """The rows of runs (n rows each, ranks from `first` on), one per rank.
+
+    Runs longer than PIECE are cut into pieces, and the pieces dealt to all tasks before they are spelt out.
+    """
+    last = F.floor((F.col("n") - 1) / PIECE)
+    pieces = runs.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    tasks = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    long = pieces.filter(F.col("n") > PIECE).repartition(tasks, "digest", "piece")
+    from_, to = F.col("piece") * PIECE, F.least((F.col("piece") + 1) * PIECE, F.col("n")) - 1
+    short = runs.filter(F.col("n") <= PIECE).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    listed = long.withColumn("i", F.explode(F.sequence(from_, to))).drop("piece").unionByName(short)
+    return listed.withColumn("rank", F.col("first") + F.col("i")).drop("i", "n", "first")
+
+
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: int = MOST_COPIES, seed: str = SEED) -> DataFrame:
     """One row per document: doc_id, source, size (words), source_size, target (both its source's), copies, taken.
 
     Nulls: a null text has size 0 and takes nothing; a null source is a source of its own, last in order; rows with a
-    null id are ranked like any other. Repeated rows are separate documents; among rows equal in id and size it does
-    not matter which one is taken. Empty tables give no rows. Other columns of docs are ignored. No document is taken
+    null id are ranked like any other. Repeated rows are separate documents; rows equal in id, source and size are
+    counted before the shuffle and ranked as one run, in which it does not matter which one is taken. Empty tables give no rows. Other columns of docs are ignored. No document is taken
     more than `most` times. Ranks are counted per (source, size, block of the id's hash), so neither a source nor a run
     of equal documents meets in one task.
     """
     ident = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    rows = cut(docs.select(
+    rows = docs.select(
         F.col(id_col).alias("doc_id"), F.md5(ident).alias("digest"), n_words(F.col(text_col)).alias("size"),
-        F.col(source_col).isNotNull().alias("has_source"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source")))
-    rows = rows.withColumn("block", F.substring("digest", 1, BLOCK_DIGITS))
+        F.col(source_col).isNotNull().alias("has_source"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"))
+    rows = cut(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))).withColumn("block", F.substring("digest", 1, BLOCK_DIGITS))
     key = ["has_source", "source"]
-    blocks = cut(rows.groupBy(*key, "size", "block").agg(F.count(F.lit(1)).alias("n")))
+    blocks = cut(rows.groupBy(*key, "size", "block").agg(F.sum("n").alias("n")))
     sizes = blocks.groupBy(*key, "size").agg(F.sum("n").alias("n"))
     earlier = Window.partitionBy(*key).orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)
     by_size = sizes.select(*key, "size", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("larger"))
@@ -76,11 +93,12 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     starts = (blocks.withColumn("same", F.coalesce(F.sum("n").over(in_size), F.lit(0)))
               .join(by_size, [*key, "size"]).join(targets, key)
               .select(*key, "size", "block", (F.col("larger") + F.col("same")).alias("start"), "source_size", "target"))
-    in_block = Window.partitionBy(*key, "size", "block").orderBy("digest", "doc_id")
-    rank = F.col("start") + F.row_number().over(in_block)
+    in_block = Window.partitionBy(*key, "size", "block").orderBy("digest", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("start") + F.coalesce(F.sum("n").over(in_block), F.lit(0)) + 1
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     shift = offset(F.col("has_source"), F.col("source"), seed)
-    placed = rows.join(starts, [*key, "size", "block"]).withColumns({"rank": rank, "rate": rate, "shift": shift})
+    runs = rows.join(starts, [*key, "size", "block"]).withColumns({"first": first, "rate": rate, "shift": shift}).drop("start", "block")
+    placed = spelt_out(cut(runs))
     copies = F.floor(F.col("shift") + F.col("rate") * F.col("rank")) - F.floor(F.col("shift") + F.col("rate") * (F.col("rank") - 1))
     return placed.withColumn("copies", F.least(copies, F.lit(most)).cast("long")).select(
         "doc_id", F.when(F.col("has_source"), F.col("source")).alias("source"), "size", "source_size", "target", "copies",
