@@ -2,13 +2,15 @@
 
 DataFrame functions only. A document is read as its lines, its sentences, its paragraphs and as a whole; each template is
 a licence notice or a paragraph of a licence text. Lines without a letter or digit part paragraphs as empty ones do, so
-the paragraphs of a comment block are told apart. A unit whose bigram count cannot reach the wanted coefficient with any
+the paragraphs of a comment block are told apart. Texts and units that hold none of the templates' telling words cannot
+reach the wanted coefficient and are passed over unread. A unit whose bigram count cannot reach the wanted coefficient with any
 template is dropped before its bigrams are spelt out, and a unit meets only the templates within its own bounds.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import re
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +55,10 @@ TEMPLATES = (
 
 #: What separates words: every ASCII character that is neither letter nor digit.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Words too frequent to tell a licence by, taken as telling words last.
+FREQUENT = ("a", "all", "and", "any", "are", "as", "at", "be", "by", "can", "do", "following", "for", "from", "http", "https", "if", "in",
+            "including", "is", "it", "may", "must", "no", "not", "obtain", "of", "on", "or", "org", "person", "that", "the", "their", "this",
+            "to", "use", "used", "was", "with", "without", "work", "you", "your", "under")
 #: Between paragraphs: line ends with nothing but separators between them.
 PARAGRAPH = r"\n[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*\n"
 #: Between sentences: an end mark before white space, or the end of a paragraph.
@@ -70,6 +76,33 @@ def bigrams(words: Column) -> Column:
     return F.when(F.size(words) > 1, pairs).otherwise(F.array().cast("array<string>"))
 
 
+def telling_words(templates: Iterable[tuple[str, str]], threshold: float) -> list[str]:
+    """Words one of which every unit that reaches the threshold with some template holds.
+
+    A coefficient of `threshold` needs threshold / (2 - threshold) of the template's bigrams. For each template words
+    are taken, those taken before first, then long ones, until the bigrams without any of them are fewer than that.
+    """
+    kept: set[str] = set()
+    for _, wording in templates:
+        words = [w for w in re.split(SEPARATORS, wording.lower()) if w]
+        pairs = list(zip(words, words[1:]))
+        need = threshold / (2 - threshold) * len(pairs) - 1e-9
+        own: set[str] = set()
+        for word in sorted(set(words), key=lambda w: (w in FREQUENT, w not in kept, -len(w), w)):
+            if sum(1 for a, b in pairs if a not in own and b not in own) < need:
+                break
+            own.add(word)
+        kept |= own
+    return sorted(kept)
+
+
+def holds_a_word(text: Column, words: Sequence[str]) -> Column:
+    """Whether one of the words stands in the text as normalised_words would give it."""
+    edge = SEPARATORS.removesuffix("+")
+    listed = "|".join(re.escape(w) for w in words)
+    return F.lower(text).rlike(f"(?:^|{edge})(?:{listed})(?:{edge}|$)") if words else F.lit(False)
+
+
 def template_bigrams(spark: SparkSession, templates: Iterable[tuple[str, str]]) -> DataFrame:
     """(template, license, template_size, bigram, in_template): bigrams of each template with their counts."""
     rows = [F.struct(F.lit(i).alias("template"), F.lit(name).alias("license"), F.lit(text).alias("wording")) for i, (name, text) in enumerate(templates)]
@@ -100,12 +133,13 @@ def scan(docs: DataFrame, templates: Iterable[tuple[str, str]] = TEMPLATES, *, i
     least, most = (sizes[0] or 0, sizes[1] or 0)
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
     text = F.col(text_col)
+    telling = telling_words(templates, threshold)
     pieces = F.array_distinct(F.concat(F.split(text, r"\n"), F.split(text, PARAGRAPH), F.split(text, SENTENCE), F.array(text)))
     # split stops one piece beyond what the largest template allows, so long units are told apart without being spelt out
     longest = int(high * most) + 2
     pieces_seen = F.size(F.split(F.col("unit"), SEPARATORS, longest + 3))
-    units = (docs.filter(text.isNotNull()).select(F.col(id_col).alias("doc_id"), F.explode(pieces).alias("unit"))
-             .filter((F.length("unit") >= 3) & pieces_seen.between(2, longest + 2)).withColumn("words", normalised_words(F.col("unit")))
+    units = (docs.filter(holds_a_word(text, telling)).select(F.col(id_col).alias("doc_id"), F.explode(pieces).alias("unit"))
+             .filter((F.length("unit") >= 3) & holds_a_word(F.col("unit"), telling) & pieces_seen.between(2, longest + 2)).withColumn("words", normalised_words(F.col("unit")))
              .filter(F.size("words").between(max(2, int(low * least)), longest)))
     units = units.withColumn("at", F.monotonically_increasing_id()).select("doc_id", "at", F.xxhash64("words").alias("unit"), F.size("words").alias("n"), F.explode(bigrams(F.col("words"))).alias("bigram"))
     counted = units.withColumn("unit_size", F.col("n") - 1)

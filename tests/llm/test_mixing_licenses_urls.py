@@ -89,6 +89,16 @@ def test_every_license_template_is_found_as_itself(spark):
     assert got == {i: name for i, (name, _) in enumerate(licenses.TEMPLATES)}
 
 
+def test_no_unit_without_a_telling_word_reaches_the_threshold():
+    telling = set(licenses.telling_words(licenses.TEMPLATES, licenses.THRESHOLD))
+    for _, wording in licenses.TEMPLATES:
+        words = [w for w in re.split(licenses.SEPARATORS, wording.lower()) if w]
+        pairs = list(zip(words, words[1:]))
+        left = sum(1 for a, b in pairs if a not in telling and b not in telling)
+        assert 2 * left / (left + len(pairs)) < licenses.THRESHOLD  # the best unit without such a word holds just these
+    assert "the" not in telling and len(telling) < 120
+
+
 def test_mix_long_runs_of_one_id_equal_sql(spark, monkeypatch):
     monkeypatch.setattr(mixing, "PIECE", 64)
     rows = [(7, "a b c", "hot")] * 1000 + [(None, "a b c", "hot")] * 130 + [(None, None, None)] * 65 + [(i, "w " * (i % 5), f"s{i % 2}") for i in range(200)]
