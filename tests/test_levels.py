@@ -209,3 +209,14 @@ def test_lag_of_a_half_drained_folder_is_the_files_left(spark):
     assert sorted(map(tuple, consumer_lag(counted).collect())) == sorted(map(tuple, consumer_lag(offsets).collect()))
     drain(spark, glob_, f"{base}/out", f"{base}/ckpt")
     assert all(r["lag"] == 0 for r in consumer_lag(source_offsets(spark, glob_, f"{base}/ckpt/events")).collect())
+
+
+def test_filters_and_stored_ids_are_not_broadcast(spark):
+    """They grow with the table, and every batch would send them through the driver."""
+    index = IdIndex(spark, scratch_dir(spark, "sent"))
+    index.add(ids_df(spark, ["a", "b"]), 0)
+    batch = ids_df(spark, ["b", "c"])
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    fresh = index.fresh(batch, "id")
+    assert "Broadcast" not in plan(index.maybe_stored(batch, index.levels.runs())) and "Broadcast" not in plan(fresh)
+    assert [r[0] for r in fresh.collect()] == ["c"]
