@@ -214,3 +214,31 @@ def test_stream_gate_fails_the_batch_and_logs_it(spark):
         drain(spark, glob, f"{base}/out", f"{base}/ckpt", reject_ratio_limit=0.5)
     log = read_batch_log(spark, f"{base}/out/run={run_name(f'{base}/ckpt')}").collect()
     assert [(r["sink"], r["ok"]) for r in log] == [("batch", False)] and "reject ratio" in log[0]["error"]
+
+
+def test_landed_chunk_is_one_file_however_many_tasks_read_the_table(spark, monkeypatch):
+    import glob
+    from pyspark.sql import functions as F
+    from eventmill.schemas import RAW_FIELDS
+    from eventmill.streaming import ingest
+    fields = {"user_id": "1", "event_type": "click", "timestamp": "2024-01-15T10:30:00.000Z"}
+    raw = spark.range(400).repartition(7).select(
+        *[(F.col("id").cast("string") if f == "event_id" else F.lit(fields.get(f)).cast("string")).alias(f) for f in RAW_FIELDS],
+        F.col("id").alias("src_id"), F.lit(0).alias("delivery"))
+    ids = lambda path: spark.read.json(path).select(F.min(F.col("event_id").cast("int")), F.max(F.col("event_id").cast("int")), F.count("*")).first()
+    base = scratch_dir(spark, "landed")
+    ingest.write_message_files(raw, base, 2)
+    assert [len(glob.glob(f"{base}/c{i:04d}/part-*")) for i in range(3)] == [1, 1, 1]
+    assert tuple(ids(f"{base}/c0000")) == (0, 199, 200) and tuple(ids(f"{base}/c0001")) == (200, 399, 200)
+    monkeypatch.setattr(ingest, "FILE_ROWS", 70)             # 200 messages fill three files, id ranges again
+    base = scratch_dir(spark, "landed")
+    ingest.write_message_files(raw, base, 2)
+    found = sorted(tuple(ids(p)) for p in glob.glob(f"{base}/c0001/part-*"))
+    assert len(found) == 3 and sum(n for _, _, n in found) == 200 and all(a[1] < b[0] for a, b in zip(found, found[1:]))
+
+
+def test_keys_that_drain_the_messages_themselves_only_land_them(spark, tmp_path):
+    from eventmill.plans import stream_queries as Q
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").limit(200).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    assert Q.q_consumer_lag(spark, str(tmp_path)).count() >= 4
+    assert (spark.sparkContext.applicationId, str(tmp_path)) not in Q._RUNS
