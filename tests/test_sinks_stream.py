@@ -242,3 +242,19 @@ def test_keys_that_drain_the_messages_themselves_only_land_them(spark, tmp_path)
     spark.read.parquet(f"{SF_SMALL}/events.parquet").limit(200).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
     assert Q.q_consumer_lag(spark, str(tmp_path)).count() >= 4
     assert (spark.sparkContext.applicationId, str(tmp_path)) not in Q._RUNS
+
+
+def test_stored_ids_are_counted_with_one_decoding_of_the_messages(spark):
+    import json
+
+    from eventmill.plans.stream_queries import stored_and_delivered
+    texts = [json.dumps(sample(event_id=i)) for i in ("a", "a", "b", "c")]
+    texts += [json.dumps(sample(event_id="a", timestamp="garbage")), json.dumps(sample(event_id="d", user_id="x")), "{broken", "{}"]
+    messages = spark.createDataFrame([(x,) for x in texts], "value string")
+    flat = spark.createDataFrame([("a",), ("b",), ("d",), ("e",)], "event_id string")
+    got = stored_and_delivered(flat, messages)
+    assert sorted(map(tuple, got.collect())) == [("a", 1, 2), ("b", 1, 1)]
+    assert got.dtypes == [("event_id", "string"), ("stored", "bigint"), ("delivered", "bigint")]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    # filters pushed below the decoding had repeated it
+    assert plan.lower().count("parsejson") + plan.lower().count("parse_json") == 1
