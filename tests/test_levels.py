@@ -220,3 +220,15 @@ def test_filters_and_stored_ids_are_not_broadcast(spark):
     fresh = index.fresh(batch, "id")
     assert "Broadcast" not in plan(index.maybe_stored(batch, index.levels.runs())) and "Broadcast" not in plan(fresh)
     assert [r[0] for r in fresh.collect()] == ["c"]
+
+
+def test_new_ids_that_a_filter_lets_pass_cost_no_join(spark):
+    """A large batch has such ids in every bucket; they are looked up, and its rows are joined only if an id is stored."""
+    index = IdIndex(spark, scratch_dir(spark, "chance"), bucket_ids=10_000, page_ids=1_000_000)
+    stored = spark.range(20000).select(F.col("id").cast("string").alias("id"))
+    index.add(stored, 0, unique=True, at_most=20000)         # pages so full that most new ids pass
+    new = spark.range(50000, 50300).select(F.col("id").cast("string").alias("id"))
+    assert index.maybe_stored(new, index.levels.runs()).select("bucket").distinct().count() == 2
+    assert index.files_for(new) == [] and index.fresh(new, "id", unique=True) is new
+    mixed = new.unionByName(stored.limit(2)).unionByName(ids_df(spark, [None]))
+    assert index.fresh(mixed, "id").count() == 301

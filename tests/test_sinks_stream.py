@@ -258,3 +258,17 @@ def test_stored_ids_are_counted_with_one_decoding_of_the_messages(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     # filters pushed below the decoding had repeated it
     assert plan.lower().count("parsejson") + plan.lower().count("parse_json") == 1
+
+
+def test_only_rejected_messages_carry_their_text_through_the_stream(spark):
+    from eventmill.streaming.ingest import StreamSource, tagged_stream
+    base = scratch_dir(spark, "texts")
+    glob = land(base, [[sample(event_id="ok-1"), sample(event_id="no-1", timestamp="garbage"), "{broken"]])
+    seen = []
+    q = (tagged_stream(spark, StreamSource(path=glob)).writeStream.foreachBatch(lambda d, i: seen.extend(d.select("reject_reason", "raw_message", "_key").collect()))
+         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {r["reject_reason"]: r for r in seen}
+    assert got[None]["raw_message"] is None and got[None]["_key"] == "ok-1"
+    assert got["decode:json"]["raw_message"] == "{broken" and "garbage" in got["format:timestamp"]["raw_message"]
+    assert len({r["_key"] for r in seen}) == 3

@@ -77,3 +77,15 @@ def test_json_types_from_decoded_messages(spark):
 def test_validate_off_accepts_everything(spark):
     df = transform(raw_df(spark, [sample(user_id="x")]), validate=False)
     assert df.first()["reject_reason"] is None
+
+
+def test_white_space_is_stripped_without_regular_expressions(spark):
+    from pyspark.sql import functions as F
+
+    from eventmill.operators.validate import strip_ws, user_id_int
+    texts = [" 12 ", "\t\n\x0b\f\r", " 1_0\n", "\n-5\r\n", "1 2", "\u0085", " ", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = df.select(strip_ws(F.col("t")).alias("s"), user_id_int(F.col("t")).alias("n")).orderBy("i")
+    # a pattern scan for each message and field had been a good part of the decoding
+    assert df.select(strip_ws(F.col("t")))._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 0
+    assert [tuple(r) for r in got.collect()] == [("12", 12), ("", None), ("1_0", 10), ("-5", -5), ("1 2", None), ("\u0085", None), (" ", None), ("", None), (None, None)]
